@@ -46,8 +46,8 @@ def compare(spark, con, folder: str, name: str, function, sql: str) -> str | Non
         return f"columns {sorted(df.columns)} vs {sorted(columns)}"
     if left == right:
         return None
-    only_left = [r for r in left if r not in set(right)][:2]
-    only_right = [r for r in right if r not in set(left)][:2]
+    only_left = sorted(set(left) - set(right))[:2]
+    only_right = sorted(set(right) - set(left))[:2]
     return f"{len(left)} vs {len(right)} rows; spark only {only_left}; sql only {only_right}"[:900]
 
 
@@ -59,7 +59,7 @@ def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session(
         "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-        spark__driver__memory="8g",
+        spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)

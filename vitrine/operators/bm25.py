@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from vitrine.functions import fixed
 from vitrine.functions.text import ws_tokens
 from vitrine.operators.topk import BLOCK_CELLS, BROADCAST_CELLS, Okapi, blocked_topk
+from vitrine.session import scratch_path
 
 
 def bm25_tokens(name: Column, colors: Column) -> Column:
@@ -27,29 +30,55 @@ def bm25_totals(documents: DataFrame) -> DataFrame:
     )
 
 
-def bm25_terms(documents: DataFrame) -> DataFrame:
-    """``(term, df, idf)``; a negative idf becomes epsilon times the mean idf of all terms.
-
-    Counting combines on the map side, so a term that is in every document sends one row per task.
-    The corpus-wide numbers are one-row scalar subqueries.
-    """
-    n_docs = bm25_totals(documents).select("n_docs").scalar()
-    counted = (
+def bm25_counts(documents: DataFrame) -> DataFrame:
+    """``(term, df)``. Counting combines on the map side, so a term of every document sends one row
+    per task."""
+    return (
         documents.select(F.explode(F.array_distinct("tokens")).alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
-    raw = counted.withColumn("raw", F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+
+
+def bm25_terms(counts: DataFrame, n_docs: Column) -> DataFrame:
+    """``(term, df, idf)``; a negative idf becomes epsilon times the mean idf of all terms."""
+    raw = counts.withColumn("raw", F.log(n_docs - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     floor = raw.agg((F.avg("raw") * fixed.BM25_EPSILON).alias("floor")).scalar()
     idf = F.when(F.col("raw") < 0, floor).otherwise(F.col("raw"))
     return raw.select("term", "df", idf.alias("idf"))
 
 
+@dataclass
+class KeywordStats:
+    """Corpus statistics: the term table and the average document length."""
+
+    terms: DataFrame
+    avgdl: float
+
+
+def keyword_stats(documents: DataFrame, path: str | None = None) -> KeywordStats:
+    """Count the corpus once and keep the term counts as a table.
+
+    Document number and length are observed while the counts are written, so the documents are read in
+    a single pass; searches then read the term table, not the corpus.
+    """
+    spark = documents.sparkSession
+    path = path or scratch_path(spark, "terms")
+    seen = Observation()
+    watched = documents.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.sum(F.size("tokens")).alias("length")
+    )
+    bm25_counts(watched).write.mode("overwrite").parquet(path)
+    n, length = seen.get["n"], seen.get["length"] or 0
+    counts = spark.read.parquet(path)
+    return KeywordStats(bm25_terms(counts, F.lit(n)), length / n if n else 1.0)
+
+
 def bm25_search(
     queries: DataFrame,
     documents: DataFrame,
     k: int,
-    terms: DataFrame | None = None,
+    stats: KeywordStats | None = None,
     broadcast_cells: int = BROADCAST_CELLS,
     block_cells: int = BLOCK_CELLS,
 ) -> DataFrame:
@@ -59,13 +88,12 @@ def bm25_search(
     share a token with the query are returned. Documents are scored where they lie, so a term shared by
     many queries and many documents never becomes a join of all its pairs.
     """
-    terms = bm25_terms(documents) if terms is None else terms
-    avgdl = bm25_totals(documents).select("avgdl").scalar()
+    stats = keyword_stats(documents) if stats is None else stats
     wanted = (
         queries.select("query_id", F.explode("tokens").alias("term"))
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("times"))
-        .join(terms, "term")
+        .join(stats.terms, "term")
         .groupBy("query_id")
         .agg(
             F.sort_array(
@@ -76,14 +104,13 @@ def bm25_search(
             "query_id",
             F.col("entries.term").alias("terms"),
             F.col("entries.weight").alias("weights"),
-            avgdl.alias("avgdl"),
         )
     )
     return blocked_topk(
         wanted,
         documents,
         k,
-        Okapi(fixed.BM25_K1, fixed.BM25_B),
+        Okapi(fixed.BM25_K1, fixed.BM25_B, stats.avgdl),
         broadcast_cells=broadcast_cells,
         block_cells=block_cells,
     )

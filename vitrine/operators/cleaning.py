@@ -64,7 +64,7 @@ def keep_first(df: DataFrame, text_col: str, order_col: str = "row_id") -> DataF
     digest = "__digest"
     first = Window.partitionBy(digest).orderBy(order_col)
     return (
-        df.withColumn(digest, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+        df.withColumn(digest, F.sha2(F.col(text_col), 256))
         .withColumn("__nth", F.row_number().over(first))
         .where("__nth = 1")
         .drop(digest, "__nth")

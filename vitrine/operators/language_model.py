@@ -10,13 +10,17 @@ from vitrine.functions.text import ws_tokens
 START = "<s>"
 
 
-def _grams(df: DataFrame, col: str, n: int, max_tokens: int | None):
+def _grams(
+    df: DataFrame, col: str, n: int, keep: list[str], max_tokens: int | None = None
+) -> DataFrame:
+    """``keep`` columns and one row per n-gram (``gram``) of the column."""
     tokens = ws_tokens(F.lower(F.col(col)))
     if max_tokens is not None:
         tokens = F.slice(tokens, 1, max_tokens)
     if n == 2:
         tokens = F.concat(F.array(F.lit(START)), tokens)
-    return ngrams(tokens, n)
+    cut = df.select(*keep, tokens.alias("tokens"))
+    return cut.select(*keep, F.explode(ngrams(F.col("tokens"), n)).alias("gram"))
 
 
 def ngram_loss(
@@ -33,14 +37,13 @@ def ngram_loss(
     ``max_tokens`` sets a window. Test n-grams are counted per text before they meet the model, and the
     model has one row per n-gram, so AQE can split a hot n-gram's side freely.
     """
-    words = train.select(F.explode(_grams(train, col, 1, None)).alias("gram"))
-    word_counts = words.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
+    word_counts = _grams(train, col, 1, []).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
     size = word_counts.agg(
         F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("t")
     )
     v, t = size.select("v").scalar(), size.select("t").scalar()
     seen = (
-        test.select("row_id", F.explode(_grams(test, col, n, max_tokens)).alias("gram"))
+        _grams(test, col, n, ["row_id"], max_tokens)
         .groupBy("row_id", "gram")
         .agg(F.count(F.lit(1)).alias("times"))
     )
@@ -49,12 +52,9 @@ def ngram_loss(
         scored = seen.join(word_counts, "gram", "left")
         context = t
     elif n == 2:
-        pairs = train.select(F.explode(_grams(train, col, 2, None)).alias("gram"))
-        pair_counts = pairs.groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
+        pair_counts = _grams(train, col, 2, []).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
         first = F.substring_index("gram", " ", 1)
-        contexts = (
-            pair_counts.groupBy(first.alias("first")).agg(F.sum("c").alias("ctx"))
-        )
+        contexts = pair_counts.groupBy(first.alias("first")).agg(F.sum("c").alias("ctx"))
         scored = (
             seen.join(pair_counts, "gram", "left")
             .withColumn("first", first)

@@ -120,9 +120,11 @@ def pair_rouge(pairs: DataFrame) -> DataFrame:
 
 def distinct_n(df: DataFrame, col: str, n: int) -> DataFrame:
     """One row ``(n_unique, n_total, value)``; 0 when there are no n-grams."""
-    grams = ngrams(ws_tokens(F.lower(F.col(col))), n)
+    tokens = df.select(ws_tokens(F.lower(F.col(col))).alias("tokens"))
     counted = (
-        df.select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
+        tokens.select(F.explode(ngrams(F.col("tokens"), n)).alias("gram"))
+        .groupBy("gram")
+        .agg(F.count(F.lit(1)).alias("c"))
     )
     sums = counted.agg(
         F.count(F.lit(1)).alias("n_unique"), F.coalesce(F.sum("c"), F.lit(0)).alias("n_total")

@@ -59,7 +59,9 @@ def plan_trace(retrieval: bool = True) -> Column:
     if retrieval:
         top = F.try_element_at("similar", F.lit(1))["similarity_score"]
         found = F.when(
-            hits > 0, F.format_string("found %d products  (top score: %.3f)", hits, top)
+            # format_number rounds the exact binary value, as C and Python do; %.3f in Java does not
+            hits > 0,
+            F.format_string("found %d products  (top score: %s)", hits, F.format_number(top, 3)),
         ).otherwise(fixed.NO_RESULTS)
         retrieve = ("ok", found)
     else:

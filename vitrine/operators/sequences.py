@@ -10,6 +10,7 @@ from vitrine.functions import fixed
 from vitrine.functions.text import ws_tokens
 
 MAX_VOCABULARY = 32_000
+BROADCAST_WORDS = 1_000_000
 IDS = T.ArrayType(T.IntegerType())
 
 
@@ -42,43 +43,58 @@ def encode(
     col: str,
     vocab: DataFrame,
     max_length: int = fixed.SEQUENCE_LENGTH,
+    broadcast_words: int = BROADCAST_WORDS,
 ) -> DataFrame:
     """Adds ``input_ids``, ``attention_mask`` and ``labels``, each of exactly ``max_length`` numbers.
 
     Longer texts are truncated, shorter ones padded on the right; labels are the ids including padding.
-    The vocabulary is bounded by its ``max_size`` and travels by broadcast. Ids are looked up per Arrow
-    batch inside the row, where exploding, joining and regrouping would shuffle every token.
+    Ids of a vocabulary of at most ``broadcast_words`` are looked up inside the row; a larger one is
+    joined, at the price of one shuffle of the (truncated) tokens.
     """
-    words = vocab.select("token", "id").toArrow()
-    shared = df.sparkSession.sparkContext.broadcast(
-        (words.column("token").combine_chunks(), words.column("id").combine_chunks())
+    tokens = F.slice(sequence_tokens(F.col(col)), 1, max_length)
+    if vocab.count() <= broadcast_words:
+        coded = df.withColumn("__ids", _local_ids(tokens, vocab))
+    else:
+        coded = _joined_ids(df, tokens, vocab)
+    missing = F.lit(max_length) - F.size("__ids")
+    return coded.withColumns(
+        {
+            "input_ids": F.concat("__ids", F.array_repeat(F.lit(fixed.PAD_ID), missing)),
+            "attention_mask": F.concat(
+                F.array_repeat(F.lit(1), F.size("__ids")), F.array_repeat(F.lit(0), missing)
+            ),
+            "labels": F.concat("__ids", F.array_repeat(F.lit(fixed.PAD_ID), missing)),
+        }
+    ).drop("__ids")
+
+
+def _local_ids(tokens: Column, vocab: DataFrame) -> Column:
+    words = vocab.select("token", "id").toArrow()  # the caller has checked its size
+    shared = vocab.sparkSession.sparkContext.broadcast(
+        [words.column(c).combine_chunks() for c in ("token", "id")]
     )
     unknown = fixed.UNKNOWN_ID
 
     @F.arrow_udf(IDS)
-    def look_up(tokens: pa.Array) -> pa.Array:
+    def look_up(texts: pa.Array) -> pa.Array:
         known, ids = shared.value
-        place = pc.index_in(tokens.flatten(), value_set=known)
+        place = pc.index_in(texts.flatten(), value_set=known)
         found = pc.fill_null(ids.take(place), unknown).cast(pa.int32())
-        sizes = pc.fill_null(pc.list_value_length(tokens), 0)
+        sizes = pc.fill_null(pc.list_value_length(texts), 0)
         offsets = pa.concat_arrays(
             [pa.array([0], pa.int32()), pc.cumulative_sum(sizes).cast(pa.int32())]
         )
         return pa.ListArray.from_arrays(offsets, found)
 
-    coded = df.withColumn("__ids", look_up(F.slice(sequence_tokens(F.col(col)), 1, max_length)))
-    used = F.size("__ids")
-    return (
-        coded.withColumn(
-            "input_ids",
-            F.concat("__ids", F.array_repeat(F.lit(fixed.PAD_ID), F.lit(max_length) - used)),
-        )
-        .withColumn(
-            "attention_mask",
-            F.concat(
-                F.array_repeat(F.lit(1), used), F.array_repeat(F.lit(0), F.lit(max_length) - used)
-            ),
-        )
-        .withColumn("labels", F.col("input_ids"))
-        .drop("__ids")
+    return look_up(tokens)
+
+
+def _joined_ids(df: DataFrame, tokens: Column, vocab: DataFrame) -> DataFrame:
+    placed = df.select("row_id", F.posexplode(tokens).alias("pos", "token"))
+    known = placed.join(vocab.select("token", "id"), "token", "left")
+    entry = F.struct("pos", F.coalesce("id", F.lit(fixed.UNKNOWN_ID)).cast("int").alias("id"))
+    coded = known.groupBy("row_id").agg(  # at most max_length tokens per text
+        F.sort_array(F.collect_list(entry))["id"].alias("__ids")
     )
+    none = F.array().cast("array<int>")
+    return df.join(coded, "row_id", "left").withColumn("__ids", F.coalesce("__ids", none))

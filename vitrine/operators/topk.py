@@ -223,15 +223,15 @@ class InnerProduct:
 class Okapi:
     """BM25 over token arrays; rows that share no term with a query are not candidates.
 
-    A query row carries its distinct terms in ascending order, ``weights`` (idf times the number of
-    times the term occurs in the query) and the corpus' ``avgdl``.
+    A query row carries its distinct ``terms`` and ``weights`` (idf times the number of times the term
+    occurs in the query).
     """
 
-    query_columns = ["terms", "weights", "avgdl"]
+    query_columns = ["terms", "weights"]
     catalog_columns = ["tokens"]
 
-    def __init__(self, k1: float, b: float):
-        self.k1, self.b = k1, b
+    def __init__(self, k1: float, b: float, avgdl: float):
+        self.k1, self.b, self.avgdl = k1, b, avgdl
 
     def query_cells(self) -> Column:
         return 2 * F.size("terms") + 1
@@ -250,13 +250,13 @@ class Okapi:
         weight = weights.flatten().to_numpy(zero_copy_only=False)
         order = np.argsort(term, kind="stable")
         bounds = np.searchsorted(term[order], np.arange(len(vocabulary) + 1))
-        avgdl = queries.column("avgdl")[0].as_py() if queries.num_rows else 1.0
-        return vocabulary, owner[order], weight[order], bounds, avgdl
+        return vocabulary, owner[order], weight[order], bounds
 
     def score(self, state, batch: pa.RecordBatch, best: Best) -> None:
-        vocabulary, owner, weight, bounds, avgdl = state
+        vocabulary, owner, weight, bounds = state
         if not batch.num_rows or not len(vocabulary):
             return
+        batch = batch.sort_by("row_id")
         ids = batch.column("row_id").to_numpy(zero_copy_only=False)
         tokens = batch.column("tokens")
         lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
@@ -267,7 +267,7 @@ class Okapi:
         term, row = np.divmod(cell, len(ids))
         gain = (
             count * (self.k1 + 1)
-            / (count + self.k1 * (1 - self.b + self.b * lengths[row] / avgdl))
+            / (count + self.k1 * (1 - self.b + self.b * lengths[row] / self.avgdl))
         )
         present, at = np.unique(term, return_index=True)
         at = np.append(at, len(term))
@@ -290,5 +290,7 @@ class Okapi:
             if len(ids) > best.k:
                 kth = np.partition(scores, len(ids) - best.k, axis=1)[:, -best.k]
                 bar = np.maximum(bar, kth)
-            query, hit = np.nonzero(shared & (scores >= bar[:, None]))
+            level = scores == bar[:, None]  # rows are in id order: the first k ties suffice
+            level &= np.cumsum(level, axis=1) <= best.k
+            query, hit = np.nonzero(shared & ((scores > bar[:, None]) | level))
             best.add(query + start, ids[hit], scores[query, hit])

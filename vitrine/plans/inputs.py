@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.plans import jobs
 from vitrine.session import scratch_path
+from vitrine.sources.index import read_embedder, read_index
+from vitrine.sources.tables import read_features, write_features
 
 _indexes: dict[tuple[str, str], str] = {}
 
@@ -49,8 +51,11 @@ def index(spark: SparkSession, folder: str):
     """``(index rows, embedder)`` of the catalogue, written once per application and folder."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _indexes:
-        _indexes[key] = scratch_path(spark, "index")
-    return jobs.build_index(features(spark, folder), _indexes[key])
+        path = scratch_path(spark, "index")
+        write_features(features(spark, folder), f"{path}/features")
+        jobs.build_index(read_features(spark, f"{path}/features"), path)
+        _indexes[key] = path
+    return read_index(spark, _indexes[key]), read_embedder(spark, _indexes[key])
 
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from vitrine.functions import fixed
 from vitrine.functions.prompts import (
@@ -26,8 +26,8 @@ from vitrine.sources.index import INDEX_COLUMNS, index_exists, read_embedder, re
 
 Generator = Callable[[DataFrame], DataFrame]  # adds `generated`, given `prompt`
 
-SIMILAR = "array<struct<rank:int,row_id:bigint,name_clean:string,colors_extracted:string," \
-    "fulldescription_clean:string,similarity_score:double>>"
+HIT = ["rank", "row_id", "name_clean", "colors_extracted", "similarity_score"]
+SHOWN = ["name_clean", "colors_extracted"]  # metadata of a hit; few-shot prompts add the description
 
 
 # --- catalogue ---------------------------------------------------------------------------------
@@ -100,7 +100,10 @@ def embed_catalog(features: DataFrame, model) -> DataFrame:
 def build_index(
     features: DataFrame, path: str, dim: int = fixed.EMBEDDING_DIM
 ) -> tuple[DataFrame, HashedTfidf]:
-    """Fit, embed and write once; an existing index is read as it is."""
+    """Fit, embed and write once; an existing index is read as it is.
+
+    The features are read twice (fit, embed): pass a written table rather than a long lineage.
+    """
     spark = features.sparkSession
     if not index_exists(spark, path):
         model = HashedTfidf.fit(with_product_text(features), "product_text", dim)
@@ -115,9 +118,9 @@ def _largest_top_k(requests: DataFrame) -> int:
     return requests.agg(F.max("top_k")).first()[0] or fixed.DEFAULT_TOP_K
 
 
-def _with_metadata(hits: DataFrame, index: DataFrame) -> DataFrame:
-    """Narrow hits meet the metadata columns; the vectors are not read."""
-    named = hits.join(index.select("row_id", *fixed.INDEX_METADATA), "row_id")
+def _with_metadata(hits: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
+    """Narrow hits meet the metadata columns asked for; the vectors are not read."""
+    named = hits.join(index.select("row_id", *columns), "row_id")
     return named.withColumn("similarity_score", F.round("score", 4))
 
 
@@ -127,7 +130,9 @@ def _to_requests(requests: DataFrame, hits: DataFrame, key: str) -> DataFrame:
     return requests.join(kept, key).drop(key)
 
 
-def dense_hits(requests: DataFrame, index: DataFrame, model, k: int) -> DataFrame:
+def dense_hits(
+    requests: DataFrame, index: DataFrame, model, k: int, columns: list[str] = SHOWN
+) -> DataFrame:
     """Top-k catalogue rows per request by vector similarity.
 
     ``model`` offers ``dim`` and ``transform(text column) -> vector column``. Equal query texts are embedded
@@ -138,11 +143,17 @@ def dense_hits(requests: DataFrame, index: DataFrame, model, k: int) -> DataFram
     vectors = texts.select(
         F.col("__text").alias("query_id"), model.transform(F.col("__text")).alias("embedding")
     )
-    hits = _with_metadata(knn(vectors, index, k, model.dim), index)
+    hits = _with_metadata(knn(vectors, index, k, model.dim), index, columns)
     return _to_requests(asked, hits, "__text")
 
 
-def keyword_hits(requests: DataFrame, index: DataFrame, k: int) -> DataFrame:
+def keyword_hits(
+    requests: DataFrame,
+    index: DataFrame,
+    k: int,
+    stats: bm25.KeywordStats | None = None,
+    columns: list[str] = SHOWN,
+) -> DataFrame:
     """Top-k catalogue rows per request by BM25 over name and colours."""
     documents = bm25.bm25_documents(index)
     tokens = bm25.bm25_tokens(F.col("name"), F.col("color"))
@@ -151,46 +162,66 @@ def keyword_hits(requests: DataFrame, index: DataFrame, k: int) -> DataFrame:
     queries = bags.select(
         F.col("__words").alias("query_id"), F.split("__words", " ").alias("tokens")
     )
-    hits = _with_metadata(bm25.bm25_search(queries, documents, k), index)
+    hits = _with_metadata(bm25.bm25_search(queries, documents, k, stats), index, columns)
     return _to_requests(asked, hits, "__words")
 
 
-def retrieve(requests: DataFrame, index: DataFrame, model, k: int | None = None) -> DataFrame:
+def retrieve(
+    requests: DataFrame,
+    index: DataFrame,
+    model,
+    k: int | None = None,
+    columns: list[str] = SHOWN,
+) -> DataFrame:
     """Dense hits of each request, at most its own ``top_k`` (``k`` bounds all of them)."""
     k = _largest_top_k(requests) if k is None else k
-    return dense_hits(requests, index, model, k).where(F.col("rank") <= F.col("top_k"))
+    return dense_hits(requests, index, model, k, columns).where(F.col("rank") <= F.col("top_k"))
 
 
-def hybrid_retrieve(requests: DataFrame, index: DataFrame, model, k: int) -> DataFrame:
+def hybrid_retrieve(
+    requests: DataFrame, index: DataFrame, model, k: int, stats: bm25.KeywordStats | None = None
+) -> DataFrame:
     """Dense and keyword hits (2k each) merged, one per product name, first k."""
     return merge_hits(
-        dense_hits(requests, index, model, 2 * k), keyword_hits(requests, index, 2 * k), k
+        dense_hits(requests, index, model, 2 * k), keyword_hits(requests, index, 2 * k, stats), k
     )
 
 
-def planned_retrieve(requests: DataFrame, index: DataFrame, model, max_top_k: int = 5) -> DataFrame:
+def planned_retrieve(
+    requests: DataFrame,
+    index: DataFrame,
+    model,
+    max_top_k: int = 5,
+    stats: bm25.KeywordStats | None = None,
+) -> DataFrame:
     """Each request by its planned strategy and planned top-k."""
     planned = planning.plan_requests(requests)
     dense = dense_hits(planned.where("retrieval_strategy = 'dense'"), index, model, max_top_k)
     hybrid = hybrid_retrieve(
-        planned.where("retrieval_strategy = 'hybrid'"), index, model, max_top_k
+        planned.where("retrieval_strategy = 'hybrid'"), index, model, max_top_k, stats
     )
     both = dense.withColumn("source", F.lit("dense")).unionByName(hybrid)
     return both.where(F.col("rank") <= F.col("planned_top_k"))
 
 
-def nest_hits(hits: DataFrame) -> DataFrame:
+def nest_hits(hits: DataFrame, extra: list[str] = []) -> DataFrame:
     """``(query_id, similar)``: hits as one ranked array per request (at most top-k long)."""
-    hit = F.struct(
-        "rank", "row_id", "name_clean", "colors_extracted", "fulldescription_clean",
-        "similarity_score",
-    )
+    hit = F.struct(*HIT, *extra)
     return hits.groupBy("query_id").agg(F.sort_array(F.collect_list(hit)).alias("similar"))
 
 
-def _with_similar(requests: DataFrame, hits: DataFrame) -> DataFrame:
-    nested = requests.join(nest_hits(hits), "query_id", "left")
-    return nested.withColumn("similar", F.coalesce("similar", F.array().cast(SIMILAR)))
+def _no_similar() -> Column:
+    return F.array().cast(
+        "array<struct<rank:int,row_id:bigint,name_clean:string,colors_extracted:string,"
+        "similarity_score:double>>"
+    )
+
+
+def _with_similar(requests: DataFrame, hits: DataFrame, extra: list[str] = []) -> DataFrame:
+    """Requests with their hits; a request without hits has an empty array."""
+    nested = requests.join(nest_hits(hits, extra), "query_id", "left")
+    none = F.array().cast(nested.schema["similar"].dataType)
+    return nested.withColumn("similar", F.coalesce("similar", none))
 
 
 def _describe(prompted: DataFrame, generate: Generator | None) -> DataFrame:
@@ -213,8 +244,9 @@ def recommend(
 
     Filters run after top-k, so a request may keep fewer than ``top_k`` products.
     """
-    hits = apply_filters(retrieve(requests, index, model, k))
-    nested = _with_similar(requests, hits)
+    extra = ["fulldescription_clean"] if fewshot else []
+    hits = apply_filters(retrieve(requests, index, model, k, SHOWN + extra))
+    nested = _with_similar(requests, hits, extra)
     name, color = F.col("name"), F.col("color")
     prompt = fewshot_prompt(name, color, F.col("similar")) if fewshot else (
         inference_prompt(name, color)
@@ -236,7 +268,7 @@ def plan_batch(
     """
     named = requests.where(F.col("name") != "").select("query_id", "name", "color")
     if index is None:
-        nested = named.withColumn("similar", F.array().cast(SIMILAR))
+        nested = named.withColumn("similar", _no_similar())
     else:
         nested = _with_similar(named, dense_hits(named, index, model, top_k))
     enriched = planning.enrich_color(nested)

@@ -245,14 +245,14 @@ def _merged(k: str) -> tuple[str, str]:
     """``merged``: dense then keyword hits, one per name, first k."""
     return (
         "merged",
-        f"""SELECT query_id, row_id, name_clean, source, similarity_score,
-            CAST(row_number() OVER (PARTITION BY query_id ORDER BY source, rank) AS INTEGER) AS rank
+        f"""SELECT query_id, row_id, name_clean, source, similarity_score, CAST(place AS INTEGER) AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY source, rank) AS place
         FROM (SELECT * FROM (
                 SELECT query_id, rank, row_id, name_clean, similarity_score, 'dense' AS source FROM dhits
                 UNION ALL
                 SELECT query_id, rank, row_id, name_clean, similarity_score, 'keyword' FROM khits)
-              QUALIFY row_number() OVER (PARTITION BY query_id, name_clean ORDER BY source, rank) = 1)
-        QUALIFY rank <= {k}""",
+              QUALIFY row_number() OVER (PARTITION BY query_id, name_clean ORDER BY source, rank) = 1))
+        WHERE place <= {k}""",
     )
 
 
@@ -660,9 +660,8 @@ def oracle_queries() -> dict[str, str]:
     )
     sql["retrieval_plans"] = _with(
         ["plan"],
-        f"""SELECT query_id, retrieval_strategy, planned_top_k, (SELECT string_agg(w, ' ' ORDER BY at) FROM
-            (SELECT w, min(i) AS at FROM (SELECT words[i] AS w, i FROM
-                (SELECT words, unnest(range(1, len(words) + 1)) AS i)) GROUP BY w)) AS keywords
+        f"""SELECT query_id, retrieval_strategy, planned_top_k, array_to_string(
+            list_filter(words, lambda w, i: list_position(words, w) = i), ' ') AS keywords
         FROM (SELECT *, {_words("lower(name || ' ' || color)")} AS words FROM plan)""",
     )
     sql["planned_retrieval"] = _with(
@@ -796,8 +795,8 @@ def oracle_queries() -> dict[str, str]:
     sql["document_length_histogram"] = f"""SELECT CAST(b AS INTEGER) AS bin, count(n_chars) AS n
         FROM range({fixed.HISTOGRAM_BINS}) r(b) LEFT JOIN
         (SELECT n_chars, least(floor((n_chars - lo) / (hi - lo) * {fixed.HISTOGRAM_BINS}),
-            {fixed.HISTOGRAM_BINS - 1}) AS at
-         FROM documents, (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM documents)) ON at = b
+            {fixed.HISTOGRAM_BINS - 1}) AS spot
+         FROM documents, (SELECT min(n_chars) AS lo, max(n_chars) AS hi FROM documents)) ON spot = b
         GROUP BY b"""
     sql["stage_counts"] = _with(
         ["features"],

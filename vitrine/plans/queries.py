@@ -228,7 +228,7 @@ def response_documents(spark, sf):
     rows, model = inputs.index(spark, sf)
     answered = jobs.recommend(inputs.requests(spark, sf), rows, model)
     document = F.from_json(
-        request_io.to_response(answered)["response"],
+        "response",
         "name string, color string, description string, "
         "similar_products array<struct<name:string, color:string, score:double>>",
     )
@@ -255,7 +255,6 @@ def request_stream(spark, sf):
     stream = spark.readStream.schema("query_id bigint, body string").json(f"{folder}/in")
     score_stream(stream, rows, model, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     answered = spark.read.parquet(f"{folder}/out/responses").select("query_id", "response")
-    products = F.get_json_object("response", "$.similar_products[*].name")
     return answered.select(
         "query_id",
         F.get_json_object("response", "$.name").alias("name"),
@@ -379,7 +378,7 @@ def hashed_tfidf(spark, sf):
 
 @query
 def normalized_vectors(spark, sf):
-    scaled = F.transform("embedding", lambda x: x * 3)
+    scaled = F.transform("embedding", lambda x: (x * 3).cast("float"))
     unit = inputs.table(spark, sf, "embeddings").select(
         "vec_id", F.posexplode(vectors.l2_normalize(scaled)).alias("dim", "x")
     )
@@ -494,8 +493,8 @@ def keyword_corpus(spark, sf):
 
 @query
 def keyword_terms(spark, sf):
-    terms = bm25.bm25_terms(bm25.bm25_documents(inputs.features(spark, sf)))
-    return terms.select("term", "df", F.round("idf", 6).alias("idf"))
+    stats = bm25.keyword_stats(bm25.bm25_documents(inputs.features(spark, sf)))
+    return stats.terms.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query
