@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from vitrine.functions.ngrams import ngrams
 from vitrine.functions.text import ws_tokens
+from vitrine.session import scratch_path
 
 START = "<s>"
 
@@ -23,11 +26,45 @@ def _grams(
     return cut.select(*keep, F.explode(ngrams(F.col("tokens"), n)).alias("gram"))
 
 
+@dataclass
+class NgramModel:
+    """Counts of training n-grams and of the words before them."""
+
+    n: int
+    counts: DataFrame  # (gram, c)
+    contexts: DataFrame | None  # (first, ctx), for n = 2
+    n_words: int  # distinct training words
+    n_tokens: int
+
+    @classmethod
+    def fit(cls, train: DataFrame, col: str, n: int = 1, path: str | None = None) -> "NgramModel":
+        """Count once into a table; scoring any number of texts then reads the table."""
+        if n not in (1, 2):
+            raise ValueError("n must be 1 or 2")
+        spark = train.sparkSession
+        path = path or scratch_path(spark, "ngrams")
+
+        def counted(order: int) -> DataFrame:
+            grams = _grams(train, col, order, [])
+            grams.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).write.parquet(f"{path}/{order}")
+            return spark.read.parquet(f"{path}/{order}")
+
+        counts, contexts = counted(n), None
+        if n == 1:
+            words = counts
+        else:  # a word is counted as often as it ends a bigram
+            last = F.substring_index("gram", " ", -1)
+            words = counts.groupBy(last.alias("gram")).agg(F.sum("c").alias("c"))
+            first = F.substring_index("gram", " ", 1)
+            contexts = counts.groupBy(first.alias("first")).agg(F.sum("c").alias("ctx"))
+        size = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
+        return cls(n, counts, contexts, size[0], size[1])
+
+
 def ngram_loss(
-    train: DataFrame,
+    model: NgramModel,
     test: DataFrame,
     col: str,
-    n: int = 1,
     add_k: float = 1.0,
     max_tokens: int | None = None,
 ) -> DataFrame:
@@ -37,33 +74,18 @@ def ngram_loss(
     ``max_tokens`` sets a window. Test n-grams are counted per text before they meet the model, and the
     model has one row per n-gram, so AQE can split a hot n-gram's side freely.
     """
-    word_counts = _grams(train, col, 1, []).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
-    size = word_counts.agg(
-        F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("t")
-    )
-    v, t = size.select("v").scalar(), size.select("t").scalar()
     seen = (
-        _grams(test, col, n, ["row_id"], max_tokens)
+        _grams(test, col, model.n, ["row_id"], max_tokens)
         .groupBy("row_id", "gram")
         .agg(F.count(F.lit(1)).alias("times"))
     )
-    zero = F.lit(0)
-    if n == 1:
-        scored = seen.join(word_counts, "gram", "left")
-        context = t
-    elif n == 2:
-        pair_counts = _grams(train, col, 2, []).groupBy("gram").agg(F.count(F.lit(1)).alias("c"))
+    scored = seen.join(model.counts, "gram", "left")
+    context = F.lit(model.n_tokens)
+    if model.contexts is not None:
         first = F.substring_index("gram", " ", 1)
-        contexts = pair_counts.groupBy(first.alias("first")).agg(F.sum("c").alias("ctx"))
-        scored = (
-            seen.join(pair_counts, "gram", "left")
-            .withColumn("first", first)
-            .join(contexts, "first", "left")
-        )
-        context = F.coalesce(F.col("ctx"), zero)
-    else:
-        raise ValueError("n must be 1 or 2")
-    chance = (F.coalesce(F.col("c"), zero) + add_k) / (context + add_k * (v + 1))
+        scored = scored.withColumn("first", first).join(model.contexts, "first", "left")
+        context = F.coalesce(F.col("ctx"), F.lit(0))
+    chance = (F.coalesce(F.col("c"), F.lit(0)) + add_k) / (context + add_k * (model.n_words + 1))
     return (
         scored.withColumn("nll", -F.log(chance))
         .groupBy("row_id")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vitrine.plans import jobs
 from vitrine.session import scratch_path
 from vitrine.sources.index import read_embedder, read_index
-from vitrine.sources.tables import read_features, write_features
+from vitrine.sources.tables import read_features, spread, write_features
 
 _indexes: dict[tuple[str, str], str] = {}
 
@@ -17,7 +17,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    scan = table(spark, folder, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    return spread(scan)
 
 
 def raw_catalog(spark: SparkSession, folder: str) -> DataFrame:
@@ -93,7 +94,7 @@ def request_bodies(spark: SparkSession, folder: str) -> DataFrame:
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:
     """A user turn as reference and the assistant turn after it as generated text."""
-    turns = table(spark, folder, "conversations")
+    turns = spread(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
     asked = turns.where("role = 'user'").select("conv_id", "turn", F.col("text").alias("reference"))
     replies = turns.where("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("generated")

@@ -312,5 +312,6 @@ def evaluate(
     """``(metric, value)``: BLEU, ROUGE, Distinct-n, mean time, and perplexity when texts are given."""
     losses = None
     if train is not None and test is not None:
-        losses = language_model.ngram_loss(train, test, text_col, n)
+        fitted = language_model.NgramModel.fit(train, text_col, n)
+        losses = language_model.ngram_loss(fitted, test, text_col)
     return metrics.metrics_report(metrics.nonempty_references(pairs), losses)

@@ -672,9 +672,8 @@ def event_perplexity(spark, sf):
 
 def _ngram_losses(spark, sf, n):
     parted = sampling.split(inputs.documents(spark, sf), "row_id")
-    scored = language_model.ngram_loss(
-        sampling.train_rows(parted), sampling.validation_rows(parted), "text", n
-    )
+    fitted = language_model.NgramModel.fit(sampling.train_rows(parted), "text", n)
+    scored = language_model.ngram_loss(fitted, sampling.validation_rows(parted), "text")
     return scored.select("row_id", F.round("loss", 6).alias("loss"))
 
 

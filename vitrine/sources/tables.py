@@ -41,6 +41,16 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     writer.format(fmt).save(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when its files offer fewer splits than that.
+
+    Only inputs of a few row groups are moved; a large table has more splits than cores and stays in
+    place. Meant for plain scans: the number of splits is read off the plan, nothing runs.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def with_row_id(df: DataFrame, name: str = "row_id", path: str | None = None) -> DataFrame:
     """Give every row a number that stays: assigned once, written, and read back."""
     if name in df.columns:
@@ -56,7 +66,7 @@ def read_catalog(
     """Raw catalogue: the three raw columns and ``row_id``; other columns are not read."""
     df = require_columns(read_table(spark, path, fmt, multiline), fixed.RAW_COLUMNS, "catalogue")
     ids = ["row_id"] if "row_id" in df.columns else []
-    return with_row_id(df.select(*ids, *fixed.RAW_COLUMNS))
+    return with_row_id(df.select(*ids, *fixed.RAW_COLUMNS)).select("row_id", *fixed.RAW_COLUMNS)
 
 
 def write_features(
