@@ -40,13 +40,14 @@ def lcs_length(left: Column, right: Column) -> Column:
 
 
 def score_tokens(pairs: DataFrame) -> DataFrame:
-    """Adds the token arrays that BLEU and ROUGE read."""
+    """Adds the token arrays that BLEU and ROUGE read; a missing text has no tokens."""
+    ref, gen = (F.coalesce(F.col(c), F.lit("")) for c in ("reference", "generated"))
     return pairs.withColumns(
         {
-            "bleu_ref": treebank_tokens(F.lower("reference")),
-            "bleu_gen": treebank_tokens(F.lower("generated")),
-            "rouge_ref": alnum_tokens(F.col("reference")),
-            "rouge_gen": alnum_tokens(F.col("generated")),
+            "bleu_ref": treebank_tokens(F.lower(ref)),
+            "bleu_gen": treebank_tokens(F.lower(gen)),
+            "rouge_ref": alnum_tokens(ref),
+            "rouge_gen": alnum_tokens(gen),
         }
     )
 

@@ -22,6 +22,7 @@ from vitrine.operators.filters import apply_filters
 from vitrine.operators.hybrid import merge_hits
 from vitrine.operators.profiling import describe_numeric
 from vitrine.operators.vectors import HashedTfidf, knn
+from vitrine.session import materialize
 from vitrine.sources.index import INDEX_COLUMNS, index_exists, read_embedder, read_index, write_index
 
 Generator = Callable[[DataFrame], DataFrame]  # adds `generated`, given `prompt`
@@ -130,21 +131,25 @@ def _to_requests(requests: DataFrame, hits: DataFrame, key: str) -> DataFrame:
     return requests.join(kept, key).drop(key)
 
 
-def dense_hits(
-    requests: DataFrame, index: DataFrame, model, k: int, columns: list[str] = SHOWN
+def text_hits(
+    texts: DataFrame, index: DataFrame, model, k: int = 5, columns: list[str] = SHOWN
 ) -> DataFrame:
-    """Top-k catalogue rows per request by vector similarity.
+    """Top-k catalogue rows per free text ``(query_id, text)`` by vector similarity.
 
-    ``model`` offers ``dim`` and ``transform(text column) -> vector column``. Equal query texts are embedded
-    and searched once.
+    ``model`` offers ``dim`` and ``transform(text column) -> vector column``.
     """
+    vectors = texts.select("query_id", model.transform(F.col("text")).alias("embedding"))
+    return _with_metadata(knn(vectors, index, k, model.dim), index, columns)
+
+
+def dense_hits(
+    requests: DataFrame, index: DataFrame, model, k: int, columns: list[str] = SHOWN
+) -> DataFrame:
+    """Top-k catalogue rows per request; equal query texts are embedded and searched once."""
     asked = requests.withColumn("__text", query_text(F.col("name"), F.col("color")))
-    texts = asked.select("__text").distinct()
-    vectors = texts.select(
-        F.col("__text").alias("query_id"), model.transform(F.col("__text")).alias("embedding")
-    )
-    hits = _with_metadata(knn(vectors, index, k, model.dim), index, columns)
-    return _to_requests(asked, hits, "__text")
+    text = F.col("__text")
+    texts = asked.select(text).distinct().select(text.alias("query_id"), text.alias("text"))
+    return _to_requests(asked, text_hits(texts, index, model, k, columns), "__text")
 
 
 def keyword_hits(
@@ -290,7 +295,10 @@ def evaluation_pairs(
     sample: int | None = fixed.EVAL_SAMPLE,
     marker: str | None = None,
 ) -> DataFrame:
-    """Prompts -> ``(pair_id, input, reference, generated[, gen_seconds])``; empty references skipped."""
+    """Prompts -> ``(pair_id, input, reference, generated[, gen_seconds])``; empty references skipped.
+
+    The pairs are written once and read back, so that the metrics do not run the generator again.
+    """
     if sample is not None:
         prompted = sampling.sample_n(prompted, sample, "row_id")
     text_in, reference = split_prompt(F.col("prompt"), marker)
@@ -298,8 +306,8 @@ def evaluation_pairs(
         F.col("row_id").alias("pair_id"), text_in.alias("input"), reference.alias("reference")
     )
     asked = metrics.nonempty_references(split).withColumn("prompt", F.col("input"))
-    done = generate(asked).drop("prompt")
-    return done.withColumn("generated", strip_prefix(F.col("generated"), F.col("input"), always=True))
+    text = strip_prefix(F.col("generated"), F.col("input"), always=True)
+    return materialize(generate(asked).drop("prompt").withColumn("generated", text), "pairs")
 
 
 def evaluate(

@@ -170,14 +170,14 @@ def _with(needed: list[str], body: str, *extra: tuple[str, str], recursive: bool
     return f"WITH {'RECURSIVE ' if recursive else ''}{listed}\n{body}"
 
 
-def _dense(source: str, k: str) -> list[tuple[str, str]]:
+_QUERY_TEXT = """CASE WHEN color <> '' THEN 'Product: ' || name || chr(10) || 'Color: ' || color
+            ELSE 'Product: ' || name END"""
+
+
+def _dense(source: str, k: str, qtext: str = _QUERY_TEXT) -> list[tuple[str, str]]:
     """``dhits``: the best k catalogue rows of every request in ``source``."""
     return [
-        (
-            "asked",
-            f"""SELECT *, CASE WHEN color <> '' THEN 'Product: ' || name || chr(10) || 'Color: ' || color
-            ELSE 'Product: ' || name END AS qtext FROM {source}""",
-        ),
+        ("asked", f"SELECT *, {qtext} AS qtext FROM {source}"),
         (
             "qtf",
             f"""SELECT qtext, {_hash('t')} % {fixed.EMBEDDING_DIM} AS bucket, count(*) AS tf FROM
@@ -632,6 +632,12 @@ def oracle_queries() -> dict[str, str]:
         "SELECT query_id, rank, row_id, name_clean, colors_extracted, similarity_score FROM hits",
         *_HITS,
     )
+    sql["text_retrieval"] = _with(
+        ["features", "emb"],
+        "SELECT query_id, rank, row_id, name_clean, similarity_score FROM dhits",
+        ("free", "SELECT item_id AS query_id, text FROM benchmark"),
+        *_dense("free", "5", "text"),
+    )
     sql["color_filtered_hits"] = _with(
         _ASKED, "SELECT query_id, row_id FROM bycolor", *_FILTERED
     )

@@ -463,6 +463,16 @@ def dense_retrieval(spark, sf):
     )
 
 
+@query
+def text_retrieval(spark, sf):
+    """Free texts against the catalogue, best 5."""
+    rows, model = inputs.index(spark, sf)
+    asked = inputs.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    return jobs.text_hits(asked, rows, model).select(
+        "query_id", "rank", "row_id", "name_clean", "similarity_score"
+    )
+
+
 @query
 def color_filtered_hits(spark, sf):
     rows, model = inputs.index(spark, sf)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -32,6 +32,13 @@ def build_session(app: str = "vitrine", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write a table once and read it back: a short lineage that outlives lost executors."""
+    path = path or scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the cluster's shared checkpoint folder.
 

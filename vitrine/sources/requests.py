@@ -16,7 +16,7 @@ def normalize_requests(df: DataFrame) -> DataFrame:
     text = lambda c: (
         strip_ws(F.coalesce(F.col(c).cast("string"), F.lit(""))) if c in have else F.lit("")
     )
-    top_k = F.col("top_k").cast("int") if "top_k" in have else F.lit(None).cast("int")
+    top_k = F.col("top_k").try_cast("int") if "top_k" in have else F.lit(None).cast("int")
     return df.select(
         F.col("query_id"),
         text("name").alias("name"),

@@ -1,4 +1,4 @@
-"""Row types of the engine's tables."""
+"""Row types of requests."""
 
 from pyspark.sql import types as T
 
@@ -7,19 +7,6 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-RAW = _struct(
-    row_id=T.LongType(),
-    name=T.StringType(),
-    fulldescription=T.StringType(),
-    colorname=T.StringType(),
-)
-FEATURES = _struct(
-    row_id=T.LongType(),
-    name_clean=T.StringType(),
-    fulldescription_clean=T.StringType(),
-    colors_extracted=T.StringType(),
-    desc_word_count=T.IntegerType(),
-)
 REQUEST_BODY = _struct(
     name=T.StringType(),
     color=T.StringType(),
@@ -33,10 +20,3 @@ REQUEST = _struct(
     category=T.StringType(),
     top_k=T.IntegerType(),
 )
-EVAL_PAIR = _struct(
-    pair_id=T.LongType(),
-    input=T.StringType(),
-    reference=T.StringType(),
-    generated=T.StringType(),
-    gen_seconds=T.DoubleType(),
-)

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.functions import fixed
-from vitrine.session import scratch_path
+from vitrine.session import materialize
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
@@ -55,9 +55,7 @@ def with_row_id(df: DataFrame, name: str = "row_id", path: str | None = None) ->
     """Give every row a number that stays: assigned once, written, and read back."""
     if name in df.columns:
         return df.withColumn(name, F.col(name).cast("bigint"))
-    path = path or scratch_path(df.sparkSession, name)
-    df.withColumn(name, F.monotonically_increasing_id()).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), name, path)
 
 
 def read_catalog(
