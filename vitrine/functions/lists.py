@@ -26,7 +26,8 @@ def _native_items(cell: Column) -> Column:
     plain = skeleton.rlike(f"^\\[[ \\t]*{_MARK}?[ \\t]*\\]$") & ~cell.rlike(
         f"[\\\\\\n\\r\\f\\x00{_MARK}]"
     )
-    return F.when(plain, F.from_json(cell, T.ArrayType(T.StringType()), _JSON_OPTIONS))
+    opens = cell.rlike(r"^[ \t]*\[")  # prose is told apart by its first character
+    return F.when(opens & plain, F.from_json(cell, T.ArrayType(T.StringType()), _JSON_OPTIONS))
 
 
 def _maybe_literal(cell: Column) -> Column:

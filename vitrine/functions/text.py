@@ -6,27 +6,35 @@ Java and would miss Unicode whitespace and letters. ``WS`` is Unicode whitespace
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, functions as F
 
 from vitrine.functions import fixed
 
-WS = r"[\t-\r\x1C-\x20\x85\p{Z}]"
-NWS = r"[^\t-\r\x1C-\x20\x85\p{Z}]"
+WS = r"[\x09\x0A\x0B\x0C\x0D\x1C\x1D\x1E\x1F\x20\x85\xA0\p{Z}]"
+NWS = "[^" + WS[1:]
 WORD = r"[\p{L}\p{N}_-]"
 
-# ASCII characters other than letters, digits, whitespace and .,!?'"- ; spelled as what goes, not as a
-# negated list of what stays, which java.util.regex matches nine times slower
-ODD = r"[\x00-\x08\x0E-\x1B#-&(-+/:->@\[-`{-\x7F]"
+KEPT_ASCII = string.ascii_letters + string.digits + ".,!?'\"-" + "\t\n\v\f\r\x1c\x1d\x1e\x1f "
+
+
+def _any_of(characters) -> str:
+    """A class of single characters; java.util.regex looks these up in a table, unlike ranges."""
+    return "[" + "".join(f"\\x{ord(c):02X}" for c in characters) + "]"
+
+
+ASCII_WS = _any_of("\t\n\v\f\r\x1c\x1d\x1e\x1f ")
+ODD = _any_of(c for c in map(chr, range(128)) if c not in KEPT_ASCII)
 
-# (pattern, replacement) in order; the text is lower-cased afterwards
+# (pattern, replacement) in order; the text is trimmed and lower-cased afterwards
 CLEANING_RULES = [
     (rf"#{WORD}+{WS}*\{{[^}}]*\}}", ""),  # style rules such as `#id { ... }`
     (r"<[^>]+>", ""),
     (rf"http{NWS}+|www{NWS}+", ""),
     (r"[^\x00-\x7F]+", ""),
     (f"{ODD}+", " "),
-    (rf"{WS}+", " "),
-    (r"^ | $", ""),
+    (f"{ASCII_WS}+", " "),
 ]
 
 # (pattern, replacement) in order; tokens are then the runs of non-blanks
@@ -59,7 +67,7 @@ def lower_strip(col: Column) -> Column:
 
 
 def clean_text(col: Column) -> Column:
-    return F.lower(_rewrite(col, CLEANING_RULES))
+    return F.lower(F.trim(_rewrite(col, CLEANING_RULES)))
 
 
 def treebank_tokens(col: Column) -> Column:

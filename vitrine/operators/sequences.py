@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from vitrine.functions import fixed
 from vitrine.functions.text import ws_tokens
@@ -52,10 +52,12 @@ def encode(
     joined, at the price of one shuffle of the (truncated) tokens.
     """
     tokens = F.slice(sequence_tokens(F.col(col)), 1, max_length)
-    if vocab.count() <= broadcast_words:
-        coded = df.withColumn("__ids", _local_ids(tokens, vocab))
+    words = vocab.select("token", "id")
+    held = words.limit(broadcast_words + 1).toArrow()
+    if held.num_rows <= broadcast_words:
+        coded = df.withColumn("__ids", _local_ids(df.sparkSession, tokens, held))
     else:
-        coded = _joined_ids(df, tokens, vocab)
+        coded = _joined_ids(df, tokens, words)
     missing = F.lit(max_length) - F.size("__ids")
     return coded.withColumns(
         {
@@ -68,9 +70,8 @@ def encode(
     ).drop("__ids")
 
 
-def _local_ids(tokens: Column, vocab: DataFrame) -> Column:
-    words = vocab.select("token", "id").toArrow()  # the caller has checked its size
-    shared = vocab.sparkSession.sparkContext.broadcast(
+def _local_ids(spark: SparkSession, tokens: Column, words: pa.Table) -> Column:
+    shared = spark.sparkContext.broadcast(
         [words.column(c).combine_chunks() for c in ("token", "id")]
     )
     unknown = fixed.UNKNOWN_ID
@@ -89,9 +90,9 @@ def _local_ids(tokens: Column, vocab: DataFrame) -> Column:
     return look_up(tokens)
 
 
-def _joined_ids(df: DataFrame, tokens: Column, vocab: DataFrame) -> DataFrame:
+def _joined_ids(df: DataFrame, tokens: Column, words: DataFrame) -> DataFrame:
     placed = df.select("row_id", F.posexplode(tokens).alias("pos", "token"))
-    known = placed.join(vocab.select("token", "id"), "token", "left")
+    known = placed.join(words, "token", "left")
     entry = F.struct("pos", F.coalesce("id", F.lit(fixed.UNKNOWN_ID)).cast("int").alias("id"))
     coded = known.groupBy("row_id").agg(  # at most max_length tokens per text
         F.sort_array(F.collect_list(entry))["id"].alias("__ids")

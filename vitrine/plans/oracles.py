@@ -27,7 +27,7 @@ def _strip(x: str) -> str:
 
 
 def _clean(x: str) -> str:
-    return f"lower({_rewrite(x, text.CLEANING_RULES)})"
+    return f"lower(trim({_rewrite(x, text.CLEANING_RULES)}))"
 
 
 def _treebank(x: str) -> str:
