@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import ast
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
 from vitrine.functions import fixed
@@ -48,30 +48,34 @@ def _evaluate(cell):
         return False, None
 
 
-@F.pandas_udf(T.StringType())
-def _joined_literal(cells: pd.Series) -> pd.Series:
-    def one(cell):
-        if cell is None:
-            return None
-        ok, value = _evaluate(cell)
-        if not ok:
-            return cell
-        return " ".join(map(str, value)) if isinstance(value, list) else str(value)
+def _joined(cell):
+    ok, value = _evaluate(cell)
+    if not ok:
+        return cell
+    return " ".join(map(str, value)) if isinstance(value, list) else str(value)
 
-    return cells.map(one).astype(object)
 
+def _colors(cell):
+    ok, value = _evaluate(cell)
+    if ok and isinstance(value, list) and all(isinstance(item, str) for item in value):
+        return ", ".join(item.strip().lower() for item in value)
+    return fixed.UNKNOWN
 
-@F.pandas_udf(T.StringType())
-def _color_literal(cells: pd.Series) -> pd.Series:
-    def one(cell):
-        if cell is None:
-            return None
-        ok, value = _evaluate(cell)
-        if ok and isinstance(value, list) and all(isinstance(item, str) for item in value):
-            return ", ".join(item.strip().lower() for item in value)
-        return fixed.UNKNOWN
 
-    return cells.map(one).astype(object)
+def _each(convert):
+    """An Arrow UDF of a text function; NULL cells are passed over."""
+
+    @F.arrow_udf(T.StringType())
+    def run(cells: pa.Array) -> pa.Array:
+        return pa.array(
+            [None if cell is None else convert(cell) for cell in cells.to_pylist()], pa.string()
+        )
+
+    return run
+
+
+_joined_literal = _each(_joined)
+_color_literal = _each(_colors)
 
 
 def parse_list(cell: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vitrine.functions import fixed
@@ -30,9 +30,10 @@ def _lcs(left, right) -> int:
     return len(left) - free.bit_count()
 
 
-@F.pandas_udf(T.IntegerType())
-def _lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
-    return pd.Series([_lcs(a, b) for a, b in zip(left, right)], dtype="int32")
+@F.arrow_udf(T.IntegerType())
+def _lcs_length(left: pa.Array, right: pa.Array) -> pa.Array:
+    both = zip(left.to_pylist(), right.to_pylist())
+    return pa.array([_lcs(a, b) for a, b in both], pa.int32())
 
 
 def lcs_length(left: Column, right: Column) -> Column:
@@ -56,20 +57,37 @@ def nonempty_references(pairs: DataFrame) -> DataFrame:
     return pairs.where(F.col("reference") != "")
 
 
+def pair_counts(pairs: DataFrame) -> DataFrame:
+    """Adds what BLEU and ROUGE need of each pair: token numbers and overlaps, computed in the row."""
+    ref, gen = F.col("bleu_ref"), F.col("bleu_gen")
+    rouge_ref, rouge_gen = F.col("rouge_ref"), F.col("rouge_gen")
+    return score_tokens(pairs).withColumns(
+        {
+            "ref_len": F.size(ref),
+            "gen_len": F.size(gen),
+            **{f"match_{n}": clipped_overlap(ngrams(ref, n), ngrams(gen, n)) for n in ORDERS},
+            "rouge_ref_len": F.size(rouge_ref),
+            "rouge_gen_len": F.size(rouge_gen),
+            "common_1": clipped_overlap(rouge_ref, rouge_gen),
+            "common_2": clipped_overlap(ngrams(rouge_ref, 2), ngrams(rouge_gen, 2)),
+            "lcs": lcs_length(rouge_ref, rouge_gen),
+        }
+    )
+
+
 # --- BLEU --------------------------------------------------------------------------------------
 
 
-def bleu_counts(pairs: DataFrame) -> list[Column]:
-    """Aggregates of the corpus BLEU: clipped matches and totals per order, and both lengths."""
-    ref, gen = F.col("bleu_ref"), F.col("bleu_gen")
-    sums = [F.sum(F.size(ref)).alias("ref_len"), F.sum(F.size(gen)).alias("gen_len")]
+def bleu_sums() -> list[Column]:
+    """Aggregates of the corpus BLEU over ``pair_counts``: lengths, clipped matches, totals."""
+    sums = [F.sum("ref_len").alias("ref_len"), F.sum("gen_len").alias("gen_len")]
     for n in ORDERS:
-        sums.append(F.sum(clipped_overlap(ngrams(ref, n), ngrams(gen, n))).alias(f"match_{n}"))
-        sums.append(F.sum(F.greatest(F.lit(1), F.size(gen) - n + 1)).alias(f"total_{n}"))
+        sums.append(F.sum(f"match_{n}").alias(f"match_{n}"))
+        sums.append(F.sum(F.greatest(F.lit(1), F.col("gen_len") - n + 1)).alias(f"total_{n}"))
     return sums
 
 
-def bleu_from_counts(weights: list[float]) -> Column:
+def bleu_from_sums(weights: list[float]) -> Column:
     def log_precision(n: int) -> Column:
         match, total = F.col(f"match_{n}"), F.col(f"total_{n}")
         smoothed = F.when(match == 0, F.lit(fixed.BLEU_SMOOTHING)).otherwise(match)
@@ -84,6 +102,15 @@ def bleu_from_counts(weights: list[float]) -> Column:
     )
 
 
+def corpus_bleu(pairs: DataFrame) -> DataFrame:
+    """One row: the sums and a column per BLEU order."""
+    scores = {
+        name.lower().replace("-", "_"): bleu_from_sums(weights)
+        for name, weights in fixed.BLEU_WEIGHTS.items()
+    }
+    return pair_counts(pairs).agg(*bleu_sums()).withColumns(scores)
+
+
 # --- ROUGE -------------------------------------------------------------------------------------
 
 
@@ -96,19 +123,17 @@ def f_measure(overlap: Column, n_ref: Column, n_gen: Column) -> Column:
 
 
 def rouge_n(n: int) -> Column:
-    ref, gen = F.col("rouge_ref"), F.col("rouge_gen")
-    grams = lambda tokens: F.greatest(F.size(tokens) - (n - 1), F.lit(0))
-    return f_measure(clipped_overlap(ngrams(ref, n), ngrams(gen, n)), grams(ref), grams(gen))
+    grams = lambda c: F.greatest(F.col(c) - (n - 1), F.lit(0))
+    return f_measure(F.col(f"common_{n}"), grams("rouge_ref_len"), grams("rouge_gen_len"))
 
 
 def rouge_l() -> Column:
-    ref, gen = F.col("rouge_ref"), F.col("rouge_gen")
-    return f_measure(lcs_length(ref, gen), F.size(ref), F.size(gen))
+    return f_measure(F.col("lcs"), F.col("rouge_ref_len"), F.col("rouge_gen_len"))
 
 
 def pair_rouge(pairs: DataFrame) -> DataFrame:
     """``(pair_id, rouge_1, rouge_2, rouge_l)``."""
-    return score_tokens(pairs).select(
+    return pair_counts(pairs).select(
         "pair_id",
         rouge_n(1).alias("rouge_1"),
         rouge_n(2).alias("rouge_2"),
@@ -151,14 +176,14 @@ def perplexity(loss: Column) -> Column:
 def metrics_report(pairs: DataFrame, losses: DataFrame | None = None) -> DataFrame:
     """``(metric, value)`` for ``(reference, generated[, gen_seconds])`` pairs and per-text losses."""
     timed = "gen_seconds" in pairs.columns
-    sums = score_tokens(pairs).agg(
-        *bleu_counts(pairs),
+    sums = pair_counts(pairs).agg(
+        *bleu_sums(),
         F.avg(rouge_n(1)).alias("ROUGE-1"),
         F.avg(rouge_n(2)).alias("ROUGE-2"),
         F.avg(rouge_l()).alias("ROUGE-L"),
         *([F.avg("gen_seconds").alias("Avg Generation Time")] if timed else []),
     )
-    values = {name: bleu_from_counts(w) for name, w in fixed.BLEU_WEIGHTS.items()}
+    values = {name: bleu_from_sums(w) for name, w in fixed.BLEU_WEIGHTS.items()}
     values |= {name: F.col(f"`{name}`") for name in ["ROUGE-1", "ROUGE-2", "ROUGE-L"]}
     if timed:
         values["Avg Generation Time"] = F.col("`Avg Generation Time`")

@@ -653,13 +653,9 @@ def distinct_bigrams(spark, sf):
 
 @query
 def corpus_bleu(spark, sf):
-    pairs = metrics.score_tokens(inputs.pairs(spark, sf))
-    sums = pairs.agg(*metrics.bleu_counts(pairs))
-    scores = {
-        name.lower().replace("-", "_"): F.round(metrics.bleu_from_counts(weights), 6)
-        for name, weights in fixed.BLEU_WEIGHTS.items()
-    }
-    return sums.withColumns(scores)
+    scored = metrics.corpus_bleu(inputs.pairs(spark, sf))
+    names = [name.lower().replace("-", "_") for name in fixed.BLEU_WEIGHTS]
+    return scored.withColumns({name: F.round(name, 6) for name in names})
 
 
 @query
