@@ -31,6 +31,7 @@ def main() -> None:
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
+        spark__driver__memory=os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -56,6 +56,30 @@ def test_knn(spark, data, way, parts, k):
     assert collected(vectors.knn(left, right, k, **way)) == brute_force(queries, rows, k)
 
 
+@pytest.mark.parametrize("way", [BROADCAST, BLOCKS])
+def test_knn_with_text_keys(spark, data, way):
+    queries, rows = data
+    left = frame(spark, range(len(queries)), queries, "n")
+    left = left.select(F.concat(F.lit("q"), "n").alias("query_id"), "embedding")
+    right = frame(spark, range(len(rows)), rows, "row_id")
+    got = [(int(q[1:]), i, s, r) for q, i, s, r in collected(vectors.knn(left, right, 3, **way))]
+    assert sorted(got) == brute_force(queries, rows, 3)
+
+
+def test_many_query_and_row_chunks(spark):
+    rng = np.random.default_rng(11)
+    rows = np.sort(rng.standard_normal((9000, 3)).astype(np.float32), axis=0)  # ever better rows
+    rows[4000:7000] = rows[8999]
+    left = frame(spark, range(2500), rows[:2500], "query_id")
+    right = frame(spark, range(len(rows)), rows, "row_id").coalesce(1)
+    exact = rows[:2500].astype(float) @ rows.T.astype(float)
+    hits = {(r["query_id"], r["rank"]): r for r in vectors.knn(left, right, 4).collect()}
+    assert len(hits) == 2500 * 4
+    for q in range(0, 2500, 7):
+        best = np.lexsort((np.arange(9000), -np.round(exact[q], 12)))[:4]
+        assert [hits[q, r]["row_id"] for r in (1, 2, 3, 4)] == list(best)
+
+
 def test_k_beyond_catalogue(spark, data):
     queries, rows = data
     left = frame(spark, range(2), queries[:2], "query_id")

@@ -26,6 +26,7 @@ BROADCAST_CELLS = 8_000_000  # 64 MB of doubles
 BLOCK_CELLS = 16_000_000  # numbers per side of one co-grouped task
 CHUNK_ROWS = 4096
 CHUNK_QUERIES = 1024
+CROWDED = 8  # candidates per wanted hit above which a chunk is narrowed down first
 
 
 class Best:
@@ -38,6 +39,9 @@ class Best:
         self.scores = np.empty(0, dtype=np.float64)
         self.floor = np.full(n, -np.inf)  # k-th best score, once k are known
 
+    def crowded(self, candidates: np.ndarray) -> bool:
+        return np.count_nonzero(candidates) > CROWDED * self.k * self.n
+
     def add(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         if not len(ids):
             return
@@ -59,21 +63,32 @@ class Best:
         )
 
 
+def _kth_largest(scores: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row, as a column; -inf for shorter rows."""
+    if scores.shape[1] < k:
+        return np.full((len(scores), 1), -np.inf)
+    return np.partition(scores, scores.shape[1] - k, axis=1)[:, [-k]]
+
+
 def _whole(table: pa.Table, name: str) -> pa.Array:
-    column = table.column(name)
-    if column.num_chunks == 1:
-        return column.chunk(0)
-    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    return table.column(name).combine_chunks()
 
 
-def _scan(scorer, queries: pa.Table, batches: Iterator[pa.RecordBatch], k: int) -> pa.RecordBatch:
-    keys = _whole(queries, "query_id")
-    state = scorer.prepare(queries)
-    best = Best(len(keys), k)
+def _scan(
+    scorer, queries: pa.Table, batches: Iterator[pa.RecordBatch], k: int
+) -> Iterator[pa.RecordBatch]:
+    """Score all rows against all queries, block by block; k hits per query come out at the end."""
+    blocks = []
+    for start in range(0, queries.num_rows, CHUNK_QUERIES):
+        block = queries.slice(start, CHUNK_QUERIES)
+        blocks.append((_whole(block, "query_id"), scorer.prepare(block), Best(block.num_rows, k)))
     for batch in batches:
         for start in range(0, batch.num_rows, CHUNK_ROWS):
-            scorer.score(state, batch.slice(start, CHUNK_ROWS), best)
-    return best.table(keys)
+            rows = scorer.load(batch.slice(start, CHUNK_ROWS).sort_by("row_id"))
+            for _, state, best in blocks:
+                scorer.score(state, rows, best)
+    for keys, _, best in blocks:
+        yield best.table(keys)
 
 
 def blocked_topk(
@@ -107,7 +122,7 @@ def blocked_topk(
         shared = catalog.sparkSession.sparkContext.broadcast(queries.toArrow())
 
         def scan(batches):
-            yield _scan(scorer, shared.value, batches, k)
+            return _scan(scorer, shared.value, batches, k)
 
         partial = catalog.mapInArrow(scan, schema)
     else:
@@ -137,24 +152,36 @@ def _block_join(queries, catalog, k, scorer, schema, query_blocks, catalog_block
     right = place(queries, "query_id", "__qb", query_blocks, "__cb", catalog_blocks)
 
     def meet(rows: pa.Table, block: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(
-            [_scan(scorer, block, rows.combine_chunks().to_batches(), k)]
-        )
+        batches = rows.combine_chunks().to_batches()
+        key = block.schema.field("query_id").type
+        found = pa.schema([("query_id", key), ("row_id", pa.int64()), ("score", pa.float64())])
+        return pa.Table.from_batches(_scan(scorer, block, batches, k), schema=found)
 
     return (
         left.groupBy("__cb", "__qb").cogroup(right.groupBy("__cb", "__qb")).applyInArrow(meet, schema)
     )
 
 
-def _surplus_copies(rows: np.ndarray, k: int) -> np.ndarray:
-    """Mask of rows to keep: the first k of each group of identical rows (rows sorted by id)."""
-    view = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.dtype.itemsize * rows.shape[1])))
-    _, inverse = np.unique(view.ravel(), return_inverse=True)
-    order = np.argsort(inverse, kind="stable")
-    grouped = inverse[order]
-    keep = np.empty(len(rows), dtype=bool)
-    keep[order] = np.arange(len(rows)) - np.searchsorted(grouped, grouped, side="left") < k
-    return keep
+class _Vectors:
+    """Catalogue rows of one chunk, in id order."""
+
+    def __init__(self, ids: np.ndarray, matrix: np.ndarray):
+        self.ids, self.matrix = ids, matrix
+        self.longest = np.linalg.norm(matrix.astype(np.float64), axis=1).max(initial=0.0)
+        self._trimmed: dict[int, "_Vectors"] = {}
+
+    def without_surplus(self, k: int) -> "_Vectors":
+        """Only the first k of each group of identical vectors; no other can be among the best k."""
+        if k not in self._trimmed:
+            width = self.matrix.dtype.itemsize * self.matrix.shape[1]
+            raw = np.ascontiguousarray(self.matrix).view(np.dtype((np.void, width))).ravel()
+            _, group = np.unique(raw, return_inverse=True)
+            order = np.argsort(group, kind="stable")
+            keep = np.empty(len(raw), dtype=bool)
+            first = np.searchsorted(group[order], group[order], side="left")
+            keep[order] = np.arange(len(raw)) - first < k
+            self._trimmed[k] = _Vectors(self.ids[keep], self.matrix[keep])
+        return self._trimmed[k]
 
 
 class InnerProduct:
@@ -186,38 +213,31 @@ class InnerProduct:
         matrix = self.matrix(_whole(queries, "embedding"))
         return matrix, np.linalg.norm(matrix.astype(np.float64), axis=1)
 
-    def score(self, state, batch: pa.RecordBatch, best: Best) -> None:
-        if not batch.num_rows:
-            return
+    def load(self, batch: pa.RecordBatch) -> _Vectors:
         ids = batch.column("row_id").to_numpy(zero_copy_only=False)
-        rows = self.matrix(batch.column("embedding"))
-        order = np.argsort(ids, kind="stable")
-        self._score(state, ids[order], rows[order], best, first=0, trimmed=False)
-
-    def _score(self, state, ids, rows, best: Best, first: int, trimmed: bool) -> None:
-        queries, query_norms = state
-        eps = np.finfo(np.result_type(queries, rows)).eps
-        longest = np.linalg.norm(rows.astype(np.float64), axis=1).max()
+        return _Vectors(ids, self.matrix(batch.column("embedding")))
+
+    def score(self, state, rows: _Vectors, best: Best) -> None:
+        queries, norms = state
+        eps = np.finfo(np.result_type(queries, rows.matrix)).eps
         # |computed - true| <= dim * eps * |q| * |v|, doubled for safety
-        slack = 2 * self.dim * eps * query_norms * longest
-        for start in range(first, len(queries), CHUNK_QUERIES):
-            part = slice(start, start + CHUNK_QUERIES)
-            rough = queries[part] @ rows.T
-            bar = best.floor[part] - slack[part]
-            if rough.shape[1] > best.k:
-                kth = np.partition(rough, rough.shape[1] - best.k, axis=1)[:, -best.k]
-                bar = np.maximum(bar, kth - 2 * slack[part])
-            query, row = np.nonzero(rough >= bar[:, None])
-            if not trimmed and len(query) > 8 * best.k * len(rough):
-                keep = _surplus_copies(rows, best.k)
-                self._score(state, ids[keep], rows[keep], best, first=start, trimmed=True)
-                return
-            exact = np.empty(len(query))
-            for at in range(0, len(query), CHUNK_ROWS):
-                piece = slice(at, at + CHUNK_ROWS)
-                products = queries[part][query[piece]].astype(np.float64) * rows[row[piece]]
-                exact[piece] = np.cumsum(products, axis=1)[:, -1]
-            best.add(query + start, ids[row], exact)
+        slack = (2 * self.dim * eps * norms * rows.longest)[:, None]
+        floor = best.floor[:, None] - slack
+        rough = queries @ rows.matrix.T
+        near = rough >= floor
+        if best.crowded(near):
+            near = rough >= np.maximum(floor, _kth_largest(rough, best.k) - 2 * slack)
+        if best.crowded(near):  # many copies of one vector
+            rows = rows.without_surplus(best.k)
+            rough = queries @ rows.matrix.T
+            near = rough >= np.maximum(floor, _kth_largest(rough, best.k) - 2 * slack)
+        query, row = np.nonzero(near)
+        exact = np.empty(len(query))
+        for at in range(0, len(query), CHUNK_ROWS):
+            piece = slice(at, at + CHUNK_ROWS)
+            products = queries[query[piece]].astype(np.float64) * rows.matrix[row[piece]]
+            exact[piece] = np.cumsum(products, axis=1)[:, -1]
+        best.add(query, rows.ids[row], exact)
 
 
 class Okapi:
@@ -240,57 +260,49 @@ class Okapi:
         return F.size("tokens") + 1
 
     def prepare(self, queries: pa.Table):
-        terms, weights = _whole(queries, "terms"), _whole(queries, "weights")
-        lengths = pc.list_value_length(terms).to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(len(terms)), lengths)
+        """Terms in ascending order, and for each the queries that have it with their weights."""
+        terms = _whole(queries, "terms")
+        weight = _whole(queries, "weights").flatten().to_numpy(zero_copy_only=False)
+        sizes = pc.list_value_length(terms).to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(terms)), sizes)
         flat = terms.flatten()
         vocabulary = pc.unique(flat)
         vocabulary = vocabulary.take(pc.sort_indices(vocabulary))
         term = pc.index_in(flat, value_set=vocabulary).to_numpy(zero_copy_only=False)
-        weight = weights.flatten().to_numpy(zero_copy_only=False)
         order = np.argsort(term, kind="stable")
         bounds = np.searchsorted(term[order], np.arange(len(vocabulary) + 1))
         return vocabulary, owner[order], weight[order], bounds
 
-    def score(self, state, batch: pa.RecordBatch, best: Best) -> None:
+    def load(self, batch: pa.RecordBatch):
+        tokens = batch.column("tokens")
+        sizes = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
+        ids = batch.column("row_id").to_numpy(zero_copy_only=False)
+        return ids, sizes, tokens.flatten()
+
+    def score(self, state, rows, best: Best) -> None:
         vocabulary, owner, weight, bounds = state
-        if not batch.num_rows or not len(vocabulary):
+        ids, sizes, tokens = rows
+        found = pc.fill_null(pc.index_in(tokens, value_set=vocabulary), -1)
+        found = found.to_numpy(zero_copy_only=False).astype(np.int64)
+        row = np.repeat(np.arange(len(ids)), sizes)[found >= 0]
+        cell, count = np.unique(found[found >= 0] * len(ids) + row, return_counts=True)
+        if not len(cell):
             return
-        batch = batch.sort_by("row_id")
-        ids = batch.column("row_id").to_numpy(zero_copy_only=False)
-        tokens = batch.column("tokens")
-        lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
-        term = pc.index_in(tokens.flatten(), value_set=vocabulary)
-        term = pc.fill_null(term, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        row = np.repeat(np.arange(len(ids)), lengths)[term >= 0]
-        cell, count = np.unique(term[term >= 0] * len(ids) + row, return_counts=True)
         term, row = np.divmod(cell, len(ids))
-        gain = (
-            count * (self.k1 + 1)
-            / (count + self.k1 * (1 - self.b + self.b * lengths[row] / self.avgdl))
-        )
-        present, at = np.unique(term, return_index=True)
-        at = np.append(at, len(term))
-        for start in range(0, best.n, CHUNK_QUERIES):
-            size = min(CHUNK_QUERIES, best.n - start)
-            scores = np.zeros((size, len(ids)))
-            shared = np.zeros((size, len(ids)), dtype=bool)
-            for i, t in enumerate(present):  # ascending terms: a fixed order of summation
-                lo, hi = bounds[t] + np.searchsorted(
-                    owner[bounds[t]:bounds[t + 1]], [start, start + size]
-                )
-                if lo == hi:
-                    continue
-                rows = slice(at[i], at[i + 1])
-                where = np.ix_(owner[lo:hi] - start, row[rows])
-                scores[where] += weight[lo:hi, None] * gain[None, rows]
-                shared[where] = True
-            scores[~shared] = -np.inf
-            bar = best.floor[start:start + size]
-            if len(ids) > best.k:
-                kth = np.partition(scores, len(ids) - best.k, axis=1)[:, -best.k]
-                bar = np.maximum(bar, kth)
-            level = scores == bar[:, None]  # rows are in id order: the first k ties suffice
-            level &= np.cumsum(level, axis=1) <= best.k
-            query, hit = np.nonzero(shared & ((scores > bar[:, None]) | level))
-            best.add(query + start, ids[hit], scores[query, hit])
+        damping = self.k1 * (1 - self.b + self.b * sizes[row] / self.avgdl)
+        gain = count * (self.k1 + 1) / (count + damping)
+        present, start = np.unique(term, return_index=True)
+        end = np.append(start[1:], len(term))
+        scores = np.zeros((best.n, len(ids)))
+        shared = np.zeros((best.n, len(ids)), dtype=bool)
+        for t, lo, hi in zip(present, start, end):  # ascending terms: a fixed order of summation
+            asking = slice(bounds[t], bounds[t + 1])
+            where = np.ix_(owner[asking], row[lo:hi])
+            scores[where] += weight[asking, None] * gain[None, lo:hi]
+            shared[where] = True
+        scores[~shared] = -np.inf
+        bar = np.maximum(best.floor[:, None], _kth_largest(scores, best.k))
+        level = scores == bar  # rows are in id order: the first k ties suffice
+        level &= np.cumsum(level, axis=1) <= best.k
+        query, hit = np.nonzero(shared & ((scores > bar) | level))
+        best.add(query, ids[hit], scores[query, hit])

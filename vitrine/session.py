@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -32,6 +33,11 @@ def build_session(app: str = "vitrine", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="vitrine-")
+
+
 def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write a table once and read it back: a short lineage that outlives lost executors."""
     path = path or scratch_path(df.sparkSession, label)
@@ -48,6 +54,5 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="vitrine-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        root = _local_root()
     return f"{root.rstrip('/')}/vitrine/{label}-{uuid.uuid4().hex}"
