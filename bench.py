@@ -15,7 +15,7 @@ from vitrine.operators import bm25, metrics, sampling, vectors  # noqa: E402
 from vitrine.plans import inputs, jobs  # noqa: E402
 from vitrine.session import build_session, scratch_path  # noqa: E402
 from vitrine.sources.index import read_embedder, read_index  # noqa: E402
-from vitrine.sources.tables import read_features, write_features  # noqa: E402
+from vitrine.sources.tables import read_features  # noqa: E402
 
 
 def run(df) -> None:
@@ -45,7 +45,7 @@ def main() -> None:
     parted = sampling.split(documents, "row_id")
 
     def ingest():
-        write_features(inputs.features(spark, folder), f"{path}/features")
+        jobs.ingest_catalog(inputs.raw_catalog(spark, folder), f"{path}/features")
 
     def features():
         return read_features(spark, f"{path}/features")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from vitrine.functions import fixed
 from vitrine.functions.text import ws_tokens
@@ -57,21 +57,32 @@ class KeywordStats:
 
 
 def keyword_stats(documents: DataFrame, path: str | None = None) -> KeywordStats:
-    """Count the corpus once and keep the term counts as a table.
+    """Count the corpus once and keep the counts as tables below ``path``.
 
-    Document number and length are observed while the counts are written, so the documents are read in
-    a single pass; searches then read the term table, not the corpus.
+    Document number and length are observed while the term counts are written, so the documents are read
+    in a single pass; searches then read the term table, not the corpus.
     """
     spark = documents.sparkSession
     path = path or scratch_path(spark, "terms")
     seen = Observation()
     watched = documents.observe(
-        seen, F.count(F.lit(1)).alias("n"), F.sum(F.size("tokens")).alias("length")
+        seen,
+        F.count(F.lit(1)).alias("n_docs"),
+        F.coalesce(F.sum(F.size("tokens")), F.lit(0)).alias("length"),
     )
-    bm25_counts(watched).write.mode("overwrite").parquet(path)
-    n, length = seen.get["n"], seen.get["length"] or 0
-    counts = spark.read.parquet(path)
-    return KeywordStats(bm25_terms(counts, F.lit(n)), length / n if n else 1.0)
+    bm25_counts(watched).write.mode("overwrite").parquet(f"{path}/counts")
+    totals = [(seen.get["n_docs"], seen.get["length"])]
+    spark.createDataFrame(totals, "n_docs bigint, length bigint").write.mode("overwrite").parquet(
+        f"{path}/totals"
+    )
+    return read_keyword_stats(spark, path)
+
+
+def read_keyword_stats(spark: SparkSession, path: str) -> KeywordStats:
+    totals = spark.read.parquet(f"{path}/totals").first()
+    terms = bm25_terms(spark.read.parquet(f"{path}/counts"), F.lit(totals["n_docs"]))
+    avgdl = totals["length"] / totals["n_docs"] if totals["n_docs"] else 1.0
+    return KeywordStats(terms, avgdl)
 
 
 def bm25_search(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vitrine.operators import bm25
 from vitrine.plans import jobs
 from vitrine.session import scratch_path
 from vitrine.sources.index import read_embedder, read_index
@@ -54,11 +55,19 @@ def index(spark: SparkSession, folder: str):
     if key not in _indexes:
         path = scratch_path(spark, "index")
         write_features(features(spark, folder), f"{path}/features")
-        jobs.build_index(read_features(spark, f"{path}/features"), path)
+        rows, _ = jobs.build_index(read_features(spark, f"{path}/features"), path)
+        bm25.keyword_stats(bm25.bm25_documents(rows), f"{path}/keywords")
         _indexes[key] = path
     return read_index(spark, _indexes[key]), read_embedder(spark, _indexes[key])
 
 
+def keyword_stats(spark: SparkSession, folder: str) -> bm25.KeywordStats:
+    """Term statistics written next to the index."""
+    index(spark, folder)
+    key = (spark.sparkContext.applicationId, folder)
+    return bm25.read_keyword_stats(spark, f"{_indexes[key]}/keywords")
+
+
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """One request per part: its name, first word as colour ('' for new and old), last as category."""
     first = F.substring_index("p_name", " ", 1)

@@ -24,6 +24,7 @@ from vitrine.operators.profiling import describe_numeric
 from vitrine.operators.vectors import HashedTfidf, knn
 from vitrine.session import materialize
 from vitrine.sources.index import INDEX_COLUMNS, index_exists, read_embedder, read_index, write_index
+from vitrine.sources.tables import write_features
 
 Generator = Callable[[DataFrame], DataFrame]  # adds `generated`, given `prompt`
 
@@ -54,6 +55,23 @@ def catalog_features(raw: DataFrame, min_words: int = fixed.MIN_WORDS) -> DataFr
     return featurize(preprocess(raw), min_words).select("row_id", *fixed.FEATURE_COLUMNS)
 
 
+def ingest_catalog(
+    raw: DataFrame, path: str, min_words: int = fixed.MIN_WORDS, fmt: str = "parquet"
+) -> dict[str, int]:
+    """Clean, featurise and write a catalogue; returns the row counts of the stages.
+
+    The counts are observed while the features are written, at no extra pass.
+    """
+    seen = {stage: Observation() for stage in ("raw", "preprocessed", "features")}
+
+    def watch(df: DataFrame, stage: str) -> DataFrame:
+        return df.observe(seen[stage], F.count(F.lit(1)).alias("n"))
+
+    cleaned = watch(preprocess(watch(raw, "raw")), "preprocessed")
+    write_features(watch(featurize(cleaned, min_words), "features"), path, fmt)
+    return {stage: observed.get["n"] for stage, observed in seen.items()}
+
+
 # --- prompts and sequences ---------------------------------------------------------------------
 
 

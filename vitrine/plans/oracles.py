@@ -810,6 +810,8 @@ def oracle_queries() -> dict[str, str]:
         UNION ALL SELECT 'preprocessed', count(*) FROM preprocessed
         UNION ALL SELECT 'features', count(*) FROM features""",
     )
+    sql["table_counts"] = """SELECT 'documents' AS stage, count(*) AS n_rows FROM documents
+        UNION ALL SELECT 'distinct', count(DISTINCT text) FROM documents"""
     sql["sentinel_counts"] = _with(
         ["cat"],
         " UNION ALL ".join(

@@ -509,14 +509,16 @@ def keyword_terms(spark, sf):
 
 @query
 def keyword_retrieval(spark, sf):
-    hits = jobs.keyword_hits(inputs.requests(spark, sf), inputs.index(spark, sf)[0], 6)
+    stats = inputs.keyword_stats(spark, sf)
+    hits = jobs.keyword_hits(inputs.requests(spark, sf), inputs.index(spark, sf)[0], 6, stats)
     return hits.select("query_id", "rank", "row_id", "name_clean", "similarity_score")
 
 
 @query
 def hybrid_retrieval(spark, sf):
     rows, model = inputs.index(spark, sf)
-    hits = jobs.hybrid_retrieve(inputs.requests(spark, sf), rows, model, 5)
+    stats = inputs.keyword_stats(spark, sf)
+    hits = jobs.hybrid_retrieve(inputs.requests(spark, sf), rows, model, 5, stats)
     return hits.select("query_id", "rank", "row_id", "name_clean", "source", "similarity_score")
 
 
@@ -540,7 +542,8 @@ def retrieval_plans(spark, sf):
 @query
 def planned_retrieval(spark, sf):
     rows, model = inputs.index(spark, sf)
-    hits = jobs.planned_retrieve(_planned_requests(spark, sf), rows, model)
+    stats = inputs.keyword_stats(spark, sf)
+    hits = jobs.planned_retrieve(_planned_requests(spark, sf), rows, model, stats=stats)
     return hits.select("query_id", "rank", "row_id", "source")
 
 
@@ -733,9 +736,17 @@ def document_length_histogram(spark, sf):
 
 @query
 def stage_counts(spark, sf):
-    raw = inputs.raw_catalog(spark, sf)
+    """Row counts before and after each stage, seen in the one pass that writes the features."""
+    path = scratch_path(spark, "ingested")
+    counts = jobs.ingest_catalog(inputs.raw_catalog(spark, sf), path)
+    return spark.createDataFrame(list(counts.items()), "stage string, n_rows bigint")
+
+
+@query
+def table_counts(spark, sf):
+    documents = inputs.documents(spark, sf)
     return profiling.stage_counts(
-        raw=raw, preprocessed=jobs.preprocess(raw), features=inputs.features(spark, sf)
+        documents=documents, distinct=cleaning.keep_first(documents, "text")
     )
 
 
