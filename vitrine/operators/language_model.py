@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vitrine.functions.ngrams import ngrams
 from vitrine.functions.text import ws_tokens
+from vitrine.operators.joins import heavy_keys, salted_join
 from vitrine.session import scratch_path
 
 START = "<s>"
@@ -71,19 +72,20 @@ def ngram_loss(
     """``(row_id, loss)``: mean ``-ln((c + k) / (context + k (V + 1)))`` over a test text's n-grams.
 
     V counts the training words and 1 stands for all unseen ones. Texts are read whole unless
-    ``max_tokens`` sets a window. Test n-grams are counted per text before they meet the model, and the
-    model has one row per n-gram, so AQE can split a hot n-gram's side freely.
+    ``max_tokens`` sets a window. Test n-grams are counted per text before they meet the model, and hot
+    ones are salted.
     """
-    seen = (
-        _grams(test, col, model.n, ["row_id"], max_tokens)
-        .groupBy("row_id", "gram")
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
-    scored = seen.join(model.counts, "gram", "left")
+    grams = _grams(test, col, model.n, ["row_id"], max_tokens)
+    seen = grams.groupBy("row_id", "gram").agg(F.count(F.lit(1)).alias("times"))
+    row = F.col("row_id")
+    scored = salted_join(seen, model.counts, "gram", row, "left", heavy_keys(grams, "gram"))
     context = F.lit(model.n_tokens)
     if model.contexts is not None:
-        first = F.substring_index("gram", " ", 1)
-        scored = scored.withColumn("first", first).join(model.contexts, "first", "left")
+        first = F.substring_index("gram", " ", 1).alias("first")
+        hot = heavy_keys(grams.select(first), "first")
+        scored = salted_join(
+            scored.withColumn("first", first), model.contexts, "first", row, "left", hot
+        )
         context = F.coalesce(F.col("ctx"), F.lit(0))
     chance = (F.coalesce(F.col("c"), F.lit(0)) + add_k) / (context + add_k * (model.n_words + 1))
     return (

@@ -20,6 +20,7 @@ from vitrine.functions.text import word_count
 from vitrine.operators import bm25, cleaning, language_model, metrics, planning, sampling, sequences
 from vitrine.operators.filters import apply_filters
 from vitrine.operators.hybrid import merge_hits
+from vitrine.operators.joins import salted_join
 from vitrine.operators.profiling import describe_numeric
 from vitrine.operators.vectors import HashedTfidf, knn
 from vitrine.session import materialize
@@ -144,9 +145,9 @@ def _with_metadata(hits: DataFrame, index: DataFrame, columns: list[str]) -> Dat
 
 
 def _to_requests(requests: DataFrame, hits: DataFrame, key: str) -> DataFrame:
-    """Hits of distinct query texts handed to all requests that ask the same."""
+    """Hits of distinct query texts handed to all requests that ask the same, however many do."""
     kept = hits.withColumnRenamed("query_id", key)
-    return requests.join(kept, key).drop(key)
+    return salted_join(requests, kept, key, F.col("query_id")).drop(key)
 
 
 def text_hits(
