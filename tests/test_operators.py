@@ -65,6 +65,18 @@ def test_merge_prefers_dense(spark):
     assert merged == [(1, 10, "dense"), (2, 12, "dense"), (3, 21, "keyword")]
 
 
+def test_merge_has_no_repeated_name(spark):
+    schema = "query_id bigint, rank int, row_id bigint, name_clean string, score double"
+    rnd = random.Random(5)
+    draw = lambda: spark.createDataFrame(
+        [(q, r, r, rnd.choice("abcdefg"), 1.0) for q in range(20) for r in range(1, 9)], schema
+    )
+    merged = hybrid.merge_hits(draw(), draw(), 4)
+    assert merged.groupBy("query_id", "name_clean").count().where("count > 1").count() == 0
+    ranks = merged.groupBy("query_id").agg(F.sort_array(F.collect_list("rank")).alias("r"))
+    assert all(r["r"] == list(range(1, len(r["r"]) + 1)) and len(r["r"]) <= 4 for r in ranks.collect())
+
+
 @pytest.mark.parametrize(
     "color, best, expected",
     [

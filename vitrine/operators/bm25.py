@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vitrine.functions import fixed
 from vitrine.functions.text import ws_tokens
@@ -31,12 +31,20 @@ def bm25_totals(documents: DataFrame) -> DataFrame:
 
 
 def bm25_counts(documents: DataFrame) -> DataFrame:
-    """``(term, df)``. Counting combines on the map side, so a term of every document sends one row
-    per task."""
+    """``(term, df, length)``: documents per term, and one row with a NULL term for the whole corpus,
+    whose ``df`` is the number of documents and ``length`` that of their tokens.
+
+    One pass counts both. Counting combines on the map side, so a term of every document sends one row
+    per task.
+    """
+    terms = F.transform(
+        F.array_distinct("tokens"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("length"))
+    )
+    corpus = F.struct(F.lit(None).cast("string").alias("term"), F.size("tokens").alias("length"))
     return (
-        documents.select(F.explode(F.array_distinct("tokens")).alias("term"))
+        documents.select(F.inline(F.concat(F.array(corpus), terms)))
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
+        .agg(F.count(F.lit(1)).alias("df"), F.sum("length").alias("length"))
     )
 
 
@@ -57,32 +65,19 @@ class KeywordStats:
 
 
 def keyword_stats(documents: DataFrame, path: str | None = None) -> KeywordStats:
-    """Count the corpus once and keep the counts as tables below ``path``.
-
-    Document number and length are observed while the term counts are written, so the documents are read
-    in a single pass; searches then read the term table, not the corpus.
-    """
+    """Count the corpus once into a table; searches then read the table, not the corpus."""
     spark = documents.sparkSession
     path = path or scratch_path(spark, "terms")
-    seen = Observation()
-    watched = documents.observe(
-        seen,
-        F.count(F.lit(1)).alias("n_docs"),
-        F.coalesce(F.sum(F.size("tokens")), F.lit(0)).alias("length"),
-    )
-    bm25_counts(watched).write.mode("overwrite").parquet(f"{path}/counts")
-    totals = [(seen.get["n_docs"], seen.get["length"])]
-    spark.createDataFrame(totals, "n_docs bigint, length bigint").write.mode("overwrite").parquet(
-        f"{path}/totals"
-    )
+    bm25_counts(documents).write.mode("overwrite").parquet(path)
     return read_keyword_stats(spark, path)
 
 
 def read_keyword_stats(spark: SparkSession, path: str) -> KeywordStats:
-    totals = spark.read.parquet(f"{path}/totals").first()
-    terms = bm25_terms(spark.read.parquet(f"{path}/counts"), F.lit(totals["n_docs"]))
-    avgdl = totals["length"] / totals["n_docs"] if totals["n_docs"] else 1.0
-    return KeywordStats(terms, avgdl)
+    counts = spark.read.parquet(path)
+    corpus = counts.where("term IS NULL").first()
+    n_docs, length = (corpus["df"], corpus["length"]) if corpus else (0, 0)
+    terms = bm25_terms(counts.where("term IS NOT NULL"), F.lit(n_docs))
+    return KeywordStats(terms, length / n_docs if length else 1.0)
 
 
 def bm25_search(

@@ -85,7 +85,7 @@ def filter_short(
     """Keep descriptions of at least ``min_words`` words.
 
     ``observation`` receives ``removed`` and ``remaining`` when the result is first computed, so the
-    report costs no second pass.
+    report costs no second pass. The numbers are exact when no shuffle follows before the action.
     """
     keep = F.col("desc_word_count") >= min_words
     if observation is not None:

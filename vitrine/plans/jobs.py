@@ -61,16 +61,14 @@ def ingest_catalog(
 ) -> dict[str, int]:
     """Clean, featurise and write a catalogue; returns the row counts of the stages.
 
-    The counts are observed while the features are written, at no extra pass.
+    The last two counts are observed in the stage that writes, where Spark counts every task once even
+    if it has to be repeated; the first is a count of its own, as stages before a shuffle lack that
+    guarantee.
     """
-    seen = {stage: Observation() for stage in ("raw", "preprocessed", "features")}
-
-    def watch(df: DataFrame, stage: str) -> DataFrame:
-        return df.observe(seen[stage], F.count(F.lit(1)).alias("n"))
-
-    cleaned = watch(preprocess(watch(raw, "raw")), "preprocessed")
-    write_features(watch(featurize(cleaned, min_words), "features"), path, fmt)
-    return {stage: observed.get["n"] for stage, observed in seen.items()}
+    short = Observation()
+    write_features(featurize(preprocess(raw), min_words, short), path, fmt)
+    kept = short.get["remaining"]
+    return {"raw": raw.count(), "preprocessed": kept + short.get["removed"], "features": kept}
 
 
 # --- prompts and sequences ---------------------------------------------------------------------

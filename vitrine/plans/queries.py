@@ -736,7 +736,7 @@ def document_length_histogram(spark, sf):
 
 @query
 def stage_counts(spark, sf):
-    """Row counts before and after each stage, seen in the one pass that writes the features."""
+    """Row counts before and after each stage of an ingest."""
     path = scratch_path(spark, "ingested")
     counts = jobs.ingest_catalog(inputs.raw_catalog(spark, sf), path)
     return spark.createDataFrame(list(counts.items()), "stage string, n_rows bigint")
