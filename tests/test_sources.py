@@ -1,8 +1,9 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
+from vitrine.operators.vectors import apply_model
 from vitrine.plans import inputs, jobs
 from vitrine.session import scratch_path
 from vitrine.sources import index as index_io, requests as request_io, tables
@@ -108,6 +109,45 @@ def test_manual_requests(spark, catalogue):
     assert planned[1]["color"] == "Black"
 
 
+def test_walkthrough(spark, small):
+    """CSV catalogue and requests in, index, answers with a model in the loop, CSV results out."""
+    folder = scratch_path(spark, "walk")
+    raw = inputs.raw_catalog(spark, small).drop("row_id")
+    tables.write_table(raw, f"{folder}/catalogue", "csv")
+    counts = jobs.ingest_catalog(tables.read_catalog(spark, f"{folder}/catalogue"), f"{folder}/features")
+    assert counts["raw"] == raw.count() > counts["preprocessed"] > counts["features"] > 0
+    features = tables.read_features(spark, f"{folder}/features")
+    assert features.count() == counts["features"]
+    index, model = jobs.build_index(features, f"{folder}/index")
+    asked = spark.createDataFrame(
+        [("Running Shoes", "Black"), ("  ", "Red"), ("Blue Bolt", None)], "name string, color string"
+    )
+    tables.write_table(asked, f"{folder}/requests", "csv")
+    requests = request_io.read_requests(spark, f"{folder}/requests")
+    assert requests.count() == 2
+
+    def shouting():
+        import numpy as np
+
+        return lambda prompts: np.array([p + " " + p.split("\n")[0].upper() for p in prompts])
+
+    def generate(df):
+        return apply_model(df, "prompt", shouting, T.StringType(), out="generated")
+
+    planned = jobs.plan_batch(requests, index, model, generate)
+    request_io.write_results(planned, f"{folder}/results")
+    got = {
+        r["name"]: r for r in tables.read_table(spark, f"{folder}/results", "csv").na.fill("").collect()
+    }
+    assert got["Running Shoes"]["description"] == "PRODUCT: RUNNING SHOES"
+    assert got["Running Shoes"]["color"] == "Black"
+    assert got["Blue Bolt"]["top_similar"]
+    answered = jobs.recommend(requests, index, model, generate, fewshot=True)
+    assert all(r["description"].startswith("HERE ARE SIMILAR") for r in answered.collect())
+    with pytest.raises(ValueError, match="lacks columns"):
+        request_io.read_requests(spark, f"{folder}/features", "parquet")
+
+
 @pytest.mark.parametrize("parts", [1, 16])
 def test_partitioning_does_not_matter(spark, small, catalogue, parts):
     rows, model = catalogue

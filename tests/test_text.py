@@ -86,7 +86,7 @@ def test_parse_list_equals_literal_eval(spark, cells):
 
 
 def test_clean_text(spark):
-    dirty = "a b http://x.y z #café {c:1} <b>t</b> é END\t"
+    dirty = "a\u00a0b http://x.y\u00a0z #café {c:1} <b>t</b> é END\t"
     assert one(spark, dirty, text.clean_text) == "ab z t end"
     assert one(spark, "Tom & Jerry (50%) [x] a_b; c:d @e", text.clean_text) == (
         "tom jerry 50 x a b c d e"

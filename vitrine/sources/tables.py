@@ -64,7 +64,8 @@ def read_catalog(
     """Raw catalogue: the three raw columns and ``row_id``; other columns are not read."""
     df = require_columns(read_table(spark, path, fmt, multiline), fixed.RAW_COLUMNS, "catalogue")
     ids = ["row_id"] if "row_id" in df.columns else []
-    return with_row_id(df.select(*ids, *fixed.RAW_COLUMNS)).select("row_id", *fixed.RAW_COLUMNS)
+    rows = with_row_id(spread(df.select(*ids, *fixed.RAW_COLUMNS)))
+    return rows.select("row_id", *fixed.RAW_COLUMNS)
 
 
 def write_features(
