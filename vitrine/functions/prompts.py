@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, functions as F
 
 from vitrine.functions import fixed
-from vitrine.functions.text import NWS, WS, strip_ws
+from vitrine.functions.text import WS, strip_ws
 
 
 def render(template: str, **fields: Column) -> Column:
@@ -99,7 +99,3 @@ def strip_prefix(text: Column, prefix: Column, always: bool = False) -> Column:
     rest = F.substring(text, F.length(prefix) + 1, F.length(text))
     return strip_ws(rest if always else F.when(F.startswith(text, prefix), rest).otherwise(text))
 
-
-def first_words_line(text: Column) -> Column:
-    """First non-blank line."""
-    return F.regexp_extract(text, f"(?m)^(.*{NWS}.*)$", 1)

@@ -146,19 +146,39 @@ def pair_rouge(pairs: DataFrame) -> DataFrame:
 
 def distinct_n(df: DataFrame, col: str, n: int) -> DataFrame:
     """One row ``(n_unique, n_total, value)``; 0 when there are no n-grams."""
+    return distinct_table(df, col, [n]).drop("n")
+
+
+def distinct_table(df: DataFrame, col: str, orders: list[int]) -> DataFrame:
+    """``(n, n_unique, n_total, value)`` per n-gram order, all orders from one pass over the texts."""
     tokens = df.select(ws_tokens(F.lower(F.col(col))).alias("tokens"))
+
+    def tagged(n: int) -> Column:
+        entry = lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
+        return F.transform(ngrams(F.col("tokens"), n), entry)
+
     counted = (
-        tokens.select(F.explode(ngrams(F.col("tokens"), n)).alias("gram"))
-        .groupBy("gram")
+        tokens.select(F.inline(F.concat(*[tagged(n) for n in orders])))
+        .groupBy("n", "gram")
         .agg(F.count(F.lit(1)).alias("c"))
     )
+    mine = lambda n: F.when(F.col("n") == n, F.col("c"))
     sums = counted.agg(
-        F.count(F.lit(1)).alias("n_unique"), F.coalesce(F.sum("c"), F.lit(0)).alias("n_total")
-    )
-    share = F.when(F.col("n_total") == 0, F.lit(0.0)).otherwise(
-        F.col("n_unique") / F.col("n_total")
+        *[F.count(mine(n)).alias(f"u{n}") for n in orders],
+        *[F.coalesce(F.sum(mine(n)), F.lit(0)).alias(f"t{n}") for n in orders],
     )
-    return sums.withColumn("value", share)
+    rows = [
+        F.struct(
+            F.lit(n).alias("n"),
+            F.col(f"u{n}").alias("n_unique"),
+            F.col(f"t{n}").alias("n_total"),
+            F.when(F.col(f"t{n}") == 0, F.lit(0.0))
+            .otherwise(F.col(f"u{n}") / F.col(f"t{n}"))
+            .alias("value"),
+        )
+        for n in orders
+    ]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 def finite(loss: Column) -> Column:
@@ -189,9 +209,9 @@ def metrics_report(pairs: DataFrame, losses: DataFrame | None = None) -> DataFra
         values["Avg Generation Time"] = F.col("`Avg Generation Time`")
     cells = [F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in values.items()]
     report = sums.select(F.inline(F.array(*cells)))
-    for n in (1, 2):
-        share = distinct_n(pairs, "generated", n)
-        report = report.unionByName(share.select(F.lit(f"Distinct-{n}").alias("metric"), "value"))
+    shares = distinct_table(pairs, "generated", [1, 2])
+    label = F.concat(F.lit("Distinct-"), F.col("n"))
+    report = report.unionByName(shares.select(label.alias("metric"), "value"))
     if losses is not None:
         total = losses.agg(perplexity(F.col("loss")).alias("value"))
         report = report.unionByName(total.select(F.lit("Perplexity").alias("metric"), "value"))

@@ -20,7 +20,7 @@ from vitrine.operators import (
 )
 from vitrine.plans import inputs, jobs
 from vitrine.session import scratch_path
-from vitrine.sources import index as index_io, requests as request_io, tables
+from vitrine.sources import requests as request_io, tables
 from vitrine.streaming.scoring import score_stream
 
 QUERIES: dict = {}
