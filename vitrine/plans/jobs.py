@@ -142,9 +142,16 @@ def _with_metadata(hits: DataFrame, index: DataFrame, columns: list[str]) -> Dat
     return named.withColumn("similarity_score", F.round("score", 4))
 
 
-def _to_requests(requests: DataFrame, hits: DataFrame, key: str) -> DataFrame:
-    """Hits of distinct query texts handed to all requests that ask the same, however many do."""
+def _to_requests(
+    requests: DataFrame, hits: DataFrame, key: str, distinct: bool = False
+) -> DataFrame:
+    """Hits of distinct query texts handed to all requests that ask the same, however many do.
+
+    ``distinct`` promises that no text is asked often, which saves looking for hot ones.
+    """
     kept = hits.withColumnRenamed("query_id", key)
+    if distinct:
+        return requests.join(kept, key).drop(key)
     return salted_join(requests, kept, key, F.col("query_id")).drop(key)
 
 
@@ -160,13 +167,18 @@ def text_hits(
 
 
 def dense_hits(
-    requests: DataFrame, index: DataFrame, model, k: int, columns: list[str] = SHOWN
+    requests: DataFrame,
+    index: DataFrame,
+    model,
+    k: int,
+    columns: list[str] = SHOWN,
+    distinct: bool = False,
 ) -> DataFrame:
     """Top-k catalogue rows per request; equal query texts are embedded and searched once."""
     asked = requests.withColumn("__text", query_text(F.col("name"), F.col("color")))
     text = F.col("__text")
     texts = asked.select(text).distinct().select(text.alias("query_id"), text.alias("text"))
-    return _to_requests(asked, text_hits(texts, index, model, k, columns), "__text")
+    return _to_requests(asked, text_hits(texts, index, model, k, columns), "__text", distinct)
 
 
 def keyword_hits(
@@ -175,6 +187,7 @@ def keyword_hits(
     k: int,
     stats: bm25.KeywordStats | None = None,
     columns: list[str] = SHOWN,
+    distinct: bool = False,
 ) -> DataFrame:
     """Top-k catalogue rows per request by BM25 over name and colours."""
     documents = bm25.bm25_documents(index)
@@ -185,7 +198,7 @@ def keyword_hits(
         F.col("__words").alias("query_id"), F.split("__words", " ").alias("tokens")
     )
     hits = _with_metadata(bm25.bm25_search(queries, documents, k, stats), index, columns)
-    return _to_requests(asked, hits, "__words")
+    return _to_requests(asked, hits, "__words", distinct)
 
 
 def retrieve(
@@ -203,10 +216,18 @@ def retrieve(
 def hybrid_retrieve(
     requests: DataFrame, index: DataFrame, model, k: int, stats: bm25.KeywordStats | None = None
 ) -> DataFrame:
-    """Dense and keyword hits (2k each) merged, one per product name, first k."""
-    return merge_hits(
-        dense_hits(requests, index, model, 2 * k), keyword_hits(requests, index, 2 * k, stats), k
+    """Dense and keyword hits (2k each) merged, one per product name, first k.
+
+    Both searches and the merge run once per distinct name and colour; requests meet the outcome last.
+    """
+    asked = requests.withColumn("__asked", F.to_json(F.struct("name", "color")))
+    unique = asked.groupBy(F.col("__asked").alias("query_id")).agg(
+        F.first("name").alias("name"), F.first("color").alias("color")
     )
+    dense = dense_hits(unique, index, model, 2 * k, distinct=True)
+    keyword = keyword_hits(unique, index, 2 * k, stats, distinct=True)
+    merged = merge_hits(dense, keyword, k).drop("name", "color")
+    return _to_requests(asked, merged, "__asked")
 
 
 def planned_retrieve(
