@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -32,3 +36,17 @@ def shuffle_width(spark: SparkSession) -> int:
 
 def hex_sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
+
+
+def per_worker(key: tuple, make: Callable[[], object]):
+    """``make()`` once for the life of a Python worker.
+
+    Task functions travel by value, so a module's own globals don't outlive a task; ``sys.modules`` does.
+    """
+    name = "_vitrine_worker_objects"
+    if name not in sys.modules:
+        sys.modules[name] = types.ModuleType(name)
+    kept = sys.modules[name].__dict__.setdefault("kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import chat, url_filter
-from vitrine.llm.common import hex_sha256, table
+from vitrine.llm import chat, fingerprints, secret_scan, url_filter
+from vitrine.llm.common import hex_sha256, table, text_or_empty
+
+RANKS = "byte_bpe_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
 
 URL_RULES = {
     "com/": url_filter.ALLOW,
@@ -20,6 +24,33 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES)
 
 
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_edited(table(spark, folder, "documents"))
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", text_or_empty().alias("text"))
+    found = secret_scan.find_secrets(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+    def listed(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        hex_sha256(listed(base)).alias("base_sha256"),
+        listed(F.col("secrets")).alias("spans"),
+    )
+
+
 def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Every row is a message event; rows of one turn follow each other in order of role and text."""
     both = chat.END + chat.START + "assistant ok"
@@ -52,5 +83,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op4_url_filter": op4_url_filter,
+    "op5_fingerprints": op5_fingerprints,
+    "op8_secret_scan": op8_secret_scan,
     "op10_chat_format": op10_chat_format,
 }
