@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import chat, fingerprints, secret_scan, url_filter
+from vitrine.llm import chat, fingerprints, html_text, secret_scan, toxicity, url_filter
 from vitrine.llm.common import hex_sha256, table, text_or_empty
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -20,6 +20,12 @@ URL_RULES = {
 }
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    extracted = html_text.extract_text(pages)
+    return extracted.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES)
 
@@ -28,6 +34,13 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_edited(table(spark, folder, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic").where(~toxicity.held_out())
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", text_or_empty().alias("text"))
     found = secret_scan.find_secrets(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
@@ -82,8 +95,10 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op4_url_filter": op4_url_filter,
     "op5_fingerprints": op5_fingerprints,
+    "op6_toxicity": op6_toxicity,
     "op8_secret_scan": op8_secret_scan,
     "op10_chat_format": op10_chat_format,
 }
