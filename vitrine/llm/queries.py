@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import chat, fingerprints, html_text, secret_scan, toxicity, url_filter
+from vitrine.llm import bpe, chat, fingerprints, html_text, packing, secret_scan, toxicity, url_filter
 from vitrine.llm.common import hex_sha256, table, text_or_empty
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -26,6 +26,11 @@ def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extracted.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
+    return packed.withColumn("length", F.col("length").cast("bigint"))
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES)
 
@@ -41,6 +46,18 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_BPE)
+    encoded = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path)
+    decoded = bpe.decode(encoded.select("doc_id", "ids"), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        hex_sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        hex_sha256(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", text_or_empty().alias("text"))
     found = secret_scan.find_secrets(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
@@ -96,9 +113,11 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_url_filter": op4_url_filter,
     "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
+    "op7_bpe": op7_bpe,
     "op8_secret_scan": op8_secret_scan,
     "op10_chat_format": op10_chat_format,
 }
