@@ -5,7 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import bpe, chat, fingerprints, html_text, packing, secret_scan, toxicity, url_filter
+from vitrine.llm import (
+    bpe,
+    chat,
+    fingerprints,
+    html_text,
+    jaccard_join,
+    packing,
+    secret_scan,
+    toxicity,
+    url_filter,
+)
 from vitrine.llm.common import hex_sha256, table, text_or_empty
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -31,6 +41,10 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.withColumn("length", F.col("length").cast("bigint"))
 
 
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES)
 
@@ -114,6 +128,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_url_filter": op4_url_filter,
     "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
