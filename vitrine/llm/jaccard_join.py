@@ -34,8 +34,9 @@ from vitrine.llm.components import components
 from vitrine.llm.shingles import shingle_sets
 
 GROUPS = 64
+FINE_GROUPS = 1024  # for the last bound before sets are moved
 PERCENT = 75
-FREQUENT = 100  # a shingle in more classes' first quarters than this comes last in the order ...
+FREQUENT = 16  # a shingle in more classes' first quarters than this comes last in the order ...
 MAX_FREQUENT = 1_000_000  # ... where the limit rises so that at most so many are listed (8 MB)
 MAX_WANTED = 4_000_000  # ids that a scan gets by broadcast (32 MB); more are joined by a shuffle
 BLOCK = 512  # points of an R-tree
@@ -58,9 +59,9 @@ def _key(shingles: np.ndarray) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
-def count_vector(shingles: np.ndarray) -> bytes:
+def count_vector(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
     """Counts per group, one byte each; empty where a count doesn't fit, which bounds nothing."""
-    counts = np.bincount((shingles & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    counts = np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
     return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
 
 
@@ -202,18 +203,18 @@ class CountTree:
         return q, self.order[at]
 
 
-def _vectors(counts: list[bytes]) -> np.ndarray:
+def _vectors(counts: list[bytes], groups: int = GROUPS) -> np.ndarray:
     """Points of count vectors; one that bounds nothing is all 255."""
-    return np.frombuffer(b"".join(c or b"\xff" * GROUPS for c in counts), np.uint8).reshape(-1, GROUPS)
+    return np.frombuffer(b"".join(c or b"\xff" * groups for c in counts), np.uint8).reshape(-1, groups)
 
 
-def bounded(pairs: DataFrame) -> DataFrame:
+def bounded(pairs: DataFrame, groups: int = GROUPS) -> DataFrame:
     """Rows of ``(a, b, n_a, n_b, counts_a, counts_b)`` whose summed minima reach the needed overlap."""
 
     @F.arrow_udf("boolean")
     def reaches(n_a: pa.Array, n_b: pa.Array, counts_a: pa.Array, counts_b: pa.Array) -> pa.Array:
         a, b = n_a.to_numpy(zero_copy_only=False), n_b.to_numpy(zero_copy_only=False)
-        sums = min_sums(_vectors(counts_a.to_pylist()), _vectors(counts_b.to_pylist()))
+        sums = min_sums(_vectors(counts_a.to_pylist(), groups), _vectors(counts_b.to_pylist(), groups))
         sums = np.minimum(sums, np.minimum(a, b))
         return pa.array((100 + PERCENT) * sums >= PERCENT * (a + b))
 
@@ -257,6 +258,16 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
             out.append(100 * common >= PERCENT * (len(x) + len(y) - common))
         return pa.array(out, pa.bool_())
 
+    # The sets are large: a finer count vector of each goes first and leaves few pairs to them.
+    @F.arrow_udf("binary")
+    def fine(sets: pa.Array) -> pa.Array:
+        vectors = [count_vector(np.frombuffer(s, np.uint64), FINE_GROUPS) for s in sets.to_pylist()]
+        return pa.array(vectors, pa.binary())
+
+    points = sets.select(
+        "key", (F.octet_length("shingles") / 8).cast("bigint").alias("n_shingles"), fine("shingles").alias("counts")
+    )
+    pairs = stored(bounded(with_points(pairs, points), FINE_GROUPS).select("a", "b"), "bounded-pairs")
     both = pairs.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("set_b")), "b").join(
         sets.select(F.col("key").alias("a"), F.col("shingles").alias("set_a")), "a"
     )

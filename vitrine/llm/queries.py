@@ -11,6 +11,7 @@ from vitrine.llm import (
     fingerprints,
     html_text,
     jaccard_join,
+    neighbours,
     packing,
     secret_scan,
     toxicity,
@@ -95,6 +96,11 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    found = neighbours.search(table(spark, folder, "embeddings"), F.col("id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Every row is a message event; rows of one turn follow each other in order of role and text."""
     both = chat.END + chat.START + "assistant ok"
@@ -134,5 +140,6 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
     "op8_secret_scan": op8_secret_scan,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_chat_format": op10_chat_format,
 }
