@@ -1,18 +1,75 @@
-"""The corpus pipeline: toxicity, near duplicates, secret scans, packing (stages follow as they are built)."""
+"""The corpus pipeline: ``documents`` through toxicity, near duplicates, secret scans and packing.
+
+Every stage takes all rows that its predecessor kept. The first three return the columns they got; packing returns the
+placed token pieces. Null and empty texts pass the filters (they hold nothing to reject) and pack as an empty document.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vitrine.llm import jaccard_join, packing, secret_scan, toxicity
 from vitrine.llm.common import stored, table
 
-STAGES = []
+RANKS = "byte_bpe_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the lexicon model doesn't reject. It learns from ``labels``, without the test rows."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~toxicity.held_out())
+    model = toxicity.learn(docs.select("doc_id", "text"), labels)
+    return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates the document with the least id.
+
+    Rows that repeat both id and text are one document; rows without an id are kept as they are.
+    """
+    found = stored(jaccard_join.near_duplicates(docs.select("doc_id", "text")), "near-duplicates")
+    removed = found.where("doc_id != component_id").select("doc_id").distinct()
+    if removed.count() <= jaccard_join.MAX_WANTED:  # ids only; beyond that a shuffle
+        removed = F.broadcast(removed)
+    kept = docs.join(removed, "doc_id", "left_anti")
+    repeated = stored(
+        found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids"
+    )
+    if not repeated.isEmpty():
+        single = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(single)
+    return kept.select(docs.columns)
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of each secret; ``n_chars`` follows the text."""
+    scanned = secret_scan.find_secrets(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    hidden = secret_scan.redact(scanned)
+    length = F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))
+    return hidden.withColumn("n_chars", length).select(docs.columns)
+
+
+def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents with their places in sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path(WORD_BPE))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", keep_one_of_near_copies),
+    ("secret_scan", hide_secrets),
+    ("packing", pack_tokens),
+]
 
-ORACLE_SQL = None
+ORACLE_SQL = None  # learned scores and a tokenizer are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to ``documents``; each is written as Parquet and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -153,11 +153,11 @@ def introduce(edges: DataFrame, nodes: DataFrame, k: int, parts: int) -> DataFra
         .distinct()
         .join(nodes.select(F.col("node").alias("neighbour"), "half"), "neighbour")
         .join(floors.withColumnRenamed("node", "neighbour"), "neighbour")
-        .select("part", "neighbour", "half", "floor")
+        .select(F.col("part").alias("g_part"), F.col("neighbour").alias("guest"), "half", "floor")
     )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = right["neighbour"].to_numpy()
+        ids = right["guest"].to_numpy()
         order = np.argsort(ids)
         ids = ids[order]
         x = _matrix(right["half"].combine_chunks())[order]
@@ -193,7 +193,7 @@ def introduce(edges: DataFrame, nodes: DataFrame, k: int, parts: int) -> DataFra
             {"node": ids[node[kept]], "neighbour": ids[other[kept]], "near": pa.array(near[kept], pa.float32())}
         )
 
-    met = hosts.groupBy("part").cogroup(guests.groupBy("part")).applyInArrow(
+    met = hosts.groupBy("part").cogroup(guests.groupBy("g_part")).applyInArrow(
         meet, "node bigint, neighbour bigint, near float"
     )
     return met.withColumn("fresh", F.lit(True))
@@ -223,8 +223,8 @@ def walk(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int = WI
     own = nodes.select(F.col("node").alias("query"), F.col("half").alias("own"))
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        """left: (part, query, node); right: (part, node, half) of both sides' nodes."""
-        ids = right["node"].to_numpy()
+        """left: (part, query, node); right: (v_part, v_node, half) of both sides' nodes."""
+        ids = right["v_node"].to_numpy()
         order = np.argsort(ids)
         x, ids = _matrix(right["half"].combine_chunks())[order], ids[order]
         query, node = left["query"].to_numpy(), left["node"].to_numpy()
@@ -239,8 +239,10 @@ def walk(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int = WI
         needed = pairs.select("part", "node").unionByName(
             pairs.select("part", F.col("query").alias("node"))
         )
-        vectors = needed.distinct().join(nodes.select("node", "half"), "node").select("part", "node", "half")
-        return pairs.groupBy("part").cogroup(vectors.groupBy("part")).applyInArrow(
+        vectors = needed.distinct().join(nodes.select("node", "half"), "node").select(
+            F.col("part").alias("v_part"), F.col("node").alias("v_node"), "half"
+        )
+        return pairs.groupBy("part").cogroup(vectors.groupBy("v_part")).applyInArrow(
             compare, "query bigint, node bigint, near float"
         )
 
