@@ -22,7 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon model doesn't reject. It learns from ``labels``, without the test rows."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~toxicity.held_out())
     model = toxicity.learn(docs.select("doc_id", "text"), labels)
-    return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
+    whole = docs.select(F.struct("*").alias("row"), "text")  # so that no column of the input clashes
+    return toxicity.score(whole, model).where("predicted = 0").select("row.*")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +47,11 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret; ``n_chars`` follows the text."""
-    scanned = secret_scan.find_secrets(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    whole = docs.select(F.struct("*").alias("row"), "text")
+    scanned = secret_scan.find_secrets(whole, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     hidden = secret_scan.redact(scanned)
-    length = F.coalesce(F.length("text").cast("bigint"), F.col("n_chars"))
-    return hidden.withColumn("n_chars", length).select(docs.columns)
+    new = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text").cast("bigint"), F.col("row.n_chars"))}
+    return hidden.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

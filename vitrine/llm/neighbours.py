@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from vitrine.llm.common import stored
 
@@ -45,7 +45,7 @@ def valid_vectors(rows: DataFrame, id_column: str = "vec_id", column: str = "emb
     return kept.withColumn("length", F.size("vector"))
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def _halves(vectors: pa.Array) -> pa.Array:
     """Unit vectors in half precision."""
     values = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
@@ -268,7 +268,7 @@ def walk(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int = WI
     return beam.select("query", "node", "near")
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def _cosine(a: pa.Array, b: pa.Array) -> pa.Array:
     x = a.flatten().to_numpy(zero_copy_only=False).reshape(len(a), -1)
     y = b.flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1)

@@ -218,46 +218,47 @@ def plan(spark: SparkSession, counts: dict[int, int], capacity: int = CAPACITY)
     return placed
 
 
-def with_rank(items: DataFrame, order: list[str]) -> DataFrame:
-    """``rank`` of each item among those of its length, from 0: counts per hashed bucket, then numbers within one."""
+def with_rank(items: DataFrame, order: list[str], length: str = "length", out: str = "__rank") -> DataFrame:
+    """``out``: the rank of each item among those of its length, from 0.
+
+    Items are counted per hashed bucket of their length and numbered within it, so no length is one task.
+    """
     width = shuffle_width(items.sparkSession)
-    dealt = items.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(width)).cast("int"))
-    sizes = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    ahead = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("length", "bucket", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("length", "bucket").orderBy(*order)
-    numbered = dealt.withColumn("nth", F.row_number().over(inside) - 1)
+    dealt = items.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(width)).cast("int"))
+    sizes = dealt.groupBy(length, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    ahead = Window.partitionBy(length).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(length, "__bucket", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"))
+    inside = Window.partitionBy(length, "__bucket").orderBy(*order)
+    numbered = dealt.withColumn("__nth", F.row_number().over(inside) - 1)
     return (
-        numbered.join(offsets, ["length", "bucket"])
-        .withColumn("rank", F.col("ahead") + F.col("nth"))
-        .drop("bucket", "nth", "ahead")
+        numbered.join(offsets, [length, "__bucket"])
+        .withColumn(out, F.col("__ahead") + F.col("__nth"))
+        .drop("__bucket", "__nth", "__ahead")
     )
 
 
 def pack(items: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFrame:
-    """``items`` with ``sequence_id`` and ``offset``. ``items`` should be a stored table: it is read three times.
+    """``items`` with ``sequence_id`` and ``offset`` (columns of these names are replaced).
 
-    ``order`` names columns that tell items apart. The intervals are bounded by the number of lengths and rounds, so
-    they are broadcast whatever the size of ``items``.
+    ``items`` should be a stored table: it is read three times. ``order`` names columns that tell items apart. The
+    intervals are bounded by the number of lengths and rounds, so they are broadcast whatever the size of ``items``.
     """
-    rows = items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).limit(capacity + 1).collect()
-    counts = {r["length"]: r["n"] for r in rows}
+    items = items.drop("sequence_id", "offset")
+    rows = items.groupBy("length").agg(F.count(F.lit(1)).alias("__n")).limit(capacity + 1).collect()
+    counts = {r["length"]: r["__n"] for r in rows}
     if any(n is None or not 1 <= n <= capacity for n in counts):
         raise ValueError(f"lengths from 1 to {capacity} can be packed")
-    placed = plan(items.sparkSession, counts, capacity)
-    at = _frame(items.sparkSession, placed, PLACED).select(
-        F.col("length").alias("p_length"), F.col("first").alias("p_first"), F.col("count").alias("p_count"),
-        "per", "sequence", F.col("offset").alias("p_offset"),
-    )
+    placed = _frame(items.sparkSession, plan(items.sparkSession, counts, capacity), PLACED)
+    at = placed.select(*[F.col(c).alias(f"__{c}") for c in placed.columns])
     ranked = with_rank(items, order)
-    nth = F.col("rank") - F.col("p_first")
+    nth = F.col("__rank") - F.col("__first")
     found = ranked.join(
-        F.broadcast(at), (F.col("length") == F.col("p_length")) & (nth >= 0) & (nth < F.col("p_count"))
+        F.broadcast(at), (F.col("length") == F.col("__length")) & (nth >= 0) & (nth < F.col("__count"))
     )
     return found.select(
         *items.columns,
-        (F.col("sequence") + F.floor(nth / F.col("per"))).alias("sequence_id"),
-        (F.col("p_offset") + (nth % F.col("per")) * F.col("length")).cast("bigint").alias("offset"),
+        (F.col("__sequence") + F.floor(nth / F.col("__per"))).alias("sequence_id"),
+        (F.col("__offset") + (nth % F.col("__per")) * F.col("length")).cast("bigint").alias("offset"),
     )
 
 
