@@ -7,6 +7,7 @@ from pyspark.sql import Observation, functions as F
 from vitrine.operators import (
     cleaning, filters, hybrid, language_model, metrics, planning, profiling, sampling, sequences,
 )
+from vitrine.operators.numbering import number_rows
 
 
 def hits(spark, color, category=""):
@@ -135,6 +136,19 @@ def test_sample_is_stable(spark):
     assert sampling.sample_n(df, 900, "row_id").count() == 500
 
 
+def test_numbers_follow_the_order(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x")).repartition(7)
+    rows = number_rows(df, [F.desc("x")], "n", 5).collect()
+    assert sorted((r.n, r.x) for r in rows) == [(5 + i, 999 - i) for i in range(1000)]
+
+
+def test_vocabulary_keeps_every_token(spark):
+    df = spark.range(40_000).select(F.concat(F.lit("common w"), "id").alias("prompt"))
+    vocab = sequences.build_vocab(df, "prompt")
+    assert vocab.count() == 40_001 and vocab.where("id = 2").first().token == "common"
+    assert vocab.agg(F.max("id")).first()[0] == 40_002
+
+
 # --- sequences ---------------------------------------------------------------------------------
 
 
@@ -144,7 +158,7 @@ def test_encode_both_ways(spark):
     vocab = sequences.build_vocab(df.where("row_id = 1"), "prompt", 2)
     assert [tuple(r) for r in vocab.orderBy("id").collect()] == [("a", 2, 2), ("b", 3, 1)]
     local = sequences.encode(df, "prompt", vocab, 8)
-    joined = sequences.encode(df, "prompt", vocab, 8, broadcast_words=1)
+    joined = sequences.encode(df, "prompt", vocab, 8, broadcast_bytes=1)
     columns = ["row_id", "input_ids", "attention_mask", "labels"]
     got = {r[0]: r for r in local.select(columns).collect()}
     assert got == {r[0]: r for r in joined.select(columns).collect()}

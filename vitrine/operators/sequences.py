@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vitrine.functions import fixed
 from vitrine.functions.text import ws_tokens
+from vitrine.operators.joins import salted_join
+from vitrine.operators.numbering import number_rows
 
-MAX_VOCABULARY = 32_000
-BROADCAST_WORDS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 IDS = T.ArrayType(T.IntegerType())
 
 
@@ -22,20 +23,21 @@ def sequence_tokens(text: Column) -> Column:
     return ws_tokens(F.lower(text))
 
 
-def build_vocab(df: DataFrame, col: str, max_size: int = MAX_VOCABULARY) -> DataFrame:
-    """``(token, id, count)`` of the ``max_size`` most frequent tokens, ids from 2 (0 pad, 1 unknown).
+def build_vocab(df: DataFrame, col: str, max_size: int | None = None) -> DataFrame:
+    """``(token, id, count)`` of all tokens, ids from 2 (0 pad, 1 unknown), the most frequent first.
 
-    Counting combines on the map side; only the ``max_size`` winners reach the numbering window.
+    ``max_size`` keeps that many of them. Counting combines on the map side, numbering goes range by range.
     """
     counted = (
         df.select(F.explode(sequence_tokens(F.col(col))).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    order = [F.desc("count"), F.col("token")]
-    top = counted.orderBy(*order).limit(max_size)
-    number = F.row_number().over(Window.orderBy(*order)) + fixed.UNKNOWN_ID
-    return top.select("token", number.alias("id"), "count")
+    first = fixed.UNKNOWN_ID + 1
+    numbered = number_rows(counted, [F.desc("count"), F.col("token")], "id", first)
+    if max_size is not None:
+        numbered = numbered.where(F.col("id") < first + max_size)
+    return numbered.select("token", F.col("id").cast("int").alias("id"), "count")
 
 
 def encode(
@@ -43,19 +45,19 @@ def encode(
     col: str,
     vocab: DataFrame,
     max_length: int = fixed.SEQUENCE_LENGTH,
-    broadcast_words: int = BROADCAST_WORDS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Adds ``input_ids``, ``attention_mask`` and ``labels``, each of exactly ``max_length`` numbers.
 
     Longer texts are truncated, shorter ones padded on the right; labels are the ids including padding.
-    Ids of a vocabulary of at most ``broadcast_words`` are looked up inside the row; a larger one is
+    Ids of a vocabulary of at most ``broadcast_bytes`` are looked up inside the row; a larger one is
     joined, at the price of one shuffle of the (truncated) tokens.
     """
     tokens = F.slice(sequence_tokens(F.col(col)), 1, max_length)
     words = vocab.select("token", "id")
-    held = words.limit(broadcast_words + 1).toArrow()
-    if held.num_rows <= broadcast_words:
-        coded = df.withColumn("__ids", _local_ids(df.sparkSession, tokens, held))
+    size = words.agg(F.sum(F.octet_length("token") + 12)).first()[0] or 0
+    if size <= broadcast_bytes:
+        coded = df.withColumn("__ids", _local_ids(df.sparkSession, tokens, words.toArrow()))
     else:
         coded = _joined_ids(df, tokens, words)
     missing = F.lit(max_length) - F.size("__ids")
@@ -92,7 +94,7 @@ def _local_ids(spark: SparkSession, tokens: Column, words: pa.Table) -> Column:
 
 def _joined_ids(df: DataFrame, tokens: Column, words: DataFrame) -> DataFrame:
     placed = df.select("row_id", F.posexplode(tokens).alias("pos", "token"))
-    known = placed.join(words, "token", "left")
+    known = salted_join(placed, words, "token", F.col("row_id"), "left")
     entry = F.struct("pos", F.coalesce("id", F.lit(fixed.UNKNOWN_ID)).cast("int").alias("id"))
     coded = known.groupBy("row_id").agg(  # at most max_length tokens per text
         F.sort_array(F.collect_list(entry))["id"].alias("__ids")

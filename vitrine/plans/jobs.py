@@ -90,7 +90,7 @@ def prompt_stats(prompted: DataFrame) -> DataFrame:
 def prepare_sequences(
     prompted: DataFrame,
     share: float = fixed.VALIDATION_SHARE,
-    max_vocabulary: int = sequences.MAX_VOCABULARY,
+    max_vocabulary: int | None = None,
     max_length: int = fixed.SEQUENCE_LENGTH,
 ) -> DataFrame:
     """Split, learn the vocabulary from the training part, encode both parts."""
@@ -133,7 +133,7 @@ def build_index(
 
 
 def _largest_top_k(requests: DataFrame) -> int:
-    return requests.agg(F.max("top_k")).first()[0] or fixed.DEFAULT_TOP_K
+    return max(1, requests.agg(F.max("top_k")).first()[0] or fixed.DEFAULT_TOP_K)
 
 
 def _with_metadata(hits: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
@@ -237,14 +237,18 @@ def planned_retrieve(
     max_top_k: int = 5,
     stats: bm25.KeywordStats | None = None,
 ) -> DataFrame:
-    """Each request by its planned strategy and planned top-k."""
+    """Each request by its planned strategy and planned top-k (2 to ``max_top_k``).
+
+    A hybrid search fetches twice the request's own planned top-k from either source.
+    """
     planned = planning.plan_requests(requests)
     dense = dense_hits(planned.where("retrieval_strategy = 'dense'"), index, model, max_top_k)
-    hybrid = hybrid_retrieve(
-        planned.where("retrieval_strategy = 'hybrid'"), index, model, max_top_k, stats
-    )
-    both = dense.withColumn("source", F.lit("dense")).unionByName(hybrid)
-    return both.where(F.col("rank") <= F.col("planned_top_k"))
+    found = dense.withColumn("source", F.lit("dense"))
+    hybrid = planned.where("retrieval_strategy = 'hybrid'")
+    for k in range(2, max_top_k + 1):
+        own = hybrid.where(F.col("planned_top_k") == k)
+        found = found.unionByName(hybrid_retrieve(own, index, model, k, stats))
+    return found.where(F.col("rank") <= F.col("planned_top_k"))
 
 
 def nest_hits(hits: DataFrame, extra: list[str] = []) -> DataFrame:
@@ -260,9 +264,17 @@ def _no_similar() -> Column:
     )
 
 
-def _with_similar(requests: DataFrame, hits: DataFrame, extra: list[str] = []) -> DataFrame:
-    """Requests with their hits; a request without hits has an empty array."""
-    nested = requests.join(nest_hits(hits, extra), "query_id", "left")
+def _with_similar(
+    requests: DataFrame, find: Callable[[DataFrame], DataFrame], extra: list[str] = []
+) -> DataFrame:
+    """Requests with the hits that ``find`` brings; a request without hits has an empty array.
+
+    ``query_id`` is the user's and may repeat: hits are found and nested by the whole content of a request.
+    """
+    asked = requests.withColumn("__asked", F.sha2(F.to_json(F.struct("*")), 256))
+    unique = asked.withColumn("query_id", F.col("__asked")).drop("__asked").dropDuplicates(["query_id"])
+    found = nest_hits(find(unique), extra).withColumnRenamed("query_id", "__asked")
+    nested = salted_join(asked, found, "__asked", F.col("query_id"), "left").drop("__asked")
     none = F.array().cast(nested.schema["similar"].dataType)
     return nested.withColumn("similar", F.coalesce("similar", none))
 
@@ -288,8 +300,9 @@ def recommend(
     Filters run after top-k, so a request may keep fewer than ``top_k`` products.
     """
     extra = ["fulldescription_clean"] if fewshot else []
-    hits = apply_filters(retrieve(requests, index, model, k, SHOWN + extra))
-    nested = _with_similar(requests, hits, extra)
+    nested = _with_similar(
+        requests, lambda asked: apply_filters(retrieve(asked, index, model, k, SHOWN + extra)), extra
+    )
     name, color = F.col("name"), F.col("color")
     prompt = fewshot_prompt(name, color, F.col("similar")) if fewshot else (
         inference_prompt(name, color)
@@ -313,7 +326,7 @@ def plan_batch(
     if index is None:
         nested = named.withColumn("similar", _no_similar())
     else:
-        nested = _with_similar(named, dense_hits(named, index, model, top_k))
+        nested = _with_similar(named, lambda asked: dense_hits(asked, index, model, top_k))
     enriched = planning.enrich_color(nested)
     prompted = enriched.withColumn("prompt", inference_prompt(F.col("name"), F.col("final_color")))
     described = _describe(prompted, generate)

@@ -7,7 +7,6 @@ the engine prunes, long form where it uses arrays.
 from __future__ import annotations
 
 from vitrine.functions import fixed, text
-from vitrine.operators.sequences import MAX_VOCABULARY
 
 
 def _q(value: str) -> str:
@@ -127,7 +126,7 @@ _CTE = {
         {round(fixed.VALIDATION_SHARE * 1000)} THEN 'val' ELSE 'train' END AS split FROM documents""",
     "vocab": f"""SELECT token, row_number() OVER (ORDER BY count DESC, token) + 1 AS id, count FROM
         (SELECT token, count(*) AS count FROM (SELECT unnest({_words('lower(src)')}) AS token FROM vocab_source)
-         GROUP BY token) ORDER BY count DESC, token LIMIT {MAX_VOCABULARY}""",
+         GROUP BY token)""",
     "losses": """SELECT event_id AS row_id, CASE event_type WHEN 'error' THEN 'nan'::DOUBLE
         WHEN 'click' THEN 'inf'::DOUBLE ELSE value / 100 END AS loss FROM events""",
 }
@@ -241,16 +240,16 @@ def _keyword(source: str, k: str) -> list[tuple[str, str]]:
     ]
 
 
-def _merged(k: str) -> tuple[str, str]:
-    """``merged``: dense then keyword hits, one per name, first k."""
+def _merged(k: str, fetched: str = "") -> tuple[str, str]:
+    """``merged``: dense then keyword hits, one per name, first k; ``fetched`` limits the hits before."""
     return (
         "merged",
         f"""SELECT query_id, row_id, name_clean, source, similarity_score, CAST(place AS INTEGER) AS rank
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY source, rank) AS place
         FROM (SELECT * FROM (
-                SELECT query_id, rank, row_id, name_clean, similarity_score, 'dense' AS source FROM dhits
+                SELECT query_id, rank, row_id, name_clean, similarity_score, 'dense' AS source FROM dhits {fetched}
                 UNION ALL
-                SELECT query_id, rank, row_id, name_clean, similarity_score, 'keyword' FROM khits)
+                SELECT query_id, rank, row_id, name_clean, similarity_score, 'keyword' FROM khits {fetched})
               QUALIFY row_number() OVER (PARTITION BY query_id, name_clean ORDER BY source, rank) = 1))
         WHERE place <= {k}""",
     )
@@ -680,7 +679,7 @@ def oracle_queries() -> dict[str, str]:
             WHERE retrieval_strategy = 'hybrid') JOIN plan USING (query_id) WHERE rank <= planned_top_k""",
         *_dense("plan", "10"),
         *_keyword("plan", "10"),
-        _merged("5"),
+        _merged("5", "JOIN (SELECT query_id, planned_top_k AS planned FROM plan) USING (query_id) WHERE rank <= 2 * planned"),
     )
     sql["color_inference"] = _with(
         _ASKED, "SELECT query_id, final_color, enrich_status, enrich_detail FROM enriched", *_ENRICHED

@@ -10,6 +10,9 @@ from vitrine.sources import schemas
 from vitrine.sources.tables import read_table, require_columns, with_row_id, write_table
 
 
+TOP_K_TOO_SMALL = "top_k must be at least 1"
+
+
 def normalize_requests(df: DataFrame) -> DataFrame:
     """Trim texts, '' for missing ones, default top-k."""
     have = set(df.columns)
@@ -51,7 +54,7 @@ def parse_requests(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFr
         "error",
         F.when(~F.col("named"), fixed.MISSING_NAME).when(
             strip_ws(F.coalesce("r.name", F.lit(""))) == "", fixed.EMPTY_NAME
-        ),
+        ).when(F.col("r.top_k").try_cast("int") < 1, TOP_K_TOO_SMALL),
     )
     accepted = normalize_requests(checked.where("error IS NULL").select("query_id", "r.*"))
     rejected = checked.where("error IS NOT NULL").select("query_id", "body", "error")

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.functions import fixed
+from vitrine.operators.numbering import number_rows
 from vitrine.session import materialize
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
@@ -52,10 +53,23 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def with_row_id(df: DataFrame, name: str = "row_id", path: str | None = None) -> DataFrame:
-    """Give every row a number that stays: assigned once, written, and read back."""
+    """Give every row of a scan a number that stays: in order of files and rows, written, and read back.
+
+    Files count by path, the parts of a file by their place in it, so neither the number of cores nor the packing of
+    files into tasks matters. Rows that don't come from files count in the order of their partitions.
+    """
     if name in df.columns:
         return df.withColumn(name, F.col(name).cast("bigint"))
-    return materialize(df.withColumn(name, F.monotonically_increasing_id()), name, path)
+    columns = df.columns
+    place = F.monotonically_increasing_id().alias("__place")
+    try:
+        file = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block")]
+        placed = df.select(*columns, *file, place)
+    except AnalysisException:
+        placed = df.select(*columns, F.lit("").alias("__file"), F.lit(0).alias("__block"), place)
+    order = [F.col("__file"), F.col("__block"), F.col("__place")]
+    numbered = number_rows(materialize(placed, f"{name}-places"), order, name)
+    return materialize(numbered.select(*columns, name), name, path)
 
 
 def read_catalog(
@@ -64,7 +78,7 @@ def read_catalog(
     """Raw catalogue: the three raw columns and ``row_id``; other columns are not read."""
     df = require_columns(read_table(spark, path, fmt, multiline), fixed.RAW_COLUMNS, "catalogue")
     ids = ["row_id"] if "row_id" in df.columns else []
-    rows = with_row_id(spread(df.select(*ids, *fixed.RAW_COLUMNS)))
+    rows = with_row_id(df.select(*ids, *fixed.RAW_COLUMNS))
     return rows.select("row_id", *fixed.RAW_COLUMNS)
 
 
