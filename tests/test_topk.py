@@ -115,8 +115,6 @@ def okapi(queries, documents, k):
     for q, terms in enumerate(queries):
         scored = []
         for i, d in enumerate(documents):
-            if not set(terms) & set(d):
-                continue
             tf = Counter(d)
             score = sum(
                 idf[t] * tf[t] * 2.5 / (tf[t] + 1.5 * (0.25 + 0.75 * len(d) / avgdl))

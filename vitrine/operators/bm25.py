@@ -90,12 +90,12 @@ def bm25_search(
 ) -> DataFrame:
     """Top-k documents per query: ``(query_id, row_id, score, rank)``, ties by ``row_id``.
 
-    ``queries`` has ``(query_id, tokens)``; repeated query tokens count repeatedly. Only documents that
-    share a token with the query are returned. Documents are scored where they lie, so a term shared by
+    ``queries`` has ``(query_id, tokens)``; repeated query tokens count repeatedly. All documents are ranked: one that
+    shares no token with the query scores zero. Documents are scored where they lie, so a term shared by
     many queries and many documents never becomes a join of all its pairs.
     """
     stats = keyword_stats(documents) if stats is None else stats
-    wanted = (
+    matched = (
         queries.select("query_id", F.explode("tokens").alias("term"))
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("times"))
@@ -112,6 +112,12 @@ def bm25_search(
             F.col("entries.weight").alias("weights"),
         )
     )
+    everyone = queries.select("query_id").distinct().join(matched, "query_id", "left")
+    wanted = everyone.select(
+        "query_id",
+        F.coalesce("terms", F.array().cast("array<string>")).alias("terms"),
+        F.coalesce("weights", F.array().cast("array<double>")).alias("weights"),
+    )
     return blocked_topk(
         wanted,
         documents,

@@ -241,7 +241,7 @@ class InnerProduct:
 
 
 class Okapi:
-    """BM25 over token arrays; rows that share no term with a query are not candidates.
+    """BM25 over token arrays; rows that share no term with a query score zero, like any other score.
 
     A query row carries its distinct ``terms`` and ``weights`` (idf times the number of times the term
     occurs in the query).
@@ -286,23 +286,18 @@ class Okapi:
         found = found.to_numpy(zero_copy_only=False).astype(np.int64)
         row = np.repeat(np.arange(len(ids)), sizes)[found >= 0]
         cell, count = np.unique(found[found >= 0] * len(ids) + row, return_counts=True)
-        if not len(cell):
-            return
         term, row = np.divmod(cell, len(ids))
         damping = self.k1 * (1 - self.b + self.b * sizes[row] / self.avgdl)
         gain = count * (self.k1 + 1) / (count + damping)
         present, start = np.unique(term, return_index=True)
         end = np.append(start[1:], len(term))
         scores = np.zeros((best.n, len(ids)))
-        shared = np.zeros((best.n, len(ids)), dtype=bool)
         for t, lo, hi in zip(present, start, end):  # ascending terms: a fixed order of summation
             asking = slice(bounds[t], bounds[t + 1])
             where = np.ix_(owner[asking], row[lo:hi])
             scores[where] += weight[asking, None] * gain[None, lo:hi]
-            shared[where] = True
-        scores[~shared] = -np.inf
         bar = np.maximum(best.floor[:, None], _kth_largest(scores, best.k))
         level = scores == bar  # rows are in id order: the first k ties suffice
         level &= np.cumsum(level, axis=1) <= best.k
-        query, hit = np.nonzero(shared & ((scores > bar) | level))
+        query, hit = np.nonzero((scores > bar) | level)
         best.add(query, ids[hit], scores[query, hit])

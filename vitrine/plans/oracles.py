@@ -227,8 +227,11 @@ def _keyword(source: str, k: str) -> list[tuple[str, str]]:
             "ktop",
             f"""SELECT ktext, row_id, score,
                 row_number() OVER (PARTITION BY ktext ORDER BY score DESC, row_id) AS rank
-            FROM (SELECT ktext, row_id, sum(idf * times * ({gain}) ORDER BY t) AS score
-                  FROM kterm JOIN bterm USING (t) JOIN btf USING (t) GROUP BY ktext, row_id)
+            FROM (SELECT ktext, row_id, coalesce(score, 0) AS score
+                  FROM (SELECT DISTINCT ktext FROM kasked) CROSS JOIN (SELECT row_id FROM bdoc)
+                  LEFT JOIN (SELECT ktext, row_id, sum(idf * times * ({gain}) ORDER BY t) AS score
+                             FROM kterm JOIN bterm USING (t) JOIN btf USING (t) GROUP BY ktext, row_id)
+                  USING (ktext, row_id))
             QUALIFY rank <= {k}""",
         ),
         (

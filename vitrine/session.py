@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,11 +31,6 @@ def build_session(app: str = "vitrine", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="vitrine-")
-
-
 def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write a table once and read it back: a short lineage that outlives lost executors."""
     path = path or scratch_path(df.sparkSession, label)
@@ -48,11 +41,11 @@ def materialize(df: DataFrame, label: str, path: str | None = None) -> DataFrame
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the cluster's shared checkpoint folder.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session may do without that setting: it uses the warehouse folder.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        root = _local_root()
+        root = spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/vitrine/{label}-{uuid.uuid4().hex}"

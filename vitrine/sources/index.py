@@ -21,12 +21,9 @@ def _model(path: str) -> str:
 
 
 def index_exists(spark: SparkSession, path: str) -> bool:
-    """True once the rows are readable; the leftovers of a failed build are not."""
-    try:
-        spark.read.parquet(_rows(path))
-        return True
-    except AnalysisException:
-        return False
+    """True once the rows are written to the end; the leftovers of a failed build are not."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{_rows(path)}/_SUCCESS")
+    return done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done)
 
 
 def write_index(df: DataFrame, path: str, model: HashedTfidf | None = None) -> bool:
