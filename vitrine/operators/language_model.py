@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vitrine.functions.ngrams import ngrams
 from vitrine.functions.text import ws_tokens
-from vitrine.operators.joins import heavy_keys, salted_join
+from vitrine.operators.joins import HEAVY_KEYS, HEAVY_ROWS, salted_join
 from vitrine.session import scratch_path
 
 START = "<s>"
@@ -62,6 +62,12 @@ class NgramModel:
         return cls(n, counts, contexts, size[0], size[1])
 
 
+def _hot(counts: DataFrame, key: str, count: str) -> DataFrame:
+    """The most frequent keys of a count table, in the form of ``heavy_keys``."""
+    often = counts.where(F.col(count) >= HEAVY_ROWS).orderBy(F.desc(count), key).limit(HEAVY_KEYS)
+    return often.select(key, F.lit(True).alias("__heavy"))
+
+
 def ngram_loss(
     model: NgramModel,
     test: DataFrame,
@@ -72,17 +78,17 @@ def ngram_loss(
     """``(row_id, loss)``: mean ``-ln((c + k) / (context + k (V + 1)))`` over a test text's n-grams.
 
     V counts the training words and 1 stands for all unseen ones. Texts are read whole unless
-    ``max_tokens`` sets a window. Test n-grams are counted per text before they meet the model, and hot
-    ones are salted.
+    ``max_tokens`` sets a window. Test n-grams are counted per text before they meet the model; those that the
+    model's own counts show as hot are salted.
     """
     grams = _grams(test, col, model.n, ["row_id"], max_tokens)
     seen = grams.groupBy("row_id", "gram").agg(F.count(F.lit(1)).alias("times"))
     row = F.col("row_id")
-    scored = salted_join(seen, model.counts, "gram", row, "left", heavy_keys(grams, "gram"))
+    scored = salted_join(seen, model.counts, "gram", row, "left", _hot(model.counts, "gram", "c"))
     context = F.lit(model.n_tokens)
     if model.contexts is not None:
         first = F.substring_index("gram", " ", 1).alias("first")
-        hot = heavy_keys(grams.select(first), "first")
+        hot = _hot(model.contexts, "first", "ctx")
         scored = salted_join(
             scored.withColumn("first", first), model.contexts, "first", row, "left", hot
         )
