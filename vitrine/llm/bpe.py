@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from vitrine.llm.common import per_worker
 
-TABLE_WORDS = 1_000_000
-SLICE_BYTES = 4 << 20  # text that is encoded at once
+TABLE_WORDS = 400_000
+SLICE_BYTES = 2 << 20  # text that is encoded at once
 
 
 def tokenizer(path: str):
@@ -47,6 +47,11 @@ def tokenizer(path: str):
     return made
 
 
+# Signs that the tokenizer keeps apart from a word of letters before them; an apostrophe may belong to it.
+_SIGNS = ".,!?;:%&#$*|\""
+JOINED = 500  # words of letters that are encoded by one call
+
+
 class WordTable:
     """Distinct words and their ids, as one flat array with a start and a length per word."""
 
@@ -56,12 +61,20 @@ class WordTable:
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.parts: dict[str, list[int]] = {"": []}
         self.flat, self.used = np.empty(1 << 16, np.int32), 0
         self.starts, self.lengths = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
     def add(self, words: list[str]) -> None:
-        new = self.encoder.encode_batch_fast(words, add_special_tokens=False)
-        ids = [e.ids for e in new]
+        split = [self.split(w) for w in words]
+        new = {part for pair in split for part in pair if part not in self.parts}
+        letters = sorted(w for w in new if w.isalpha())
+        for at in range(0, len(letters), JOINED):
+            self.add_letters(letters[at : at + JOINED])
+        others = [w for w in new if not w.isalpha()]
+        for word, encoded in zip(others, self.encoder.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self.parts[word] = encoded.ids
+        ids = [self.parts[core] + self.parts[signs] if signs else self.parts[core] for core, signs in split]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for word in ids for i in word), np.int32, int(lengths.sum()))
         first, count = len(self.known), len(words)
@@ -76,6 +89,28 @@ class WordTable:
         self.used += len(flat)
         self.known.update(zip(words, range(first, first + count), strict=True))
 
+    @staticmethod
+    def split(word: str) -> tuple[str, str]:
+        """Letters and the signs after them, which have ids of their own; any other word stays whole."""
+        core = word.rstrip(_SIGNS)
+        if len(core) == len(word) or not core.isalpha():
+            return (word.lower() if word.isascii() and word.isalpha() else word), ""
+        return (core.lower() if core.isascii() else core), word[len(core) :]
+
+    def add_letters(self, words: list[str]) -> None:
+        """Words of letters are one token group each, so many can be encoded as one text."""
+        encoded = self.encoder.encode(" ".join(words), add_special_tokens=False)
+        ids, groups = encoded.ids, np.array(encoded.word_ids)
+        counts = np.bincount(groups, minlength=len(words))
+        if len(counts) != len(words) or not counts.all():  # a letter that falls apart when normalised
+            each = self.encoder.encode_batch_fast(words, add_special_tokens=False)
+            self.parts.update((w, e.ids) for w, e in zip(words, each, strict=True))
+            return
+        at = 0
+        for word, count in zip(words, counts.tolist(), strict=True):
+            self.parts[word] = ids[at : at + count]
+            at += count
+
     def rows_of(self, words: list[str]) -> np.ndarray:
         """The table's row of each (distinct) word."""
         if len(self.known) + len(words) > TABLE_WORDS:
@@ -116,22 +151,36 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         yield start, len(sizes)
 
 
-def encode(docs: DataFrame, path: str, text_column: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each text (a column ``out`` of the input is replaced)."""
-    source = docs.drop(out)
-    schema = T.StructType([*source.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
-    place = source.columns.index(text_column)
+Use = Callable[[pa.RecordBatch, np.ndarray, np.ndarray], pa.RecordBatch]
+
+
+def map_ids(docs: DataFrame, path: str, use: Use, schema, text_column: str = "text") -> DataFrame:
+    """``use(rows, ids, bounds)`` for all rows, a few MB of text at a time.
+
+    ``ids`` are those of all the rows' texts; text ``i`` has ``ids[bounds[i] : bounds[i + 1]]``.
+    """
+    place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = word_table(path)
         for batch in batches:
             for start, end in slices(batch.column(place)):
                 part = batch.slice(start, end - start)
-                ids, bounds = table.encode(part.column(place))
-                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, out])
+                yield use(part, *table.encode(part.column(place)))
+
+    return docs.mapInArrow(run, schema)
+
 
-    return source.mapInArrow(run, schema)
+def encode(docs: DataFrame, path: str, text_column: str = "text", out: str = "ids") -> DataFrame:
+    """``docs`` with the ids of each text (a column ``out`` of the input is replaced)."""
+    source = docs.drop(out)
+    schema = T.StructType([*source.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+
+    def lists(rows: pa.RecordBatch, ids: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
+        column = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+        return pa.RecordBatch.from_arrays([*rows.columns, column], [*rows.schema.names, out])
+
+    return map_ids(source, path, lists, schema, text_column)
 
 
 def piece_table(path: str) -> pa.Array:
@@ -143,26 +192,41 @@ def piece_table(path: str) -> pa.Array:
     return pa.array(pieces, pa.string())
 
 
+def pieces_of(path: str) -> pa.Array:
+    return per_worker(("pieces", path), lambda: piece_table(path))
+
+
+def numbers_of(path: str) -> pa.Array:
+    """Decimal texts by id."""
+    return per_worker(("numbers", path), lambda: pa.array([str(i) for i in range(len(pieces_of(path)))]))
+
+
+def joined(ids: np.ndarray, bounds: np.ndarray, table: pa.Array) -> pa.Array:
+    """For each list of ids its entries of ``table``, joined by spaces; ids without an entry are left out."""
+    known = (ids >= 0) & (ids < len(table))
+    if not known.all():
+        bounds = np.concatenate([[0], np.cumsum(known)])[bounds]
+        ids = ids[known]
+    parts = table.take(pa.array(ids))
+    if parts.null_count:
+        kept = pc.is_valid(parts).to_numpy(zero_copy_only=False)
+        parts, bounds = parts.drop_null(), np.concatenate([[0], np.cumsum(kept)])[bounds]
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), parts), " ")
+
+
 def decode(rows: DataFrame, path: str, ids_column: str = "ids", out: str = "decoded") -> DataFrame:
     """``rows`` with the text of each list of ids; a null list decodes to the empty text."""
 
     @F.arrow_udf("string")
     def join(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = per_worker(("pieces", path), lambda: piece_table(path))
+        table = pieces_of(path)
         for batch in batches:
-            texts = []
+            texts = [pa.array([], pa.string())]
             for start in range(0, len(batch), 500):
-                lists = batch.slice(start, 500).fill_null([])
-                ids = lists.flatten()
-                fits = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, len(table)))
-                pieces = table.take(pc.if_else(fits, ids, None))
-                bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-                kept = pc.is_valid(pieces)
-                if not pc.all(kept).as_py():
-                    counts = np.concatenate([[0], np.cumsum(kept.to_numpy(zero_copy_only=False))])
-                    pieces, bounds = pieces.drop_null(), counts[bounds]
-                parts = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces)
-                texts.append(pc.binary_join(parts, " "))
-            yield pa.concat_arrays(texts) if texts else pa.array([], pa.string())
+                lists = batch.slice(start, 500)
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+                texts.append(joined(ids, np.concatenate([[0], np.cumsum(sizes)]), table))
+            yield pa.concat_arrays(texts)
 
     return rows.withColumn(out, join(F.col(ids_column)))

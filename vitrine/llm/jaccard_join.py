@@ -33,13 +33,15 @@ from vitrine.llm.common import stored
 from vitrine.llm.components import components
 from vitrine.llm.shingles import shingle_sets
 
-GROUPS = 64
+GROUPS = 256
 FINE_GROUPS = 1024  # for the last bound before sets are moved
 PERCENT = 75
 FREQUENT = 16  # a shingle in more classes' first quarters than this comes last in the order ...
-MAX_FREQUENT = 1_000_000  # ... where the limit rises so that at most so many are listed (8 MB)
+MAX_FREQUENT = 1_000_000  # ... where the limit rises so that each count lists at most so many (8 MB)
 MAX_WANTED = 4_000_000  # ids that a scan gets by broadcast (32 MB); more are joined by a shuffle
 BLOCK = 512  # points of an R-tree
+QUERIES = 256  # searched at once
+SALTS = 32  # parts of a frequent shingle's meeting before it is summed up
 
 FACTS = "doc_id bigint, n_shingles bigint, key bigint, counts binary"
 
@@ -93,7 +95,7 @@ def facts(docs: DataFrame) -> DataFrame:
                 pa.array([_key(s) if x else None for s, x in zip(sets, some, strict=True)], pa.int64()),
                 pa.array([count_vector(s) for s in sets], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "key", "counts"])
+            yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in FACTS.split(", ")])
 
     return docs.select("doc_id", "text").mapInArrow(run, FACTS)
 
@@ -123,36 +125,68 @@ def meetings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "shingle bigint, key bigint, late boolean")
 
 
+def extensions(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """``shingle``: those that come into the first quarters (and a little beyond) when ``frequent`` ones go last."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, none = shared.value, np.empty(0, np.uint64)
+        for _, sets in _batches(batches):
+            parts = [none]
+            for s in sets:
+                first = first_quarter(s, none)
+                share = np.isin(first, often).mean() if len(first) else 0
+                if share:
+                    reach = int(1.25 * len(first) / max(1 - share, 0.25)) + 1
+                    parts.append(s[len(first) : reach])
+            found = np.concatenate(parts)
+            found = found[~np.isin(found, often)]
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["shingle"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "shingle bigint")
+
+
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the shingles that come last in the order: a bounded list, which only steers the work."""
-    counts = meetings(docs, np.empty(0, np.uint64)).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    often = stored(counts.where(F.col("n") > FREQUENT), "frequent-shingles")
-    total = often.agg(F.sum("n")).first()[0] or 0
-    limit = max(FREQUENT, total // MAX_FREQUENT)
-    listed = often.where(F.col("n") > limit).select("shingle").toPandas()["shingle"].to_numpy(np.int64)
-    return np.sort(listed.view(np.uint64))
+    """Sorted hashes of the shingles that come last in the order: a bounded list, which only steers the work.
+
+    Counted in the first quarters by hash; then once more among what takes the place of the ones found.
+    """
+
+    def listed(rows: DataFrame) -> np.ndarray:
+        counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+        often = stored(counts.where(F.col("n") > FREQUENT), "frequent-shingles")
+        limit = max(FREQUENT, (often.agg(F.sum("n")).first()[0] or 0) // MAX_FREQUENT)
+        names = often.where(F.col("n") > limit).select("shingle").toPandas()["shingle"]
+        return np.sort(names.to_numpy(np.int64).view(np.uint64))
+
+    first = listed(meetings(docs, np.empty(0, np.uint64)))
+    return np.union1d(first, listed(extensions(docs, first))) if len(first) else first
 
 
 def shared_meetings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``(shingle, key, leader)`` of the shingles by which two classes or more meet; the leader is the least key.
+    """``(shingle, key, late, leader)`` of the shingles by which two classes or more meet; the leader is the least key.
 
-    Shingles of the frequent list may hold any share of the rows: they are counted on the map side and joined back. The
-    others are grouped by one shuffle.
+    Shingles of the frequent list may hold any share of the rows: they are dealt out in parts, what is left of the parts
+    is summed up on the map side and joined back. The others are grouped by the same shuffle.
     """
-    rows = meetings(docs, frequent)
-    inside = Window.partitionBy("shingle")
-    few = (
-        rows.where("not late")
-        .select("shingle", "key", F.min("key").over(inside).alias("leader"), F.max("key").over(inside).alias("other"))
-        .where("leader != other")
-        .select("shingle", "key", "leader")
+    salt = F.when(F.col("late"), F.pmod(F.xxhash64("key"), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+    rows = meetings(docs, frequent).withColumn("part", salt)
+    inside = Window.partitionBy("shingle", "part")
+    found = rows.select(
+        "shingle",
+        "key",
+        "late",
+        F.min("key").over(inside).alias("leader"),
+        F.max("key").over(inside).alias("other"),
     )
-    if not len(frequent):
-        return few.distinct()
-    many = stored(rows.where("late").select("shingle", "key").distinct(), "late-meetings")
-    leaders = many.groupBy("shingle").agg(F.min("key").alias("leader"), F.max("key").alias("other"))
-    led = many.join(leaders.where("leader != other").drop("other"), "shingle").select("shingle", "key", "leader")
-    return few.distinct().unionByName(led)
+    met = stored(
+        found.where("late or leader != other").select("shingle", "key", "late", "leader").distinct(), "meetings"
+    )
+    late = met.where("late").drop("leader")
+    leaders = late.groupBy("shingle").agg(F.min("key").alias("leader"), F.max("key").alias("other"))
+    led = late.join(leaders.where("leader != other").drop("other"), "shingle")
+    return met.where("not late").unionByName(led)
 
 
 def min_sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -187,6 +221,15 @@ class CountTree:
 
     def search(self, queries: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs ``(query, point)`` whose bound reaches the overlap that the threshold needs."""
+        parts = [
+            (q + at, point)
+            for at in range(0, len(queries), QUERIES)
+            for q, point in [self._search(queries[at : at + QUERIES], sizes[at : at + QUERIES])]
+        ]
+        none = np.empty(0, np.int64)
+        return tuple(np.concatenate([none, *column]) for column in zip(*parts, strict=True)) if parts else (none, none)
+
+    def _search(self, queries: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         q = np.repeat(np.arange(len(queries)), len(self.levels[-1][0]))
         at = np.tile(np.arange(len(self.levels[-1][0])), len(queries))
         for level in range(len(self.levels) - 1, -1, -1):
@@ -264,9 +307,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
         vectors = [count_vector(np.frombuffer(s, np.uint64), FINE_GROUPS) for s in sets.to_pylist()]
         return pa.array(vectors, pa.binary())
 
-    points = sets.select(
-        "key", (F.octet_length("shingles") / 8).cast("bigint").alias("n_shingles"), fine("shingles").alias("counts")
-    )
+    size = (F.octet_length("shingles") / 8).cast("bigint")
+    points = sets.select("key", size.alias("n_shingles"), fine("shingles").alias("counts"))
     pairs = stored(bounded(with_points(pairs, points), FINE_GROUPS).select("a", "b"), "bounded-pairs")
     both = pairs.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("set_b")), "b").join(
         sets.select(F.col("key").alias("a"), F.col("shingles").alias("set_a")), "a"
@@ -277,57 +319,71 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
 def with_points(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     for side in "ab":
         points = classes.select(
-            F.col("key").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("counts").alias(f"counts_{side}")
+            F.col("key").alias(side),
+            F.col("n_shingles").alias(f"n_{side}"),
+            F.col("counts").alias(f"counts_{side}"),
         )
         pairs = pairs.join(points, side)
     return pairs
 
 
 def cross_pairs(met: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of different components that meet, passed by the R-trees; pairs with the leader are left out."""
-    rest = met.where("key != leader").select("shingle", "key")
-    marked = rest.join(labels, rest["key"] == labels["node"], "left").select(
-        "shingle", "key", F.coalesce("label", "key").alias("label")
+    """Pairs ``(a, b)`` of different components that meet, passed by the R-trees; pairs with the leader are left out.
+
+    Classes that meet by frequent shingles meet by many of them, mostly under the same leader: those meetings are put
+    together by leader, so that a pair is not found again for every shingle.
+    """
+    rest = met.where("key != leader")
+    by_shingle = rest.where("not late").select(F.col("shingle").alias("group"), "key")
+    by_leader = rest.where("late").select(F.col("leader").alias("group"), "key").distinct()
+    few, many = (_searched(m, labels, classes) for m in (by_shingle, by_leader))
+    return few.unionByName(many).distinct()
+
+
+def _searched(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that survive the R-trees of ``members (group, key)``."""
+    marked = members.join(labels, members["key"] == labels["node"], "left").select(
+        "group", "key", F.coalesce("label", "key").alias("label")
     )
-    sizes = marked.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("n"))
-    groups = sizes.groupBy("shingle").agg(
+    sizes = marked.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
+    groups = sizes.groupBy("group").agg(
         F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("labels")
     )
     open_groups = groups.where("labels > 1").select(
-        "shingle",
+        "group",
         F.col("top.label").alias("top"),
         F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("blocks"),
     )
-    rows = marked.join(open_groups, "shingle").join(
+    rows = marked.join(open_groups, "group").join(
         classes.select("key", "n_shingles", "counts"), "key"
     )
     outside = F.col("label") != F.col("top")
-    kept = ["shingle", "key", "label", "n_shingles", "counts"]
+    kept = ["group", "key", "label", "n_shingles", "counts"]
     built = rows.where(outside).select(
         *kept, F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("role")
     )
     asked = rows.select(*kept, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"))
-    dealt = (
-        built.unionByName(asked).repartition("shingle", "block").sortWithinPartitions("shingle", "block", "role")
-    )
+    dealt = built.unionByName(asked).repartition("group", "block").sortWithinPartitions("group", "block", "role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, points, tree = None, [], None  # the block at hand: its points, then their tree
         for batch in batches:
             rows = zip(*[batch.column(i).to_pylist() for i in range(7)], strict=True)
             asked: list[tuple] = []
-            found: list[tuple[int, int]] = []
+            found: set[tuple[int, int]] = set()
 
             def answer() -> None:
                 nonlocal tree
                 if asked and points:
                     if tree is None:
-                        tree = CountTree(_vectors([p[4] for p in points]), np.array([p[3] for p in points], np.int64))
-                    q, at = tree.search(_vectors([r[4] for r in asked]), np.array([r[3] for r in asked], np.int64))
+                        sizes = np.array([p[3] for p in points], np.int64)
+                        tree = CountTree(_vectors([p[4] for p in points]), sizes)
+                    sizes = np.array([r[3] for r in asked], np.int64)
+                    q, at = tree.search(_vectors([r[4] for r in asked]), sizes)
                     for i, j in zip(q.tolist(), at.tolist(), strict=True):
                         a, b = asked[i], points[j]
                         if a[2] != b[2]:
-                            found.append((min(a[1], b[1]), max(a[1], b[1])))
+                            found.add((min(a[1], b[1]), max(a[1], b[1])))
                 asked.clear()
 
             for row in rows:
@@ -340,11 +396,10 @@ def cross_pairs(met: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFr
                     asked.append(row)
             answer()
             if found:
-                pairs = sorted(set(found))
-                columns = [pa.array(c, pa.int64()) for c in zip(*pairs, strict=True)]
+                columns = [pa.array(c, pa.int64()) for c in zip(*sorted(found), strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -368,7 +423,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = met.where("key != leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
     links = stored(verified(bounded(with_points(stars, classes)), docs, classes), "star-links")
     labels = stored(components(links), "star-components")
-    more = stored(verified(cross_pairs(met, labels, classes), docs, classes), "cross-links")
+    crossing = stored(cross_pairs(met, labels, classes), "cross-pairs")
+    more = stored(verified(crossing, docs, classes), "cross-links")
     all_links = links.unionByName(more)
     if not more.isEmpty():
         labels = stored(components(all_links), "link-components")

@@ -26,8 +26,9 @@ from vitrine.llm.common import stored
 K = 24
 WIDTH = 96
 ROUNDS = 12
-PART_NODES = 8192  # nodes whose introductions are made in one task at a time
+PART_NODES = 4096  # nodes whose introductions are made in one task at a time
 PART_QUERIES = 512
+CHUNK = 256  # hosts whose pairs are held at once
 GROUP = 64
 RESCORED = 12  # nearest found that are compared in double precision
 
@@ -138,6 +139,19 @@ def _part(column: str, parts: int) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
 
 
+def nearest_of(node: np.ndarray, other: np.ndarray, near: np.ndarray, count: int, k: int):
+    """The ``k`` nearest entries of each node, each once."""
+    _, once = np.unique(node * np.int64(count) + other, return_index=True)  # sorted by node
+    node, other, near = node[once], other[once], near[once]
+    order = np.lexsort((-near, node))
+    node, other, near = node[order], other[order], near[order]
+    if not len(node):
+        return node, other, near
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(node) > 0]))
+    nth = np.arange(len(node)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(node)]])))
+    return node[nth < k], other[nth < k], near[nth < k]
+
+
 def introduce(edges: DataFrame, nodes: DataFrame, k: int, parts: int) -> DataFrame:
     """New entries ``(node, neighbour, near, fresh)`` from introducing the neighbours of every node to each other."""
     back = edges.select(F.col("neighbour").alias("node"), F.col("node").alias("neighbour"), "fresh")
@@ -167,31 +181,23 @@ def introduce(edges: DataFrame, nodes: DataFrame, k: int, parts: int) -> DataFra
         by_host = np.lexsort((guest, host))
         host, guest, fresh = host[by_host], guest[by_host], fresh[by_host]
         cuts = np.flatnonzero(np.diff(host)) + 1
-        found = []
-        for g, f in zip(np.split(guest, cuts), np.split(fresh, cuts), strict=True):
-            if not f.any():
-                continue
-            sims = x[g] @ x[g].T
-            a, b = np.nonzero(np.triu(f[:, None] | f[None, :], 1) & (sims > np.minimum(floor[g][:, None], floor[g][None, :])))
-            a_, b_ = g[a], g[b]
-            kept = a_ != b_
-            found.append((a_[kept], b_[kept], sims[a, b][kept]))
-        if not found:
-            return pa.table({"node": pa.array([], pa.int64()), "neighbour": pa.array([], pa.int64()), "near": pa.array([], pa.float32())})
-        a, b, near = (np.concatenate(c) for c in zip(*found, strict=True))
-        node, other, near = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([near, near])
-        better = near > floor[node]
-        node, other, near = node[better], other[better], near[better]
-        _, once = np.unique(node * np.int64(len(ids)) + other, return_index=True)
-        node, other, near = node[once], other[once], near[once]
-        order = np.lexsort((-near, node))  # the k nearest of each
-        node, other, near = node[order], other[order], near[order]
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(node) > 0])) if len(node) else np.array([], int)
-        nth = np.arange(len(node)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(node)]])))
-        kept = nth < k
-        return pa.table(
-            {"node": ids[node[kept]], "neighbour": ids[other[kept]], "near": pa.array(near[kept], pa.float32())}
-        )
+        met = list(zip(np.split(guest, cuts), np.split(fresh, cuts), strict=True))
+        best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32))
+        for start in range(0, len(met), CHUNK):
+            found = [best]
+            for g, f in met[start : start + CHUNK]:
+                if not f.any():
+                    continue
+                sims = x[g] @ x[g].T
+                wanted = np.minimum(floor[g][:, None], floor[g][None, :])
+                a, b = np.nonzero(np.triu(f[:, None] | f[None, :], 1) & (sims > wanted))
+                near, a, b = sims[a, b], g[a], g[b]
+                found += [(a, b, near), (b, a, near)]
+            node, other, near = (np.concatenate(c) for c in zip(*found, strict=True))
+            kept = (near > floor[node]) & (node != other)
+            best = nearest_of(node[kept], other[kept], near[kept], len(ids), k)
+        node, other, near = best
+        return pa.table({"node": ids[node], "neighbour": ids[other], "near": pa.array(near, pa.float32())})
 
     met = hosts.groupBy("part").cogroup(guests.groupBy("g_part")).applyInArrow(
         meet, "node bigint, neighbour bigint, near float"

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.llm import (
@@ -62,15 +66,24 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of ids and of decoded texts, made where the ids are: 300 million ids need not leave their task."""
     path = public_tokenizers.path(WORD_BPE)
-    encoded = bpe.encode(table(spark, folder, "documents").select("doc_id", "text"), path)
-    decoded = bpe.decode(encoded.select("doc_id", "ids"), path)
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        hex_sha256(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
-        hex_sha256(F.col("decoded")).alias("decoded_sha256"),
-    )
+
+    def digests(texts: pa.Array) -> pa.Array:
+        return pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in texts.cast(pa.binary())])
+
+    def summary(rows: pa.RecordBatch, ids: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
+        columns = {
+            "doc_id": rows.column(0),
+            "n_tokens": pa.array(np.diff(bounds), pa.int64()),
+            "ids_sha256": digests(bpe.joined(ids, bounds, bpe.numbers_of(path))),
+            "decoded_sha256": digests(bpe.joined(ids, bounds, bpe.pieces_of(path))),
+        }
+        return pa.RecordBatch.from_arrays([*columns.values()], [*columns])
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    kinds = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return bpe.map_ids(docs, path, summary, kinds)
 
 
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,8 +11,6 @@ import numpy as np
 
 WORDS = 5
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -35,31 +33,28 @@ def _powers(base: int, count: int) -> np.ndarray:
     return out[:count]
 
 
+_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
+_BYTE[_SPACE] = 0
+
+
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of every word in an array of bytes. A word's hash depends on its bytes alone."""
-    data = _LOWER[data]
-    inside = ~_SPACE[data]
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
+    space = _SPACE[data]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    if len(data) and not space[0]:
+        edges = np.concatenate([[0], edges])
+    if len(data) and not space[-1]:
+        edges = np.concatenate([edges, [len(data)]])
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return np.empty(0, np.uint64), starts
-    # Sum of mixed (byte, place in the word): prefix sums over all words, differences per word.
-    lengths = ends - starts
-    place = _places(len(data), starts)
-    weight = _powers(_BASE, int(lengths.max()))
-    taken = np.flatnonzero(inside)
-    terms = _BYTE[data[taken]] * weight[place[taken]]
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    return _mix(np.add.reduceat(terms, first) + lengths.astype(np.uint64)), starts
-
-
-def _places(size: int, starts: np.ndarray) -> np.ndarray:
-    marks = np.zeros(size, np.int64)
-    marks[starts] = np.diff(np.concatenate([[0], starts]))
-    return np.arange(size) - np.cumsum(marks)
-
-
-_BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    # A word's hash is the sum over its bytes of a number for the byte times a power for its place.
+    first, lengths = starts[0], ends - starts
+    reach = np.diff(np.concatenate([starts, [len(data)]]))  # a word and the space after it, which adds nothing
+    place = np.arange(first, len(data)) - np.repeat(starts, reach)
+    terms = _BYTE[data[first:]] * _powers(_BASE, int(reach.max()))[place]
+    return _mix(np.add.reduceat(terms, starts - first) + lengths.astype(np.uint64)), starts
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
