@@ -178,7 +178,7 @@ def test_near_duplicate_edges(spark):
 def test_tree_search_loses_nothing():
     rng = np.random.default_rng(3)
     points = rng.poisson(3, (200, jaccard_join.GROUPS)).astype(np.uint8)
-    points[50:] = np.maximum(points[rng.integers(0, 50, 150)].astype(int) + rng.integers(-1, 2, (150, 64)), 0)
+    points[50:] = np.maximum(points[rng.integers(0, 50, 150)].astype(int) + rng.integers(-1, 2, (150, jaccard_join.GROUPS)), 0)
     sizes = points.sum(1).astype(np.int64)
     tree = jaccard_join.CountTree(points, sizes)
     q, at = tree.search(points, sizes)

@@ -254,7 +254,7 @@ def test_base_patterns(spark):
     assert spans[3] == [("assign", 0, 48), ("hex", 8, 48)]
     assert spans[4] == spans[5] == spans[6] == spans[8] == []
     assert spans[7] == [("assign", 0, 23)]
-    assert rows[0].text == "é [secret] and [secret]" and rows[3].text == "[secret]"
+    assert rows[0].text == "é [secret]' and [secret]" and rows[3].text == "[secret]"
     assert rows[5].text is None and rows[6].text == ""
 
 
