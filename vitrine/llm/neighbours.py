@@ -28,7 +28,7 @@ WIDTH = 96
 ROUNDS = 12
 PART_NODES = 4096  # nodes whose introductions are made in one task at a time
 PART_QUERIES = 512
-CHUNK = 256  # hosts whose pairs are held at once
+CHUNK = 1024  # hosts whose pairs are held at once
 GROUP = 64
 RESCORED = 12  # nearest found that are compared in double precision
 
@@ -192,10 +192,10 @@ def introduce(edges: DataFrame, nodes: DataFrame, k: int, parts: int) -> DataFra
                 wanted = np.minimum(floor[g][:, None], floor[g][None, :])
                 a, b = np.nonzero(np.triu(f[:, None] | f[None, :], 1) & (sims > wanted))
                 near, a, b = sims[a, b], g[a], g[b]
-                found += [(a, b, near), (b, a, near)]
-            node, other, near = (np.concatenate(c) for c in zip(*found, strict=True))
-            kept = (near > floor[node]) & (node != other)
-            best = nearest_of(node[kept], other[kept], near[kept], len(ids), k)
+                for node, other in ((a, b), (b, a)):
+                    kept = (near > floor[node]) & (node != other)
+                    found.append((node[kept], other[kept], near[kept]))
+            best = nearest_of(*(np.concatenate(c) for c in zip(*found, strict=True)), len(ids), k)
         node, other, near = best
         return pa.table({"node": ids[node], "neighbour": ids[other], "near": pa.array(near, pa.float32())})
 
