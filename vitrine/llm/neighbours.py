@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from vitrine.llm.common import stored
 
-K = 24
-WIDTH = 96
+K = 28
+WIDTH = 224
 ROUNDS = 12
 PART_NODES = 4096  # nodes whose introductions are made in one task at a time
 PART_QUERIES = 512
