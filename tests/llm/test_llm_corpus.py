@@ -187,6 +187,34 @@ def test_tree_search_loses_nothing():
     assert set(zip(q.tolist(), at.tolist(), strict=True)) == {(int(i), int(j)) for i, j in want}
 
 
+def test_near_copies_of_very_long_documents(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(100_000)]
+    copy = list(base)
+    for at in range(0, len(copy), 2000):
+        copy[at] = "changed"
+    other = [f"v{rng.randint(0, 10**6)}" for _ in range(100_000)]
+    rows = jaccard_join.near_duplicates(docs(spark, [" ".join(t) for t in (base, copy, other)])).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {0: 0, 1: 0, 2: 2}
+
+
+@pytest.mark.parametrize("groups", [jaccard_join.GROUPS, jaccard_join.FINE_GROUPS])
+def test_bounds_of_very_large_sets(spark, groups):
+    rng = np.random.default_rng(5)
+    near = rng.integers(0, 2**63, 400_000).astype(np.uint64)
+    sets = [np.unique(near), np.unique(near[1000:]), np.unique(near[:400]), np.unique(near[:350])]
+    counts = [jaccard_join.count_vector(s, groups) for s in sets]
+    pairs = [(a, b, len(sets[a]), len(sets[b]), counts[a], counts[b]) for a in range(4) for b in range(a)]
+    kind = "a bigint, b bigint, n_a bigint, n_b bigint, counts_a binary, counts_b binary"
+    kept = jaccard_join.bounded(spark.createDataFrame(pairs, kind), groups).collect()
+    assert {(r.a, r.b) for r in kept} == {(1, 0), (3, 2)}
+    sizes = np.array([len(s) for s in sets], np.int64)
+    if groups == jaccard_join.GROUPS:
+        points = jaccard_join._vectors(counts)
+        q, at = jaccard_join.CountTree(points, sizes).search(points, sizes)
+        assert {(0, 1), (1, 0), (2, 3), (3, 2)} <= set(zip(q.tolist(), at.tolist(), strict=True))
+
+
 def test_shingle_hashes():
     a, b, c = shingles.shingle_sets([b"A b  c\td e f", b"a b c d e f", b"b c d e f"])
     assert a.tolist() == b.tolist() and len(a) == 2 and set(c.tolist()) < set(a.tolist())

@@ -41,6 +41,7 @@ MAX_FREQUENT = 1_000_000  # ... where the limit rises so that each count lists a
 MAX_WANTED = 4_000_000  # ids that a scan gets by broadcast (32 MB); more are joined by a shuffle
 BLOCK = 512  # points of an R-tree
 QUERIES = 256  # searched at once
+PAIRS = 32768  # of a query and a node whose counts are held at once
 SALTS = 32  # parts of a frequent shingle's meeting before it is summed up
 
 FACTS = "doc_id bigint, n_shingles bigint, key bigint, counts binary"
@@ -62,9 +63,9 @@ def _key(shingles: np.ndarray) -> int:
 
 
 def count_vector(shingles: np.ndarray, groups: int = GROUPS) -> bytes:
-    """Counts per group, one byte each; empty where a count doesn't fit, which bounds nothing."""
+    """Counts per group, one byte each; four bytes each where a count needs more than one."""
     counts = np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
-    return counts.astype(np.uint8).tobytes() if counts.max(initial=0) < 256 else b""
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else "<u4").tobytes()
 
 
 def needed_overlap(a: int, b: int) -> int:
@@ -234,7 +235,9 @@ class CountTree:
         at = np.tile(np.arange(len(self.levels[-1][0])), len(queries))
         for level in range(len(self.levels) - 1, -1, -1):
             corners, least = self.levels[level]
-            bound = np.minimum(min_sums(queries[q], corners[at]), sizes[q])
+            parts = [slice(i, i + PAIRS) for i in range(0, len(q), PAIRS)]
+            sums = [min_sums(queries[q[part]], corners[at[part]]) for part in parts]
+            bound = np.minimum(np.concatenate([np.empty(0, np.int64), *sums]), sizes[q])
             # A set of size b needs an overlap of p (a + b) / (100 + p), which grows with b.
             fits = (100 + PERCENT) * bound >= PERCENT * (sizes[q] + least[at])
             q, at = q[fits], at[fits]
@@ -247,8 +250,11 @@ class CountTree:
 
 
 def _vectors(counts: list[bytes], groups: int = GROUPS) -> np.ndarray:
-    """Points of count vectors; one that bounds nothing is all 255."""
-    return np.frombuffer(b"".join(c or b"\xff" * groups for c in counts), np.uint8).reshape(-1, groups)
+    """Points of count vectors, in the width that the largest count of them needs."""
+    if all(len(c) == groups for c in counts):
+        return np.frombuffer(b"".join(counts), np.uint8).reshape(-1, groups)
+    wide = [np.frombuffer(c, np.uint8 if len(c) == groups else "<u4").astype(np.uint32) for c in counts]
+    return np.stack(wide)
 
 
 def bounded(pairs: DataFrame, groups: int = GROUPS) -> DataFrame:
