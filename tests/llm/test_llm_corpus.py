@@ -162,6 +162,21 @@ def test_components_equal_brute_force(spark, seed, monkeypatch):
     assert len(rows) == len(texts)
 
 
+@pytest.mark.parametrize("members", [7, 1024])
+def test_links_are_counted_in_full(spark, members, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MEMBERS", members)
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 50)
+    texts = corpus(3)
+    sets = [frozenset(word_shingles(t)) for t in texts]
+    want = {}
+    for own in set(sets):
+        similar = [o for o in set(sets) if o != own and 175 * len(o & own) >= 75 * (len(o) + len(own)) and o & own]
+        want[own] = len(similar)
+    rows = jaccard_join.near_duplicates(docs(spark, texts)).collect()
+    assert {r.doc_id: r.n_links for r in rows} == {i: want[s] for i, s in enumerate(sets)}
+    assert max(want.values()) > 5
+
+
 def test_given_documents(spark, small):
     rows = queries.op3_jaccard_join(spark, small).collect()
     texts = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").orderBy("doc_id").collect()]

@@ -13,6 +13,8 @@ The result is one row per document: its number of shingles, its class and its co
 5. What is left are members of different components in one group. The members outside the largest component go into
    R-trees of count vectors, in blocks of bounded size; all others are searched against them. A node's box bounds
    the overlap of everything below it. Surviving pairs are verified on their sets.
+6. All similar pairs lie inside one component. The classes of each are dealt to blocks, every two blocks of a component
+   are compared once, whole sets by whole sets, and only the number of links of each class leaves the comparison.
 
 No pair that passes the threshold can be lost: steps 3 to 5 leave out only pairs that are in one component already or
 whose bound is too low. Null texts and texts without words have no shingles and are components of their own, as are rows
@@ -42,6 +44,9 @@ MAX_WANTED = 4_000_000  # ids that a scan gets by broadcast (32 MB); more are jo
 BLOCK = 512  # points of an R-tree
 QUERIES = 256  # searched at once
 PAIRS = 32768  # of a query and a node whose counts are held at once
+MEMBERS = 1024  # sets of a component's block ...
+HELD = 2_000_000  # ... and their shingles (16 MB)
+COLUMNS = 4096  # shingles whose marks are held at once
 SALTS = 32  # parts of a frequent shingle's meeting before it is summed up
 
 FACTS = "doc_id bigint, n_shingles bigint, key bigint, counts binary"
@@ -278,25 +283,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     """
     pairs = stored(pairs.select("a", "b").distinct(), "candidate-pairs")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    wanted = stored(keys.join(classes.select("key", "first_id"), "key"), "wanted-classes")
-    few = wanted.count() <= MAX_WANTED
-    mine = F.broadcast(wanted) if few else wanted
-    texts = docs.select("doc_id", "text").join(mine, docs["doc_id"] == mine["first_id"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, sets in _batches(batches):
-            columns = [pa.array(keys, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "shingles"])
-
-    sets = texts.select("key", "text").mapInArrow(run, "key bigint, shingles binary")
-    # A document id may repeat with other texts: only the set that makes the key counts.
-
-    @F.arrow_udf("boolean")
-    def makes(keys: pa.Array, sets: pa.Array) -> pa.Array:
-        both = zip(keys.to_pylist(), sets.to_pylist(), strict=True)
-        return pa.array([_key(np.frombuffer(s, np.uint64)) == k for k, s in both], pa.bool_())
-
-    sets = stored(sets.where(makes("key", "shingles")).dropDuplicates(["key"]), "wanted-sets")
+    sets = sets_of(keys, docs, classes)
 
     @F.arrow_udf("boolean")
     def similar(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -322,6 +309,29 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     return both.where(similar("set_a", "set_b")).select("a", "b")
 
 
+def sets_of(keys: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(key, shingles)`` of the classes in ``keys (key)``, stored."""
+    wanted = stored(keys.join(classes.select("key", "first_id"), "key"), "wanted-classes")
+    few = wanted.count() <= MAX_WANTED
+    mine = F.broadcast(wanted) if few else wanted
+    texts = docs.select("doc_id", "text").join(mine, docs["doc_id"] == mine["first_id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, sets in _batches(batches):
+            columns = [pa.array(keys, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "shingles"])
+
+    sets = texts.select("key", "text").mapInArrow(run, "key bigint, shingles binary")
+    # A document id may repeat with other texts: only the set that makes the key counts.
+
+    @F.arrow_udf("boolean")
+    def makes(keys: pa.Array, sets: pa.Array) -> pa.Array:
+        both = zip(keys.to_pylist(), sets.to_pylist(), strict=True)
+        return pa.array([_key(np.frombuffer(s, np.uint64)) == k for k, s in both], pa.bool_())
+
+    return stored(sets.where(makes("key", "shingles")).dropDuplicates(["key"]), "wanted-sets")
+
+
 def with_points(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     for side in "ab":
         points = classes.select(
@@ -408,11 +418,80 @@ def _searched(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Data
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections of a set of ``left`` and one of ``right``."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    flat = [np.concatenate(side) for side in (left, right)]
+    common = np.intersect1d(*flat)
+    cells = []
+    for side, values in zip((left, right), flat, strict=True):
+        owner = np.repeat(np.arange(len(side)), [len(s) for s in side])
+        at = np.minimum(np.searchsorted(common, values), max(0, len(common) - 1))
+        hit = common[at] == values if len(common) else np.zeros(len(values), bool)
+        order = np.argsort(at[hit], kind="stable")
+        cells.append((at[hit][order], owner[hit][order]))
+    for start in range(0, len(common), COLUMNS):
+        marks = []
+        for (at, owner), side in zip(cells, (left, right), strict=True):
+            first, last = np.searchsorted(at, [start, start + COLUMNS])
+            mark = np.zeros((len(side), min(COLUMNS, len(common) - start)), np.float32)
+            mark[owner[first:last], at[first:last] - start] = 1
+            marks.append(mark)
+        out += (marks[0] @ marks[1].T).astype(np.int64)  # at most COLUMNS, exact
+    return out
+
+
+def link_counts(labels: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(node, n_links)``: with how many other classes the set of each class in ``labels (node, label)`` is similar.
+
+    Components of two need no comparison. A larger one is cut into blocks by hash, so that a comparison holds about
+    ``MEMBERS`` sets or ``HELD`` shingles a side however large the component is.
+    """
+    sized = labels.join(classes.select(F.col("key").alias("node"), "n_shingles"), "node")
+    parts = sized.groupBy("label").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.ceil(F.greatest(F.count(F.lit(1)) / MEMBERS, F.sum("n_shingles") / HELD)).cast("int").alias("blocks"),
+    )
+    placed = stored(
+        labels.join(parts, "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")),
+        "component-blocks",
+    )
+    sets = sets_of(placed.where("members > 2").select(F.col("node").alias("key")), docs, classes)
+    block, other = F.col("block"), F.col("other")
+    asked = (
+        placed.where("members > 2")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("label", F.least(block, other).alias("low"), F.greatest(block, other).alias("high"), "block", "node")
+        .join(sets.withColumnRenamed("key", "node"), "node")
+        .select("label", "low", "high", "block", "node", "shingles")
+    )
+
+    def compare(rows: pa.Table) -> pa.Table:
+        low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
+        blocks, keys = rows["block"].to_numpy(), rows["node"].to_numpy()
+        sets = [np.frombuffer(s, np.uint64) for s in rows["shingles"].to_pylist()]
+        sizes = np.array([len(s) for s in sets], np.int64)
+        a, b = np.flatnonzero(blocks == low), np.flatnonzero(blocks == high)
+        if not len(a) or not len(b):
+            return pa.table({"node": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+        common = overlaps([sets[i] for i in a], [sets[i] for i in b])
+        alike = (100 + PERCENT) * common >= PERCENT * (sizes[a][:, None] + sizes[b][None, :])
+        if low == high:
+            np.fill_diagonal(alike, False)
+            return pa.table({"node": keys[a], "n": alike.sum(1).astype(np.int64)})
+        sums = np.concatenate([alike.sum(1), alike.sum(0)]).astype(np.int64)
+        return pa.table({"node": np.concatenate([keys[a], keys[b]]), "n": sums})
+
+    counted = asked.groupBy("label", "low", "high").applyInArrow(compare, "node bigint, n bigint")
+    pairs = placed.where("members = 2").select("node", F.lit(1).cast("bigint").alias("n"))
+    return pairs.unionByName(counted).groupBy("node").agg(F.sum("n").alias("n_links"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, class_id, n_links, component_id)`` for every row of ``docs (doc_id, text)``.
 
-    ``class_id`` is the least ``doc_id`` with the same set; ``n_links`` counts the verified links of its class, which
-    connect its component but are not all of its similar pairs.
+    ``class_id`` is the least ``doc_id`` with the same set; ``n_links`` is the number of other classes whose sets are
+    similar to its own.
     """
     known = stored(facts(docs), "shingle-facts")
     classes = stored(
@@ -431,20 +510,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = stored(components(links), "star-components")
     crossing = stored(cross_pairs(met, labels, classes), "cross-pairs")
     more = stored(verified(crossing, docs, classes), "cross-links")
-    all_links = links.unionByName(more)
     if not more.isEmpty():
-        labels = stored(components(all_links), "link-components")
-    return _placed(known, classes, labels, all_links)
+        labels = stored(components(links.unionByName(more)), "link-components")
+    return _placed(known, classes, labels, link_counts(labels, docs, classes))
 
 
-def _placed(known: DataFrame, classes: DataFrame, labels: DataFrame, links: DataFrame) -> DataFrame:
+def _placed(known: DataFrame, classes: DataFrame, labels: DataFrame, degrees: DataFrame) -> DataFrame:
     """Every document with its class and component: labels of keys become least document ids."""
-    degrees = (
-        links.select(F.col("a").alias("node"))
-        .unionByName(links.select(F.col("b").alias("node")))
-        .groupBy("node")
-        .agg(F.count(F.lit(1)).alias("n_links"))
-    )
     named = labels.join(classes.select(F.col("key").alias("node"), "first_id"), "node")
     least = named.groupBy("label").agg(F.min("first_id").alias("component_id"))
     linked = named.join(least, "label").join(degrees, "node").select("node", "component_id", "n_links")
