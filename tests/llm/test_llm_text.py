@@ -57,6 +57,24 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "".join(f"<p>Paragraph {i} of the main text, which goes on for quite a while.</p>" for i in range(12))
+
+
+def test_marks_are_weighed_against_other_text():
+    text = "\n".join(f"Paragraph {i} of the main text, which goes on for quite a while." for i in range(12))
+    teaser = "<article><h2>Teaser</h2><p>One more story you may like.</p></article>"
+    assert html_text.main_text(f"<div>{LONG}</div>{teaser}") == text
+    middle = LONG.replace("<p>Paragraph 6", f"{teaser}<p>Paragraph 6")
+    assert html_text.main_text(f"<div>{middle}</div>") == text
+    assert html_text.main_text(f"<div><p>Some unrelated line of text, not short at all, outside.</p></div><main>{LONG}</main>") == text
+
+
+def test_link_lists_inside_the_text():
+    item = "<li>Smith: <a href=x>A very long title of a work that is referred to here, as the text says so</a></li>"
+    got = html_text.main_text(f"<article>{LONG}<ul>{item * 4}</ul><p>The end.</article>").split("\n")
+    assert len(got) == 17 and got[12].startswith("Smith: A very") and got[-1] == "The end."
+
+
 def test_extraction_of_a_table(spark, small):
     got = {r.page_id: r for r in queries.op1_html_extraction(spark, small).collect()}
     pages = spark.read.parquet(f"{small}/pages.parquet").collect()
