@@ -282,3 +282,22 @@ def test_random_strings_and_harmless_ones(spark):
     rows = found(spark, [f"see {random_one} here", harmless.upper(), "bosbt.long.name.42@mail8.example.com"])
     assert [(s.kind, s.start, s.end) for s in rows[0].secrets] == [("random", 4, 28)]
     assert rows[1].secrets == [] and rows[2].secrets == []
+
+
+def test_secrets_beside_dots_colons_and_at_signs():
+    encode = secret_scan.encoder(public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN).encode_ordinary
+    one, two = "xK9vQ2mZ7pLw4RtY8bNc3JhG", "Tq7Zr2Xw9Lp4Vk8Nm3Bs6Hd1"
+    jwt = ["eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", "eyJzdWIiOiIxMjM0NTY3ODkwIn0", "SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV"]
+    letters = ["kQwZxVbnTrPmLsDfGh", "qzxvkjhwpfmbtrnc", "QWZXKVJHGPTRBNMLD"]
+    for text, secrets in [
+        (f"see {'.'.join(jwt)}", jwt),
+        (f"https://user:{one}@db.example.com/x", [one]),
+        (f"{one}:{two}", [one, two]),
+        (f"to {one}@example.com", [one]),
+        *[(f"key {x} end", [x]) for x in letters],
+        ("internationalization Donaudampfschifffahrtsgesellschaft getElementsByClassName INTERNATIONALIZATION", []),
+        ("Schpfgegebeunger some_long_identifier_name_12", []),
+        ("write-to-qrst-4217-wxyz@mail8.example.com or open long-qx17-zk22-vw03.notes.txt", []),
+    ]:
+        spans = secret_scan.scan_text(text, encode, 2.2)
+        assert [(s["kind"], text[s["start"] : s["end"]]) for s in spans] == [("random", x) for x in secrets], text

@@ -1,10 +1,12 @@
 """Secret scans: fixed patterns, and a token-efficiency test for random strings.
 
 Fixed patterns find assignments of passwords and keys (``assign``), access key ids (``access``) and long hexadecimal
-strings (``hex``). Beyond them, every run of 16 or more key characters with letters and digits is a candidate: text-like strings
-take few tokens of a byte-level vocabulary, random ones take many. A candidate below ``max_ratio`` characters per token
-is a finding of kind ``random``, unless it overlaps a fixed finding or is a known harmless form: a digest of usual
-length (md5, sha1, sha256, sha512), a UUID, an e-mail address or host, a path, a number, or an identifier made of words.
+strings (``hex``). Beyond them, every run of 16 or more key characters is a candidate: text-like strings take few tokens of a
+byte-level vocabulary, random ones take many. A candidate below ``max_ratio`` characters per token (``WORDS_RATIO`` for words
+of one case, alone or joined to identifiers, as rare words are cut small too) is a finding of kind ``random``, unless it
+overlaps a fixed finding or is a known harmless form: a digest of usual length (md5, sha1, sha256, sha512), a UUID, a number,
+or part of a whole e-mail address, host or file name all of whose parts are words with at most four digits. Parts of other
+dotted strings (tokens of three parts), of pairs and of URLs (``user:password@host``) are candidates like any other run.
 
 Offsets are code points, ends exclusive. Null and empty texts have no findings. Repeated rows are scanned as often as
 they occur. Rows are independent, so any task can be run again.
@@ -36,9 +38,18 @@ HARMLESS = re.compile(
     r"(?i:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{128}"
     r"|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"
     r"|[0-9+/_=-]+"
-    r"|(?:[A-Za-z]?[a-z]+|[A-Z]+|\d{1,4})(?:[_/-](?:[A-Za-z]?[a-z]+|[A-Z]+|\d{1,4}))*"
 )
-HARMLESS_AROUND = re.compile(r"[@.:]")  # part of an address, host or file name
+WORDS = re.compile(
+    r"(?:[A-Za-z]?[a-z]+|[A-Z]+|\d{1,4})(?:[_/-](?:[A-Za-z]?[a-z]+|[A-Z]+|\d{1,4}))*"
+)
+WORDS_RATIO = 1.8
+ADDRESS_CHARS = re.compile(r"[A-Za-z0-9+/_=.@-]*")
+ADDRESS = re.compile(  # a whole address, host or file name
+    r"(?:[A-Za-z0-9+_=.-]+@)?[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)+\.?"
+)
+SEPARATORS = re.compile(r"[+/_=.@-]+")
+ADDRESS_PART = re.compile(r"(?:[A-Za-z]?[a-z]+|[A-Z]+)\d{0,4}|\d{1,4}|")
+SHORT_PART = 8  # longer parts of addresses have to be text-like by tokens
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
@@ -66,19 +77,28 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def in_address(text: str, start: int, end: int, encode, max_ratio: float) -> bool:
+    """Whether the run lies in a whole e-mail address, host or file name that is made of text-like parts."""
+    first = start
+    while first and ADDRESS_CHARS.fullmatch(text[first - 1]):
+        first -= 1
+    whole = text[first : ADDRESS_CHARS.match(text, end).end()]
+    if len(whole) == end - start or not ADDRESS.fullmatch(whole):
+        return False
+    return all(
+        ADDRESS_PART.fullmatch(part) and (len(part) < SHORT_PART or len(part) / len(encode(part)) >= max_ratio)
+        for part in SEPARATORS.split(whole)
+    )
+
+
 def random_spans(text: str, taken: list[tuple[int, int, str]], encode, max_ratio: float):
     """Candidates with few characters per token that overlap nothing in ``taken``."""
     for m in CANDIDATE.finditer(text):
         run, start, end = m[0], m.start(), m.end()
-        if run.isalpha() or HARMLESS.fullmatch(run):
-            continue
-        if HARMLESS_AROUND.match(text[end : end + 1]) and text[end + 1 : end + 2].isalnum():
-            continue
-        if start and text[start - 1] in "@.":
-            continue
-        if any(a < end and start < b for a, b, _ in taken):
+        if HARMLESS.fullmatch(run) or any(a < end and start < b for a, b, _ in taken):
             continue
-        if len(run) / len(encode(run)) < max_ratio:
+        least = min(WORDS_RATIO, max_ratio) if WORDS.fullmatch(run) else max_ratio
+        if len(run) / len(encode(run)) < least and not in_address(text, start, end, encode, least):
             yield start, end, "random"
 
 
