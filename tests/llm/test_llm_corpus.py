@@ -319,6 +319,22 @@ def test_recall_and_scores(spark):
     assert not got and hits >= 0.9 * wanted
 
 
+def test_cluster_of_near_copies(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal(64) + 0.01 * rng.standard_normal((1500, 64))
+    frame = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in neighbours.search(frame, F.col("id") % 50 == 0, k=20).collect():
+        got[r.query_id].add(r.id)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for at in range(0, 1500, 50):
+        far = np.square(unit - unit[at]).sum(1)
+        assert len(got[at]) == 20
+        hits += len(got[at] & set(np.argsort(far)[1:21].tolist()))
+    assert hits >= 0.9 * 20 * 30
+
+
 def test_few_vectors(spark):
     kind = "vec_id bigint, embedding array<float>"
     three = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0])], kind)

@@ -6,10 +6,12 @@ of ``k`` of these) to each other: joins of the graph with itself and with the ve
 are compared, and what is nearer than a list's last entry gets in. The rounds end when few entries change.
 
 A query walks the graph greedily: of the ``width`` nearest vectors it knows, it looks at the neighbours of those it has not
-opened yet, until none is left. All queries take their steps together, one join a step.
+opened yet, until none is left. All queries take their steps together, one join a step. For a sample of the queries the true
+nearest are found by a scan of all vectors; while the walk has too few of them, ``width`` is doubled and the walk goes on.
 
 Equal vectors are one node, so copies neither fill lists nor make hubs; results are spread over the copies again, the
-smaller ids first. The graph holds half-precision vectors; the nearest found are compared anew in double precision.
+smaller ids first. Graph and walk hold unit vectors in single precision and compare them by their differences (about a
+common centre), which tell near copies apart; all that a walk found is compared anew in double precision.
 Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do those of another length
 than the most frequent one. Fewer candidates than asked for give all of them. An empty table gives no rows; rows that
 repeat an id are copies of their own.
@@ -25,12 +27,13 @@ from vitrine.llm.common import stored
 
 K = 28
 WIDTH = 224
-ROUNDS = 12
+ROUNDS = 12  # at least; more where there are more than 2 ** ROUNDS vectors
+SAMPLE = 128  # queries whose true nearest are found by a scan
+RECALL = 0.95  # of these, or the walk goes on
 PART_NODES = 4096  # nodes whose introductions are made in one task at a time
 PART_QUERIES = 512
 CHUNK = 1024  # hosts whose pairs are held at once
 GROUP = 64
-RESCORED = 12  # nearest found that are compared in double precision
 
 
 def valid_vectors(rows: DataFrame, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -47,21 +50,26 @@ def valid_vectors(rows: DataFrame, id_column: str = "vec_id", column: str = "emb
 
 
 @F.arrow_udf(T.BinaryType())
-def _halves(vectors: pa.Array) -> pa.Array:
-    """Unit vectors in half precision."""
+def _units(vectors: pa.Array) -> pa.Array:
+    """Unit vectors in single precision."""
     values = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
     scaled = values / np.abs(values).max(1, keepdims=True)
-    unit = (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype("<f2")
+    unit = (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype("<f4")
     return pa.array([row.tobytes() for row in unit], pa.binary())
 
 
-def _matrix(halves: pa.Array) -> np.ndarray:
-    values = halves.to_pylist()
-    return np.frombuffer(b"".join(values), "<f2").reshape(len(values), -1).astype(np.float32)
+def _matrix(units: pa.Array, kind: str = "<f4") -> np.ndarray:
+    values = units.to_pylist()
+    return np.frombuffer(b"".join(values), kind).reshape(len(values), -1)
+
+
+def _nearness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The cosine less one, from the difference of unit vectors: close to zero the digits stay."""
+    return -np.square(a - b).sum(1) / 2
 
 
 def nodes_of(vectors: DataFrame, members: int) -> tuple[DataFrame, DataFrame]:
-    """``(node, vector, half)`` per distinct vector, and ``(node, id)`` with the ``members`` least ids of each."""
+    """``(node, vector, unit)`` per distinct vector, and ``(node, id)`` with the ``members`` least ids of each."""
     lengths = vectors.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
     usual = lengths.orderBy(F.desc("n"), "length").limit(1).collect()
     length = usual[0]["length"] if usual else 0
@@ -75,7 +83,7 @@ def nodes_of(vectors: DataFrame, members: int) -> tuple[DataFrame, DataFrame]:
         first.withColumn("node", F.min("id").over(Window.partitionBy("key"))).select("node", "id", "vector", "nth"),
         "vector-members",
     )
-    nodes = first.where("nth = 1").select("node", "vector").withColumn("half", _halves("vector"))
+    nodes = first.where("nth = 1").select("node", "vector").withColumn("unit", _units("vector"))
     return stored(nodes, "vector-nodes"), first.select("node", "id")
 
 
@@ -89,12 +97,12 @@ def _top(edges: DataFrame, k: int) -> DataFrame:
 
 
 def _groups(nodes: DataFrame, count: int, turn: int) -> DataFrame:
-    """``(node, half, group, place)``: by random hyperplanes, in the first turn by hash; large groups are split by hash."""
+    """``(node, unit, group, place)``: by random hyperplanes, in the first turn by hash; large groups are split by hash."""
     planes = 0 if turn == 0 else max(0, (count // GROUP).bit_length() - 1)
 
     @F.arrow_udf("struct<code:bigint,place:double>")
-    def sides(halves: pa.Array) -> pa.Array:
-        x = _matrix(halves)
+    def sides(units: pa.Array) -> pa.Array:
+        x = _matrix(units)
         directions = np.random.default_rng(turn).standard_normal((planes + 1, x.shape[1])).astype(np.float32)
         seen = x @ directions.T
         code = ((seen[:, :planes] > 0) @ (1 << np.arange(planes, dtype=np.int64))).astype(np.int64)
@@ -102,10 +110,10 @@ def _groups(nodes: DataFrame, count: int, turn: int) -> DataFrame:
             [pa.array(code, pa.int64()), pa.array(seen[:, planes].astype(float))], ["code", "place"]
         )
 
-    sided = nodes.withColumn("side", sides("half")).select("node", "half", "side.*")
+    sided = nodes.withColumn("side", sides("unit")).select("node", "unit", "side.*")
     sizes = sided.groupBy("code").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
     return sided.join(sizes, "code").select(
-        "node", "half", F.struct("code", F.pmod(F.xxhash64("node", F.lit(turn)), "parts")).alias("group"), "place"
+        "node", "unit", F.struct("code", F.pmod(F.xxhash64("node", F.lit(turn)), "parts")).alias("group"), "place"
     )
 
 
@@ -116,17 +124,17 @@ def first_graph(nodes: DataFrame, count: int, k: int) -> DataFrame:
     for turn in range(3):
         grouped = _groups(nodes, count, turn)
         order = Window.partitionBy("group").orderBy("place", "node")
-        near = F.collect_list(F.struct("node", "half")).over(order.rowsBetween(1, reach))
-        found = grouped.withColumn("others", near).select("node", "half", F.explode("others").alias("other")).select(
-            "node", "half", F.col("other.node").alias("neighbour"), F.col("other.half").alias("half_b")
+        near = F.collect_list(F.struct("node", "unit")).over(order.rowsBetween(1, reach))
+        found = grouped.withColumn("others", near).select("node", "unit", F.explode("others").alias("other")).select(
+            "node", "unit", F.col("other.node").alias("neighbour"), F.col("other.unit").alias("unit_b")
         )
         pairs = found if pairs is None else pairs.unionByName(found)
 
     @F.arrow_udf("float")
     def near(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array((_matrix(a) * _matrix(b)).sum(1), pa.float32())
+        return pa.array(_nearness(_matrix(a), _matrix(b)), pa.float32())
 
-    scored = pairs.select("node", "neighbour", near("half", "half_b").alias("near"), F.lit(True).alias("fresh"))
+    scored = pairs.select("node", "neighbour", near("unit", "unit_b").alias("near"), F.lit(True).alias("fresh"))
     return _top(_both_ways(scored), k)
 
 
@@ -160,21 +168,21 @@ def introduce(edges: DataFrame, nodes: DataFrame, k: int, parts: int) -> DataFra
     hosts = edges.select("node", "neighbour", "fresh").unionByName(back)
     hosts = hosts.select(_part("node", parts).alias("part"), "node", "neighbour", "fresh")
     floors = edges.groupBy("node").agg(
-        F.when(F.count(F.lit(1)) >= k, F.min("near")).otherwise(F.lit(-2.0)).cast("float").alias("floor")
+        F.when(F.count(F.lit(1)) >= k, F.min("near")).otherwise(F.lit(-3.0)).cast("float").alias("floor")
     )
     guests = (
         hosts.select("part", "neighbour")
         .distinct()
-        .join(nodes.select(F.col("node").alias("neighbour"), "half"), "neighbour")
+        .join(nodes.select(F.col("node").alias("neighbour"), "unit"), "neighbour")
         .join(floors.withColumnRenamed("node", "neighbour"), "neighbour")
-        .select(F.col("part").alias("g_part"), F.col("neighbour").alias("guest"), "half", "floor")
+        .select(F.col("part").alias("g_part"), F.col("neighbour").alias("guest"), "unit", "floor")
     )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         ids = right["guest"].to_numpy()
         order = np.argsort(ids)
         ids = ids[order]
-        x = _matrix(right["half"].combine_chunks())[order]
+        x = _matrix(right["unit"].combine_chunks())[order]
         floor = right["floor"].to_numpy()[order]
         host, fresh = left["node"].to_numpy(), left["fresh"].to_numpy()
         guest = np.searchsorted(ids, left["neighbour"].to_numpy())
@@ -188,7 +196,9 @@ def introduce(edges: DataFrame, nodes: DataFrame, k: int, parts: int) -> DataFra
             for g, f in met[start : start + CHUNK]:
                 if not f.any():
                     continue
-                sims = x[g] @ x[g].T
+                own = x[g] - x[g].mean(0)
+                squares = np.square(own).sum(1)
+                sims = own @ own.T - (squares[:, None] + squares[None, :]) / 2
                 wanted = np.minimum(floor[g][:, None], floor[g][None, :])
                 a, b = np.nonzero(np.triu(f[:, None] | f[None, :], 1) & (sims > wanted))
                 near, a, b = sims[a, b], g[a], g[b]
@@ -205,12 +215,12 @@ def introduce(edges: DataFrame, nodes: DataFrame, k: int, parts: int) -> DataFra
     return met.withColumn("fresh", F.lit(True))
 
 
-def build_graph(nodes: DataFrame, k: int = K, rounds: int = ROUNDS, least_change: float = 0.01) -> DataFrame:
-    """``(node, neighbour, near)``: the graph after NN-descent. ``nodes`` is a stored table ``(node, half)``."""
+def build_graph(nodes: DataFrame, k: int = K, rounds: int | None = None, least_change: float = 0.01) -> DataFrame:
+    """``(node, neighbour, near)``: the graph after NN-descent. ``nodes`` is a stored table ``(node, unit)``."""
     count = nodes.count()
     parts = -(-count // PART_NODES) or 1
     edges = stored(first_graph(nodes, count, k), "graph")
-    for _ in range(rounds):
+    for _ in range(rounds or max(ROUNDS, count.bit_length())):
         seen = edges.withColumn("fresh", F.lit(False))
         edges = stored(_top(seen.unionByName(introduce(edges, nodes, k, parts)), k), "graph")
         if edges.where("fresh").count() <= least_change * k * count:
@@ -218,45 +228,50 @@ def build_graph(nodes: DataFrame, k: int = K, rounds: int = ROUNDS, least_change
     return edges.select("node", "neighbour", "near")
 
 
-def walk(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int = WIDTH, steps: int = 30) -> DataFrame:
-    """``(query, node, near)``: up to ``width`` nearest found of every ``(query, node)``, which names where it starts.
+def compared(pairs: DataFrame, vectors: DataFrame, kind: str = "<f4") -> DataFrame:
+    """``pairs (query, node)`` with ``near``: from ``vectors (node, vector)``, unit vectors or (``<f8``) whole ones.
 
-    ``query`` is the node with the query's vector.
+    The pairs of a part of the queries meet each vector once.
     """
-    ways = stored(_both_ways(graph.select("node", "neighbour")).distinct(), "graph-ways")
-    count = queries.select("query").distinct().count()
+    count = pairs.select("query").distinct().count()
     parts = -(-count // PART_QUERIES) or 1
-    own = nodes.select(F.col("node").alias("query"), F.col("half").alias("own"))
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        """left: (part, query, node); right: (v_part, v_node, half) of both sides' nodes."""
+        """left: (part, query, node); right: (v_part, v_node, vector) of both sides' nodes."""
         ids = right["v_node"].to_numpy()
         order = np.argsort(ids)
-        x, ids = _matrix(right["half"].combine_chunks())[order], ids[order]
+        x, ids = _matrix(right["vector"].combine_chunks(), kind)[order], ids[order]
         query, node = left["query"].to_numpy(), left["node"].to_numpy()
         a, b = np.searchsorted(ids, query), np.searchsorted(ids, node)
-        near = np.empty(len(a), np.float32)
+        near = np.empty(len(a), kind)
+        nearness = _nearness if kind == "<f4" else _cosine
         for at in range(0, len(a), 65536):
-            near[at : at + 65536] = (x[a[at : at + 65536]] * x[b[at : at + 65536]]).sum(1)
+            near[at : at + 65536] = nearness(x[a[at : at + 65536]], x[b[at : at + 65536]])
         return pa.table({"query": query, "node": node, "near": near})
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(_part("query", parts).alias("part"), "query", "node")
-        needed = pairs.select("part", "node").unionByName(
-            pairs.select("part", F.col("query").alias("node"))
-        )
-        vectors = needed.distinct().join(nodes.select("node", "half"), "node").select(
-            F.col("part").alias("v_part"), F.col("node").alias("v_node"), "half"
-        )
-        return pairs.groupBy("part").cogroup(vectors.groupBy("v_part")).applyInArrow(
-            compare, "query bigint, node bigint, near float"
-        )
+    pairs = pairs.select(_part("query", parts).alias("part"), "query", "node")
+    needed = pairs.select("part", "node").unionByName(pairs.select("part", F.col("query").alias("node")))
+    met = needed.distinct().join(vectors, "node").select(
+        F.col("part").alias("v_part"), F.col("node").alias("v_node"), "vector"
+    )
+    return pairs.groupBy("part").cogroup(met.groupBy("v_part")).applyInArrow(
+        compare, f"query bigint, node bigint, near {'float' if kind == '<f4' else 'double'}"
+    )
 
+
+def walk(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``(query, node, near)``: up to ``width`` nearest found of every ``(query, node)``, which names where it starts.
+
+    ``query`` is the node with the query's vector. A node that fell out of the beam cannot come back, as the beam only gets
+    nearer: the walk ends by itself.
+    """
+    ways = stored(_both_ways(graph.select("node", "neighbour")).distinct(), "graph-ways")
+    units = nodes.select("node", F.col("unit").alias("vector"))
     nearest = Window.partitionBy("query").orderBy(F.desc("near"), "node")
     beam = stored(
-        compared(queries.select("query", "node").distinct()).withColumn("opened", F.lit(False)), "walk"
+        compared(queries.select("query", "node").distinct(), units).withColumn("opened", F.lit(False)), "walk"
     )
-    for _ in range(steps):
+    while not beam.where("not opened").isEmpty():
         asked = (
             beam.where("not opened")
             .join(ways, "node")
@@ -264,39 +279,87 @@ def walk(graph: DataFrame, nodes: DataFrame, queries: DataFrame, width: int = WI
             .distinct()
             .join(beam.select("query", "node"), ["query", "node"], "left_anti")
         )
-        news = compared(asked).withColumn("opened", F.lit(False))
+        news = compared(asked, units).withColumn("opened", F.lit(False))
         ranked = beam.withColumn("opened", F.lit(True)).unionByName(news)
         beam = stored(
             ranked.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= width).drop("nth"), "walk"
         )
-        if beam.where("not opened").isEmpty():
-            break
     return beam.select("query", "node", "near")
 
 
-@F.arrow_udf(T.DoubleType())
-def _cosine(a: pa.Array, b: pa.Array) -> pa.Array:
-    x = a.flatten().to_numpy(zero_copy_only=False).reshape(len(a), -1)
-    y = b.flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1)
+def _cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     # Scaling by a power of two changes no digit and keeps squares of extreme values in range.
     x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
     y = np.ldexp(y, -np.frexp(np.abs(y).max(1, keepdims=True))[1])
-    return pa.array((x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1))))
+    return (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
+
+
+@F.arrow_udf(T.BinaryType())
+def _doubles(vectors: pa.Array) -> pa.Array:
+    values = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1).astype("<f8")
+    return pa.array([row.tobytes() for row in values], pa.binary())
+
+
+def sampled_truth(nodes: DataFrame, starts: DataFrame, k: int) -> DataFrame:
+    """``(query, least)``: the nearness of the ``k``-th of all other nodes to each of ``SAMPLE`` queries."""
+    sample = starts.select("query").distinct().orderBy(F.xxhash64("query"), "query").limit(SAMPLE)
+    taken = sample.join(nodes.select(F.col("node").alias("query"), "unit"), "query").collect()
+    own = np.array([r["query"] for r in taken], np.int64)
+    x = np.array([np.frombuffer(r["unit"], "<f4") for r in taken])
+
+    def scan(batches):
+        for batch in batches:
+            ids, y = batch.column(0).to_numpy(), _matrix(batch.column(1))
+            for q, vector in zip(own, x, strict=True):
+                near = _nearness(y[ids != q], vector[None])
+                near = np.sort(near)[::-1][:k]
+                columns = [pa.array(np.full(len(near), q)), pa.array(near, pa.float32())]
+                yield pa.RecordBatch.from_arrays(columns, ["query", "near"])
+
+    every = nodes.select("node", "unit").mapInArrow(scan, "query bigint, near float")
+    nearest = Window.partitionBy("query").orderBy(F.desc("near"))
+    ranked = every.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= k)
+    return ranked.groupBy("query").agg(F.min("near").alias("least"), F.count(F.lit(1)).alias("n"))
+
+
+def recall(found: DataFrame, truth: DataFrame) -> float:
+    """The share of the true nearest of ``sampled_truth`` that ``found`` has."""
+    hits = found.where("query != node").join(F.broadcast(truth), "query").where("near >= least")
+    had = hits.groupBy("query").agg(F.least(F.count(F.lit(1)), F.max("n")).alias("had"))
+    wanted = truth.agg(F.sum("n")).first()[0] or 0
+    return (had.agg(F.sum("had")).first()[0] or 0) / wanted if wanted else 1.0
+
+
+def walked(graph: DataFrame, nodes: DataFrame, starts: DataFrame, k: int, width: int) -> DataFrame:
+    """The walk from ``starts``, widened until the sample's recall of the ``k`` nearest is ``RECALL``.
+
+    A beam as wide as the table that still lacks some has no way to them.
+    """
+    truth = stored(sampled_truth(nodes, starts, k), "walk-sample")
+    count = nodes.count()
+    found = walk(graph, nodes, starts, width)
+    while width < count and recall(found, truth) < RECALL:
+        width *= 2
+        found = walk(graph, nodes, found.select("query", "node"), width)
+    return found
 
 
 def search(
     rows: DataFrame,
     is_query: Column,
     k: int = 5,
-    degree: int = K,
-    width: int = WIDTH,
+    degree: int | None = None,
+    width: int | None = None,
     id_column: str = "vec_id",
     column: str = "embedding",
 ) -> DataFrame:
     """``(query_id, rank, id, score)``: the ``k`` nearest found of every row that ``is_query``, itself left out.
 
-    ``is_query`` is a condition on ``id``.
+    ``is_query`` is a condition on ``id``. Degree and width are the least ones, and by default at least ``K`` and ``WIDTH`` and
+    more where ``k`` asks for it.
     """
+    degree = degree or max(K, k + 8)
+    width = max(width or WIDTH, 4 * (k + 1))
     vectors = valid_vectors(rows, id_column, column)
     nodes, members = nodes_of(vectors, k + 1)
     graph = stored(build_graph(nodes, degree), "graph-done")
@@ -308,15 +371,9 @@ def search(
         "vector-queries",
     )
     starts = asked.select("query", F.col("query").alias("node")).distinct()
-    found = walk(graph, nodes, starts, width)
-    nearest = Window.partitionBy("query").orderBy(F.desc("near"), "node")
-    kept = found.withColumn("nth", F.row_number().over(nearest)).where(F.col("nth") <= RESCORED)
-    full = nodes.select("node", "vector")
-    scored = (
-        kept.join(full, "node")
-        .join(full.select(F.col("node").alias("query"), F.col("vector").alias("own")), "query")
-        .select("query", "node", _cosine("own", "vector").alias("score"))
-    )
+    found = walked(graph, nodes, starts, k, width)
+    doubles = nodes.select("node", _doubles("vector").alias("vector"))
+    scored = compared(found.select("query", "node"), doubles, "<f8").withColumnRenamed("near", "score")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     listed = (
         scored.join(members, "node")
