@@ -335,6 +335,18 @@ def test_cluster_of_near_copies(spark):
     assert hits >= 0.9 * 20 * 30
 
 
+def test_walk_is_widened_until_recall(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, row.tolist()) for i, row in enumerate(rng.standard_normal((1200, 32)))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    nodes, _ = neighbours.nodes_of(neighbours.valid_vectors(frame), 6)
+    graph = neighbours.stored(neighbours.build_graph(nodes, 8), "test-graph")
+    starts = nodes.where("node % 50 = 0").select(F.col("node").alias("query"), "node")
+    truth = neighbours.sampled_truth(nodes, starts, 5)
+    assert neighbours.recall(neighbours.walk(graph, nodes, starts, 8), truth) < neighbours.RECALL
+    assert neighbours.recall(neighbours.walked(graph, nodes, starts, 5, 8), truth) >= neighbours.RECALL
+
+
 def test_few_vectors(spark):
     kind = "vec_id bigint, embedding array<float>"
     three = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0])], kind)
