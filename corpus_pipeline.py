@@ -27,21 +27,32 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the least id.
+    """Of each component of near duplicates one row, the one with the least id.
 
-    Rows that repeat both id and text are one document; rows without an id are kept as they are.
+    Decided by row, which is known by a hash of its id and text: rows that repeat an id with other texts are documents of their
+    own, rows that repeat both are one document. Rows without an id are kept as they are.
     """
-    found = stored(jaccard_join.near_duplicates(docs.select("doc_id", "text")), "near-duplicates")
-    removed = found.where("doc_id != component_id").select("doc_id").distinct()
-    if removed.count() <= jaccard_join.MAX_WANTED:  # ids only; beyond that a shuffle
-        removed = F.broadcast(removed)
-    kept = docs.join(removed, "doc_id", "left_anti")
-    repeated = stored(
-        found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids"
+    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", F.col("text").isNull(), "text"))
+    known = docs.where("doc_id is not null")
+    found = stored(jaccard_join.near_duplicates(known.select(row.alias("doc_id"), "text")), "near-duplicates")
+    rows = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    ids = known.select(row.alias("row"), F.col("doc_id").alias("id")).groupBy("row").agg(
+        F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")
+    )
+    placed = stored(rows.distinct().join(ids, "row"), "near-duplicate-rows")
+    first = placed.groupBy("component").agg(F.min(F.struct("id", "row")).alias("first"))
+    judged = stored(
+        placed.join(first, "component").select("row", "copies", (F.col("row") == F.col("first.row")).alias("stays")),
+        "near-duplicate-choice",
     )
+    removed = judged.where("not stays").select(F.col("row").alias("__row"))
+    if removed.count() <= jaccard_join.MAX_WANTED:  # numbers only; beyond that a shuffle
+        removed = F.broadcast(removed)
+    kept = docs.join(removed, row == F.col("__row"), "left_anti")
+    repeated = judged.where("stays and copies > 1").select(F.col("row").alias("__row"))
     if not repeated.isEmpty():
-        single = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(single)
+        single = kept.join(repeated, row == F.col("__row"), "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(repeated, row == F.col("__row"), "left_anti").unionByName(single)
     return kept.select(docs.columns)
 
 

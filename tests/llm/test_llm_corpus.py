@@ -426,6 +426,15 @@ def test_pipeline_stages(spark, small):
     check_packing(packed, 2048)
 
 
+def test_repeated_ids_of_other_texts(spark, small):
+    word = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    rows = [(3, word("y")), (5, word("x")), (5, word("y") + " z"), (9, word("x") + " z"), (5, word("v")), (5, word("v") + " z")]
+    rows += [(5, None), (5, None), (None, word("x"))]
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), small)
+    got = collections.Counter((r.doc_id, (r.text or "-")[0]) for r in kept.collect())
+    assert got == {(3, "y"): 1, (5, "x"): 1, (5, "v"): 1, (5, "-"): 1, (None, "x"): 1}
+
+
 def test_pipeline_of_nothing(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
