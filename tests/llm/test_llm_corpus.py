@@ -81,6 +81,21 @@ def test_packing_is_gapless_and_tight(spark, kind):
     assert check_packing(rows, 100) <= 1.02 * best_fit_decreasing(lengths, 100) + 1
 
 
+def test_no_more_sequences_are_opened_than_needed():
+    for sequences in (0, 4000, 10**6):
+        rows = packing._opened({10: [0, 5], 3: [0, 4]}, sequences, 100)
+        assert sum(-(-count // per) for _, _, count, per, _, _ in rows) == 1
+
+
+def test_packing_of_many_sequences(spark):
+    rng = random.Random(7)
+    lengths = [min(100, int(rng.lognormvariate(3, 1)) + 1) for _ in range(12_000)]
+    placed = packing.plan(spark, collections.Counter(lengths), 100)
+    sequences = {s + i for _, _, count, per, s, _ in placed for i in range(-(-count // per))}
+    assert sum(p[2] for p in placed) == len(lengths) and sequences == set(range(len(sequences)))
+    assert 2000 < len(sequences) <= 1.01 * -(-sum(lengths) // 100)
+
+
 def test_packing_edges(spark):
     empty = spark.createDataFrame([], "id bigint, length int")
     assert packing.pack(empty, ["id"]).count() == 0

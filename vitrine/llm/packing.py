@@ -33,7 +33,6 @@ from vitrine.llm.common import shuffle_width, stored
 CAPACITY = 2048
 ITEMS = "size int, length int, per int, first bigint, count bigint"
 GAPS = "gap int, sequence bigint, count bigint"
-NEGLIGIBLE = 2000  # a round that moves less than this part of the sequences is not worth another one
 # Documents first .. first + count - 1 of a length, ``per`` to a sequence, from ``sequence`` and ``offset`` on.
 PLACED = "length int, first bigint, count bigint, per int, sequence bigint, offset int"
 
@@ -158,7 +157,7 @@ def _opened(waiting: dict[int, list[int]], sequences: int, capacity: int) -> lis
             wait[0] += full * per
             wait[1] -= full * per
         over += length * wait[1]
-    needed = -(-over // capacity) + sequences // NEGLIGIBLE
+    needed = -(-over // capacity)
     for length in sorted(waiting, reverse=True):
         wait = waiting[length]
         alone = min(needed, wait[1])
@@ -207,7 +206,7 @@ def plan(spark: SparkSession, counts: dict[int, int], capacity: int = CAPACITY)
                     taken += docs
                 gaps = _joined(gaps)
             waiting = {n: w for n, w in waiting.items() if w[1]}
-            if waiting and (taken <= sequences // NEGLIGIBLE or min(waiting) > max((g[0] for g in gaps), default=0)):
+            if waiting and (not taken or min(waiting) > max((g[0] for g in gaps), default=0)):
                 for row in _opened(waiting, sequences, capacity):
                     length, _, docs, per, sequence, _ = row
                     placed.append(row)
