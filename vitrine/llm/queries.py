@@ -14,9 +14,12 @@ from vitrine.llm import (
     chat,
     fingerprints,
     html_text,
+    importance,
     jaccard_join,
     neighbours,
     packing,
+    quality,
+    repair,
     secret_scan,
     toxicity,
     url_filter,
@@ -144,6 +147,23 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair(repair.damage(conversations), conversations)
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs, target = (table(spark, folder, name) for name in ("documents", "benchmark"))
+    return importance.resample(docs, target, importance.Setting(longest=1, buckets=10_000, min_words=20, percent=10, seed="2024"))
+
+
+def op13_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality").where(~quality.held_out())
+    rated = quality.classify(docs, labels, threshold=0.3)
+    return rated.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -155,4 +175,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_chat_format": op10_chat_format,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_quality_classifier": op13_quality_classifier,
 }

@@ -16,4 +16,142 @@ SELECT conv_id,
 FROM rows GROUP BY conv_id
 """
 
-SQL = {"op10_chat_format": OP10}
+# Forward over the rows: of all edits that reach a row in a state, the cheapest with the least audit and what they leave.
+# States: 0 nothing yet, 1 after system, 2 after user, 3 after assistant. One or two turns may be inserted at a place; three in a
+# row lead nowhere that one does not.
+OP11 = r"""
+WITH RECURSIVE shifted AS (
+    SELECT list_transform(range(256), lambda start: list_reduce(list_prepend(start, range(8)),
+        lambda c, step: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS shifts
+),
+raw AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(list_reduce(list_prepend(4294967295, list_transform(
+            string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+            lambda letter: CAST(ascii(letter) AS BIGINT))),
+            lambda c, b: xor(c // 256, shifts[xor(c % 256, b) + 1])), 4294967295) % 20 AS kind
+    FROM conversations, shifted
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM raw WHERE kind <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos FROM damaged
+),
+judged AS (
+    SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+        CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+            WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+            WHEN regexp_matches(text, '[^\x20\x09-\x0D.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+    FROM placed
+),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+    FROM judged GROUP BY conv_id
+),
+edits AS (
+    SELECT conv_id, pos, s, unnest([
+        {'cost': 2, 'audit': 'D', 'goes': s, 'said': NULL},
+        CASE WHEN fault IN ('blank', 'duplicate') THEN NULL
+            WHEN s = 0 AND initial = 's' THEN {'cost': extra, 'audit': 'K', 'goes': 1, 'said': role || ':' || text}
+            WHEN s <> 2 AND initial = 'u' THEN {'cost': extra, 'audit': 'K', 'goes': 2, 'said': role || ':' || text}
+            WHEN s = 2 AND initial = 'a' THEN {'cost': extra, 'audit': 'K', 'goes': 3, 'said': role || ':' || text} END,
+        CASE WHEN fault NOT IN ('blank', 'duplicate') THEN {'cost': extra + 1, 'audit': 'R',
+            'goes': CASE WHEN s = 2 THEN 3 ELSE 2 END,
+            'said': CASE WHEN s = 2 THEN 'assistant:' ELSE 'user:' END || text} END]) AS edit
+    FROM (SELECT *, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM judged), range(4) states(s)
+),
+inserted(s, cost, audit, goes, said) AS (
+    VALUES (0, 0, '', 0, []), (1, 0, '', 1, []), (2, 0, '', 2, []), (3, 0, '', 3, []),
+        (0, 5, 'I', 2, ['user:']), (1, 5, 'I', 2, ['user:']), (2, 5, 'I', 3, ['assistant:']), (3, 5, 'I', 2, ['user:']),
+        (0, 10, 'II', 3, ['user:', 'assistant:']), (1, 10, 'II', 3, ['user:', 'assistant:']),
+        (2, 10, 'II', 2, ['assistant:', 'user:']), (3, 10, 'II', 3, ['user:', 'assistant:'])
+),
+steps AS (
+    SELECT e.conv_id, e.pos, e.s, e.edit.cost + i.cost AS cost, e.edit.audit || i.audit AS audit, i.goes AS after,
+        list_concat(CASE WHEN e.edit.said IS NULL THEN [] ELSE [e.edit.said] END, i.said) AS said
+    FROM edits e JOIN inserted i ON i.s = e.edit.goes WHERE e.edit IS NOT NULL
+),
+paths AS (
+    SELECT conv_id, 0::BIGINT AS pos, i.goes AS s, {'cost': i.cost, 'audit': i.audit, 'said': i.said} AS best
+    FROM (SELECT DISTINCT conv_id FROM conversations), inserted i WHERE i.s = 0
+    UNION ALL
+    SELECT p.conv_id, p.pos + 1, t.after, min({'cost': p.best.cost + t.cost, 'audit': p.best.audit || t.audit,
+        'said': list_concat(p.best.said, t.said)})
+    FROM paths p JOIN steps t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.pos = p.pos + 1 AND t.s = p.s
+    GROUP BY p.conv_id, p.pos, t.after
+),
+ended AS (
+    SELECT p.conv_id, min(p.best) AS best FROM paths p LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM p.conv_id
+    WHERE p.s IN (0, 3) AND p.pos = coalesce(c.n, 0) GROUP BY p.conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.cost AS BIGINT) AS cost,
+    best.audit AS audit, sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+# The check sum of a word's bytes, from the table that eight shifts of each number below 256 give.
+OP12 = r"""
+WITH shifted AS (
+    SELECT list_transform(range(256), lambda start: list_reduce(list_prepend(start, range(8)),
+        lambda c, step: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS shifts
+),
+texts AS (
+    SELECT doc_id, false AS wanted, row_number() OVER () AS nr, text FROM documents
+    UNION ALL SELECT NULL, true, NULL, text FROM benchmark
+),
+split AS (
+    SELECT doc_id, wanted, nr, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM texts
+),
+found AS (SELECT wanted, nr, unnest(words) AS word FROM split),
+spelled AS (
+    SELECT word, hex(word) AS digits FROM (SELECT DISTINCT word FROM found)
+),
+coded AS (
+    SELECT word, list_transform(range(1, length(digits), 2),
+        lambda i: 16 * (strpos('0123456789ABCDEF', digits[i]) - 1) + strpos('0123456789ABCDEF', digits[i + 1]) - 1) AS bytes
+    FROM spelled
+),
+bucketed AS (
+    SELECT word, xor(list_reduce(list_prepend(4294967295, bytes),
+        lambda c, b: xor(c // 256, shifts[xor(c % 256, b) + 1])), 4294967295) % 10000 AS bucket
+    FROM coded, shifted
+),
+counted AS (
+    SELECT bucket, CAST(count(*) FILTER (NOT wanted) AS DOUBLE) AS s, CAST(count(*) FILTER (wanted) AS DOUBLE) AS t
+    FROM found JOIN bucketed USING (word) GROUP BY bucket
+),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM counted) + 10000)
+        / ((s + 1) * ((SELECT sum(t) FROM counted) + 10000)))) AS BIGINT) AS gain
+    FROM counted
+),
+weights AS (
+    SELECT nr, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+    FROM found JOIN bucketed USING (word) JOIN gains USING (bucket) WHERE NOT wanted GROUP BY nr
+),
+scored AS (
+    SELECT doc_id, nr, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT)
+            + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+    FROM split LEFT JOIN weights USING (nr) WHERE NOT wanted
+),
+ranked AS (
+    SELECT nr, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+    FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (nr)
+"""
+
+SQL = {"op10_chat_format": OP10, "op11_conversation_repair": OP11, "op12_importance_resampling": OP12}
