@@ -54,8 +54,8 @@ def main() -> None:
         return read_index(spark, path), read_embedder(spark, path)
 
     def keyword():
-        stats = bm25.keyword_stats(bm25.bm25_documents(index()[0]))
-        run(jobs.keyword_hits(requests, index()[0], 6, stats))
+        keywords = bm25.build_keyword_index(bm25.bm25_documents(index()[0]))
+        run(jobs.keyword_hits(requests, index()[0], 6, keywords))
 
     steps = {
         "ingest_features": ingest,

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vitrine.functions import fixed
 from vitrine.functions.text import ws_tokens
-from vitrine.operators.topk import BLOCK_CELLS, BROADCAST_CELLS, Okapi, blocked_topk
+from vitrine.operators.postings import Postings, build_segments
+from vitrine.operators.topk import BLOCK_CELLS, BROADCAST_CELLS, blocked_topk
 from vitrine.session import scratch_path
 
 
@@ -57,49 +58,61 @@ def bm25_terms(counts: DataFrame, n_docs: Column) -> DataFrame:
 
 
 @dataclass
-class KeywordStats:
-    """Corpus statistics: the term table and the average document length."""
+class KeywordIndex:
+    """Term table, average document length and the stored segments of postings."""
 
     terms: DataFrame
     avgdl: float
+    segments: DataFrame
 
 
-def keyword_stats(documents: DataFrame, path: str | None = None) -> KeywordStats:
-    """Count the corpus once into a table; searches then read the table, not the corpus."""
+def build_keyword_index(documents: DataFrame, path: str | None = None) -> KeywordIndex:
+    """Count the corpus once and write its postings; searches then read these tables, not the corpus."""
     spark = documents.sparkSession
-    path = path or scratch_path(spark, "terms")
-    bm25_counts(documents).write.mode("overwrite").parquet(path)
-    return read_keyword_stats(spark, path)
+    path = path or scratch_path(spark, "keywords")
+    bm25_counts(documents).write.mode("overwrite").parquet(f"{path}/terms")
+    _, avgdl = _read_terms(spark, path)
+    segments = build_segments(documents, fixed.BM25_K1, fixed.BM25_B, avgdl)
+    segments.write.mode("overwrite").parquet(f"{path}/segments")
+    return read_keyword_index(spark, path)
 
 
-def read_keyword_stats(spark: SparkSession, path: str) -> KeywordStats:
-    counts = spark.read.parquet(path)
+def _read_terms(spark: SparkSession, path: str) -> tuple[DataFrame, float]:
+    counts = spark.read.parquet(f"{path}/terms")
     corpus = counts.where("term IS NULL").first()
     n_docs, length = (corpus["df"], corpus["length"]) if corpus else (0, 0)
     terms = bm25_terms(counts.where("term IS NOT NULL"), F.lit(n_docs))
-    return KeywordStats(terms, length / n_docs if length else 1.0)
+    return terms, length / n_docs if length else 1.0
+
+
+def read_keyword_index(spark: SparkSession, path: str) -> KeywordIndex:
+    terms, avgdl = _read_terms(spark, path)
+    return KeywordIndex(terms, avgdl, spark.read.parquet(f"{path}/segments"))
 
 
 def bm25_search(
     queries: DataFrame,
-    documents: DataFrame,
-    k: int,
-    stats: KeywordStats | None = None,
+    documents: DataFrame | None,
+    k: int | Column,
+    index: KeywordIndex | None = None,
     broadcast_cells: int = BROADCAST_CELLS,
     block_cells: int = BLOCK_CELLS,
 ) -> DataFrame:
     """Top-k documents per query: ``(query_id, row_id, score, rank)``, ties by ``row_id``.
 
-    ``queries`` has ``(query_id, tokens)``; repeated query tokens count repeatedly. All documents are ranked: one that
-    shares no token with the query scores zero. Documents are scored where they lie, so a term shared by
-    many queries and many documents never becomes a join of all its pairs.
+    ``queries`` has ``(query_id, tokens)``; repeated query tokens count repeatedly. ``k`` is a number or a column of ``queries``. All
+    documents are ranked: one that shares no token with the query scores zero. Segments are scored where they lie, so a
+    term shared by many queries and many documents never becomes a join of all its pairs, and of their blocks only those that can
+    bring a query one of its hits. Without a stored ``index`` one is made of ``documents (row_id, tokens)``.
     """
-    stats = keyword_stats(documents) if stats is None else stats
+    index = build_keyword_index(documents) if index is None else index
+    own = (F.lit(k) if isinstance(k, int) else k).cast("bigint").alias("k")
+    asked = queries.select("query_id", own, "tokens")
     matched = (
-        queries.select("query_id", F.explode("tokens").alias("term"))
+        asked.select("query_id", F.explode("tokens").alias("term"))
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("times"))
-        .join(stats.terms, "term")
+        .join(index.terms, "term")
         .groupBy("query_id")
         .agg(
             F.sort_array(
@@ -112,17 +125,18 @@ def bm25_search(
             F.col("entries.weight").alias("weights"),
         )
     )
-    everyone = queries.select("query_id").distinct().join(matched, "query_id", "left")
+    everyone = asked.groupBy("query_id").agg(F.max("k").alias("k")).join(matched, "query_id", "left")
     wanted = everyone.select(
         "query_id",
+        "k",
         F.coalesce("terms", F.array().cast("array<string>")).alias("terms"),
         F.coalesce("weights", F.array().cast("array<double>")).alias("weights"),
     )
     return blocked_topk(
         wanted,
-        documents,
-        k,
-        Okapi(fixed.BM25_K1, fixed.BM25_B, stats.avgdl),
+        index.segments,
+        F.col("k"),
+        Postings(),
         broadcast_cells=broadcast_cells,
         block_cells=block_cells,
     )

@@ -10,6 +10,9 @@ Two ways bring the queries to the catalogue, and both give the same rows:
   scanned in place and not shuffled;
 * beyond that: both sides are cut into evenly hashed blocks and every (catalogue block, query block)
   pair meets once in a co-grouped task of bounded size.
+
+Every query has its own k. One that asks for more than ``WIDE`` hits keeps none in the task: its scores leave
+chunk by chunk, and only its own rows meet in the ranking, so it costs the other queries nothing.
 """
 
 from __future__ import annotations
@@ -26,21 +29,28 @@ BROADCAST_CELLS = 8_000_000  # 64 MB of doubles
 BLOCK_CELLS = 16_000_000  # numbers per side of one co-grouped task
 CHUNK_ROWS = 4096
 CHUNK_QUERIES = 1024
+WIDE = 65_536  # hits of a query above which a task doesn't hold them
 CROWDED = 8  # candidates per wanted hit above which a chunk is narrowed down first
 
 
 class Best:
-    """The k best (score, row id) seen so far for each of ``n`` queries."""
+    """The best (score, row id) seen so far for each query, as many as its own ``k``."""
 
-    def __init__(self, n: int, k: int):
-        self.n, self.k = n, k
+    def __init__(self, k: np.ndarray):
+        self.n, self.k = len(k), k
         self.query = np.empty(0, dtype=np.int64)
         self.ids = np.empty(0, dtype=np.int64)
         self.scores = np.empty(0, dtype=np.float64)
-        self.floor = np.full(n, -np.inf)  # k-th best score, once k are known
+        self.floor = np.full(self.n, -np.inf)  # score and row id of the last hit, once all k are known
+        self.floor_id = np.full(self.n, np.iinfo(np.int64).max)
 
     def crowded(self, candidates: np.ndarray) -> bool:
-        return np.count_nonzero(candidates) > CROWDED * self.k * self.n
+        return np.count_nonzero(candidates) > CROWDED * self.k.sum()
+
+    def may_enter(self, bounds: np.ndarray, first_ids: np.ndarray) -> np.ndarray:
+        """Whether rows of at most this score (one row a query) and at least this id (one a column) can be hits."""
+        floor = self.floor[:, None]
+        return (bounds > floor) | ((bounds == floor) & (first_ids < self.floor_id[:, None]))
 
     def add(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         if not len(ids):
@@ -51,50 +61,57 @@ class Best:
         order = np.lexsort((ids, -scores, query))
         query, ids, scores = query[order], ids[order], scores[order]
         rank = np.arange(len(query)) - np.searchsorted(query, query, side="left")
-        keep = rank < self.k
-        full = rank == self.k - 1
+        keep = rank < self.k[query]
+        full = rank == self.k[query] - 1
         self.query, self.ids, self.scores = query[keep], ids[keep], scores[keep]
         self.floor[query[full]] = scores[full]
-
-    def table(self, keys: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [keys.take(pa.array(self.query)), pa.array(self.ids), pa.array(self.scores)],
-            names=["query_id", "row_id", "score"],
-        )
+        self.floor_id[query[full]] = ids[full]
 
 
-def _kth_largest(scores: np.ndarray, k: int) -> np.ndarray:
+def kth_largest(scores: np.ndarray, k: np.ndarray) -> np.ndarray:
     """The k-th largest of each row, as a column; -inf for shorter rows."""
-    if scores.shape[1] < k:
-        return np.full((len(scores), 1), -np.inf)
-    return np.partition(scores, scores.shape[1] - k, axis=1)[:, [-k]]
+    width, found = scores.shape[1], np.full((len(scores), 1), -np.inf)
+    for own in np.unique(k[k <= width]):
+        rows = k == own
+        found[rows] = np.partition(scores[rows], width - own, axis=1)[:, [width - own]]
+    return found
 
 
 def _whole(table: pa.Table, name: str) -> pa.Array:
     return table.column(name).combine_chunks()
 
 
-def _scan(
-    scorer, queries: pa.Table, batches: Iterator[pa.RecordBatch], k: int
-) -> Iterator[pa.RecordBatch]:
-    """Score all rows against all queries, block by block; k hits per query come out at the end."""
-    blocks = []
-    for start in range(0, queries.num_rows, CHUNK_QUERIES):
-        block = queries.slice(start, CHUNK_QUERIES)
-        blocks.append((_whole(block, "query_id"), scorer.prepare(block), Best(block.num_rows, k)))
+def _hits(block: pa.Table, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+    asked = pa.array(query)
+    columns = [_whole(block, "query_id").take(asked), _whole(block, "k").take(asked), pa.array(ids), pa.array(scores)]
+    return pa.RecordBatch.from_arrays(columns, names=["query_id", "k", "row_id", "score"])
+
+
+def _scan(scorer, queries: pa.Table, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Score all rows against all queries, block by block; the k hits of a query come out at the end."""
+    wide = pc.greater(queries.column("k"), WIDE)
+    blocks, streamed = [], []
+    for part, kept in ((queries.filter(pc.invert(wide)), blocks), (queries.filter(wide), streamed)):
+        for start in range(0, part.num_rows, CHUNK_QUERIES):
+            block = part.slice(start, CHUNK_QUERIES)
+            best = Best(_whole(block, "k").to_numpy(zero_copy_only=False))
+            kept.append((block, scorer.prepare(block), best))
     for batch in batches:
-        for start in range(0, batch.num_rows, CHUNK_ROWS):
-            rows = scorer.load(batch.slice(start, CHUNK_ROWS).sort_by("row_id"))
+        for rows in scorer.chunks(batch):
             for _, state, best in blocks:
                 scorer.score(state, rows, best)
-    for keys, _, best in blocks:
-        yield best.table(keys)
+            for block, state, best in streamed:
+                for first in range(best.n):  # a query at a time: its scores of one chunk
+                    scores = scorer.exact(state, rows, first)
+                    yield _hits(block, np.full(len(scores), first), rows.ids, scores)
+    for block, _, best in blocks:
+        yield _hits(block, best.query, best.ids, best.scores)
 
 
 def blocked_topk(
     queries: DataFrame,
     catalog: DataFrame,
-    k: int,
+    k: int | Column,
     scorer,
     *,
     broadcast_cells: int = BROADCAST_CELLS,
@@ -102,17 +119,20 @@ def blocked_topk(
 ) -> DataFrame:
     """Rows ``(query_id, row_id, score, rank)``, at most k per query.
 
+    ``k`` is a number or a column of ``queries``, each query's own; a query whose k is null or below 1 has no hits.
     ``queries`` has a unique ``query_id`` and the scorer's query columns; ``catalog`` a unique bigint
     ``row_id`` and the scorer's catalogue columns. ``scorer.query_cells`` and ``scorer.catalog_cells``
     count the numbers a row holds; their sums decide how the queries travel.
     """
-    if k < 1:
+    if isinstance(k, int) and k < 1:
         raise ValueError("k must be at least 1")
-    queries = queries.select("query_id", *scorer.query_columns)
+    own = (F.lit(k) if isinstance(k, int) else k).cast("bigint").alias("k")
+    queries = queries.select("query_id", own, *scorer.query_columns).where("k >= 1")
     catalog = catalog.select("row_id", *scorer.catalog_columns)
     schema = T.StructType(
         [
             T.StructField("query_id", queries.schema["query_id"].dataType),
+            T.StructField("k", T.LongType()),
             T.StructField("row_id", T.LongType()),
             T.StructField("score", T.DoubleType()),
         ]
@@ -122,15 +142,21 @@ def blocked_topk(
         shared = catalog.sparkSession.sparkContext.broadcast(queries.toArrow())
 
         def scan(batches):
-            return _scan(scorer, shared.value, batches, k)
+            return _scan(scorer, shared.value, batches)
 
         partial = catalog.mapInArrow(scan, schema)
     else:
         catalog_blocks = _blocks(_total(catalog, scorer.catalog_cells()), block_cells)
         query_blocks = _blocks(query_cells, block_cells)
-        partial = _block_join(queries, catalog, k, scorer, schema, query_blocks, catalog_blocks)
+        partial = _block_join(queries, catalog, scorer, schema, query_blocks, catalog_blocks)
+    return ranked(partial)
+
+
+def ranked(partial: DataFrame) -> DataFrame:
+    """The k best of ``(query_id, k, row_id, score)`` with their ranks."""
     ranking = Window.partitionBy("query_id").orderBy(F.desc("score"), "row_id")
-    return partial.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
+    numbered = partial.withColumn("rank", F.row_number().over(ranking))
+    return numbered.where("rank <= k").drop("k")
 
 
 def _total(df: DataFrame, cells: Column) -> int:
@@ -141,7 +167,7 @@ def _blocks(cells: int, block_cells: int) -> int:
     return max(1, math.ceil(cells / block_cells))
 
 
-def _block_join(queries, catalog, k, scorer, schema, query_blocks, catalog_blocks) -> DataFrame:
+def _block_join(queries, catalog, scorer, schema, query_blocks, catalog_blocks) -> DataFrame:
     def place(df, key, own, own_blocks, other, other_blocks):
         block = F.pmod(F.xxhash64(key), F.lit(own_blocks)).cast("int")
         return df.withColumn(own, block).withColumn(
@@ -154,8 +180,8 @@ def _block_join(queries, catalog, k, scorer, schema, query_blocks, catalog_block
     def meet(rows: pa.Table, block: pa.Table) -> pa.Table:
         batches = rows.combine_chunks().to_batches()
         key = block.schema.field("query_id").type
-        found = pa.schema([("query_id", key), ("row_id", pa.int64()), ("score", pa.float64())])
-        return pa.Table.from_batches(_scan(scorer, block, batches, k), schema=found)
+        kinds = [("query_id", key), ("k", pa.int64()), ("row_id", pa.int64()), ("score", pa.float64())]
+        return pa.Table.from_batches(_scan(scorer, block, batches), schema=pa.schema(kinds))
 
     return (
         left.groupBy("__cb", "__qb").cogroup(right.groupBy("__cb", "__qb")).applyInArrow(meet, schema)
@@ -213,9 +239,14 @@ class InnerProduct:
         matrix = self.matrix(_whole(queries, "embedding"))
         return matrix, np.linalg.norm(matrix.astype(np.float64), axis=1)
 
-    def load(self, batch: pa.RecordBatch) -> _Vectors:
-        ids = batch.column("row_id").to_numpy(zero_copy_only=False)
-        return _Vectors(ids, self.matrix(batch.column("embedding")))
+    def chunks(self, batch: pa.RecordBatch) -> Iterator[_Vectors]:
+        for start in range(0, batch.num_rows, CHUNK_ROWS):
+            rows = batch.slice(start, CHUNK_ROWS).sort_by("row_id")
+            ids = rows.column("row_id").to_numpy(zero_copy_only=False)
+            yield _Vectors(ids, self.matrix(rows.column("embedding")))
+
+    def exact(self, state, rows: _Vectors, query: int) -> np.ndarray:
+        return np.cumsum(state[0][query].astype(np.float64) * rows.matrix, axis=1)[:, -1]
 
     def score(self, state, rows: _Vectors, best: Best) -> None:
         queries, norms = state
@@ -226,11 +257,11 @@ class InnerProduct:
         rough = queries @ rows.matrix.T
         near = rough >= floor
         if best.crowded(near):
-            near = rough >= np.maximum(floor, _kth_largest(rough, best.k) - 2 * slack)
+            near = rough >= np.maximum(floor, kth_largest(rough, best.k) - 2 * slack)
         if best.crowded(near):  # many copies of one vector
-            rows = rows.without_surplus(best.k)
+            rows = rows.without_surplus(int(best.k.max()))
             rough = queries @ rows.matrix.T
-            near = rough >= np.maximum(floor, _kth_largest(rough, best.k) - 2 * slack)
+            near = rough >= np.maximum(floor, kth_largest(rough, best.k) - 2 * slack)
         query, row = np.nonzero(near)
         exact = np.empty(len(query))
         for at in range(0, len(query), CHUNK_ROWS):
@@ -238,66 +269,3 @@ class InnerProduct:
             products = queries[query[piece]].astype(np.float64) * rows.matrix[row[piece]]
             exact[piece] = np.cumsum(products, axis=1)[:, -1]
         best.add(query, rows.ids[row], exact)
-
-
-class Okapi:
-    """BM25 over token arrays; rows that share no term with a query score zero, like any other score.
-
-    A query row carries its distinct ``terms`` and ``weights`` (idf times the number of times the term
-    occurs in the query).
-    """
-
-    query_columns = ["terms", "weights"]
-    catalog_columns = ["tokens"]
-
-    def __init__(self, k1: float, b: float, avgdl: float):
-        self.k1, self.b, self.avgdl = k1, b, avgdl
-
-    def query_cells(self) -> Column:
-        return 2 * F.size("terms") + 1
-
-    def catalog_cells(self) -> Column:
-        return F.size("tokens") + 1
-
-    def prepare(self, queries: pa.Table):
-        """Terms in ascending order, and for each the queries that have it with their weights."""
-        terms = _whole(queries, "terms")
-        weight = _whole(queries, "weights").flatten().to_numpy(zero_copy_only=False)
-        sizes = pc.list_value_length(terms).to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(len(terms)), sizes)
-        flat = terms.flatten()
-        vocabulary = pc.unique(flat)
-        vocabulary = vocabulary.take(pc.sort_indices(vocabulary))
-        term = pc.index_in(flat, value_set=vocabulary).to_numpy(zero_copy_only=False)
-        order = np.argsort(term, kind="stable")
-        bounds = np.searchsorted(term[order], np.arange(len(vocabulary) + 1))
-        return vocabulary, owner[order], weight[order], bounds
-
-    def load(self, batch: pa.RecordBatch):
-        tokens = batch.column("tokens")
-        sizes = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
-        ids = batch.column("row_id").to_numpy(zero_copy_only=False)
-        return ids, sizes, tokens.flatten()
-
-    def score(self, state, rows, best: Best) -> None:
-        vocabulary, owner, weight, bounds = state
-        ids, sizes, tokens = rows
-        found = pc.fill_null(pc.index_in(tokens, value_set=vocabulary), -1)
-        found = found.to_numpy(zero_copy_only=False).astype(np.int64)
-        row = np.repeat(np.arange(len(ids)), sizes)[found >= 0]
-        cell, count = np.unique(found[found >= 0] * len(ids) + row, return_counts=True)
-        term, row = np.divmod(cell, len(ids))
-        damping = self.k1 * (1 - self.b + self.b * sizes[row] / self.avgdl)
-        gain = count * (self.k1 + 1) / (count + damping)
-        present, start = np.unique(term, return_index=True)
-        end = np.append(start[1:], len(term))
-        scores = np.zeros((best.n, len(ids)))
-        for t, lo, hi in zip(present, start, end):  # ascending terms: a fixed order of summation
-            asking = slice(bounds[t], bounds[t + 1])
-            where = np.ix_(owner[asking], row[lo:hi])
-            scores[where] += weight[asking, None] * gain[None, lo:hi]
-        bar = np.maximum(best.floor[:, None], _kth_largest(scores, best.k))
-        level = scores == bar  # rows are in id order: the first k ties suffice
-        level &= np.cumsum(level, axis=1) <= best.k
-        query, hit = np.nonzero((scores > bar) | level)
-        best.add(query, ids[hit], scores[query, hit])

@@ -99,12 +99,15 @@ def sparse_form(df: DataFrame, col: str = "embedding") -> DataFrame:
 def knn(
     queries: DataFrame,
     index: DataFrame,
-    k: int,
+    k: int | Column,
     dim: int | None = None,
     broadcast_cells: int = BROADCAST_CELLS,
     block_cells: int = BLOCK_CELLS,
 ) -> DataFrame:
-    """Exact top-k by inner product: ``(query_id, row_id, score, rank)``, ties by ``row_id``."""
+    """Exact top-k by inner product: ``(query_id, row_id, score, rank)``, ties by ``row_id``.
+
+    ``k`` is a number or a column of ``queries``.
+    """
     if dim is None:
         sized = index.select(F.size("embedding").alias("dim")).first()
         dim = sized["dim"] if sized else 1

@@ -56,16 +56,16 @@ def index(spark: SparkSession, folder: str):
         path = scratch_path(spark, "index")
         write_features(features(spark, folder), f"{path}/features")
         rows, _ = jobs.build_index(read_features(spark, f"{path}/features"), path)
-        bm25.keyword_stats(bm25.bm25_documents(rows), f"{path}/keywords")
+        bm25.build_keyword_index(bm25.bm25_documents(rows), f"{path}/keywords")
         _indexes[key] = path
     return read_index(spark, _indexes[key]), read_embedder(spark, _indexes[key])
 
 
-def keyword_stats(spark: SparkSession, folder: str) -> bm25.KeywordStats:
-    """Term statistics written next to the index."""
+def keyword_index(spark: SparkSession, folder: str) -> bm25.KeywordIndex:
+    """Terms and postings written next to the index."""
     index(spark, folder)
     key = (spark.sparkContext.applicationId, folder)
-    return bm25.read_keyword_stats(spark, f"{_indexes[key]}/keywords")
+    return bm25.read_keyword_index(spark, f"{_indexes[key]}/keywords")
 
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:

@@ -132,8 +132,13 @@ def build_index(
 # --- retrieval ---------------------------------------------------------------------------------
 
 
-def _largest_top_k(requests: DataFrame) -> int:
-    return max(1, requests.agg(F.max("top_k")).first()[0] or fixed.DEFAULT_TOP_K)
+def _own(k: int | Column) -> Column:
+    return (F.lit(k) if isinstance(k, int) else k).cast("bigint")
+
+
+def _question(k: Column, text: Column) -> Column:
+    """One key for what is asked: requests for the same text and number of hits share a search."""
+    return F.concat(k.cast("string"), F.lit(":"), text)
 
 
 def _with_metadata(hits: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
@@ -156,49 +161,51 @@ def _to_requests(
 
 
 def text_hits(
-    texts: DataFrame, index: DataFrame, model, k: int = 5, columns: list[str] = SHOWN
+    texts: DataFrame, index: DataFrame, model, k: int | Column = 5, columns: list[str] = SHOWN
 ) -> DataFrame:
     """Top-k catalogue rows per free text ``(query_id, text)`` by vector similarity.
 
-    ``model`` offers ``dim`` and ``transform(text column) -> vector column``.
+    ``model`` offers ``dim`` and ``transform(text column) -> vector column``; ``k`` is a number or a column of ``texts``.
     """
-    vectors = texts.select("query_id", model.transform(F.col("text")).alias("embedding"))
-    return _with_metadata(knn(vectors, index, k, model.dim), index, columns)
+    vectors = texts.select("query_id", _own(k).alias("k"), model.transform(F.col("text")).alias("embedding"))
+    return _with_metadata(knn(vectors, index, F.col("k"), model.dim), index, columns)
 
 
 def dense_hits(
     requests: DataFrame,
     index: DataFrame,
     model,
-    k: int,
+    k: int | Column,
     columns: list[str] = SHOWN,
     distinct: bool = False,
 ) -> DataFrame:
-    """Top-k catalogue rows per request; equal query texts are embedded and searched once."""
-    asked = requests.withColumn("__text", query_text(F.col("name"), F.col("color")))
-    text = F.col("__text")
-    texts = asked.select(text).distinct().select(text.alias("query_id"), text.alias("text"))
-    return _to_requests(asked, text_hits(texts, index, model, k, columns), "__text", distinct)
+    """Top-k catalogue rows per request; equal query texts are embedded and searched once.
+
+    ``k`` is a number or a column of ``requests``; a request whose k is null or below 1 has no hits.
+    """
+    text = query_text(F.col("name"), F.col("color"))
+    asked = requests.withColumn("__asked", _question(_own(k), text))
+    texts = asked.select(F.col("__asked").alias("query_id"), text.alias("text"), _own(k).alias("k"))
+    texts = texts.where("k >= 1").dropDuplicates(["query_id"])
+    return _to_requests(asked, text_hits(texts, index, model, F.col("k"), columns), "__asked", distinct)
 
 
 def keyword_hits(
     requests: DataFrame,
     index: DataFrame,
-    k: int,
-    stats: bm25.KeywordStats | None = None,
+    k: int | Column,
+    keywords: bm25.KeywordIndex | None = None,
     columns: list[str] = SHOWN,
     distinct: bool = False,
 ) -> DataFrame:
-    """Top-k catalogue rows per request by BM25 over name and colours."""
-    documents = bm25.bm25_documents(index)
-    tokens = bm25.bm25_tokens(F.col("name"), F.col("color"))
-    asked = requests.withColumn("__words", F.array_join(F.sort_array(tokens), " "))
-    bags = asked.select("__words").distinct()
-    queries = bags.select(
-        F.col("__words").alias("query_id"), F.split("__words", " ").alias("tokens")
-    )
-    hits = _with_metadata(bm25.bm25_search(queries, documents, k, stats), index, columns)
-    return _to_requests(asked, hits, "__words", distinct)
+    """Top-k catalogue rows per request by BM25 over name and colours, from the stored ``keywords``."""
+    documents = bm25.bm25_documents(index) if keywords is None else None
+    bag = F.array_join(F.sort_array(bm25.bm25_tokens(F.col("name"), F.col("color"))), " ")
+    asked = requests.withColumn("__asked", _question(_own(k), bag))
+    bags = asked.select(F.col("__asked").alias("query_id"), F.split(bag, " ").alias("tokens"), _own(k).alias("k"))
+    queries = bags.where("k >= 1").dropDuplicates(["query_id"])
+    found = bm25.bm25_search(queries, documents, F.col("k"), keywords)
+    return _to_requests(asked, _with_metadata(found, index, columns), "__asked", distinct)
 
 
 def retrieve(
@@ -209,24 +216,28 @@ def retrieve(
     columns: list[str] = SHOWN,
 ) -> DataFrame:
     """Dense hits of each request, at most its own ``top_k`` (``k`` bounds all of them)."""
-    k = _largest_top_k(requests) if k is None else k
-    return dense_hits(requests, index, model, k, columns).where(F.col("rank") <= F.col("top_k"))
+    own = F.col("top_k") if k is None else F.least(F.col("top_k"), F.lit(k))
+    return dense_hits(requests, index, model, own, columns)
 
 
 def hybrid_retrieve(
-    requests: DataFrame, index: DataFrame, model, k: int, stats: bm25.KeywordStats | None = None
+    requests: DataFrame,
+    index: DataFrame,
+    model,
+    k: int | Column,
+    keywords: bm25.KeywordIndex | None = None,
 ) -> DataFrame:
     """Dense and keyword hits (2k each) merged, one per product name, first k.
 
-    Both searches and the merge run once per distinct name and colour; requests meet the outcome last.
+    Both searches and the merge run once per distinct name, colour and k; requests meet the outcome last.
     """
-    asked = requests.withColumn("__asked", F.to_json(F.struct("name", "color")))
+    asked = requests.withColumn("__asked", F.to_json(F.struct("name", "color", _own(k).alias("k"))))
     unique = asked.groupBy(F.col("__asked").alias("query_id")).agg(
-        F.first("name").alias("name"), F.first("color").alias("color")
+        F.first("name").alias("name"), F.first("color").alias("color"), F.first(_own(k)).alias("k")
     )
-    dense = dense_hits(unique, index, model, 2 * k, distinct=True)
-    keyword = keyword_hits(unique, index, 2 * k, stats, distinct=True)
-    merged = merge_hits(dense, keyword, k).drop("name", "color")
+    dense = dense_hits(unique, index, model, 2 * F.col("k"), distinct=True)
+    keyword = keyword_hits(unique, index, 2 * F.col("k"), keywords, distinct=True)
+    merged = merge_hits(dense, keyword, F.col("k")).drop("name", "color", "k")
     return _to_requests(asked, merged, "__asked")
 
 
@@ -235,20 +246,25 @@ def planned_retrieve(
     index: DataFrame,
     model,
     max_top_k: int = 5,
-    stats: bm25.KeywordStats | None = None,
+    keywords: bm25.KeywordIndex | None = None,
 ) -> DataFrame:
     """Each request by its planned strategy and planned top-k (2 to ``max_top_k``).
 
-    A hybrid search fetches twice the request's own planned top-k from either source.
+    One dense and one keyword search serve all requests, each with its own number of hits: a dense request its planned
+    top-k, a hybrid one twice that from either source.
     """
-    planned = planning.plan_requests(requests)
-    dense = dense_hits(planned.where("retrieval_strategy = 'dense'"), index, model, max_top_k)
-    found = dense.withColumn("source", F.lit("dense"))
-    hybrid = planned.where("retrieval_strategy = 'hybrid'")
-    for k in range(2, max_top_k + 1):
-        own = hybrid.where(F.col("planned_top_k") == k)
-        found = found.unionByName(hybrid_retrieve(own, index, model, k, stats))
-    return found.where(F.col("rank") <= F.col("planned_top_k"))
+    k = F.least(F.col("planned_top_k"), F.lit(max_top_k)).cast("bigint")
+    planned = planning.plan_requests(requests).withColumn("planned_top_k", k)
+    hybrid = F.col("retrieval_strategy") == "hybrid"
+    asked = planned.withColumn("__asked", F.to_json(F.struct("name", "color", "planned_top_k")))
+    unique = asked.groupBy(F.col("__asked").alias("query_id")).agg(
+        *[F.first(c).alias(c) for c in ("name", "color", "planned_top_k", "retrieval_strategy")]
+    )
+    fetched = F.when(hybrid, 2 * F.col("planned_top_k")).otherwise(F.col("planned_top_k"))
+    dense = dense_hits(unique, index, model, fetched, distinct=True)
+    keyword = keyword_hits(unique.where(hybrid), index, 2 * F.col("planned_top_k"), keywords, distinct=True)
+    merged = merge_hits(dense, keyword, F.col("planned_top_k"), hybrid)
+    return _to_requests(asked, merged.drop("name", "color", "planned_top_k", "retrieval_strategy"), "__asked")
 
 
 def nest_hits(hits: DataFrame, extra: list[str] = []) -> DataFrame:

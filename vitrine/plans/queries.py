@@ -503,22 +503,22 @@ def keyword_corpus(spark, sf):
 
 @query
 def keyword_terms(spark, sf):
-    stats = bm25.keyword_stats(bm25.bm25_documents(inputs.features(spark, sf)))
-    return stats.terms.select("term", "df", F.round("idf", 6).alias("idf"))
+    index = bm25.build_keyword_index(bm25.bm25_documents(inputs.features(spark, sf)))
+    return index.terms.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query
 def keyword_retrieval(spark, sf):
-    stats = inputs.keyword_stats(spark, sf)
-    hits = jobs.keyword_hits(inputs.requests(spark, sf), inputs.index(spark, sf)[0], 6, stats)
+    keywords = inputs.keyword_index(spark, sf)
+    hits = jobs.keyword_hits(inputs.requests(spark, sf), inputs.index(spark, sf)[0], 6, keywords)
     return hits.select("query_id", "rank", "row_id", "name_clean", "similarity_score")
 
 
 @query
 def hybrid_retrieval(spark, sf):
     rows, model = inputs.index(spark, sf)
-    stats = inputs.keyword_stats(spark, sf)
-    hits = jobs.hybrid_retrieve(inputs.requests(spark, sf), rows, model, 5, stats)
+    keywords = inputs.keyword_index(spark, sf)
+    hits = jobs.hybrid_retrieve(inputs.requests(spark, sf), rows, model, 5, keywords)
     return hits.select("query_id", "rank", "row_id", "name_clean", "source", "similarity_score")
 
 
@@ -542,8 +542,8 @@ def retrieval_plans(spark, sf):
 @query
 def planned_retrieval(spark, sf):
     rows, model = inputs.index(spark, sf)
-    stats = inputs.keyword_stats(spark, sf)
-    hits = jobs.planned_retrieve(_planned_requests(spark, sf), rows, model, stats=stats)
+    keywords = inputs.keyword_index(spark, sf)
+    hits = jobs.planned_retrieve(_planned_requests(spark, sf), rows, model, keywords=keywords)
     return hits.select("query_id", "rank", "row_id", "source")
 
 
