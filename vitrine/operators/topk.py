@@ -44,9 +44,6 @@ class Best:
         self.floor = np.full(self.n, -np.inf)  # score and row id of the last hit, once all k are known
         self.floor_id = np.full(self.n, np.iinfo(np.int64).max)
 
-    def crowded(self, candidates: np.ndarray) -> bool:
-        return np.count_nonzero(candidates) > CROWDED * self.k.sum()
-
     def may_enter(self, bounds: np.ndarray, first_ids: np.ndarray) -> np.ndarray:
         """Whether rows of at most this score (one row a query) and at least this id (one a column) can be hits."""
         floor = self.floor[:, None]
@@ -68,6 +65,10 @@ class Best:
         self.floor_id[query[full]] = ids[full]
 
 
+def crowded(candidates: np.ndarray, k: np.ndarray) -> bool:
+    return np.count_nonzero(candidates) > CROWDED * k.sum()
+
+
 def kth_largest(scores: np.ndarray, k: np.ndarray) -> np.ndarray:
     """The k-th largest of each row, as a column; -inf for shorter rows."""
     width, found = scores.shape[1], np.full((len(scores), 1), -np.inf)
@@ -77,13 +78,13 @@ def kth_largest(scores: np.ndarray, k: np.ndarray) -> np.ndarray:
     return found
 
 
-def _whole(table: pa.Table, name: str) -> pa.Array:
+def whole(table: pa.Table, name: str) -> pa.Array:
     return table.column(name).combine_chunks()
 
 
-def _hits(block: pa.Table, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+def hits_of(block: pa.Table, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
     asked = pa.array(query)
-    columns = [_whole(block, "query_id").take(asked), _whole(block, "k").take(asked), pa.array(ids), pa.array(scores)]
+    columns = [whole(block, "query_id").take(asked), whole(block, "k").take(asked), pa.array(ids), pa.array(scores)]
     return pa.RecordBatch.from_arrays(columns, names=["query_id", "k", "row_id", "score"])
 
 
@@ -94,7 +95,7 @@ def _scan(scorer, queries: pa.Table, batches: Iterator[pa.RecordBatch]) -> Itera
     for part, kept in ((queries.filter(pc.invert(wide)), blocks), (queries.filter(wide), streamed)):
         for start in range(0, part.num_rows, CHUNK_QUERIES):
             block = part.slice(start, CHUNK_QUERIES)
-            best = Best(_whole(block, "k").to_numpy(zero_copy_only=False))
+            best = Best(whole(block, "k").to_numpy(zero_copy_only=False))
             kept.append((block, scorer.prepare(block), best))
     for batch in batches:
         for rows in scorer.chunks(batch):
@@ -103,9 +104,9 @@ def _scan(scorer, queries: pa.Table, batches: Iterator[pa.RecordBatch]) -> Itera
             for block, state, best in streamed:
                 for first in range(best.n):  # a query at a time: its scores of one chunk
                     scores = scorer.exact(state, rows, first)
-                    yield _hits(block, np.full(len(scores), first), rows.ids, scores)
+                    yield hits_of(block, np.full(len(scores), first), rows.ids, scores)
     for block, _, best in blocks:
-        yield _hits(block, best.query, best.ids, best.scores)
+        yield hits_of(block, best.query, best.ids, best.scores)
 
 
 def blocked_topk(
@@ -137,7 +138,7 @@ def blocked_topk(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    query_cells = _total(queries, scorer.query_cells())
+    query_cells = total(queries, scorer.query_cells())
     if query_cells <= broadcast_cells:
         shared = catalog.sparkSession.sparkContext.broadcast(queries.toArrow())
 
@@ -146,8 +147,8 @@ def blocked_topk(
 
         partial = catalog.mapInArrow(scan, schema)
     else:
-        catalog_blocks = _blocks(_total(catalog, scorer.catalog_cells()), block_cells)
-        query_blocks = _blocks(query_cells, block_cells)
+        catalog_blocks = blocks_for(total(catalog, scorer.catalog_cells()), block_cells)
+        query_blocks = blocks_for(query_cells, block_cells)
         partial = _block_join(queries, catalog, scorer, schema, query_blocks, catalog_blocks)
     return ranked(partial)
 
@@ -159,11 +160,11 @@ def ranked(partial: DataFrame) -> DataFrame:
     return numbered.where("rank <= k").drop("k")
 
 
-def _total(df: DataFrame, cells: Column) -> int:
+def total(df: DataFrame, cells: Column) -> int:
     return df.agg(F.sum(cells)).first()[0] or 0
 
 
-def _blocks(cells: int, block_cells: int) -> int:
+def blocks_for(cells: int, block_cells: int) -> int:
     return max(1, math.ceil(cells / block_cells))
 
 
@@ -236,7 +237,7 @@ class InnerProduct:
         return flat.reshape(len(column), self.dim)
 
     def prepare(self, queries: pa.Table):
-        matrix = self.matrix(_whole(queries, "embedding"))
+        matrix = self.matrix(whole(queries, "embedding"))
         return matrix, np.linalg.norm(matrix.astype(np.float64), axis=1)
 
     def chunks(self, batch: pa.RecordBatch) -> Iterator[_Vectors]:
@@ -248,24 +249,26 @@ class InnerProduct:
     def exact(self, state, rows: _Vectors, query: int) -> np.ndarray:
         return np.cumsum(state[0][query].astype(np.float64) * rows.matrix, axis=1)[:, -1]
 
-    def score(self, state, rows: _Vectors, best: Best) -> None:
-        queries, norms = state
+    def score(self, state, rows: _Vectors, best: Best, asking: np.ndarray | None = None) -> None:
+        """Offer ``rows`` to all queries, or to those numbered in ``asking``."""
+        asking = np.arange(best.n) if asking is None else asking
+        queries, norms, k, floors = state[0][asking], state[1][asking], best.k[asking], best.floor[asking]
         eps = np.finfo(np.result_type(queries, rows.matrix)).eps
         # |computed - true| <= dim * eps * |q| * |v|, doubled for safety
         slack = (2 * self.dim * eps * norms * rows.longest)[:, None]
-        floor = best.floor[:, None] - slack
+        floor = floors[:, None] - slack
         rough = queries @ rows.matrix.T
         near = rough >= floor
-        if best.crowded(near):
-            near = rough >= np.maximum(floor, kth_largest(rough, best.k) - 2 * slack)
-        if best.crowded(near):  # many copies of one vector
-            rows = rows.without_surplus(int(best.k.max()))
+        if crowded(near, k):
+            near = rough >= np.maximum(floor, kth_largest(rough, k) - 2 * slack)
+        if crowded(near, k):  # many copies of one vector
+            rows = rows.without_surplus(int(k.max()))
             rough = queries @ rows.matrix.T
-            near = rough >= np.maximum(floor, kth_largest(rough, best.k) - 2 * slack)
+            near = rough >= np.maximum(floor, kth_largest(rough, k) - 2 * slack)
         query, row = np.nonzero(near)
         exact = np.empty(len(query))
         for at in range(0, len(query), CHUNK_ROWS):
             piece = slice(at, at + CHUNK_ROWS)
             products = queries[query[piece]].astype(np.float64) * rows.matrix[row[piece]]
             exact[piece] = np.cumsum(products, axis=1)[:, -1]
-        best.add(query, rows.ids[row], exact)
+        best.add(asking[query], rows.ids[row], exact)

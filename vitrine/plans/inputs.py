@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.operators import bm25
+from vitrine.operators import bm25, clusters
 from vitrine.plans import jobs
 from vitrine.session import scratch_path
 from vitrine.sources.index import read_embedder, read_index
@@ -68,6 +68,16 @@ def keyword_index(spark: SparkSession, folder: str) -> bm25.KeywordIndex:
     return bm25.read_keyword_index(spark, f"{_indexes[key]}/keywords")
 
 
+def vector_clusters(spark: SparkSession, folder: str) -> clusters.ClusteredIndex:
+    """The stored vectors by cluster, written once per application and folder."""
+    key = (spark.sparkContext.applicationId, f"{folder} clusters")
+    if key not in _indexes:
+        _indexes[key] = scratch_path(spark, "clusters")
+        rows = table(spark, folder, "embeddings").select(F.col("vec_id").alias("row_id"), "embedding")
+        clusters.write_clusters(rows, _indexes[key], cluster_rows=64)
+    return clusters.read_clusters(spark, _indexes[key])
+
+
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """One request per part: its name, first word as colour ('' for new and old), last as category."""
     first = F.substring_index("p_name", " ", 1)

@@ -652,6 +652,7 @@ def oracle_queries() -> dict[str, str]:
               list_inner_product(CAST(q.embedding AS DOUBLE[]), CAST(r.embedding AS DOUBLE[])) AS score,
               row_number() OVER (PARTITION BY q.vec_id ORDER BY score DESC, r.vec_id) AS rank
               FROM embeddings q, embeddings r) WHERE rank <= 5"""
+    sql["clustered_nearest_vectors"] = sql["nearest_vectors"]
     sql["dense_retrieval"] = _with(
         _ASKED,
         "SELECT query_id, rank, row_id, name_clean, colors_extracted, similarity_score FROM hits",

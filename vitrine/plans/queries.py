@@ -9,6 +9,7 @@ from vitrine.functions.lists import extract_colors, parse_list
 from vitrine.operators import (
     bm25,
     cleaning,
+    clusters,
     filters,
     language_model,
     metrics,
@@ -455,6 +456,15 @@ def nearest_vectors(spark, sf):
     )
 
 
+@query
+def clustered_nearest_vectors(spark, sf):
+    """Every vector against the clustered index, best 5."""
+    stored = inputs.table(spark, sf, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
+    return clusters.clustered_knn(stored, inputs.vector_clusters(spark, sf), 5).select(
+        "query_id", "row_id", "rank", F.round("score", 4).alias("score")
+    )
+
+
 @query
 def dense_retrieval(spark, sf):
     rows, model = inputs.index(spark, sf)
