@@ -55,8 +55,12 @@ class ClusteredIndex:
 def _centres(index: DataFrame, n: int, clusters: int) -> np.ndarray:
     one_of = max(1, n // (clusters * SAMPLE_ROWS))
     sample = index.where(F.pmod(F.xxhash64("row_id"), F.lit(one_of)) == 0)
-    points = sample.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    model = KMeans(k=max(2, clusters), seed=1, maxIter=10).fit(points)
+    points = sample.select(F.col("embedding").cast("array<double>").alias("point")).distinct()
+    clusters = min(clusters, points.count())  # copies make no clusters of their own
+    if clusters < 2:
+        return np.array(points.first()["point"])[None, :]
+    features = points.select(array_to_vector("point").alias("features"))
+    model = KMeans(k=clusters, seed=1, maxIter=10, initMode="random").fit(features)
     return np.array(model.clusterCenters())
 
 
@@ -104,7 +108,7 @@ class _Centres:
     def __init__(self, centres: DataFrame):
         rows = centres.orderBy("cluster").collect()  # at most MAX_CLUSTERS rows
         self.numbers = np.array([r["cluster"] for r in rows], dtype=np.int32)
-        self.matrix = np.array([r["centre"] for r in rows]).reshape(len(rows), -1)
+        self.matrix = np.array([r["centre"] for r in rows]).reshape(len(rows), len(rows[0]["centre"]) if rows else 0)
         self.radius = np.array([r["radius"] for r in rows])
         self.n = np.array([r["n"] for r in rows], dtype=np.int64)
         self.norms = np.linalg.norm(self.matrix, axis=1)
@@ -129,7 +133,7 @@ def _choose(queries: DataFrame, centres, dim: int) -> DataFrame:
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = centres.value
-        for batch in batches:
+        for batch in batches if dim else ():  # an empty index has no centres
             matrix = InnerProduct(dim).matrix(batch.column("embedding")).astype(np.float64)
             k, floor = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "floor"))
             chosen = table.nearest(matrix, k)
@@ -216,7 +220,7 @@ def _meet(chosen: DataFrame, index: ClusteredIndex, table: _Centres, dim: int, b
 def _waves(queries: DataFrame, index: ClusteredIndex, k: int | Column, broadcast_cells: int, block_cells: int):
     """The queries with what each wave reads, and the hits of both waves."""
     spark, table = queries.sparkSession, _Centres(index.centres)
-    dim = max(1, table.matrix.shape[1])
+    dim = table.matrix.shape[1]
     centres = spark.sparkContext.broadcast(table)
     own = (F.lit(k) if isinstance(k, int) else k).cast("bigint").alias("k")
     asked = queries.select("query_id", own, F.col("embedding").cast("array<float>")).where("k >= 1")
