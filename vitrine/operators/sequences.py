@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vitrine.functions import fixed
 from vitrine.functions.text import ws_tokens
-from vitrine.operators.joins import salted_join
 from vitrine.operators.numbering import number_rows
+from vitrine.session import materialize
 
 BROADCAST_BYTES = 64 << 20
 IDS = T.ArrayType(T.IntegerType())
+MISSED = -1
 
 
 def prompts_only(df: DataFrame) -> DataFrame:
@@ -50,16 +54,17 @@ def encode(
     """Adds ``input_ids``, ``attention_mask`` and ``labels``, each of exactly ``max_length`` numbers.
 
     Longer texts are truncated, shorter ones padded on the right; labels are the ids including padding.
-    Ids of a vocabulary of at most ``broadcast_bytes`` are looked up inside the row; a larger one is
-    joined, at the price of one shuffle of the (truncated) tokens.
+    The most frequent tokens, ``broadcast_bytes`` of them at most, are looked up inside the row. If the vocabulary has more, the
+    tokens that are not among them meet the rest in a join, by a key that each row gets here; such rows are written once
+    for that. The result is the same, whether ``row_id`` is unique or not.
     """
     tokens = F.slice(sequence_tokens(F.col(col)), 1, max_length)
     words = vocab.select("token", "id")
-    size = words.agg(F.sum(F.octet_length("token") + 12)).first()[0] or 0
+    size = words.agg(F.sum(_bytes())).first()[0] or 0
     if size <= broadcast_bytes:
-        coded = df.withColumn("__ids", _local_ids(df.sparkSession, tokens, words.toArrow()))
+        coded = df.withColumn("__ids", _known_ids(df.sparkSession, tokens, words.toArrow(), fixed.UNKNOWN_ID))
     else:
-        coded = _joined_ids(df, tokens, words)
+        coded = _split_ids(df, tokens, words, broadcast_bytes)
     missing = F.lit(max_length) - F.size("__ids")
     return coded.withColumns(
         {
@@ -72,32 +77,47 @@ def encode(
     ).drop("__ids")
 
 
-def _local_ids(spark: SparkSession, tokens: Column, words: pa.Table) -> Column:
-    shared = spark.sparkContext.broadcast(
-        [words.column(c).combine_chunks() for c in ("token", "id")]
-    )
-    unknown = fixed.UNKNOWN_ID
+def _bytes() -> Column:
+    return F.octet_length("token") + 12
+
+
+def _known_ids(spark: SparkSession, tokens: Column, words: pa.Table, unknown: int) -> Column:
+    """Ids of the tokens in ``words``; a task builds its dictionary once and asks it once for each distinct token of a batch."""
+    shared = spark.sparkContext.broadcast(words)
 
     @F.arrow_udf(IDS)
-    def look_up(texts: pa.Array) -> pa.Array:
-        known, ids = shared.value
-        place = pc.index_in(texts.flatten(), value_set=known)
-        found = pc.fill_null(ids.take(place), unknown).cast(pa.int32())
-        sizes = pc.fill_null(pc.list_value_length(texts), 0)
-        offsets = pa.concat_arrays(
-            [pa.array([0], pa.int32()), pc.cumulative_sum(sizes).cast(pa.int32())]
-        )
-        return pa.ListArray.from_arrays(offsets, found)
+    def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = dict(zip(*(shared.value.column(c).to_pylist() for c in ("token", "id")), strict=True))
+        for texts in batches:
+            coded = texts.flatten().dictionary_encode()
+            ids = np.array([known.get(t, unknown) for t in coded.dictionary.to_pylist()], dtype=np.int32)
+            sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy(zero_copy_only=False)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            found = ids[coded.indices.to_numpy(zero_copy_only=False)]
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(found))
 
     return look_up(tokens)
 
 
-def _joined_ids(df: DataFrame, tokens: Column, words: DataFrame) -> DataFrame:
-    placed = df.select("row_id", F.posexplode(tokens).alias("pos", "token"))
-    known = salted_join(placed, words, "token", F.col("row_id"), "left")
-    entry = F.struct("pos", F.coalesce("id", F.lit(fixed.UNKNOWN_ID)).cast("int").alias("id"))
-    coded = known.groupBy("row_id").agg(  # at most max_length tokens per text
-        F.sort_array(F.collect_list(entry))["id"].alias("__ids")
+def _split_ids(df: DataFrame, tokens: Column, words: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """Frequent tokens (the small ids) by dictionary, the others by join on the token."""
+    sizes = words.groupBy(F.floor(F.log2("id")).alias("level")).agg(F.sum(_bytes()).alias("bytes"))
+    taken, cut = 0, fixed.UNKNOWN_ID + 1
+    for row in sizes.orderBy("level").collect():  # one row for each doubling of the ids
+        taken += row["bytes"]
+        if taken > broadcast_bytes:
+            break
+        cut = 2 ** (int(row["level"]) + 1)
+    frequent, rare = words.where(F.col("id") < cut), words.where(F.col("id") >= cut)
+    coded = df.withColumn("__ids", _known_ids(df.sparkSession, tokens, frequent.toArrow(), MISSED))
+    keyed = materialize(coded.withColumn("__key", F.monotonically_increasing_id()), "token-ids")
+    missed = F.filter(F.arrays_zip("__ids", tokens.alias("token"), F.sequence(F.lit(1), F.size("__ids")).alias("pos")),
+                      lambda t: t["__ids"] == MISSED)
+    rows = keyed.where(F.array_contains("__ids", MISSED))
+    placed = rows.select("__key", F.inline(missed).alias("__ids", "token", "pos")).drop("__ids")
+    entries = placed.join(rare, "token").groupBy("__key").agg(  # at most max_length tokens per text
+        F.map_from_entries(F.collect_list(F.struct("pos", "id"))).alias("__rare")
     )
-    none = F.array().cast("array<int>")
-    return df.join(coded, "row_id", "left").withColumn("__ids", F.coalesce("__ids", none))
+    found = lambda i, at: F.coalesce(F.try_element_at("__rare", at + 1), F.lit(fixed.UNKNOWN_ID))
+    ids = F.transform("__ids", lambda i, at: F.when(i == MISSED, found(i, at)).otherwise(i))
+    return keyed.join(entries, "__key", "left").withColumn("__ids", ids).drop("__key", "__rare")
