@@ -78,14 +78,20 @@ def needed_overlap(a: int, b: int) -> int:
     return -(-PERCENT * (a + b) // (100 + PERCENT))
 
 
+def among(values: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are in the sorted ``listed``."""
+    if not len(listed):
+        return np.zeros(len(values), bool)
+    return listed[np.minimum(np.searchsorted(listed, values), len(listed) - 1)] == values
+
+
 def first_quarter(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The shingles by which a set meets others: frequent ones last, else by hash."""
     n = len(shingles)
     size = n + 1 + (-PERCENT * n) // 100
     if not len(frequent):
         return shingles[:size]
-    at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-    late = frequent[at] == shingles
+    late = among(shingles, frequent)
     return np.concatenate([shingles[~late], shingles[late]])[:size]
 
 
@@ -124,7 +130,7 @@ def meetings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 continue
             flat = np.concatenate(parts)
             owner = np.repeat(np.array(keys, np.int64), [len(p) for p in parts])
-            late = np.isin(flat, often) if len(often) else np.zeros(len(flat), bool)
+            late = among(flat, often)
             columns = [pa.array(flat.view(np.int64)), pa.array(owner), pa.array(late)]
             yield pa.RecordBatch.from_arrays(columns, ["shingle", "key", "late"])
 
@@ -141,12 +147,12 @@ def extensions(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             parts = [none]
             for s in sets:
                 first = first_quarter(s, none)
-                share = np.isin(first, often).mean() if len(first) else 0
+                share = among(first, often).mean() if len(first) else 0
                 if share:
                     reach = int(1.25 * len(first) / max(1 - share, 0.25)) + 1
                     parts.append(s[len(first) : reach])
             found = np.concatenate(parts)
-            found = found[~np.isin(found, often)]
+            found = found[~among(found, often)]
             if len(found):
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["shingle"])
 
