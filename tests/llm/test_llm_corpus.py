@@ -177,6 +177,18 @@ def test_components_equal_brute_force(spark, seed, monkeypatch):
     assert len(rows) == len(texts)
 
 
+def test_a_family_costs_few_pairs_a_member(spark, monkeypatch):
+    """Members of a family are similar to some of the others, seldom to the leader: far fewer pairs than links are tried."""
+    tried, cross_pairs = [], jaccard_join.cross_pairs
+    monkeypatch.setattr(jaccard_join, "cross_pairs", lambda *a: tried.append(p := jaccard_join.stored(cross_pairs(*a), "t")) or p)
+    rng = random.Random(5)
+    base = [f"w{rng.randint(0, 9999)}" for _ in range(150)]
+    texts = [" ".join(edited(rng, base, rng.choice([0.01, 0.02, 0.03]))) for _ in range(400)]
+    rows = jaccard_join.near_duplicates(docs(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_components(texts)
+    assert sum(p.count() for p in tried) < 20 * len(texts) < sum(r.n_links for r in rows) / 2
+
+
 @pytest.mark.parametrize("members", [7, 1024])
 def test_links_are_counted_in_full(spark, members, monkeypatch):
     monkeypatch.setattr(jaccard_join, "MEMBERS", members)

@@ -12,7 +12,9 @@ The result is one row per document: its number of shingles, its class and its co
    first components, so most large groups of copies are settled with one pair per member.
 5. What is left are members of different components in one group. The members outside the largest component go into
    R-trees of count vectors, in blocks of bounded size; all others are searched against them. A node's box bounds
-   the overlap of everything below it. Surviving pairs are verified on their sets.
+   the overlap of everything below it. Of a class's surviving pairs a block hands on the ``QUOTA`` with the highest bounds; they are
+   verified on their sets and the components grow. Where a block held pairs back that still cross components, it is searched
+   again with a larger quota, until none holds any back. So a family of near copies costs a few pairs a member, not all.
 6. All similar pairs lie inside one component. The classes of each are dealt to blocks, every two blocks of a component
    are compared once, whole sets by whole sets, and only the number of links of each class leaves the comparison.
 
@@ -41,6 +43,8 @@ PERCENT = 75
 FREQUENT = 16  # a shingle in more classes' first quarters than this comes last in the order ...
 MAX_FREQUENT = 1_000_000  # ... where the limit rises so that each count lists at most so many (8 MB)
 MAX_WANTED = 4_000_000  # ids that a scan gets by broadcast (32 MB); more are joined by a shuffle
+QUOTA = 4  # pairs that a class tries in a block before components are joined; grows ...
+GROWTH = 8  # ... by this factor a round
 BLOCK = 512  # points of an R-tree
 QUERIES = 256  # searched at once
 PAIRS = 32768  # of a query and a node whose counts are held at once
@@ -349,20 +353,29 @@ def with_points(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs
 
 
-def cross_pairs(met: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of different components that meet, passed by the R-trees; pairs with the leader are left out.
+def cross_pairs(met: DataFrame, labels: DataFrame, classes: DataFrame, quota: int) -> DataFrame:
+    """Pairs ``(a, b, more)`` of different components that meet, passed by the R-trees; pairs with the leader are left out.
 
+    A class brings at most ``quota`` pairs a block; ``more`` says that it has others.
     Classes that meet by frequent shingles meet by many of them, mostly under the same leader: those meetings are put
     together by leader, so that a pair is not found again for every shingle.
     """
     rest = met.where("key != leader")
     by_shingle = rest.where("not late").select(F.col("shingle").alias("group"), "key")
     by_leader = rest.where("late").select(F.col("leader").alias("group"), "key").distinct()
-    few, many = (_searched(m, labels, classes) for m in (by_shingle, by_leader))
-    return few.unionByName(many).distinct()
+    few, many = (_searched(m, labels, classes, quota) for m in (by_shingle, by_leader))
+    return few.unionByName(many).groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
-def _searched(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def _best(q: np.ndarray, at: np.ndarray, likeness: np.ndarray, quota: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the ``quota`` likeliest pairs of each query, and whether the query has more."""
+    order = np.lexsort((-likeness, q))
+    nth = np.arange(len(q)) - np.searchsorted(q[order], q[order])
+    many = np.bincount(q, minlength=1)[q[order]] > quota
+    return order[nth < quota], many[nth < quota]
+
+
+def _searched(members: DataFrame, labels: DataFrame, classes: DataFrame, quota: int) -> DataFrame:
     """The pairs that survive the R-trees of ``members (group, key)``."""
     marked = members.join(labels, members["key"] == labels["node"], "left").select(
         "group", "key", F.coalesce("label", "key").alias("label")
@@ -392,7 +405,7 @@ def _searched(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Data
         for batch in batches:
             rows = zip(*[batch.column(i).to_pylist() for i in range(7)], strict=True)
             asked: list[tuple] = []
-            found: set[tuple[int, int]] = set()
+            found: dict[tuple[int, int], bool] = {}
 
             def answer() -> None:
                 nonlocal tree
@@ -400,12 +413,19 @@ def _searched(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Data
                     if tree is None:
                         sizes = np.array([p[3] for p in points], np.int64)
                         tree = CountTree(_vectors([p[4] for p in points]), sizes)
-                    sizes = np.array([r[3] for r in asked], np.int64)
-                    q, at = tree.search(_vectors([r[4] for r in asked]), sizes)
-                    for i, j in zip(q.tolist(), at.tolist(), strict=True):
-                        a, b = asked[i], points[j]
-                        if a[2] != b[2]:
-                            found.add((min(a[1], b[1]), max(a[1], b[1])))
+                    sizes, vectors = np.array([r[3] for r in asked], np.int64), _vectors([r[4] for r in asked])
+                    q, at = tree.search(vectors, sizes)
+                    crossing = np.array([r[2] for r in asked])[q] != np.array([p[2] for p in points])[at]
+                    q, at = q[crossing], at[crossing]
+                    place = np.argsort(tree.order)[at]  # where the tree keeps a point
+                    sums = [
+                        min_sums(vectors[q[i : i + PAIRS]], tree.points[place[i : i + PAIRS]]) for i in range(0, len(q), PAIRS)
+                    ]
+                    likeness = np.concatenate([np.empty(0), *sums]) / np.maximum(1, sizes[q] + tree.sizes[place])
+                    kept, more = _best(q, at, likeness, quota)
+                    for i, j, others in zip(q[kept].tolist(), at[kept].tolist(), more.tolist(), strict=True):
+                        pair = min(asked[i][1], points[j][1]), max(asked[i][1], points[j][1])
+                        found[pair] = found.get(pair, False) or others
                 asked.clear()
 
             for row in rows:
@@ -418,10 +438,10 @@ def _searched(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Data
                     asked.append(row)
             answer()
             if found:
-                columns = [pa.array(c, pa.int64()) for c in zip(*sorted(found), strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+                columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found.values(), pa.bool_())], ["a", "b", "more"])
 
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(run, "a bigint, b bigint, more boolean")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -514,10 +534,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = met.where("key != leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
     links = stored(verified(bounded(with_points(stars, classes)), docs, classes), "star-links")
     labels = stored(components(links), "star-components")
-    crossing = stored(cross_pairs(met, labels, classes), "cross-pairs")
-    more = stored(verified(crossing, docs, classes), "cross-links")
-    if not more.isEmpty():
-        labels = stored(components(links.unionByName(more)), "link-components")
+    quota, refuted = QUOTA, links.limit(0)
+    while True:
+        crossing = stored(cross_pairs(met, labels, classes, quota), "cross-pairs")
+        tried = stored(crossing.select("a", "b").join(refuted, ["a", "b"], "left_anti"), "tried-pairs")
+        more = stored(verified(tried, docs, classes), "cross-links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = stored(components(links), "link-components")
+        if crossing.where("more").isEmpty():
+            break
+        quota, refuted = quota * GROWTH, refuted.unionByName(tried.join(more, ["a", "b"], "left_anti"))
     return _placed(known, classes, labels, link_counts(labels, docs, classes))
 
 
