@@ -43,7 +43,7 @@ WORDS = re.compile(
     r"(?:[A-Za-z]?[a-z]+|[A-Z]+|\d{1,4})(?:[_/-](?:[A-Za-z]?[a-z]+|[A-Z]+|\d{1,4}))*"
 )
 WORDS_RATIO = 1.8
-ADDRESS_CHARS = re.compile(r"[A-Za-z0-9+/_=.@-]*")
+ADDRESS_CHARS = re.compile(r"[A-Za-z0-9+/_=.@-]+")
 ADDRESS = re.compile(  # a whole address, host or file name
     r"(?:[A-Za-z0-9+_=.-]+@)?[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)+\.?"
 )
@@ -51,6 +51,8 @@ SEPARATORS = re.compile(r"[+/_=.@-]+")
 ADDRESS_PART = re.compile(r"(?:[A-Za-z]?[a-z]+|[A-Z]+)\d{0,4}|\d{1,4}|")
 SHORT_PART = 8  # longer parts of addresses have to be text-like by tokens
 
+PIECE = 4096  # characters of a run that are encoded at once
+
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
@@ -77,28 +79,52 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def in_address(text: str, start: int, end: int, encode, max_ratio: float) -> bool:
-    """Whether the run lies in a whole e-mail address, host or file name that is made of text-like parts."""
-    first = start
-    while first and ADDRESS_CHARS.fullmatch(text[first - 1]):
-        first -= 1
-    whole = text[first : ADDRESS_CHARS.match(text, end).end()]
-    if len(whole) == end - start or not ADDRESS.fullmatch(whole):
-        return False
-    return all(
-        ADDRESS_PART.fullmatch(part) and (len(part) < SHORT_PART or len(part) / len(encode(part)) >= max_ratio)
+def in_address(whole: str, encode, max_ratio: float) -> bool:
+    """Whether a run of ``ADDRESS_CHARS`` is an e-mail address, host or file name that is made of text-like parts."""
+    return ADDRESS.fullmatch(whole) is not None and all(
+        ADDRESS_PART.fullmatch(part) and (len(part) < SHORT_PART or len(part) / tokens(part, encode) >= max_ratio)
         for part in SEPARATORS.split(whole)
     )
 
 
+def tokens(run: str, encode) -> int:
+    """The number of tokens of a run; a very long one is encoded in pieces."""
+    return sum(len(encode(run[at : at + PIECE])) for at in range(0, len(run), PIECE))
+
+
+def merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The places that spans cover, as disjoint runs in order."""
+    runs: list[tuple[int, int]] = []
+    for start, end, _ in sorted(spans):
+        if runs and start <= runs[-1][1]:
+            runs[-1] = runs[-1][0], max(end, runs[-1][1])
+        else:
+            runs.append((start, end))
+    return runs
+
+
 def random_spans(text: str, taken: list[tuple[int, int, str]], encode, max_ratio: float):
-    """Candidates with few characters per token that overlap nothing in ``taken``."""
-    for m in CANDIDATE.finditer(text):
-        run, start, end = m[0], m.start(), m.end()
-        if HARMLESS.fullmatch(run) or any(a < end and start < b for a, b, _ in taken):
-            continue
-        least = min(WORDS_RATIO, max_ratio) if WORDS.fullmatch(run) else max_ratio
-        if len(run) / len(encode(run)) < least and not in_address(text, start, end, encode, least):
+    """Candidates with few characters per token that overlap nothing in ``taken``.
+
+    One pass: a run that may be an address is judged once for all candidates in it, and covered places are walked along.
+    """
+    covered, at = merged(taken), 0
+    for around in ADDRESS_CHARS.finditer(text):
+        verdicts: dict[float, bool] = {}
+        for m in CANDIDATE.finditer(text, around.start(), around.end()):
+            run, start, end = m[0], m.start(), m.end()
+            while at < len(covered) and covered[at][1] <= start:
+                at += 1
+            if (at < len(covered) and covered[at][0] < end) or HARMLESS.fullmatch(run):
+                continue
+            least = min(WORDS_RATIO, max_ratio) if WORDS.fullmatch(run) else max_ratio
+            if len(run) / tokens(run, encode) >= least:
+                continue
+            if len(run) < around.end() - around.start():
+                if least not in verdicts:
+                    verdicts[least] = in_address(around[0], encode, least)
+                if verdicts[least]:
+                    continue
             yield start, end, "random"
 
 
