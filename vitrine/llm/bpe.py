@@ -93,7 +93,8 @@ class WordTable:
     def split(word: str) -> tuple[str, str]:
         """Letters and the signs after them, which have ids of their own; any other word stays whole."""
         core = word.rstrip(_SIGNS)
-        if len(core) == len(word) or not core.isalpha():
+        # A capital may leave a mark when lowered, and the tokenizer joins marks with the signs that follow.
+        if len(core) == len(word) or not core.isalpha() or not core.lower()[-1].isalpha():
             return (word.lower() if word.isascii() and word.isalpha() else word), ""
         return (core.lower() if core.isascii() else core), word[len(core) :]
 
