@@ -7,8 +7,8 @@ An event is ``(conv_id, seq, message, kind, role, text)``. Within a conversation
 * ``edit``        replaces its text so far (later deltas append to the new text);
 * ``regenerate``  starts it anew and discards all later messages that were begun before this event.
 
-Null text is empty, a null role is the empty role, a null kind counts as ``message``; a message whose first event is
-a delta starts empty. Null ``conv_id`` is a conversation of its own. Equal ``seq`` are ordered by kind, role and text,
+Null text is empty, a null kind counts as ``message``; a message whose first event is a delta starts empty. An event without a
+role leaves the message the last role that a start, edit or regeneration gave it; a message that never had one has the empty role. Null ``conv_id`` is a conversation of its own. Equal ``seq`` are ordered by kind, role and text,
 so a repeated event gives the same result on every run. An empty log gives no conversations.
 """
 
@@ -51,7 +51,7 @@ def fold_events(events: DataFrame) -> DataFrame:
         "seq",
         "message",
         F.coalesce("kind", F.lit("message")).alias("kind"),
-        F.coalesce("role", F.lit("")).alias("role"),
+        "role",
         F.coalesce("text", F.lit("")).alias("text"),
     )
     # A message is gone when one before it was regenerated after this event.
@@ -64,21 +64,23 @@ def fold_events(events: DataFrame) -> DataFrame:
     )
     own = Window.partitionBy("conv_id", "message")
     reset = F.max(F.when(F.col("kind") != "delta", F.col("seq"))).over(own)
-    current = alive.withColumn("reset", reset).where(
+    given = F.when(F.col("role").isNotNull() & (F.col("kind") != "delta"), F.struct("seq", "role"))
+    known = alive.withColumns({"reset": reset, "known": F.max(given).over(own)["role"]})
+    current = known.where(
         F.col("reset").isNull() | (F.col("seq") >= F.col("reset"))
     )
     pieces = F.sort_array(
         F.collect_list(F.struct("seq", (F.col("kind") == "delta").alias("late"), "role", "text"))
     )
     # Of equal reset events the last one in order counts, with all deltas after it.
-    folded = current.groupBy("conv_id", "message").agg(pieces.alias("pieces"))
+    folded = current.groupBy("conv_id", "message").agg(pieces.alias("pieces"), F.max("known").alias("known"))
     last = F.size(F.filter("pieces", lambda p: ~p["late"]))
     kept = F.when(last > 1, F.expr("slice(pieces, size(filter(pieces, p -> not p.late)), size(pieces))"))
     kept = F.coalesce(kept, F.col("pieces"))
     return folded.select(
         "conv_id",
         "message",
-        kept[0]["role"].alias("role"),
+        F.coalesce(kept[0]["role"], "known", F.lit("")).alias("role"),
         F.array_join(F.transform(kept, lambda p: p["text"]), "").alias("text"),
     )
 
