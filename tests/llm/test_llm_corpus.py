@@ -407,6 +407,28 @@ def test_formatting_of_odd_rows(spark):
     assert chat.format_conversations(chat.turn_events(frame.limit(0))).count() == 0
 
 
+def test_events_without_a_role_keep_the_role(spark):
+    events = [
+        (1, 1, 1, "message", "user", "q"),
+        (1, 2, 2, "message", "assistant", "a"),
+        (1, 3, 2, "edit", None, "b"),
+        (1, 4, 2, "delta", None, "c"),
+        (1, 5, 3, "message", None, "no role"),
+        (1, 6, 4, "message", "user", "x"),
+        (1, 7, 4, "edit", "assistant", "y"),
+        (1, 8, 4, "edit", None, "z"),
+        (2, 1, 1, "message", "assistant", "old"),
+        (2, 2, 1, "regenerate", None, None),
+        (2, 3, 1, "delta", None, "new"),
+    ]
+    frame = spark.createDataFrame(events, "conv_id bigint, seq bigint, message bigint, kind string, role string, text string")
+    got = {(r.conv_id, r.message): (r.role, r.text) for r in chat.fold_events(frame).collect()}
+    assert got == {
+        (1, 1): ("user", "q"), (1, 2): ("assistant", "bc"), (1, 3): ("", "no role"), (1, 4): ("assistant", "z"),
+        (2, 1): ("assistant", "new"),
+    }
+
+
 def test_event_log(spark):
     log = [
         (1, 1, 1, "message", "user", "hi"),

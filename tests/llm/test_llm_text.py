@@ -233,6 +233,24 @@ def test_small_word_table(spark, monkeypatch):
         assert ids.tolist() == table.encoder.encode(text, add_special_tokens=False).ids and bounds[-1] == len(ids)
 
 
+def test_words_with_marks_and_signs():
+    """Fuzzed words of letters, capitals that fall apart when lowered, marks and signs."""
+    import pyarrow as pa
+
+    rng, table = random.Random(12), bpe.WordTable(WORD_BPE)
+    signs = [*"aAzéÉßİIıİĞŞ'’-_0 9.,!?;:%&#$*|\"\u0301\u0307\u00ad\u200dµªǅΣςΆ日", "GELDİ", "EVİ,", "'s", "ﬁ"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 14))) for _ in range(4000)]
+    texts += ["GELDİ!", "GELDİ.", "EVİ, İYİ.", "İ!", "x İ", "İ"]
+    ids, bounds = table.encode(pa.array(texts))
+    for i, encoded in enumerate(table.encoder.encode_batch(texts, add_special_tokens=False)):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == encoded.ids, repr(texts[i])
+
+
+def test_repeated_rows_are_encoded_alike(spark):
+    rows = bpe.encode(spark.createDataFrame([(1, "A b"), (1, "A b"), (None, "A b")], "doc_id int, text string"), WORD_BPE)
+    assert len({tuple(r.ids) for r in rows.collect()}) == 1 and rows.count() == 3
+
+
 def test_decoding_edges(spark):
     rows = spark.createDataFrame([(1, None), (2, []), (3, [320, -1, 10**7, 320])], "doc_id int, ids array<int>")
     got = {r.doc_id: r.decoded for r in bpe.decode(rows, WORD_BPE).collect()}
@@ -301,3 +319,59 @@ def test_secrets_beside_dots_colons_and_at_signs():
     ]:
         spans = secret_scan.scan_text(text, encode, 2.2)
         assert [(s["kind"], text[s["start"] : s["end"]]) for s in spans] == [("random", x) for x in secrets], text
+
+
+def plain_scan(text, encode, ratio):
+    """The scan without its shortcuts: every candidate looks at all base spans and walks its whole run."""
+    taken = secret_scan.base_spans(text)
+    found = [(s, kind, e) for s, e, kind in taken]
+    for m in secret_scan.CANDIDATE.finditer(text):
+        run, start, end = m[0], m.start(), m.end()
+        if secret_scan.HARMLESS.fullmatch(run) or any(a < end and start < b for a, b, _ in taken):
+            continue
+        least = secret_scan.WORDS_RATIO if secret_scan.WORDS.fullmatch(run) else ratio
+        if len(run) / len(encode(run)) >= least:
+            continue
+        first, last = start, end
+        while first and re.match(r"[A-Za-z0-9+/_=.@-]", text[first - 1]):
+            first -= 1
+        while last < len(text) and re.match(r"[A-Za-z0-9+/_=.@-]", text[last]):
+            last += 1
+        whole = text[first:last]
+        parts = secret_scan.SEPARATORS.split(whole)
+        text_like = all(
+            secret_scan.ADDRESS_PART.fullmatch(p) and (len(p) < 8 or len(p) / len(encode(p)) >= least) for p in parts
+        )
+        if whole == run or not secret_scan.ADDRESS.fullmatch(whole) or not text_like:
+            found.append((start, "random", end))
+    return sorted((s, secret_scan.KINDS.index(k), e) for s, k, e in found)
+
+
+def test_scan_equals_a_plain_one():
+    rng = random.Random(13)
+    encode = secret_scan.encoder(public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN).encode_ordinary
+    bits = ["xK9vQ2mZ7pLw4RtY8bNc3JhG", "password=", "abcdefgh12", ".", "@", ":", " ", "mail8.example.com", "f" * 33, KEY, "é"]
+    bits += ["internationalization", "some_long_identifier_name", "-", "/", "qzxvkjhwpfmbtrnc", "token: ", "\n"]
+    for _ in range(1500):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 12)))
+        spans = [(s["start"], secret_scan.KINDS.index(s["kind"]), s["end"]) for s in secret_scan.scan_text(text, encode, 2.2)]
+        assert spans == plain_scan(text, encode, 2.2), text
+
+
+def test_long_texts_of_random_parts_take_linear_time():
+    import time
+
+    rng = random.Random(14)
+    encode = secret_scan.encoder(public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN).encode_ordinary
+    part = lambda: "".join(rng.choice("abcdefgXYZ0123456789") for _ in range(20))
+    for text in (".".join(part() for _ in range(50_000)), " ".join(f"token={part()}" for _ in range(40_000)), "aB3" * 350_000):
+        start = time.perf_counter()
+        assert secret_scan.scan_text(text, encode, 2.2)
+        assert time.perf_counter() - start < 30
+
+
+def test_secrets_of_empty_tables_and_repeated_rows(spark):
+    assert found(spark, []) == {}
+    rows = spark.createDataFrame([(1, f"see {KEY}"), (1, f"see {KEY}"), (None, f"see {KEY}")], "doc_id int, text string")
+    scanned = secret_scan.find_secrets(rows, public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN).collect()
+    assert [[(s.kind, s.start, s.end) for s in r.secrets] for r in scanned] == [[("access", 4, 24)]] * 3

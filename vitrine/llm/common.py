@@ -5,8 +5,8 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vitrine.session import materialize
@@ -25,9 +25,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
-def cached(df: DataFrame) -> DataFrame:
-    """Kept on executors' disks for reuse within one job; a lost block is computed again from its source."""
-    return df.persist(StorageLevel.DISK_ONLY)
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Batches of at most ``rows`` rows for the Python workers of what is run inside: for rows that may be large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def shuffle_width(spark: SparkSession) -> int:

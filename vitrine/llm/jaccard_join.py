@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vitrine.llm.bpe import slices
-from vitrine.llm.common import stored
+from vitrine.llm.common import arrow_rows, stored
 from vitrine.llm.components import components
 from vitrine.llm.shingles import shingle_sets
 
@@ -43,6 +43,7 @@ PERCENT = 75
 FREQUENT = 16  # a shingle in more classes' first quarters than this comes last in the order ...
 MAX_FREQUENT = 1_000_000  # ... where the limit rises so that each count lists at most so many (8 MB)
 MAX_WANTED = 4_000_000  # ids that a scan gets by broadcast (32 MB); more are joined by a shuffle
+SETS = 256  # rows with whole sets that a Python worker gets at once
 QUOTA = 4  # pairs that a class tries in a block before components are joined; grows ...
 GROWTH = 8  # ... by this factor a round
 BLOCK = 512  # points of an R-tree
@@ -287,10 +288,15 @@ def bounded(pairs: DataFrame, groups: int = GROUPS) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of ``pairs (a, b)`` of class keys whose sets are similar, decided on the whole sets.
+    """The rows of ``pairs (a, b)`` of class keys whose sets are similar, decided on the whole sets; stored.
 
     Sets are made again from the texts of one document per class; only those of ``pairs`` are moved.
     """
+    with arrow_rows(docs.sparkSession, SETS):
+        return stored(_similar(pairs, docs, classes), "links")
+
+
+def _similar(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     pairs = stored(pairs.select("a", "b").distinct(), "candidate-pairs")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     sets = sets_of(keys, docs, classes)
@@ -409,13 +415,14 @@ def _searched(members: DataFrame, labels: DataFrame, classes: DataFrame, quota:
 
             def answer() -> None:
                 nonlocal tree
-                if asked and points:
+                for first in range(0, len(asked) if points else 0, QUERIES):  # so many queries' pairs are held at once
+                    part = asked[first : first + QUERIES]
                     if tree is None:
                         sizes = np.array([p[3] for p in points], np.int64)
                         tree = CountTree(_vectors([p[4] for p in points]), sizes)
-                    sizes, vectors = np.array([r[3] for r in asked], np.int64), _vectors([r[4] for r in asked])
+                    sizes, vectors = np.array([r[3] for r in part], np.int64), _vectors([r[4] for r in part])
                     q, at = tree.search(vectors, sizes)
-                    crossing = np.array([r[2] for r in asked])[q] != np.array([p[2] for p in points])[at]
+                    crossing = np.array([r[2] for r in part])[q] != np.array([p[2] for p in points])[at]
                     q, at = q[crossing], at[crossing]
                     place = np.argsort(tree.order)[at]  # where the tree keeps a point
                     sums = [
@@ -424,7 +431,7 @@ def _searched(members: DataFrame, labels: DataFrame, classes: DataFrame, quota:
                     likeness = np.concatenate([np.empty(0), *sums]) / np.maximum(1, sizes[q] + tree.sizes[place])
                     kept, more = _best(q, at, likeness, quota)
                     for i, j, others in zip(q[kept].tolist(), at[kept].tolist(), more.tolist(), strict=True):
-                        pair = min(asked[i][1], points[j][1]), max(asked[i][1], points[j][1])
+                        pair = min(part[i][1], points[j][1]), max(part[i][1], points[j][1])
                         found[pair] = found.get(pair, False) or others
                 asked.clear()
 
@@ -532,13 +539,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     met = stored(shared_meetings(docs, frequent_shingles(docs)), "meetings")
     stars = met.where("key != leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
-    links = stored(verified(bounded(with_points(stars, classes)), docs, classes), "star-links")
+    links = verified(bounded(with_points(stars, classes)), docs, classes)
     labels = stored(components(links), "star-components")
     quota, refuted = QUOTA, links.limit(0)
     while True:
         crossing = stored(cross_pairs(met, labels, classes, quota), "cross-pairs")
         tried = stored(crossing.select("a", "b").join(refuted, ["a", "b"], "left_anti"), "tried-pairs")
-        more = stored(verified(tried, docs, classes), "cross-links")
+        more = verified(tried, docs, classes)
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = stored(components(links), "link-components")
