@@ -332,20 +332,17 @@ def sets_of(keys: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     mine = F.broadcast(wanted) if few else wanted
     texts = docs.select("doc_id", "text").join(mine, docs["doc_id"] == mine["first_id"])
 
+    # A document id may repeat with other texts: only the set that makes the key counts.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, sets in _batches(batches):
-            columns = [pa.array(keys, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            made = [(k, s.tobytes()) for k, s in zip(keys, sets, strict=True) if _key(s) == k]
+            columns = [pa.array([k for k, _ in made], pa.int64()), pa.array([s for _, s in made], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["key", "shingles"])
 
-    sets = texts.select("key", "text").mapInArrow(run, "key bigint, shingles binary")
-    # A document id may repeat with other texts: only the set that makes the key counts.
-
-    @F.arrow_udf("boolean")
-    def makes(keys: pa.Array, sets: pa.Array) -> pa.Array:
-        both = zip(keys.to_pylist(), sets.to_pylist(), strict=True)
-        return pa.array([_key(np.frombuffer(s, np.uint64)) == k for k, s in both], pa.bool_())
-
-    return stored(sets.where(makes("key", "shingles")).dropDuplicates(["key"]), "wanted-sets")
+    sets = stored(texts.select("key", "text").mapInArrow(run, "key bigint, shingles binary"), "wanted-sets")
+    if sets.count() == wanted.count():  # else a document is there twice
+        return sets
+    return stored(sets.dropDuplicates(["key"]), "wanted-sets")
 
 
 def with_points(pairs: DataFrame, classes: DataFrame) -> DataFrame:
