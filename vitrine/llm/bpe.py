@@ -17,6 +17,8 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +51,7 @@ def tokenizer(path: str):
 
 # Signs that the tokenizer keeps apart from a word of letters before them; an apostrophe may belong to it.
 _SIGNS = ".,!?;:%&#$*|\""
+MARKED = "\u0130"  # the one letter whose lower case ends in a mark
 JOINED = 500  # words of letters that are encoded by one call
 
 
@@ -66,17 +69,18 @@ class WordTable:
         self.starts, self.lengths = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
     def add(self, words: list[str]) -> None:
-        split = [self.split(w) for w in words]
-        new = {part for pair in split for part in pair if part not in self.parts}
+        cores, signs = self.split(words)
+        new = (set(cores) | set(signs)).difference(self.parts)
         letters = sorted(w for w in new if w.isalpha())
         for at in range(0, len(letters), JOINED):
             self.add_letters(letters[at : at + JOINED])
         others = [w for w in new if not w.isalpha()]
         for word, encoded in zip(others, self.encoder.encode_batch_fast(others, add_special_tokens=False), strict=True):
             self.parts[word] = encoded.ids
-        ids = [self.parts[core] + self.parts[signs] if signs else self.parts[core] for core, signs in split]
+        parts = self.parts
+        ids = [parts[core] + parts[after] if after else parts[core] for core, after in zip(cores, signs, strict=True)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for word in ids for i in word), np.int32, int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))
         first, count = len(self.known), len(words)
         while self.used + len(flat) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
@@ -90,13 +94,16 @@ class WordTable:
         self.known.update(zip(words, range(first, first + count), strict=True))
 
     @staticmethod
-    def split(word: str) -> tuple[str, str]:
-        """Letters and the signs after them, which have ids of their own; any other word stays whole."""
-        core = word.rstrip(_SIGNS)
+    def split(words: list[str]) -> tuple[list[str], list[str]]:
+        """Of each word its letters, lowered, and the signs after them, which have ids of their own; any other word stays whole."""
+        whole = pa.array(words, pa.string())
+        core = pc.utf8_rtrim(whole, _SIGNS)
         # A capital may leave a mark when lowered, and the tokenizer joins marks with the signs that follow.
-        if len(core) == len(word) or not core.isalpha() or not core.lower()[-1].isalpha():
-            return (word.lower() if word.isascii() and word.isalpha() else word), ""
-        return (core.lower() if core.isascii() else core), word[len(core) :]
+        apart = pc.and_(pc.utf8_is_alpha(core), pc.invert(pc.ends_with(core, MARKED)))
+        kept = pc.if_else(apart, pc.ascii_lower(core), whole)
+        after = pc.if_else(apart, pc.binary_length(core), pc.binary_length(whole)).to_pylist()
+        signs = ["" if n == len(w) else w[n:].decode() for w, n in zip(whole.cast(pa.binary()).to_pylist(), after, strict=True)]
+        return kept.to_pylist(), signs
 
     def add_letters(self, words: list[str]) -> None:
         """Words of letters are one token group each, so many can be encoded as one text."""
@@ -135,8 +142,15 @@ class WordTable:
         return self.flat[at], ends[bounds]
 
 
-def word_table(path: str) -> WordTable:
-    return per_worker(("words", path), lambda: WordTable(path))
+@contextmanager
+def word_table(path: str) -> Iterator[WordTable]:
+    """The worker's table; its words are given up at the end, as an idle worker would keep them through the stages of others."""
+    table = per_worker(("words", path), lambda: WordTable(path))
+    try:
+        yield table
+    finally:
+        table.clear()
+        pa.default_memory_pool().release_unused()
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
@@ -163,11 +177,11 @@ def map_ids(docs: DataFrame, path: str, use: Use, schema, text_column: str = "te
     place = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = word_table(path)
-        for batch in batches:
-            for start, end in slices(batch.column(place)):
-                part = batch.slice(start, end - start)
-                yield use(part, *table.encode(part.column(place)))
+        with word_table(path) as table:
+            for batch in batches:
+                for start, end in slices(batch.column(place)):
+                    part = batch.slice(start, end - start)
+                    yield use(part, *table.encode(part.column(place)))
 
     return docs.mapInArrow(run, schema)
 
