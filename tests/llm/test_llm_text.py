@@ -375,3 +375,11 @@ def test_secrets_of_empty_tables_and_repeated_rows(spark):
     rows = spark.createDataFrame([(1, f"see {KEY}"), (1, f"see {KEY}"), (None, f"see {KEY}")], "doc_id int, text string")
     scanned = secret_scan.find_secrets(rows, public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN).collect()
     assert [[(s.kind, s.start, s.end) for s in r.secrets] for r in scanned] == [[("access", 4, 24)]] * 3
+
+
+def test_hiding_equals_scan_and_redaction(spark):
+    texts = [f"é password = 'abcdefgh' and {KEY}", None, "", "plain words", "API_KEY:" + "a" * 40, "x " * 2000 + KEY]
+    paths = public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN
+    hidden = {r.doc_id: r.text for r in secret_scan.hide_secrets(docs(spark, texts), *paths).collect()}
+    assert hidden == {i: r.text for i, r in found(spark, texts).items()}
+    assert secret_scan.hide_secrets(docs(spark, []), *paths).count() == 0
