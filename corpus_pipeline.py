@@ -59,8 +59,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mark in place of each secret; ``n_chars`` follows the text."""
     whole = docs.select(F.struct("*").alias("row"), "text")
-    scanned = secret_scan.find_secrets(whole, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    hidden = secret_scan.redact(scanned)
+    hidden = secret_scan.hide_secrets(whole, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     new = {"text": F.col("text"), "n_chars": F.coalesce(F.length("text").cast("bigint"), F.col("row.n_chars"))}
     return hidden.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
