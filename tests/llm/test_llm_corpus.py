@@ -383,6 +383,18 @@ def test_few_vectors(spark):
     assert neighbours.search(three.limit(1), F.col("id") % 50 == 0).count() == 0
 
 
+def test_signed_zeros_repeated_ids_and_ties(spark):
+    rows = [(50, [1.0, 0.0, 0.2]), (1, [1.0, -0.0, 0.2]), (2, [1.0, 0.0, 0.2]), (3, [1.0, 0.1, 0.2]), (4, [1.0, 0.1, 0.2])]
+    rows += [(5, [0.0, 1.0, 0.0]), (6, [0.0, 0.9, 0.1]), (100, [0.0, 1.0, 0.1]), (100, [0.0, 1.0, 0.1]), (7, [-1.0, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("node", F.lit("clash"))
+    found = {}
+    for r in neighbours.search(frame, F.col("id") % 50 == 0, k=4).orderBy("query_id", "rank", "id").collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.id))
+    assert found[50] == [(1, 1), (2, 2), (3, 3), (4, 4)]
+    assert [r for r, _ in found[100]] == [1, 1, 2, 2, 3, 3, 4, 4]  # each of the two rows asks
+    assert {i for _, i in found[100][:4]} == {5, 6}
+
+
 # --- chat ----------------------------------------------------------------------------------------------------------------
 
 

@@ -13,8 +13,8 @@ Equal vectors are one node, so copies neither fill lists nor make hubs; results
 smaller ids first. Graph and walk hold unit vectors in single precision and compare them by their differences (about a
 common centre), which tell near copies apart; all that a walk found is compared anew in double precision.
 Vectors that are null, empty, zero or hold null or non-finite components take no part, nor do those of another length
-than the most frequent one. Fewer candidates than asked for give all of them. An empty table gives no rows; rows that
-repeat an id are copies of their own.
+than the most frequent one. Fewer candidates than asked for give all of them. An empty table gives no rows. Rows that repeat an
+id are asked each by itself and leave rows of their id out; as candidates, rows that repeat id and vector are one. Columns other than id and vector are not read.
 """
 
 from __future__ import annotations
@@ -43,7 +43,8 @@ def valid_vectors(rows: DataFrame, id_column: str = "vec_id", column: str = "emb
         vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     )
     nonzero = F.exists(vector, lambda x: x != 0)
-    kept = rows.select(F.col(id_column).alias("id"), vector.alias("vector")).where(
+    plain = F.transform(vector, lambda x: x + F.lit(0.0))  # a zero has no sign
+    kept = rows.select(F.col(id_column).alias("id"), plain.alias("vector")).where(
         F.col("id").isNotNull() & F.col("vector").isNotNull() & finite & nonzero
     )
     return kept.withColumn("length", F.size("vector"))
@@ -76,6 +77,7 @@ def nodes_of(vectors: DataFrame, members: int) -> tuple[DataFrame, DataFrame]:
     keyed = vectors.where(F.col("length") == length).withColumn(
         "key", F.md5(F.concat_ws(",", F.col("vector").cast("array<string>")))
     )
+    keyed = keyed.dropDuplicates(["key", "id"])
     # Of a vector with any number of copies only the first few ids leave a task.
     by_id = Window.partitionBy("key").orderBy("id")
     first = keyed.withColumn("nth", F.row_number().over(by_id)).where(F.col("nth") <= members)
@@ -367,7 +369,7 @@ def search(
     asked = stored(
         vectors.where(is_query)
         .join(nodes.select("node", "vector"), "vector")
-        .select(F.col("id").alias("query_id"), F.col("node").alias("query")),
+        .select(F.col("id").alias("query_id"), F.col("node").alias("query"), F.monotonically_increasing_id().alias("row")),
         "vector-queries",
     )
     starts = asked.select("query", F.col("query").alias("node")).distinct()
@@ -381,7 +383,7 @@ def search(
         .where(F.col("nth") <= k + 1)  # one may be the query itself
         .select("query", "id", "score")
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "id")
     return (
         asked.join(listed, "query")
         .where("id != query_id")
