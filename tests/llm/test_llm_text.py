@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
@@ -58,6 +59,7 @@ def test_main_text(page, text):
 
 
 LONG = "".join(f"<p>Paragraph {i} of the main text, which goes on for quite a while.</p>" for i in range(12))
+LONG_TEXT = "\n".join(f"Paragraph {i} of the main text, which goes on for quite a while." for i in range(12))
 
 
 def test_marks_are_weighed_against_other_text():
@@ -75,6 +77,50 @@ def test_link_lists_inside_the_text():
     assert len(got) == 17 and got[12].startswith("Smith: A very") and got[-1] == "The end."
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<form action=x>{LONG}<input name=q></form>", LONG_TEXT),
+        (f"<div>{LONG}</div><form><p>Write to us</p><label>name</label><input></form>", LONG_TEXT),
+        (f"<form><nav><a href=x>home</a></nav><article>{LONG}</article></form>", LONG_TEXT),
+        (f"<nav><ul><li><a href=x>home</a></ul>{LONG}", LONG_TEXT),
+        (f"<form>{LONG}", LONG_TEXT),
+        (f"<div>{LONG}</div><footer>All rights reserved by the owner of this long line of text", LONG_TEXT),
+        (f"<footer>top<article>{LONG}", LONG_TEXT),
+        ("<article><p>Body <label>x</label> after.</p></article>", "Body after."),
+        ("<article><p>one<svg><text>no</text></svg>word</p><math><mi>x</mi></math>", "oneword\nx"),
+        ("<article><header><h1>Title</h1><p>by line</p></header><p>Text</article>", "Title\nText"),
+        ("<article><p class='tag-line'>a</p><div id='article-comments-enabled'>b</div><div class='has-sidebar'>c</div>", "a\nb\nc"),
+        ("<article><p>a</p><div class='comments-list'>b</div><div class='x left-sidebar'>c</div><ul id=share_buttons><li>d</ul>", "a"),
+        (f"<div>{LONG}<ul>{'<li><a href=x>short</a>' * 4}</ul>{LONG}</div>", f"{LONG_TEXT}\n{LONG_TEXT}"),
+        (f"<article><p>a</p><ul>{'<li><a href=x>A long title of some work</a>' * 4}</ul><p>b", "a\n" + "A long title of some work\n" * 4 + "b"),
+    ],
+)
+def test_misleading_marks(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_runs_equal_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        n, window, threshold = int(rng.integers(0, 40)), int(rng.integers(1, 5)), int(rng.integers(1, 80))
+        lengths = rng.integers(1, 60, n) * (rng.random(n) < rng.random())
+        want = set()
+        for surge in range(n):
+            if lengths[surge] and sum(lengths[surge : surge + window]) >= threshold:
+                for i in range(surge, n):
+                    if not any(lengths[i : i + window]):
+                        break
+                    want.add(i)
+        found = html_text.runs(lengths, np.zeros(n, bool), window, threshold)
+        assert [i for a, b in found for i in range(a, b)] == sorted(want)
+
+
+def test_long_pages_take_linear_time():
+    page = "<article>" + "<p>text <b>of</b> a line" * 60_000 + "<div class='ad'><ul><li>" * 3_000
+    assert html_text.main_text(page).count("\n") >= 59_999
+
+
 def test_extraction_of_a_table(spark, small):
     got = {r.page_id: r for r in queries.op1_html_extraction(spark, small).collect()}
     pages = spark.read.parquet(f"{small}/pages.parquet").collect()
