@@ -318,6 +318,23 @@ def test_templates_learn_from_labels(spark):
     assert names == {"user/*/p"}
 
 
+def test_hosts_without_a_rule_are_judged_by_their_templates(spark):
+    rows = [(f"http://{h}.net/es/{i}", 0) for h in "abc" for i in range(12)]  # blocked by a rule
+    rows += [(f"http://{h}.org/{lang}/{i}", 0) for h in "xy" for lang in ("es", "it") for i in range(5)]
+    rows += [(f"http://d.com/ok/{i}", 0) for i in range(30)] + [("http://z.org/ok/7", 0), ("http://a.net/new/7", 0)]
+    deep = "/".join(f"s{chr(97 + i % 26)}" for i in range(1500))
+    rows += [(f"http://x.org/{deep}", 0), (f"http://d.com/{deep}/end.html", 0), (f"http://{'h' * 50_000}.org/{'p' * 200_000}", 0)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(rows)], "page_id bigint, url string")
+    got = {r.page_id: r for r in url_filter.filter_urls(pages, queries.URL_RULES).collect()}
+    verdicts = {u: (got[i].rule, got[i].template, got[i].verdict) for i, (u, _) in enumerate(rows)}
+    assert verdicts["http://x.org/es/1"] == (None, "es/*", "block")  # as the template elsewhere
+    assert verdicts["http://x.org/it/1"][2] == verdicts["http://z.org/ok/7"][2] == "allow"
+    assert verdicts["http://a.net/new/7"] == (None, "new/*", "block")  # as the rest of its host
+    assert verdicts[f"http://x.org/{deep}"][1] == deep and verdicts[f"http://d.com/{deep}/end.html"][1] == deep + "/end.html"
+    again = url_filter.filter_urls(pages.unionByName(pages.where("page_id = 0")), queries.URL_RULES)
+    assert again.where("page_id = 0").count() == 2
+
+
 # --- neighbours ---------------------------------------------------------------------------------------------------------
 
 

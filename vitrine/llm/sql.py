@@ -16,6 +16,96 @@ SELECT conv_id,
 FROM rows GROUP BY conv_id
 """
 
+# Levels of the tree are prefixes of a template; purity goes down from the host level by level.
+OP4 = r"""
+WITH RECURSIVE rules(rule, verdict) AS (
+    VALUES ('com/', 'allow'), ('example.com/en/', 'block'), ('www.example.com/en/', 'allow'), ('net/es/', 'block'), ('net/fr/', 'block')
+),
+read AS (
+    SELECT row_number() OVER () AS nr, page_id,
+        translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages
+),
+fitting AS (
+    SELECT nr, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS by_rule
+    FROM read JOIN rules ON starts_with(path, substr(rule, strpos(rule, '/')))
+        AND (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1)))
+    GROUP BY nr
+),
+ruled AS (
+    SELECT read.*, rule, by_rule, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s:
+        regexp_replace(s, '^(?:[0-9]+|[0-9a-fA-F-]{8,}|[A-Za-z_-]*[0-9]{3,}[A-Za-z0-9_-]*)(\.[A-Za-z]{1,5})?$', '*\1')) AS original
+    FROM read LEFT JOIN fitting USING (nr)
+),
+stats AS (
+    SELECT host, original, count(*) AS n_rows, count(by_rule) AS labelled, count(*) FILTER (by_rule = 'block') AS rejected
+    FROM ruled GROUP BY host, original
+),
+raw_levels AS (
+    SELECT *, unnest(range(len(original) + 1)) AS depth FROM stats
+),
+raw_nodes AS (
+    SELECT host, original[:depth - 1] AS parent, original[:depth] AS node, sum(n_rows) AS n_rows
+    FROM raw_levels WHERE depth > 0 GROUP BY ALL
+),
+varying AS (
+    SELECT host, parent FROM raw_nodes GROUP BY host, parent HAVING sum(n_rows) >= 20 AND count(*) >= 0.5 * sum(n_rows)
+),
+general AS (
+    SELECT l.host, original, any_value(labelled) AS labelled, any_value(rejected) AS rejected,
+        coalesce(list(CASE WHEN varying.host IS NULL THEN original[depth] ELSE '*' END ORDER BY depth) FILTER (depth > 0), [])
+            AS segments
+    FROM raw_levels l LEFT JOIN varying ON varying.host = l.host AND depth > 0 AND varying.parent = original[:depth - 1]
+    GROUP BY l.host, original
+),
+levels AS (
+    SELECT *, unnest(range(len(segments) + 1)) AS depth FROM general
+),
+nodes AS (
+    SELECT host, depth, CASE WHEN depth > 0 THEN segments[:depth - 1] END AS parent, segments[:depth] AS node,
+        sum(labelled)::DOUBLE AS own_n, sum(rejected)::DOUBLE AS own_k
+    FROM levels GROUP BY ALL
+),
+pools AS (
+    SELECT *, CASE WHEN depth > 0 THEN sum(own_n) OVER siblings END AS pool_n, CASE WHEN depth > 0 THEN sum(own_k) OVER siblings END AS pool_k,
+        CASE WHEN depth > 0 THEN sum(own_n) OVER hosts - own_n ELSE 0 END AS other_n,
+        CASE WHEN depth > 0 THEN sum(own_k) OVER hosts - own_k ELSE 0 END AS other_k
+    FROM nodes WINDOW siblings AS (PARTITION BY host, depth, parent), hosts AS (PARTITION BY depth, node)
+),
+judged AS (
+    SELECT *, coalesce(abs(own_k / nullif(own_n, 0) - (pool_k - own_k) / nullif(pool_n - own_n, 0)) <= 1.96::DOUBLE * sqrt(
+        pool_k / nullif(pool_n, 0) * (1 - pool_k / nullif(pool_n, 0)) * (1 / nullif(own_n, 0) + 1 / nullif(pool_n - own_n, 0))), false) AS merged
+    FROM pools
+),
+counted AS (
+    SELECT host, depth, node, merged, other_n, other_k,
+        CASE WHEN merged THEN pool_n ELSE own_n END AS n, CASE WHEN merged THEN pool_k ELSE own_k END AS k
+    FROM judged
+),
+prior AS (
+    SELECT (coalesce(sum(rejected), 0) + 0.5::DOUBLE) / (coalesce(sum(labelled), 0) + 1) AS purity FROM stats
+),
+down AS (
+    SELECT host, original, segments, -1 AS depth, prior.purity, 0::DOUBLE AS known, false AS merged FROM general, prior
+    UNION ALL
+    SELECT d.host, d.original, d.segments, c.depth::INTEGER,
+        (c.k + 4::DOUBLE * ((c.other_k + 4::DOUBLE * d.purity) / (c.other_n + 4::DOUBLE))) / (c.n + 4::DOUBLE),
+        CASE WHEN c.n + c.other_n > 0 THEN c.n + c.other_n ELSE d.known END, c.merged
+    FROM down d JOIN counted c ON c.host = d.host AND c.depth = d.depth + 1 AND c.node = d.segments[:d.depth + 1]
+    WHERE d.depth < len(d.segments)
+),
+verdicts AS (
+    SELECT host, original, purity,
+        array_to_string(CASE WHEN merged THEN list_append(segments[:len(segments) - 1], '*') ELSE segments END, '/') AS template,
+        CASE WHEN purity >= 0.7::DOUBLE AND known >= 5 THEN 'block' ELSE 'allow' END AS verdict
+    FROM down WHERE depth = len(segments)
+)
+SELECT page_id, ruled.host, path, rule, template, purity, coalesce(by_rule, verdict) AS verdict
+FROM ruled JOIN verdicts USING (host, original)
+"""
+
 # Forward over the rows: of all edits that reach a row in a state, the cheapest with the least audit and what they leave.
 # States: 0 nothing yet, 1 after system, 2 after user, 3 after assistant. One or two turns may be inserted at a place; three in a
 # row lead nowhere that one does not.
@@ -154,4 +244,9 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN
 FROM scored LEFT JOIN ranked USING (nr)
 """
 
-SQL = {"op10_chat_format": OP10, "op11_conversation_repair": OP11, "op12_importance_resampling": OP12}
+SQL = {
+    "op4_url_filter": OP4,
+    "op10_chat_format": OP10,
+    "op11_conversation_repair": OP11,
+    "op12_importance_resampling": OP12,
+}

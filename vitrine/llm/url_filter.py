@@ -2,14 +2,19 @@
 
 The tree. Every path is split into segments; segments that vary by nature (numbers, hexadecimal strings, ids) become
 ``*``, and so does a segment under a parent that has nearly as many different children as rows. A node of the tree is
-a host with the first segments of a template. Nodes hold counts of labelled and of rejected rows. From the root down,
-a branch whose share of rejected rows does not differ from that of its siblings together (two-proportion test) is
-merged with them; the others keep their own counts. A template's purity is the share of rejected rows among the
-labelled rows of its (merged) node, smoothed towards the share of all labelled rows; templates at or above
-``max_purity`` with at least ``min_labels`` labelled rows are rejected. A template without such evidence is allowed.
+a host with the first segments of a template, as deep as paths go. Nodes hold counts of labelled and of rejected rows. From the
+root down, a branch whose share of rejected rows does not differ from that of its siblings together (two-proportion test) is
+merged with them; the others keep their own counts.
+
+A template's purity is the share of rejected rows among the labelled rows of its (merged) node, smoothed towards the share of the
+same template on other hosts, that one towards the purity of the node's parent, and so on up to the host, which is smoothed
+towards all labelled rows. So a host or template without labels is judged by what is known of the template elsewhere, then by its
+parent. Templates of at least ``max_purity`` are rejected if the deepest node with labelled rows, here or on other hosts, has
+``min_labels`` of them; the others are allowed.
 
 Null and unparsable urls have an empty host and path: the root template of the empty host. Repeated rows count as often
-as they occur. An empty table gives no rows. Only DataFrame functions are used.
+as they occur. An empty table gives no rows. Columns other than the id and ``url`` are not read, so their names may clash. Nodes are
+known by 128-bit digests of their segments, so a path of n segments is n narrow rows. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -20,7 +25,6 @@ from vitrine.llm.common import stored
 from vitrine.operators.joins import salted_join
 
 ALLOW, BLOCK = "allow", "block"
-LEVELS = 4  # deeper segments of a path share one node
 WILD = "*"
 
 
@@ -57,16 +61,17 @@ def rule_verdict(rule: Column, rules: dict[str, str]) -> Column:
 
 def segments_of(path: Column) -> Column:
     """Path segments with the ones that vary by nature as wildcards; an extension stays (``12.html`` -> ``*.html``)."""
-    variable = r"^(?:\d+|[0-9a-fA-F-]{8,}|[A-Za-z_-]*\d{3,}[A-Za-z0-9_-]*)(?=\.[A-Za-z]{1,5}$|$)"
+    variable = r"^(?:\d+|[0-9a-fA-F-]{8,}|[A-Za-z_-]*\d{3,}[A-Za-z0-9_-]*)(\.[A-Za-z]{1,5})?\z"
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    general = F.transform(parts, lambda s: F.regexp_replace(s, variable, WILD))
-    return F.when(
-        F.size(general) > LEVELS, F.concat(F.slice(general, 1, LEVELS), F.array(F.lit("**")))
-    ).otherwise(general)
+    return F.transform(parts, lambda s: F.regexp_replace(s, variable, WILD + "$1"))
+
+
+def joined(segments: Column, depth: Column | None = None) -> Column:
+    return F.array_join(segments if depth is None else F.slice(segments, 1, depth), "/")
 
 
-def prefix(segments: Column, depth: int) -> Column:
-    return F.array_join(F.slice(segments, 1, depth), "/")
+def template_key(host: Column, segments: Column) -> Column:
+    return F.md5(F.concat(host, F.lit("/"), joined(segments)))
 
 
 def template_stats(pages: DataFrame) -> DataFrame:
@@ -82,16 +87,26 @@ def template_stats(pages: DataFrame) -> DataFrame:
 
 
 def exploded(stats: DataFrame) -> DataFrame:
-    """One row per template and depth (0 is the host): ``parent`` and ``node`` are the template's prefixes."""
+    """One narrow row per template and depth (0 is the host): ``parent`` and ``node`` are digests of the template's prefixes."""
     depths = F.sequence(F.lit(0), F.size("segments"))
-    return stats.withColumn("depth", F.explode(depths)).withColumns(
-        {
-            "node": prefix(F.col("segments"), F.col("depth")),
-            "parent": F.when(F.col("depth") == 0, F.lit(None)).otherwise(
-                prefix(F.col("segments"), F.col("depth") - 1)
-            ),
-        }
+    keyed = stats.withColumn("nodes", F.transform(depths, lambda d: F.md5(joined(F.col("segments"), d))))
+    level = F.transform(
+        depths,
+        lambda d: F.struct(
+            d.alias("depth"),
+            F.get("nodes", d - 1).alias("parent"),
+            F.get("nodes", d).alias("node"),
+            F.get("segments", d - 1).alias("segment"),
+            F.get("original", d - 1).alias("raw"),
+        ),
     )
+    return keyed.select(
+        "host", template_key(F.col("host"), F.col("original")).alias("key"), "rows", "labelled", "rejected", F.inline(level)
+    )
+
+
+def segment_list(levels: str, name: str) -> Column:
+    return F.transform(F.filter(levels, lambda x: x["depth"] > 0), lambda x: x[name])
 
 
 def generalise(stats: DataFrame, max_distinct: float = 0.5, min_rows: int = 20) -> DataFrame:
@@ -99,7 +114,7 @@ def generalise(stats: DataFrame, max_distinct: float = 0.5, min_rows: int = 20)
 
     ``original`` keeps the segments as they were. All levels are judged in one pass.
     """
-    levels = exploded(stats)
+    levels = exploded(stats.withColumn("original", F.col("segments")))
     varying = (
         levels.where("depth > 0")
         .groupBy("host", "parent", "node")
@@ -109,21 +124,22 @@ def generalise(stats: DataFrame, max_distinct: float = 0.5, min_rows: int = 20)
         .where((F.col("all_rows") >= min_rows) & (F.col("children") >= max_distinct * F.col("all_rows")))
         .select("host", "parent", F.lit(True).alias("varies"))
     )
-    segment = F.when(F.col("varies"), F.lit(WILD)).otherwise(F.get("segments", F.col("depth") - 1))
+    segment = F.when(F.col("varies"), F.lit(WILD)).otherwise(F.col("segment"))
     return (
         levels.join(varying, ["host", "parent"], "left")
-        .groupBy("host", F.col("segments").alias("original"))
+        .groupBy("host", "key")
         .agg(
-            F.sort_array(F.collect_list(F.struct("depth", segment.alias("segment")))).alias("levels"),
+            F.sort_array(F.collect_list(F.struct("depth", segment.alias("segment"), "raw"))).alias("levels"),
             F.first("rows").alias("rows"),
             F.first("labelled").alias("labelled"),
             F.first("rejected").alias("rejected"),
         )
-        .withColumn(
-            "segments", F.transform(F.filter("levels", lambda x: x["depth"] > 0), lambda x: x["segment"])
+        .select(
+            "host", "rows", "labelled", "rejected",
+            segment_list("levels", "segment").alias("segments"),
+            segment_list("levels", "raw").alias("original"),
         )
-        .drop("levels")
-    )
+    )
 
 
 def judge_templates(
@@ -142,39 +158,62 @@ def judge_templates(
     nodes = levels.groupBy("host", "parent", "node", "depth").agg(
         F.sum("labelled").cast("double").alias("own_n"), F.sum("rejected").cast("double").alias("own_k")
     )
-    # The pool of a branch: all branches under the same parent. A host is not pooled with other hosts.
+    # The pool of a branch: all branches under the same parent of the host.
     pools = (
         nodes.where("depth > 0")
         .groupBy("host", "parent")
         .agg(F.sum("own_n").alias("pool_n"), F.sum("own_k").alias("pool_k"))
     )
+    everywhere = (
+        nodes.where("depth > 0 and own_n > 0")
+        .groupBy("node")
+        .agg(F.sum("own_n").alias("all_n"), F.sum("own_k").alias("all_k"))
+    )
     rest_n, rest_k = F.col("pool_n") - F.col("own_n"), F.col("pool_k") - F.col("own_k")
     share = F.col("pool_k") / F.expr("nullif(pool_n, 0)")
     own_share = F.col("own_k") / F.expr("nullif(own_n, 0)")
     rest_share = rest_k / F.expr("nullif(pool_n - own_n, 0)")
     error = F.sqrt(share * (1 - share) * (1 / F.expr("nullif(own_n, 0)") + 1 / F.expr("nullif(pool_n - own_n, 0)")))
     alike = F.coalesce(F.abs(own_share - rest_share) <= z_merge * error, F.lit(False))
-    merged_name = F.when(F.col("parent") == "", F.lit(WILD)).otherwise(F.concat("parent", F.lit("/" + WILD)))
-    judged = nodes.join(pools, ["host", "parent"], "left").select(
-        "host",
-        "node",
-        F.when(alike, F.col("pool_n")).otherwise(F.col("own_n")).alias("n"),
-        F.when(alike, F.col("pool_k")).otherwise(F.col("own_k")).alias("k"),
-        F.when(alike, merged_name).otherwise(F.col("node")).alias("name"),
+    judged = (
+        nodes.join(pools, ["host", "parent"], "left")
+        .join(everywhere, "node", "left")
+        .select(
+            "host",
+            "node",
+            alike.alias("merged"),
+            F.when(alike, F.col("pool_n")).otherwise(F.col("own_n")).alias("n"),
+            F.when(alike, F.col("pool_k")).otherwise(F.col("own_k")).alias("k"),
+            F.coalesce(F.col("all_n") - F.col("own_n"), F.lit(0.0)).alias("other_n"),
+            F.coalesce(F.col("all_k") - F.col("own_k"), F.lit(0.0)).alias("other_k"),
+        )
     )
-    purity = (F.col("best.k") + prior_weight * F.lit(prior)) / (F.col("best.n") + prior_weight)
-    rejects = (F.col("purity") >= max_purity) & (F.col("best.n") >= min_labels)
-    # The deepest node of a template speaks for it.
+
+    def below(above: Column, x: Column) -> Column:
+        elsewhere = (x["other_k"] + prior_weight * above["purity"]) / (x["other_n"] + prior_weight)
+        known = x["n"] + x["other_n"]
+        return F.struct(
+            ((x["k"] + prior_weight * elsewhere) / (x["n"] + prior_weight)).alias("purity"),
+            F.when(known > 0, known).otherwise(above["known"]).alias("known"),
+        )
+
+    top = F.struct(F.lit(prior).alias("purity"), F.lit(0.0).alias("known"))
+    last = F.element_at("levels", -1)
+    template = F.when(
+        last["merged"], joined(F.concat(F.slice("general", 1, F.size("general") - 1), F.array(F.lit(WILD))))
+    ).otherwise(joined(F.col("general")))
+    rejects = (F.col("end.purity") >= max_purity) & (F.col("end.known") >= min_labels)
+    fields = ["depth", "segment", "raw", "merged", "n", "k", "other_n", "other_k"]
     return (
         levels.join(judged, ["host", "node"])
-        .groupBy("host", F.col("original").alias("segments"))
-        .agg(F.max_by(F.struct("n", "k", "name"), "depth").alias("best"))
-        .withColumn("purity", purity)
+        .groupBy("host", "key")
+        .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("levels"))
+        .withColumns({"end": F.aggregate("levels", top, below), "general": segment_list("levels", "segment")})
         .select(
             "host",
-            "segments",
-            F.col("best.name").alias("template"),
-            "purity",
+            segment_list("levels", "raw").alias("segments"),
+            template.alias("template"),
+            F.col("end.purity").alias("purity"),
             F.when(rejects, BLOCK).otherwise(ALLOW).alias("method_verdict"),
         )
     )
@@ -193,12 +232,10 @@ def filter_urls(pages: DataFrame, rules: dict[str, str], id_column: str = "page_
     )
     label = F.when(F.col("by_rule") == BLOCK, 1).when(F.col("by_rule") == ALLOW, 0)
     verdicts = judge_templates(template_stats(ruled.withColumn("label", label)))
-    keyed = ruled.withColumn("key", F.to_json(F.struct("host", "segments")))
-    looked_up = verdicts.select(
-        F.to_json(F.struct("host", "segments")).alias("key"), "template", "purity", "method_verdict"
-    )
-    joined = salted_join(keyed, looked_up, "key", F.col(id_column), "left")
-    return joined.select(
+    key = template_key(F.col("host"), F.col("segments")).alias("key")
+    keyed = ruled.select("*", key).drop("segments")
+    looked_up = verdicts.select(key, "template", "purity", "method_verdict")
+    return salted_join(keyed, looked_up, "key", F.col(id_column), "left").select(
         id_column,
         "host",
         "path",
