@@ -25,10 +25,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from vitrine.llm.common import per_worker
+from vitrine.llm.common import give_back, per_worker, slices
 
 TABLE_WORDS = 400_000
-SLICE_BYTES = 2 << 20  # text that is encoded at once
 
 
 def tokenizer(path: str):
@@ -150,20 +149,7 @@ def word_table(path: str) -> Iterator[WordTable]:
         yield table
     finally:
         table.clear()
-        pa.default_memory_pool().release_unused()
-
-
-def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``most`` bytes of text each, one row at least."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-    start, total = 0, 0
-    for row, size in enumerate(sizes):
-        if row > start and total + size > most:
-            yield start, row
-            start, total = row, 0
-        total += int(size)
-    if start < len(sizes):
-        yield start, len(sizes)
+        give_back()
 
 
 Use = Callable[[pa.RecordBatch, np.ndarray, np.ndarray], pa.RecordBatch]

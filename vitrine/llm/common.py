@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vitrine.session import materialize
@@ -45,6 +49,43 @@ def hex_sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+SLICE_BYTES = 2 << 20  # of text that is worked on at once
+
+
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``most`` bytes of text each, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    start, total = 0, 0
+    for row, size in enumerate(sizes):
+        if row > start and total + size > most:
+            yield start, row
+            start, total = row, 0
+        total += int(size)
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system, where allocators would keep it in the process."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task over batches that gives memory back at its end: Python workers stay, idle, beside those of later stages."""
+
+    @functools.wraps(task)
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def per_worker(key: tuple, make: Callable[[], object]):
     """``make()`` once for the life of a Python worker.
 

@@ -32,8 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from vitrine.llm.bpe import slices
-from vitrine.llm.common import arrow_rows, stored
+from vitrine.llm.common import arrow_rows, slices, stored, tidy
 from vitrine.llm.components import components
 from vitrine.llm.shingles import shingle_sets
 
@@ -103,6 +102,7 @@ def first_quarter(shingles: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 def facts(docs: DataFrame) -> DataFrame:
     """``FACTS`` of every document; ``key`` is null where there are no shingles."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _batches(batches):
             some = [len(s) > 0 for s in sets]
@@ -121,6 +121,7 @@ def meetings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """``(shingle, key, late)``: by which shingles each class meets others. A task tells a class once."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # MAX_FREQUENT numbers at most
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         often = shared.value
@@ -146,6 +147,7 @@ def extensions(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """``shingle``: those that come into the first quarters (and a little beyond) when ``frequent`` ones go last."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, none = shared.value, np.empty(0, np.uint64)
         for _, sets in _batches(batches):
@@ -333,6 +335,7 @@ def sets_of(keys: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text").join(mine, docs["doc_id"] == mine["first_id"])
 
     # A document id may repeat with other texts: only the set that makes the key counts.
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, sets in _batches(batches):
             made = [(k, s.tobytes()) for k, s in zip(keys, sets, strict=True) if _key(s) == k]
@@ -403,6 +406,7 @@ def _searched(members: DataFrame, labels: DataFrame, classes: DataFrame, quota:
     asked = rows.select(*kept, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("role"))
     dealt = built.unionByName(asked).repartition("group", "block").sortWithinPartitions("group", "block", "role")
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, points, tree = None, [], None  # the block at hand: its points, then their tree
         for batch in batches:

@@ -27,8 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from vitrine.llm.bpe import slices, word_table
-from vitrine.llm.common import shuffle_width, stored
+from vitrine.llm.bpe import word_table
+from vitrine.llm.common import shuffle_width, slices, stored
 
 CAPACITY = 2048
 ITEMS = "size int, length int, per int, first bigint, count bigint"

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vitrine.llm.common import per_worker
+from vitrine.llm.common import per_worker, slices, tidy
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -147,12 +147,17 @@ def find_secrets(
     """``docs`` with ``secrets``: its findings, by start and then by kind."""
 
     @F.arrow_udf(SPANS)
+    @tidy
     def scan(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         key = (vocabulary, pattern)
         encode = per_worker(key, lambda: encoder(*key)).encode_ordinary
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in texts:
-            yield pa.array([scan_text(t.as_py(), encode, max_ratio) for t in batch], kind)
+            found = [pa.array([], kind)]
+            for start, end in slices(batch):
+                part = batch.slice(start, end - start)
+                found.append(pa.array([scan_text(t.as_py(), encode, max_ratio) for t in part], kind))
+            yield pa.concat_arrays(found)
 
     return docs.withColumn("secrets", scan(F.col(text_column)))
 
@@ -195,11 +200,15 @@ def hide_secrets(
     """``docs`` with every finding replaced by ``mark``, as ``redact`` after ``find_secrets``, by one Python worker a task."""
 
     @F.arrow_udf("string")
+    @tidy
     def hide(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         key = (vocabulary, pattern)
         encode = per_worker(key, lambda: encoder(*key)).encode_ordinary
         for batch in texts:
-            hidden = (mark_out(t, scan_text(t, encode, max_ratio), mark) for t in (x.as_py() for x in batch))
-            yield pa.array(hidden, pa.string())
+            hidden = [pa.array([], pa.string())]
+            for start, end in slices(batch):
+                part = (t.as_py() for t in batch.slice(start, end - start))
+                hidden.append(pa.array([mark_out(t, scan_text(t, encode, max_ratio), mark) for t in part], pa.string()))
+            yield pa.concat_arrays(hidden)
 
     return docs.withColumn(text_column, hide(F.col(text_column)))

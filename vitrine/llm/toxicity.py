@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vitrine.llm.common import stored
+from vitrine.llm.common import stored, tidy
 
 MAX_TRAIN_ROWS = 20_000
 MAX_ENTRIES = 5_000
@@ -122,6 +122,7 @@ def density(text: str | None, built) -> float:
 
 def _with_densities(docs: DataFrame, model: Model, text_column: str, name: str) -> DataFrame:
     @F.arrow_udf("double")
+    @tidy
     def measure(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         built = automaton(model)
         for batch in texts:
