@@ -14,7 +14,6 @@ space and must have no decoder of its own, which :func:`tokenizer` checks.
 
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -35,10 +34,9 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
-    with open(path, encoding="utf-8") as file:
-        if json.load(file)["decoder"] is not None:
-            raise ValueError("a tokenizer without a decoder is expected: pieces are joined by spaces")
     made = Tokenizer.from_file(path)
+    if made.decoder is not None:
+        raise ValueError("a tokenizer without a decoder is expected: pieces are joined by spaces")
     made.no_truncation()
     made.no_padding()
     if made.encode("a b", add_special_tokens=False).ids != [
@@ -144,7 +142,7 @@ class WordTable:
 @contextmanager
 def word_table(path: str) -> Iterator[WordTable]:
     """The worker's table; its words are given up at the end, as an idle worker would keep them through the stages of others."""
-    table = per_worker(("words", path), lambda: WordTable(path))
+    table = per_worker(("bpe", "words", path), lambda: WordTable(path))
     try:
         yield table
     finally:
@@ -194,12 +192,12 @@ def piece_table(path: str) -> pa.Array:
 
 
 def pieces_of(path: str) -> pa.Array:
-    return per_worker(("pieces", path), lambda: piece_table(path))
+    return per_worker(("bpe", "pieces", path), lambda: piece_table(path))
 
 
 def numbers_of(path: str) -> pa.Array:
     """Decimal texts by id."""
-    return per_worker(("numbers", path), lambda: pa.array([str(i) for i in range(len(pieces_of(path)))]))
+    return per_worker(("bpe", "numbers", path), lambda: pa.array([str(i) for i in range(len(pieces_of(path)))]))
 
 
 def joined(ids: np.ndarray, bounds: np.ndarray, table: pa.Array) -> pa.Array:

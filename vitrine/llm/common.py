@@ -87,7 +87,7 @@ def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]
 
 
 def per_worker(key: tuple, make: Callable[[], object]):
-    """``make()`` once for the life of a Python worker.
+    """``make()`` once for a Python worker, which gives it up for the objects of another operator (the key's first entry).
 
     Task functions travel by value, so a module's own globals don't outlive a task; ``sys.modules`` does.
     """
@@ -96,5 +96,8 @@ def per_worker(key: tuple, make: Callable[[], object]):
         sys.modules[name] = types.ModuleType(name)
     kept = sys.modules[name].__dict__.setdefault("kept", {})
     if key not in kept:
+        for other in [k for k in kept if k[0] != key[0]]:
+            del kept[other]
         kept[key] = make()
+        give_back()  # what making it took
     return kept[key]

@@ -150,7 +150,7 @@ def find_secrets(
     @tidy
     def scan(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         key = (vocabulary, pattern)
-        encode = per_worker(key, lambda: encoder(*key)).encode_ordinary
+        encode = per_worker(("secrets", *key), lambda: encoder(*key)).encode_ordinary
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in texts:
             found = [pa.array([], kind)]
@@ -203,7 +203,7 @@ def hide_secrets(
     @tidy
     def hide(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         key = (vocabulary, pattern)
-        encode = per_worker(key, lambda: encoder(*key)).encode_ordinary
+        encode = per_worker(("secrets", *key), lambda: encoder(*key)).encode_ordinary
         for batch in texts:
             hidden = [pa.array([], pa.string())]
             for start, end in slices(batch):
