@@ -1,5 +1,7 @@
 """Hot keys, shuffled joins and repeated rows change the work, not the result."""
 
+import math
+import random
 from collections import Counter
 from contextlib import contextmanager
 
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from oracle_check import compare, connect
-from vitrine.operators import joins
+from vitrine.operators import joins, language_model
 from vitrine.plans import inputs, jobs
 
 
@@ -64,6 +66,52 @@ def test_salted_join(spark, shuffled, how, monkeypatch):
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
 
 
+def test_parts_follow_the_share(spark, monkeypatch):
+    """A key of a third of the rows is cut until no part holds more than any other key may."""
+    monkeypatch.setattr(joins, "HEAVY_KEYS", 30)
+    rows = spark.range(9000).select(
+        F.col("id").alias("row_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key")
+    )
+    heavy = joins.heavy_keys(rows, "key", min_rows=100).collect()
+    assert [tuple(r) for r in heavy] == [("hot", 10)]
+    lookup = spark.createDataFrame([("hot", 1), ("1", 2)], "key string, v int")
+    monkeypatch.setattr(joins, "HEAVY_ROWS", 100)
+    met = joins.salted_join(rows, lookup, "key", F.col("row_id"))
+    assert met.groupBy("v").count().orderBy("v").collect() == [(1, 3000), (2, 1)]
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_losses_of_hot_terms(spark, shuffled, n, monkeypatch):
+    """Against counting by hand: texts of one hot word, unseen words and contexts, repeats, empty and null texts."""
+    monkeypatch.setattr(joins, "HEAVY_ROWS", 2)
+    rnd = random.Random(n)
+    text = lambda words: " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 30)))
+    train = [text("aaaab") for _ in range(40)] + [text("abcd") for _ in range(40)] + ["", None]
+    test = [text("abce") for _ in range(40)] + ["a " * 50, "a", "f", "f f", "", None] + ["a"] * 20
+    table = lambda texts: spark.createDataFrame(list(enumerate(texts)), "row_id bigint, t string")
+    model = language_model.NgramModel.fit(table(train), "t", n)
+    scored = language_model.ngram_loss(model, table(test), "t")
+    plan = scored._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange hashpartitioning(term") == 2  # test terms, counts
+    assert plan.count("Exchange hashpartitioning(row_id") == 1  # sums
+
+    def grams(t):
+        words = (["<s>"] if n == 2 else []) + (t or "").split()
+        return [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+
+    seen = Counter(g for t in train for g in grams(t))
+    before = Counter()
+    for g, c in seen.items():
+        before[g[:-1]] += c
+    size = len({g[-1] for g in seen}) + 1
+    want = {
+        i: sum(-math.log((seen[g] + 1) / (before[g[:-1]] + size)) for g in found) / len(found)
+        for i, t in enumerate(test)
+        if (found := grams(t))
+    }
+    assert {r["row_id"]: r["loss"] for r in scored.collect()} == pytest.approx(want)
+
+
 def test_hot_request_and_hot_product(spark, small, monkeypatch):
     """A third of the requests ask the same and a third of the catalogue is one product."""
     monkeypatch.setattr(joins, "HEAVY_ROWS", 5)

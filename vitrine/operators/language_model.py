@@ -4,36 +4,46 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from vitrine.functions.ngrams import ngrams
+from vitrine.functions.ngrams import GRAM_SEPARATOR, ngrams
 from vitrine.functions.text import ws_tokens
-from vitrine.operators.joins import HEAVY_KEYS, HEAVY_ROWS, salted_join
+from vitrine.operators.joins import heavy_of, salted_join
 from vitrine.session import scratch_path
 
 START = "<s>"
 
 
-def _grams(
+def _terms(
     df: DataFrame, col: str, n: int, keep: list[str], max_tokens: int | None = None
 ) -> DataFrame:
-    """``keep`` columns and one row per n-gram (``gram``) of the column."""
+    """``keep`` columns and one row per n-gram and per context of the column (``place``, ``term``).
+
+    A context is the word before the last one of a bigram. Tokens hold no blank, bigrams one, so the two never meet.
+    """
     tokens = ws_tokens(F.lower(F.col(col)))
     if max_tokens is not None:
         tokens = F.slice(tokens, 1, max_tokens)
     if n == 2:
         tokens = F.concat(F.array(F.lit(START)), tokens)
     cut = df.select(*keep, tokens.alias("tokens"))
-    return cut.select(*keep, F.explode(ngrams(F.col("tokens"), n)).alias("gram"))
+    terms = ngrams(F.col("tokens"), n)
+    if n == 2:
+        contexts = F.slice("tokens", 1, F.greatest(F.size("tokens") - 1, F.lit(0)))
+        terms = F.concat(terms, contexts)
+    return cut.select(*keep, F.posexplode(terms).alias("place", "term"))
+
+
+def _is_context(n: int) -> Column:
+    return F.lit(False) if n == 1 else ~F.contains("term", F.lit(GRAM_SEPARATOR))
 
 
 @dataclass
 class NgramModel:
-    """Counts of training n-grams and of the words before them."""
+    """Counts of training n-grams and of the words before them, in one table."""
 
     n: int
-    counts: DataFrame  # (gram, c)
-    contexts: DataFrame | None  # (first, ctx), for n = 2
+    counts: DataFrame  # (term, c)
     n_words: int  # distinct training words
     n_tokens: int
 
@@ -42,30 +52,16 @@ class NgramModel:
         """Count once into a table; scoring any number of texts then reads the table."""
         if n not in (1, 2):
             raise ValueError("n must be 1 or 2")
-        spark = train.sparkSession
-        path = path or scratch_path(spark, "ngrams")
-
-        def counted(order: int) -> DataFrame:
-            grams = _grams(train, col, order, [])
-            grams.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).write.parquet(f"{path}/{order}")
-            return spark.read.parquet(f"{path}/{order}")
-
-        counts, contexts = counted(n), None
-        if n == 1:
-            words = counts
-        else:  # a word is counted as often as it ends a bigram
-            last = F.substring_index("gram", " ", -1)
-            words = counts.groupBy(last.alias("gram")).agg(F.sum("c").alias("c"))
-            first = F.substring_index("gram", " ", 1)
-            contexts = counts.groupBy(first.alias("first")).agg(F.sum("c").alias("ctx"))
+        path = path or scratch_path(train.sparkSession, "ngrams")
+        terms = _terms(train, col, n, [])
+        terms.groupBy("term").agg(F.count(F.lit(1)).alias("c")).write.parquet(path)
+        counts = train.sparkSession.read.parquet(path)
+        words = counts
+        if n == 2:  # a word is counted as often as it ends a bigram
+            last = F.substring_index("term", GRAM_SEPARATOR, -1)
+            words = counts.where(~_is_context(n)).groupBy(last.alias("word")).agg(F.sum("c").alias("c"))
         size = words.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-        return cls(n, counts, contexts, size[0], size[1])
-
-
-def _hot(counts: DataFrame, key: str, count: str) -> DataFrame:
-    """The most frequent keys of a count table, in the form of ``heavy_keys``."""
-    often = counts.where(F.col(count) >= HEAVY_ROWS).orderBy(F.desc(count), key).limit(HEAVY_KEYS)
-    return often.select(key, F.lit(True).alias("__heavy"))
+        return cls(n, counts, size[0], size[1])
 
 
 def ngram_loss(
@@ -78,24 +74,19 @@ def ngram_loss(
     """``(row_id, loss)``: mean ``-ln((c + k) / (context + k (V + 1)))`` over a test text's n-grams.
 
     V counts the training words and 1 stands for all unseen ones. Texts are read whole unless
-    ``max_tokens`` sets a window. Test n-grams are counted per text before they meet the model; those that the
-    model's own counts show as hot are salted.
+    ``max_tokens`` sets a window. The logarithm of a fraction is a difference, so a text's n-grams and their contexts
+    look up their counts in one join, each term for itself; the test side crosses the network once before
+    its sums. Terms that the model's own counts show as hot are salted, AQE splits others.
     """
-    grams = _grams(test, col, model.n, ["row_id"], max_tokens)
-    seen = grams.groupBy("row_id", "gram").agg(F.count(F.lit(1)).alias("times"))
-    row = F.col("row_id")
-    scored = salted_join(seen, model.counts, "gram", row, "left", _hot(model.counts, "gram", "c"))
-    context = F.lit(model.n_tokens)
-    if model.contexts is not None:
-        first = F.substring_index("gram", " ", 1).alias("first")
-        hot = _hot(model.contexts, "first", "ctx")
-        scored = salted_join(
-            scored.withColumn("first", first), model.contexts, "first", row, "left", hot
-        )
-        context = F.coalesce(F.col("ctx"), F.lit(0))
-    chance = (F.coalesce(F.col("c"), F.lit(0)) + add_k) / (context + add_k * (model.n_words + 1))
-    return (
-        scored.withColumn("nll", -F.log(chance))
-        .groupBy("row_id")
-        .agg((F.sum(F.col("nll") * F.col("times")) / F.sum("times")).alias("loss"))
-    )
+    terms = _terms(test, col, model.n, ["row_id"], max_tokens)
+    total = F.lit(model.n_tokens * model.n)
+    hot = heavy_of(model.counts, "term", "c", total)
+    spread_by = F.struct("row_id", "place")  # a text may repeat one term
+    met = salted_join(terms, model.counts, "term", spread_by, "left", hot)
+    count = F.coalesce(F.col("c"), F.lit(0))
+    beyond = add_k * (model.n_words + 1)
+    context = _is_context(model.n)
+    nll = F.when(context, F.log(count + beyond)).otherwise(-F.log(count + add_k))
+    alone = F.lit(0.0) if model.n == 2 else F.log(F.lit(model.n_tokens + beyond))  # the same context for all
+    summed = met.groupBy("row_id").agg((F.sum(nll) / F.count_if(~context)).alias("loss"))
+    return summed.withColumn("loss", F.col("loss") + alone)
