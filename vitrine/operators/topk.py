@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 BROADCAST_CELLS = 8_000_000  # 64 MB of doubles
 BLOCK_CELLS = 16_000_000  # numbers per side of one co-grouped task
+TASK_PRODUCTS = 100_000_000_000  # catalogue numbers times queries that one task meets
 CHUNK_ROWS = 4096
 CHUNK_QUERIES = 1024
 WIDE = 65_536  # hits of a query above which a task doesn't hold them
@@ -138,8 +139,13 @@ def blocked_topk(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    query_cells = total(queries, scorer.query_cells())
+    asked = queries.agg(F.sum(scorer.query_cells()), F.count(F.lit(1))).first()
+    query_cells, n_queries = asked[0] or 0, asked[1]
     if query_cells <= broadcast_cells:
+        if n_queries > CHUNK_QUERIES:  # fewer make no long task
+            tasks = blocks_for(total(catalog, scorer.catalog_cells()) * n_queries, TASK_PRODUCTS)
+            if tasks > catalog.rdd.getNumPartitions():
+                catalog = catalog.repartition(tasks)
         shared = catalog.sparkSession.sparkContext.broadcast(queries.toArrow())
 
         def scan(batches):
@@ -147,8 +153,12 @@ def blocked_topk(
 
         partial = catalog.mapInArrow(scan, schema)
     else:
-        catalog_blocks = blocks_for(total(catalog, scorer.catalog_cells()), block_cells)
-        query_blocks = blocks_for(query_cells, block_cells)
+        catalog_cells = total(catalog, scorer.catalog_cells())
+        query_blocks, catalog_blocks = grid_for(
+            blocks_for(query_cells, block_cells),
+            blocks_for(catalog_cells, block_cells),
+            catalog_cells * n_queries,
+        )
         partial = _block_join(queries, catalog, scorer, schema, query_blocks, catalog_blocks)
     return ranked(partial)
 
@@ -168,6 +178,12 @@ def blocks_for(cells: int, block_cells: int) -> int:
     return max(1, math.ceil(cells / block_cells))
 
 
+def grid_for(query_blocks: int, catalog_blocks: int, products: int) -> tuple[int, int]:
+    """Blocks of both sides, so many more of each that no pair of them meets in more than ``TASK_PRODUCTS``."""
+    finer = math.ceil(math.sqrt(products / TASK_PRODUCTS / (query_blocks * catalog_blocks)))
+    return query_blocks * max(1, finer), catalog_blocks * max(1, finer)
+
+
 def _block_join(queries, catalog, scorer, schema, query_blocks, catalog_blocks) -> DataFrame:
     def place(df, key, own, own_blocks, other, other_blocks):
         block = F.pmod(F.xxhash64(key), F.lit(own_blocks)).cast("int")
@@ -184,6 +200,8 @@ def _block_join(queries, catalog, scorer, schema, query_blocks, catalog_blocks)
         kinds = [("query_id", key), ("k", pa.int64()), ("row_id", pa.int64()), ("score", pa.float64())]
         return pa.Table.from_batches(_scan(scorer, block, batches), schema=pa.schema(kinds))
 
+    # A number of its own: partitions are dealt by work, and would be joined by size.
+    left, right = (d.repartition(2 * query_blocks * catalog_blocks, "__cb", "__qb") for d in (left, right))
     return (
         left.groupBy("__cb", "__qb").cogroup(right.groupBy("__cb", "__qb")).applyInArrow(meet, schema)
     )
