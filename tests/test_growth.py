@@ -12,6 +12,30 @@ from vitrine.operators import clusters, profiling, sequences, topk, vectors
 from vitrine.plans import jobs
 
 
+def test_queries_travel_once_to_each_part(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = rng.standard_normal((400, 8)).astype(np.float32)  # without structure: a query needs every cluster
+    index = clusters.write_clusters(frame(spark, range(400), rows, "row_id"), str(tmp_path / "rows"), 10)
+    cuts = clusters._parts({r["cluster"]: r["n"] for r in index.centres.orderBy("cluster").collect()}, 120)
+    asked = frame(spark, range(30), rows[:30], "query_id").select("query_id", F.lit(3).cast("bigint").alias("k"), "embedding")
+    chosen = asked.select(
+        "*", F.lit(float("-inf")).alias("floor"), F.array(*[F.lit(c) for c in sorted(cuts)]).alias("clusters")
+    )
+    dealt = clusters._dealt(chosen, cuts)
+    parts = {part for part, _ in cuts.values()}
+    assert len(cuts) > 20 and len(parts) < 8
+    assert dealt.count() == 30 * len(parts)
+    listed = dealt.groupBy("query_id").agg(F.flatten(F.collect_list("clusters")).alias("c")).collect()
+    assert all(sorted(r["c"]) == sorted(cuts) for r in listed)
+    found = collected(clusters.clustered_knn(asked.drop("k"), index, 3, broadcast_cells=0, block_cells=1000))
+    assert found == brute_force(rows[:30], rows, 3)
+
+
+def test_large_clusters_are_cut():
+    cuts = clusters._parts({0: 10, 1: 10, 2: 95, 3: 5, 4: 30}, 30)
+    assert cuts == {0: (0, 1), 1: (0, 1), 2: (1, 4), 3: (5, 1), 4: (6, 1)}
+
+
 @pytest.mark.parametrize("broadcast_cells", [10**6, 0])
 def test_no_task_meets_more_than_its_share(spark, monkeypatch, broadcast_cells):
     monkeypatch.setattr(topk, "TASK_PRODUCTS", 2000)

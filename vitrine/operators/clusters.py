@@ -27,6 +27,7 @@ from vitrine.operators.topk import (
     BLOCK_CELLS,
     BROADCAST_CELLS,
     CHUNK_QUERIES,
+    TASK_PRODUCTS,
     WIDE,
     Best,
     InnerProduct,
@@ -133,7 +134,9 @@ def _choose(queries: DataFrame, centres, dim: int) -> DataFrame:
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = centres.value
-        for batch in batches if dim else ():  # an empty index has no centres
+        # An empty index has no centres. A query has a number for every centre: few queries at once.
+        pieces = (b.slice(at, CHUNK_QUERIES) for b in batches for at in range(0, b.num_rows, CHUNK_QUERIES))
+        for batch in pieces if dim else ():
             matrix = InnerProduct(dim).matrix(batch.column("embedding")).astype(np.float64)
             k, floor = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "floor"))
             chosen = table.nearest(matrix, k)
@@ -157,14 +160,16 @@ def _scan(scorer: InnerProduct, queries: pa.Table, batches: Iterator[pa.RecordBa
         best.floor[:] = whole(block, "floor").to_numpy(zero_copy_only=False)
         clusters = whole(block, "clusters")
         owner = np.repeat(np.arange(len(k)), clusters.value_lengths().to_numpy(zero_copy_only=False))
-        blocks.append((block, scorer.prepare(block), best, owner, clusters.flatten().to_numpy(zero_copy_only=False)))
+        chosen = clusters.flatten().to_numpy(zero_copy_only=False)
+        order = np.argsort(chosen, kind="stable")
+        blocks.append((block, scorer.prepare(block), best, owner[order], chosen[order]))
     for batch in batches:
         here = batch.column("cluster").to_numpy(zero_copy_only=False)
         for cluster in np.unique(here):
             part = batch.filter(pa.array(here == cluster)).select(["row_id", "embedding"])
             for rows in scorer.chunks(part):
                 for block, state, best, owner, chosen in blocks:
-                    asking = owner[chosen == cluster]
+                    asking = owner[slice(*np.searchsorted(chosen, [cluster, cluster + 1]))]
                     wide = best.k[asking] >= WIDE  # keep none of theirs here, see topk
                     if len(asking[~wide]):
                         scorer.score(state, rows, best, asking[~wide])
@@ -191,25 +196,24 @@ def _meet(chosen: DataFrame, index: ClusteredIndex, table: _Centres, dim: int, b
 
         return rows.mapInArrow(scan, schema)
 
-    # A cluster and its queries are cut into blocks by hash; every pair of blocks meets in one task.
+    # Neighbouring clusters make parts of like size; a query travels once to each part that it needs, with its clusters there.
     sizes = dict(zip(table.numbers.tolist(), table.n.tolist(), strict=True))
-    cuts = [
-        (c, blocks_for(sizes[c] * dim, block_cells), blocks_for(n * dim, block_cells)) for c, n in needed.items()
-    ]
-    cuts = F.broadcast(chosen.sparkSession.createDataFrame(cuts, "cluster int, row_blocks int, query_blocks int"))
-
-    def place(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
-        block = F.pmod(F.xxhash64(key), F.col(f"{own}_blocks")).cast("int").alias(f"__{own}")
-        every = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"__{other}")
-        return df.join(cuts, "cluster").select(*df.columns, block, every)
-
-    asking = chosen.select("query_id", "k", "embedding", "floor", F.explode("clusters").alias("cluster"))
-    left, right = place(rows, "row_id", "row", "query"), place(asking, "query_id", "query", "row")
-    keys = ("cluster", "__row", "__query")
+    cells = sum(sizes[c] for c in needed) * dim
+    tasks = blocks_for(sum(sizes[c] * n for c, n in needed.items()) * dim, TASK_PRODUCTS)
+    parts = max(blocks_for(cells, block_cells), math.isqrt(tasks - 1) + 1)
+    query_blocks = max(blocks_for(total(chosen, F.lit(dim)), block_cells), blocks_for(tasks, parts))
+    cuts = _parts({c: sizes[c] for c in sorted(needed)}, blocks_for(cells, parts) // max(1, dim))
+    width = max(1, sum(dict(cuts.values()).values()))
+    listed = chosen.sparkSession.createDataFrame([(c, *cut) for c, cut in cuts.items()], "cluster int, part int, cut int")
+    own = F.col("part") + F.pmod(F.xxhash64("row_id"), F.col("cut")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("__query")
+    left = rows.join(F.broadcast(listed), "cluster").select(*rows.columns, own.alias("__part"), every)
+    right = _dealt(chosen, cuts).withColumn("__query", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
+    keys = ("__part", "__query")
+    # A number of its own: partitions are dealt by work, and would be joined by size.
+    left, right = (d.repartition(2 * width * query_blocks, *keys) for d in (left, right))
 
     def meet(part: pa.Table, block: pa.Table) -> pa.Table:
-        listed = pa.array([[c] for c in block.column("cluster").to_pylist()], pa.list_(pa.int32()))
-        block = block.append_column("clusters", listed)
         found = [("query_id", block.schema.field("query_id").type), ("k", pa.int64()), ("row_id", pa.int64())]
         batches = part.combine_chunks().to_batches()
         return pa.Table.from_batches(_scan(scorer, block, batches), schema=pa.schema([*found, ("score", pa.float64())]))
@@ -217,6 +221,49 @@ def _meet(chosen: DataFrame, index: ClusteredIndex, table: _Centres, dim: int, b
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema)
 
 
+def _parts(sizes: dict[int, int], most: int) -> dict[int, tuple[int, int]]:
+    """``(part, cut)`` of each cluster: neighbours share a part of ``most`` rows, a larger cluster is cut into parts of its own."""
+    cuts, part, held = {}, 0, 0
+    for cluster, n in sizes.items():
+        cut = blocks_for(n, max(1, most))
+        if held and (cut > 1 or held + n > most):
+            part, held = part + 1, 0
+        cuts[cluster] = (part, cut)
+        part, held = (part + cut, 0) if cut > 1 else (part, held + n)
+    return cuts
+
+
+def _dealt(chosen: DataFrame, cuts: dict[int, tuple[int, int]]) -> DataFrame:
+    """``chosen`` once for each part that holds some of its clusters, with those; ``__part`` tells which."""
+    last = max(cuts, default=-1) + 1
+    part_of, cut_of = np.zeros(last, np.int32), np.ones(last, np.int32)
+    for cluster, (part, cut) in cuts.items():
+        part_of[cluster], cut_of[cluster] = part, cut
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = (b.slice(at, CHUNK_QUERIES) for b in batches for at in range(0, b.num_rows, CHUNK_QUERIES))
+        for batch in pieces:
+            lists = batch.column("clusters")
+            clusters = lists.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            part = part_of[clusters]
+            first = np.ones(len(part), dtype=bool)  # clusters are listed in order, so those of a part are neighbours
+            first[1:] = (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])
+            starts = np.flatnonzero(first)
+            ends = np.append(starts, len(part)).astype(np.int32)
+            runs = pa.ListArray.from_arrays(pa.array(ends), pa.array(clusters, pa.int32()))
+            cut = cut_of[clusters[starts]]
+            run = np.repeat(np.arange(len(starts)), cut)
+            nth = np.arange(len(run)) - np.repeat(np.cumsum(cut) - cut, cut)
+            columns = {n: batch.column(n).take(pa.array(owner[starts][run])) for n in names}
+            dealt = [*columns.values(), runs.take(pa.array(run)), pa.array(part[starts][run] + nth, pa.int32())]
+            yield pa.RecordBatch.from_arrays(dealt, names=[*names, "clusters", "__part"])
+
+    names = ["query_id", "k", "embedding", "floor"]
+    kinds = T.StructType([*[chosen.schema[n] for n in (*names, "clusters")], T.StructField("__part", T.IntegerType())])
+    return chosen.mapInArrow(deal, kinds)
+
+
 def _waves(queries: DataFrame, index: ClusteredIndex, k: int | Column, broadcast_cells: int, block_cells: int):
     """The queries with what each wave reads, and the hits of both waves."""
     spark, table = queries.sparkSession, _Centres(index.centres)
