@@ -61,3 +61,18 @@ def test_grid():
     assert topk.grid_for(3, 3, 9 * monkey) == (3, 3)
     queries, rows = topk.grid_for(3, 3, 240 * monkey)
     assert queries * rows >= 240 and queries == rows == 18
+
+
+def test_equal_requests_are_searched_once(spark):
+    asked = spark.createDataFrame([(i, "hot bolt" if i < 8 else "cold bolt", "hot") for i in range(10)], "query_id bigint, name string, color string")
+    seen = []
+
+    def find(unique):
+        seen.append(unique.count())
+        hit = (F.lit(1).alias("rank"), F.lit(5).cast("bigint").alias("row_id"), F.col("name").alias("name_clean"))
+        return unique.select("query_id", *hit, F.lit("").alias("colors_extracted"), F.lit(0.5).alias("similarity_score"))
+
+    rows = jobs._with_similar(asked, find).collect()
+    assert seen == [2]
+    assert sorted(r["query_id"] for r in rows) == list(range(10))
+    assert all(r["similar"][0]["name_clean"] == r["name"] for r in rows)

@@ -285,9 +285,11 @@ def _with_similar(
 ) -> DataFrame:
     """Requests with the hits that ``find`` brings; a request without hits has an empty array.
 
-    ``query_id`` is the user's and may repeat: hits are found and nested by the whole content of a request.
+    ``query_id`` is the user's and may repeat: hits are found and nested by the content of a request, once for all
+    requests that ask the same, and only the nested arrays travel to them.
     """
-    asked = requests.withColumn("__asked", F.sha2(F.to_json(F.struct("*")), 256))
+    content = [c for c in requests.columns if c != "query_id"]
+    asked = requests.withColumn("__asked", F.sha2(F.to_json(F.struct(*content)), 256))
     unique = asked.withColumn("query_id", F.col("__asked")).drop("__asked").dropDuplicates(["query_id"])
     found = nest_hits(find(unique), extra).withColumnRenamed("query_id", "__asked")
     nested = salted_join(asked, found, "__asked", F.col("query_id"), "left").drop("__asked")
