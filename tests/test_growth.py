@@ -63,6 +63,13 @@ def test_grid():
     assert queries * rows >= 240 and queries == rows == 18
 
 
+def test_numbers_are_computed_once(spark):
+    df, seen = counting(spark, spark.range(500).select(F.col("id").cast("string").alias("v")), "v")
+    row = profiling.describe_numeric(df.select(F.col("v").cast("int").alias("n")), "n").first()
+    assert (row["count"], row["min"], row["p50"], row["max"]) == (500, 0.0, 249.5, 499.0)
+    assert seen.value == 500
+
+
 def test_equal_requests_are_searched_once(spark):
     asked = spark.createDataFrame([(i, "hot bolt" if i < 8 else "cold bolt", "hot") for i in range(10)], "query_id bigint, name string, color string")
     seen = []

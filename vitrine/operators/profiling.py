@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions import fixed
+from vitrine.session import materialize
 
 HELD_VALUES = 65_536  # numbers that one task may sort
 GRID = 1000  # places of a sketch
@@ -105,8 +106,12 @@ def exact_quantiles(df: DataFrame, col: str, shares: list[float], held: int = HE
 
 
 def describe_numeric(df: DataFrame, col: str) -> DataFrame:
-    """count, mean, std (n-1), min, quartiles (linear, exact), max of a number column."""
-    value = F.col(col).cast("double")
+    """count, mean, std (n-1), min, quartiles (linear, exact), max of a number column.
+
+    The numbers alone are written once: every pass reads them, none computes ``df`` again.
+    """
+    df = materialize(df.select(F.col(col).cast("double").alias(col)), "numbers")
+    value = F.col(col)
     quartiles = exact_quantiles(df, col, [0.25, 0.5, 0.75])
     named = dict(zip(("p25", "p50", "p75"), quartiles, strict=True))
     stats = df.agg(
