@@ -70,6 +70,17 @@ def test_numbers_are_computed_once(spark):
     assert seen.value == 500
 
 
+def test_prompts_are_computed_once(spark):
+    words = F.concat_ws(" ", F.lit("a"), F.col("id") % 7, F.col("id") % 3)
+    prompts, seen = counting(spark, spark.range(300).select(F.col("id").alias("row_id"), words.alias("prompt")), "prompt")
+    assert jobs.prepare_sequences(prompts, max_length=4).count() == 300
+    assert seen.value == 300
+
+
+def test_dictionary_of_a_worker_is_bounded():
+    assert sequences.BROADCAST_BYTES <= 16 << 20
+
+
 def test_equal_requests_are_searched_once(spark):
     asked = spark.createDataFrame([(i, "hot bolt" if i < 8 else "cold bolt", "hot") for i in range(10)], "query_id bigint, name string, color string")
     seen = []

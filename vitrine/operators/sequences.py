@@ -14,7 +14,7 @@ from vitrine.functions.text import ws_tokens
 from vitrine.operators.numbering import number_rows
 from vitrine.session import materialize
 
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 16 << 20  # a worker's dictionary of as many bytes of tokens takes ten times that
 IDS = T.ArrayType(T.IntegerType())
 MISSED = -1
 

@@ -93,9 +93,12 @@ def prepare_sequences(
     max_vocabulary: int | None = None,
     max_length: int = fixed.SEQUENCE_LENGTH,
 ) -> DataFrame:
-    """Split, learn the vocabulary from the training part, encode both parts."""
-    parted = sampling.split(sequences.prompts_only(prompted), "row_id", share)
-    vocab = sequences.build_vocab(sampling.train_rows(parted), "prompt", max_vocabulary)
+    """Split, learn the vocabulary from the training part, encode both parts.
+
+    Prompts and vocabulary are written once: counting and encoding read them, neither computes its input again.
+    """
+    parted = materialize(sampling.split(sequences.prompts_only(prompted), "row_id", share), "prompts")
+    vocab = materialize(sequences.build_vocab(sampling.train_rows(parted), "prompt", max_vocabulary), "vocabulary")
     return sequences.encode(parted, "prompt", vocab, max_length)
 
 
