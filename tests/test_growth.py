@@ -12,6 +12,18 @@ from vitrine.operators import clusters, profiling, sequences, topk, vectors
 from vitrine.plans import jobs
 
 
+def counting(spark, df, column):
+    """``df`` and an accumulator of how many rows of it were computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def same(value):
+        seen.add(1)
+        return value
+
+    return df.withColumn(column, same.asNondeterministic()(column)), seen
+
+
 def test_queries_travel_once_to_each_part(spark, tmp_path):
     rng = np.random.default_rng(4)
     rows = rng.standard_normal((400, 8)).astype(np.float32)  # without structure: a query needs every cluster
@@ -94,3 +106,13 @@ def test_equal_requests_are_searched_once(spark):
     assert seen == [2]
     assert sorted(r["query_id"] for r in rows) == list(range(10))
     assert all(r["similar"][0]["name_clean"] == r["name"] for r in rows)
+
+
+def test_every_match_of_a_rule_holds_a_sign():
+    samples = ["#a { b }", "<b>", "http://x www.y", 'x "y" z', "a... b", "a,b, c", "a? b!", "a. b.", "a--b", "don't it's"]
+    guarded = [r for r in text.CLEANING_RULES + text.TREEBANK_RULES if len(r) > 2]
+    assert len(guarded) == 12
+    for pattern, _, *signs in guarded:
+        plain = pattern.replace(r"\p{L}\p{N}", "a-zA-Z0-9").replace(r"\p{Z}", " ")
+        found = [m.group() for s in samples for m in re.finditer(plain, s)]
+        assert found and all(any(sign in m for sign in signs) for m in found), pattern

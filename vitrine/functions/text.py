@@ -7,6 +7,7 @@ Java and would miss Unicode whitespace and letters. ``WS`` is Unicode whitespace
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -27,36 +28,49 @@ def _any_of(characters) -> str:
 ASCII_WS = _any_of("\t\n\v\f\r\x1c\x1d\x1e\x1f ")
 ODD = _any_of(c for c in map(chr, range(128)) if c not in KEPT_ASCII)
 
-# (pattern, replacement) in order; the text is trimmed and lower-cased afterwards
+# (pattern, replacement, signs) in order; the text is trimmed and lower-cased afterwards. Every match of a pattern holds one of
+# its signs: a text without them is not searched, which costs a regular expression far more than the look for the sign.
 CLEANING_RULES = [
-    (rf"#{WORD}+{WS}*\{{[^}}]*\}}", ""),  # style rules such as `#id { ... }`
-    (r"<[^>]+>", ""),
-    (rf"http{NWS}+|www{NWS}+", ""),
+    (rf"#{WORD}+{WS}*\{{[^}}]*\}}", "", "#"),  # style rules such as `#id { ... }`
+    (r"<[^>]+>", "", "<"),
+    (rf"http{NWS}+|www{NWS}+", "", "http", "www"),
     (r"[^\x00-\x7F]+", ""),
     (f"{ODD}+", " "),
     (f"{ASCII_WS}+", " "),
 ]
 
-# (pattern, replacement) in order; tokens are then the runs of non-blanks
+# (pattern, replacement, signs) in order; tokens are then the runs of non-blanks
 TREEBANK_RULES = [
-    (r'(^|\s)"', "$1`` "),
-    (r'"', " '' "),
-    (r"(\.{2,})", " $1 "),
-    (r",([^0-9]|$)", " , $1"),
-    (r"([?!])", " $1 "),
-    (r"([^.])\.(\s|$)", "$1 . $2"),
-    (r"--", " -- "),
-    (r"([^' ])(n't)(\s|$)", "$1 $2$3"),
-    (r"([^' ])('(?:s|m|d|ll|re|ve))(\s|$)", "$1 $2$3"),
+    (r'(^|\s)"', "$1`` ", '"'),
+    (r'"', " '' ", '"'),
+    (r"(\.{2,})", " $1 ", ".."),
+    (r",([^0-9]|$)", " , $1", ","),
+    (r"([?!])", " $1 ", "?", "!"),
+    (r"([^.])\.(\s|$)", "$1 . $2", "."),
+    (r"--", " -- ", "--"),
+    (r"([^' ])(n't)(\s|$)", "$1 $2$3", "n't"),
+    (r"([^' ])('(?:s|m|d|ll|re|ve))(\s|$)", "$1 $2$3", "'"),
 ]
 
 
-def _rewrite(col: Column, rules: list[tuple[str, str]]) -> Column:
-    for pattern, replacement in rules:
-        col = F.regexp_replace(col, F.lit(pattern), F.lit(replacement))
+def _rewrite(col: Column, rules: list[tuple[str, ...]]) -> Column:
+    for pattern, replacement, *signs in rules:
+
+        def replaced(text: Column) -> Column:
+            new = F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
+            found = [F.contains(text, F.lit(sign)) for sign in signs]
+            return F.when(reduce(Column.__or__, found), new).otherwise(text) if found else new
+
+        # The array binds the text, so that it is one expression in the plan, however often a rule names it.
+        col = F.element_at(F.transform(F.array(col), replaced), 1) if signs else replaced(col)
     return col
 
 
+def _between(col: Column, gaps: str) -> Column:
+    """The runs of characters between matches of ``gaps``."""
+    return F.array_remove(F.split(col, gaps), "")
+
+
 def strip_ws(col: Column) -> Column:
     """Remove leading and trailing Unicode whitespace (``trim`` removes spaces only)."""
     return F.regexp_replace(col, F.lit(f"^{WS}+|{WS}+$"), F.lit(""))
@@ -72,12 +86,12 @@ def clean_text(col: Column) -> Column:
 
 def treebank_tokens(col: Column) -> Column:
     """Split punctuation and English contractions from words."""
-    return F.regexp_extract_all(_rewrite(col, TREEBANK_RULES), F.lit(r"(\S+)"), F.lit(1))
+    return _between(_rewrite(col, TREEBANK_RULES), r"\s+")
 
 
 def ws_tokens(col: Column) -> Column:
     """Whitespace tokens; an empty text has none."""
-    return F.regexp_extract_all(col, F.lit(f"({NWS}+)"), F.lit(1))
+    return _between(col, f"{WS}+")
 
 
 def alnum_tokens(col: Column) -> Column:
