@@ -1,14 +1,18 @@
 """Work that must not be repeated, or grow faster than its input."""
 
+import hashlib
+import math
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from test_topk import brute_force, collected, frame
 from vitrine.functions import text
-from vitrine.operators import clusters, profiling, sequences, topk, vectors
+from vitrine.operators import bm25, clusters, language_model, profiling, sequences, topk, vectors
 from vitrine.plans import jobs
 
 
@@ -116,3 +120,27 @@ def test_every_match_of_a_rule_holds_a_sign():
         plain = pattern.replace(r"\p{L}\p{N}", "a-zA-Z0-9").replace(r"\p{Z}", " ")
         found = [m.group() for s in samples for m in re.finditer(plain, s)]
         assert found and all(any(sign in m for sign in signs) for m in found), pattern
+
+
+def test_embedder_counts_each_text_once_a_bucket(spark):
+    texts = ["B a b  B ", "", None, "\x1cc a\x85", "a b c d İ"]
+    numbers = vectors.texts_per_bucket(pa.array([t and t.lower() for t in texts]), 5)
+    held = [{int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 5 for w in (t or "").lower().split()} for t in texts]
+    assert numbers.tolist() == [sum(b in h for h in held) for b in range(5)]
+    model = vectors.HashedTfidf.fit(spark.createDataFrame([(t,) for t in texts], "t string").repartition(3), "t", 5)
+    assert model.idf == [math.log((1 + len(texts)) / (1 + n)) + 1 for n in numbers.tolist()]
+    assert vectors.HashedTfidf.fit(spark.createDataFrame([], "t string"), "t", 2).idf == [1.0, 1.0]
+
+
+def test_words_between_single_blanks_are_counted_without_cutting(spark):
+    texts = ["", " ", "a", "a b", " a b", "a b ", "a  b", "a\tb c", "a\x1cb", "a\u00a0b", "\u00e9 b c", "a\u3000 b", None]
+    counted = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.word_count(F.col("t")).alias("n"))
+    assert [(r["t"], r["n"]) for r in counted.collect()] == [(t, None if t is None else len(t.split())) for t in texts]
+    assert dict(counted.dtypes)["n"] == "int"
+
+
+def test_a_run_of_odd_signs_and_blanks_is_replaced_once(spark):
+    unguarded = [r for r in text.CLEANING_RULES if len(r) == 2]
+    assert len(unguarded) == 2  # others, than ASCII and odd signs, search no text without their signs
+    rows = spark.createDataFrame([("a (b)\t:\x1c c\x00~d",)], "t string").select(text.clean_text(F.col("t")))
+    assert rows.first()[0] == "a b c d"

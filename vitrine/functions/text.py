@@ -9,6 +9,9 @@ from __future__ import annotations
 import string
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 from vitrine.functions import fixed
@@ -25,8 +28,8 @@ def _any_of(characters) -> str:
     return "[" + "".join(f"\\x{ord(c):02X}" for c in characters) + "]"
 
 
-ASCII_WS = _any_of("\t\n\v\f\r\x1c\x1d\x1e\x1f ")
-ODD = _any_of(c for c in map(chr, range(128)) if c not in KEPT_ASCII)
+BREAKS = "\t\n\v\f\r\x1c\x1d\x1e\x1f"  # ASCII white space but for the blank
+ODD_OR_WS = _any_of(c for c in map(chr, range(128)) if c not in KEPT_ASCII or c in BREAKS + " ")
 
 # (pattern, replacement, signs) in order; the text is trimmed and lower-cased afterwards. Every match of a pattern holds one of
 # its signs: a text without them is not searched, which costs a regular expression far more than the look for the sign.
@@ -35,8 +38,7 @@ CLEANING_RULES = [
     (r"<[^>]+>", "", "<"),
     (rf"http{NWS}+|www{NWS}+", "", "http", "www"),
     (r"[^\x00-\x7F]+", ""),
-    (f"{ODD}+", " "),
-    (f"{ASCII_WS}+", " "),
+    (f"{ODD_OR_WS}+", " "),
 ]
 
 # (pattern, replacement, signs) in order; tokens are then the runs of non-blanks
@@ -94,6 +96,15 @@ def ws_tokens(col: Column) -> Column:
     return _between(col, f"{WS}+")
 
 
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The tokens of ``ws_tokens`` of Arrow texts, all in a row, and the number of the text that each is of."""
+    words = pc.utf8_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    row = np.repeat(np.arange(len(texts)), np.diff(words.offsets.to_numpy()))
+    flat = words.flatten()
+    kept = pc.not_equal(flat, "")  # the split leaves empty words at the ends
+    return row[kept.to_numpy(zero_copy_only=False)], flat.filter(kept)
+
+
 def alnum_tokens(col: Column) -> Column:
     """Lower-case runs of ``[a-z0-9]``, the token rule of ROUGE."""
     return F.regexp_extract_all(F.lower(col), F.lit("([a-z0-9]+)"), F.lit(1))
@@ -107,7 +118,16 @@ def remove_stopwords(col: Column, words: list[str] | None = None) -> Column:
 
 
 def word_count(col: Column) -> Column:
-    return F.regexp_count(col, F.lit(f"{NWS}+"))
+    """The number of tokens. Between single blanks, as in cleaned texts, they need not be cut out to be counted."""
+
+    def count(text: Column) -> Column:
+        blank = F.lit(" ")
+        single = (F.octet_length(text) == F.length(text)) & (text != "") & ~F.contains(text, F.lit("  "))
+        single &= ~F.startswith(text, blank) & ~F.endswith(text, blank) & ~text.rlike(_any_of(BREAKS))
+        blanks = F.length(text) - F.length(F.replace(text, blank, F.lit("")))
+        return F.when(single, blanks + 1).otherwise(F.regexp_count(text, F.lit(f"{NWS}+")))
+
+    return F.element_at(F.transform(F.array(col), count), 1)
 
 
 def preview(col: Column, chars: int) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,11 +13,11 @@ from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vitrine.functions import fixed
-from vitrine.functions.hashing import digest_number
-from vitrine.functions.text import ws_tokens
+from vitrine.functions.text import split_words
 from vitrine.operators.topk import BLOCK_CELLS, BROADCAST_CELLS, InnerProduct, blocked_topk
 
 VECTOR = T.ArrayType(T.FloatType())
+TEXT_ROWS = 1000  # texts whose buckets a task holds at once
 
 
 def l2_normalize(vector: Column) -> Column:
@@ -35,23 +36,28 @@ def l2_normalize(vector: Column) -> Column:
     )
 
 
-def _bucket_counts(tokens: pa.Array, dim: int) -> np.ndarray:
-    """Matrix of token counts per text and hash bucket; each distinct token is hashed once."""
-    lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
-    coded = tokens.flatten().dictionary_encode()
+def _cells(texts: pa.Array, dim: int) -> np.ndarray:
+    """``text number * dim + bucket`` of every token of lower-case texts; each distinct token is hashed once."""
+    row, words = split_words(texts)
+    coded = words.dictionary_encode()
     bucket = np.array(
         [int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dim for t in coded.dictionary.to_pylist()],
         dtype=np.int64,
     )
-    row = np.repeat(np.arange(len(tokens)), lengths)
-    cell = row * dim + bucket[coded.indices.to_numpy(zero_copy_only=False)]
-    return np.bincount(cell, minlength=len(tokens) * dim).reshape(len(tokens), dim)
+    return row * dim + bucket[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def texts_per_bucket(texts: pa.Array, dim: int) -> np.ndarray:
+    """In how many of the texts each bucket occurs."""
+    held = np.zeros(len(texts) * dim, dtype=bool)
+    held[_cells(texts, dim)] = True
+    return np.count_nonzero(held.reshape(len(texts), dim), axis=0)
 
 
 class HashedTfidf:
     """Text to a unit vector of ``dim`` floats: hashed term counts times smoothed idf.
 
-    ``fit`` is one aggregation whose result has at most ``dim`` rows; ``transform`` works row by row in
+    ``fit`` is one aggregation of ``dim + 1`` numbers a task; ``transform`` works row by row in
     Arrow batches and shuffles nothing.
     """
 
@@ -61,15 +67,20 @@ class HashedTfidf:
 
     @classmethod
     def fit(cls, df: DataFrame, col: str, dim: int = fixed.EMBEDDING_DIM) -> "HashedTfidf":
-        tokens = F.array_distinct(ws_tokens(F.lower(F.coalesce(F.col(col), F.lit("")))))
-        buckets = F.array_distinct(
-            F.transform(tokens, lambda t: F.pmod(digest_number(F.md5(t)), F.lit(dim)))
-        )
-        total = F.array(F.lit(-1).cast("bigint"))  # one extra entry per text counts the texts
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counts = np.zeros(dim + 1, dtype=np.int64)  # one extra entry counts the texts
+            for batch in batches:
+                for start in range(0, batch.num_rows, TEXT_ROWS):
+                    counts[:dim] += texts_per_bucket(batch.column(0).slice(start, TEXT_ROWS), dim)
+                counts[dim] += batch.num_rows
+            bucket = np.append(np.arange(dim), -1)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(counts)], ["bucket", "count"])
+
         counted = (
-            df.select(F.explode(F.concat(total, buckets)).alias("bucket"))
+            df.select(F.lower(F.col(col)).alias("text"))
+            .mapInArrow(count, "bucket bigint, count bigint")
             .groupBy("bucket")
-            .count()
+            .agg(F.sum("count").alias("count"))
             .collect()  # at most dim + 1 rows
         )
         seen = {row["bucket"]: row["count"] for row in counted}
@@ -80,15 +91,19 @@ class HashedTfidf:
         idf, dim = np.array(self.idf), self.dim
 
         @F.arrow_udf(VECTOR)
-        def embed(tokens: pa.Array) -> pa.Array:
-            weights = _bucket_counts(tokens, dim) * idf
-            norms = np.sqrt(np.cumsum(weights * weights, axis=1)[:, -1:])
-            norms[norms == 0] = 1.0
-            unit = (weights / norms).astype(np.float32)
-            offsets = np.arange(0, unit.size + 1, dim, dtype=np.int32)
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel()))
-
-        return embed(ws_tokens(F.lower(text)))
+        def embed(texts: pa.Array) -> pa.Array:
+            parts = [pa.array([], pa.list_(pa.float32()))]
+            for start in range(0, len(texts), TEXT_ROWS):
+                some = texts.slice(start, TEXT_ROWS)
+                weights = np.bincount(_cells(some, dim), minlength=len(some) * dim).reshape(len(some), dim) * idf
+                norms = np.sqrt(np.cumsum(weights * weights, axis=1)[:, -1:])
+                norms[norms == 0] = 1.0
+                unit = (weights / norms).astype(np.float32)
+                offsets = np.arange(0, unit.size + 1, dim, dtype=np.int32)
+                parts.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(unit.ravel())))
+            return pa.concat_arrays(parts)
+
+        return embed(F.lower(text))
 
 
 def sparse_form(df: DataFrame, col: str = "embedding") -> DataFrame:
