@@ -144,3 +144,12 @@ def test_a_run_of_odd_signs_and_blanks_is_replaced_once(spark):
     assert len(unguarded) == 2  # others, than ASCII and odd signs, search no text without their signs
     rows = spark.createDataFrame([("a (b)\t:\x1c c\x00~d",)], "t string").select(text.clean_text(F.col("t")))
     assert rows.first()[0] == "a b c d"
+
+
+def test_keyword_documents_are_computed_once(spark, tmp_path):
+    named = spark.createDataFrame([(i, f"name {i % 3}") for i in range(30)], "row_id bigint, name string")
+    df, seen = counting(spark, named, "name")
+    documents = df.select("row_id", F.split("name", " ").alias("tokens"))
+    index = bm25.build_keyword_index(documents, str(tmp_path / "keywords"))
+    assert seen.value == 30
+    assert {r["term"]: r["df"] for r in index.terms.collect()} == {"name": 30, "0": 10, "1": 10, "2": 10}

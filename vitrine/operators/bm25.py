@@ -10,7 +10,7 @@ from vitrine.functions import fixed
 from vitrine.functions.text import ws_tokens
 from vitrine.operators.postings import Postings, build_segments
 from vitrine.operators.topk import BLOCK_CELLS, BROADCAST_CELLS, blocked_topk
-from vitrine.session import scratch_path
+from vitrine.session import materialize, scratch_path
 
 
 def bm25_tokens(name: Column, colors: Column) -> Column:
@@ -67,9 +67,13 @@ class KeywordIndex:
 
 
 def build_keyword_index(documents: DataFrame, path: str | None = None) -> KeywordIndex:
-    """Count the corpus once and write its postings; searches then read these tables, not the corpus."""
+    """Count the corpus once and write its postings; searches then read these tables, not the corpus.
+
+    The tokens are written first: counting, cutting into ranges and indexing read them, none computes ``documents`` again.
+    """
     spark = documents.sparkSession
     path = path or scratch_path(spark, "keywords")
+    documents = materialize(documents.select("row_id", "tokens"), "keyword-tokens")
     bm25_counts(documents).write.mode("overwrite").parquet(f"{path}/terms")
     _, avgdl = _read_terms(spark, path)
     segments = build_segments(documents, fixed.BM25_K1, fixed.BM25_B, avgdl)
