@@ -153,3 +153,19 @@ def test_keyword_documents_are_computed_once(spark, tmp_path):
     index = bm25.build_keyword_index(documents, str(tmp_path / "keywords"))
     assert seen.value == 30
     assert {r["term"]: r["df"] for r in index.terms.collect()} == {"name": 30, "0": 10, "1": 10, "2": 10}
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_a_batch_of_texts_sends_a_term_once(spark, n):
+    texts = ["a b a b", "", None, "  ", "b", "\u00e9\u00a0a b \x1f"]
+    want = Counter()
+    for t in texts:
+        words = (t or "").split()
+        want.update(words if n == 1 else [f"{x} {y}" for x, y in zip(["<s>", *words], words)])
+        want.update(["<s>", *words][: len(words)] if n == 2 else [])
+    terms, counts = language_model.gram_counts(pa.array(texts), n).columns
+    assert len(set(terms.to_pylist())) == len(terms)
+    assert dict(zip(terms.to_pylist(), counts.to_pylist())) == want
+    assert language_model.gram_counts(pa.array([None, ""], pa.string()), n).num_rows == 0
+    model = language_model.NgramModel.fit(spark.createDataFrame([(t,) for t in texts], "t string").repartition(3), "t", n)
+    assert {r["term"]: r["c"] for r in model.counts.collect()} == want

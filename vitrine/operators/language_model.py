@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions.ngrams import GRAM_SEPARATOR, ngrams
-from vitrine.functions.text import ws_tokens
+from vitrine.functions.text import split_words, ws_tokens
 from vitrine.operators.joins import heavy_of, salted_join
 from vitrine.session import scratch_path
 
@@ -34,6 +38,25 @@ def _terms(
     return cut.select(*keep, F.posexplode(terms).alias("place", "term"))
 
 
+def gram_counts(texts: pa.Array, n: int) -> pa.RecordBatch:
+    """``(term, c)``: how often the lower-case texts hold each n-gram and each context; terms as of ``_terms``."""
+    row, words = split_words(texts)
+    coded = words.dictionary_encode()
+    word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    names = pa.concat_arrays([coded.dictionary, pa.array([START], coded.dictionary.type)])  # the start comes last
+    if n == 1:
+        terms, counts = coded.dictionary, np.bincount(word, minlength=len(coded.dictionary))
+    else:
+        before = np.append(len(names) - 1, word[:-1])[: len(word)]
+        before[1:][row[1:] != row[:-1]] = len(names) - 1
+        pair, of_pair = np.unique(before * len(names) + word, return_counts=True)
+        context, of_context = np.unique(before, return_counts=True)
+        left, right = (names.take(pa.array(numbers)) for numbers in np.divmod(pair, len(names)))
+        bigrams = pc.binary_join_element_wise(left, right, pa.scalar(GRAM_SEPARATOR, names.type))
+        terms, counts = pa.concat_arrays([bigrams, names.take(pa.array(context))]), np.append(of_pair, of_context)
+    return pa.RecordBatch.from_arrays([terms.cast(pa.string()), pa.array(counts, pa.int64())], ["term", "c"])
+
+
 def _is_context(n: int) -> Column:
     return F.lit(False) if n == 1 else ~F.contains("term", F.lit(GRAM_SEPARATOR))
 
@@ -49,12 +72,21 @@ class NgramModel:
 
     @classmethod
     def fit(cls, train: DataFrame, col: str, n: int = 1, path: str | None = None) -> "NgramModel":
-        """Count once into a table; scoring any number of texts then reads the table."""
+        """Count once into a table; scoring any number of texts then reads the table.
+
+        Each batch of texts sends a term once with its count. Nearly all bigrams are rare, so the rest is counted after
+        the shuffle: a table of all terms of a task would outgrow its memory, which costs a sort of them.
+        """
         if n not in (1, 2):
             raise ValueError("n must be 1 or 2")
         path = path or scratch_path(train.sparkSession, "ngrams")
-        terms = _terms(train, col, n, [])
-        terms.groupBy("term").agg(F.count(F.lit(1)).alias("c")).write.parquet(path)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield gram_counts(batch.column(0), n)
+
+        terms = train.select(F.lower(F.col(col)).alias("text")).mapInArrow(count, "term string, c bigint")
+        terms.repartition("term").groupBy("term").agg(F.sum("c").alias("c")).write.parquet(path)
         counts = train.sparkSession.read.parquet(path)
         words = counts
         if n == 2:  # a word is counted as often as it ends a bigram
