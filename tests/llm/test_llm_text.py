@@ -279,6 +279,19 @@ def test_small_word_table(spark, monkeypatch):
         assert ids.tolist() == table.encoder.encode(text, add_special_tokens=False).ids and bounds[-1] == len(ids)
 
 
+def test_word_table_holds_each_part_once():
+    import pyarrow as pa
+
+    table = bpe.WordTable(WORD_BPE)
+    text = "ab ab. AB, ab! \u00e9ab!! a1. ."
+    for _ in range(2):  # the second time adds nothing
+        ids, _ = table.encode(pa.array([text, None, ""]))
+        assert ids.tolist() == table.encoder.encode(text, add_special_tokens=False).ids
+        parts = ["", "ab", ".", ",", "!", "\u00e9ab", "!!", "a1."]
+        assert sorted(table.known.to_pylist()) == sorted(parts)
+        assert table.used == sum(len(table.encoder.encode(p, add_special_tokens=False).ids) for p in parts)
+
+
 def test_words_with_marks_and_signs():
     """Fuzzed words of letters, capitals that fall apart when lowered, marks and signs."""
     import pyarrow as pa

@@ -1,9 +1,9 @@
 """BPE encoding and decoding through a table of distinct words.
 
 A text is split at ASCII white space, which no token of a word-level BPE crosses. Each task keeps a table of the distinct
-words it has met with their ids: a word is encoded by the tokenizer once, and its ids are joined back to every position
-where it stands. Decoding joins ids to their pieces and pieces by single spaces. The table is emptied when it holds
-``TABLE_WORDS`` words, so memory is bounded and results stay the same.
+words it has met, without the signs after them, with their ids: a word is encoded by the tokenizer once, and its ids are
+joined back to every position where it stands, by Arrow and NumPy. Decoding joins ids to their pieces and pieces by single
+spaces. The table is emptied when it holds ``TABLE_WORDS`` words, so memory is bounded and results stay the same.
 
 The words' table is kept per task rather than once for the corpus: see the README for what a corpus-wide join moves.
 
@@ -53,78 +53,78 @@ JOINED = 500  # words of letters that are encoded by one call
 
 
 class WordTable:
-    """Distinct words and their ids, as one flat array with a start and a length per word."""
+    """The parts of words met so far and their ids: Arrow texts, and one flat array with a start and a length per part."""
 
     def __init__(self, path: str) -> None:
         self.encoder = tokenizer(path)
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {"": []}
+        self.known = pa.array([""], pa.large_string())
         self.flat, self.used = np.empty(1 << 16, np.int32), 0
-        self.starts, self.lengths = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
-
-    def add(self, words: list[str]) -> None:
-        cores, signs = self.split(words)
-        new = (set(cores) | set(signs)).difference(self.parts)
-        letters = sorted(w for w in new if w.isalpha())
-        for at in range(0, len(letters), JOINED):
-            self.add_letters(letters[at : at + JOINED])
-        others = [w for w in new if not w.isalpha()]
-        for word, encoded in zip(others, self.encoder.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            self.parts[word] = encoded.ids
-        parts = self.parts
-        ids = [parts[core] + parts[after] if after else parts[core] for core, after in zip(cores, signs, strict=True)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))
-        first, count = len(self.known), len(words)
-        while self.used + len(flat) > len(self.flat):
+        self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def add(self, words: pa.Array) -> np.ndarray:
+        """New rows for distinct words that the table lacks; returns their numbers."""
+        given = words.to_pylist()
+        letters = np.array([w.isalpha() for w in given], dtype=bool)
+        order = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
+        alone = [given[i] for i in order[: letters.sum()]]
+        found = [self.encode_letters(alone[at : at + JOINED]) for at in range(0, len(alone), JOINED)]
+        found.append(self.encode_each([given[i] for i in order[len(alone) :]]))
+        ids, lengths = (np.concatenate(column) for column in zip(*found, strict=True))
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while first + count > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.empty_like(self.lengths)])
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.starts[first : first + count] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[first : first + count] = lengths
-        self.used += len(flat)
-        self.known.update(zip(words, range(first, first + count), strict=True))
+        self.flat[self.used : self.used + len(ids)] = ids
+        rows = np.empty(len(given), np.int64)
+        rows[order] = len(self.known) + np.arange(len(given))
+        self.known = pa.concat_arrays([self.known, words.take(pa.array(order))])
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.used += len(ids)
+        return rows
 
     @staticmethod
-    def split(words: list[str]) -> tuple[list[str], list[str]]:
+    def split(words: pa.Array) -> tuple[pa.Array, pa.Array]:
         """Of each word its letters, lowered, and the signs after them, which have ids of their own; any other word stays whole."""
-        whole = pa.array(words, pa.string())
-        core = pc.utf8_rtrim(whole, _SIGNS)
+        core = pc.utf8_rtrim(words, _SIGNS)
         # A capital may leave a mark when lowered, and the tokenizer joins marks with the signs that follow.
         apart = pc.and_(pc.utf8_is_alpha(core), pc.invert(pc.ends_with(core, MARKED)))
-        kept = pc.if_else(apart, pc.ascii_lower(core), whole)
-        after = pc.if_else(apart, pc.binary_length(core), pc.binary_length(whole)).to_pylist()
-        signs = ["" if n == len(w) else w[n:].decode() for w, n in zip(whole.cast(pa.binary()).to_pylist(), after, strict=True)]
-        return kept.to_pylist(), signs
-
-    def add_letters(self, words: list[str]) -> None:
-        """Words of letters are one token group each, so many can be encoded as one text."""
+        cut = pc.subtract(pc.binary_length(words), pc.binary_length(core))  # signs are of one byte
+        cut = pc.if_else(apart, cut, pa.scalar(0, cut.type)).to_numpy(zero_copy_only=False)
+        order, signs = np.argsort(cut, kind="stable"), []
+        sizes, first = np.unique(cut[order], return_index=True)
+        for size, start, end in zip(sizes.tolist(), first, [*first[1:], len(cut)], strict=True):
+            some = words.take(pa.array(order[start:end]))
+            signs.append(pc.utf8_slice_codeunits(some, -size) if size else pa.array([""] * len(some), words.type))
+        back = np.empty(len(cut), np.int64)
+        back[order] = np.arange(len(cut))
+        after = pa.concat_arrays(signs or [words]).take(pa.array(back))
+        return pc.if_else(apart, pc.ascii_lower(core), words), after
+
+    def encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of words of letters: they are one token group each, so many can be encoded as one text."""
         encoded = self.encoder.encode(" ".join(words), add_special_tokens=False)
-        ids, groups = encoded.ids, np.array(encoded.word_ids)
-        counts = np.bincount(groups, minlength=len(words))
+        counts = np.bincount(np.array(encoded.word_ids), minlength=len(words))
         if len(counts) != len(words) or not counts.all():  # a letter that falls apart when normalised
-            each = self.encoder.encode_batch_fast(words, add_special_tokens=False)
-            self.parts.update((w, e.ids) for w, e in zip(words, each, strict=True))
-            return
-        at = 0
-        for word, count in zip(words, counts.tolist(), strict=True):
-            self.parts[word] = ids[at : at + count]
-            at += count
-
-    def rows_of(self, words: list[str]) -> np.ndarray:
+            return self.encode_each(words)
+        return np.array(encoded.ids, np.int32), counts.astype(np.int64)
+
+    def encode_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.encoder.encode_batch_fast(words, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
+
+    def rows_of(self, words: pa.Array) -> np.ndarray:
         """The table's row of each (distinct) word."""
         if len(self.known) + len(words) > TABLE_WORDS:
             self.clear()
-        missing = [w for w in words if w not in self.known]
-        if missing:
-            self.add(missing)
-        known = self.known
-        return np.fromiter((known[w] for w in words), np.int64, len(words))
+        found = pc.index_in(words, value_set=self.known)
+        missing = pc.is_null(found)
+        rows = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if pc.any(missing).as_py():
+            rows[missing.to_numpy(zero_copy_only=False)] = self.add(words.filter(missing))
+        return rows
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's ids begin (with the end at last)."""
@@ -132,11 +132,20 @@ class WordTable:
         bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
         flat = words.flatten().dictionary_encode()
         # The split leaves empty words at the ends; the tokenizer gives them no ids.
-        rows = self.rows_of(flat.dictionary.to_pylist())[flat.indices.to_numpy()]
-        lengths = self.lengths[rows]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        at = np.repeat(self.starts[rows] - ends[:-1], lengths) + np.arange(ends[-1])
-        return self.flat[at], ends[bounds]
+        parts = pa.concat_arrays(self.split(flat.dictionary)).dictionary_encode()
+        rows = self.rows_of(parts.dictionary)[parts.indices.to_numpy()]
+        rows = rows.reshape(2, -1).T.ravel()  # letters and signs of a word side by side
+        ids, ends = _listed(self.flat, self.starts[rows], self.lengths[rows])
+        ends = ends[::2]  # of whole words
+        word = flat.indices.to_numpy()
+        ids, ends = _listed(ids, ends[:-1][word], np.diff(ends)[word])
+        return ids, ends[bounds]
+
+
+def _listed(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of ``flat`` one after the other, and where each begins (with the end at last)."""
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    return flat[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])], ends
 
 
 @contextmanager
