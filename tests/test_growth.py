@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from test_topk import brute_force, collected, frame
 from vitrine.functions import text
 from vitrine.operators import bm25, clusters, language_model, profiling, sequences, topk, vectors
-from vitrine.plans import jobs
+from vitrine.plans import inputs, jobs
 
 
 def counting(spark, df, column):
@@ -169,3 +169,9 @@ def test_a_batch_of_texts_sends_a_term_once(spark, n):
     assert language_model.gram_counts(pa.array([None, ""], pa.string()), n).num_rows == 0
     model = language_model.NgramModel.fit(spark.createDataFrame([(t,) for t in texts], "t string").repartition(3), "t", n)
     assert {r["term"]: r["c"] for r in model.counts.collect()} == want
+
+
+def test_requests_of_one_file_are_worked_on_by_all_cores(spark, small):
+    asked = inputs.requests(spark, small)
+    assert asked.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert asked.count() == inputs.table(spark, small, "part").count()

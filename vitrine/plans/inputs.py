@@ -81,7 +81,8 @@ def vector_clusters(spark: SparkSession, folder: str) -> clusters.ClusteredIndex
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """One request per part: its name, first word as colour ('' for new and old), last as category."""
     first = F.substring_index("p_name", " ", 1)
-    return table(spark, folder, "part").select(
+    part = spread(table(spark, folder, "part").select("p_partkey", "p_name", "p_size"))
+    return part.select(
         F.col("p_partkey").alias("query_id"),
         F.col("p_name").alias("name"),
         F.when(first.isin("new", "old"), "").otherwise(first).alias("color"),
