@@ -119,6 +119,20 @@ def test_pieces_of_documents(spark):
     assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows} == want
 
 
+def test_few_texts_reach_a_packing_worker_at_once(spark, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    stored = packing.stored
+
+    def watched(df, label):
+        seen.append(int(spark.conf.get(key)))
+        return stored(df, label)
+
+    monkeypatch.setattr(packing, "stored", watched)
+    before = spark.conf.get(key)
+    rows = packing.pack_documents(docs(spark, ["one two"] * 2500), WORD_BPE).collect()
+    assert len(rows) == 2500 and max(seen) <= 1000 and spark.conf.get(key) == before
+
+
 # --- near duplicates --------------------------------------------------------------------------------------------------
 
 

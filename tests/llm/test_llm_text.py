@@ -292,6 +292,27 @@ def test_word_table_holds_each_part_once():
         assert table.used == sum(len(table.encoder.encode(p, add_special_tokens=False).ids) for p in parts)
 
 
+def test_few_encodings_are_held_at_once():
+    import pyarrow as pa
+
+    class Watched:
+        def __init__(self, own):
+            self.own, self.most = own, 0
+
+        def encode_batch_fast(self, words, **how):
+            self.most = max(self.most, len(words))
+            return self.own.encode_batch_fast(words, **how)
+
+        def encode(self, *what, **how):
+            return self.own.encode(*what, **how)
+
+    table, text = bpe.WordTable(WORD_BPE), " ".join(f"a{i}b" for i in range(5000))
+    table.encoder = Watched(table.encoder)
+    ids, _ = table.encode(pa.array([text]))
+    assert ids.tolist() == table.encoder.encode(text, add_special_tokens=False).ids
+    assert 0 < table.encoder.most <= 2000
+
+
 def test_words_with_marks_and_signs():
     """Fuzzed words of letters, capitals that fall apart when lowered, marks and signs."""
     import pyarrow as pa

@@ -50,6 +50,7 @@ def tokenizer(path: str):
 _SIGNS = ".,!?;:%&#$*|\""
 MARKED = "\u0130"  # the one letter whose lower case ends in a mark
 JOINED = 500  # words of letters that are encoded by one call
+EACH = 2_000  # other words whose encodings, a kilobyte each, are held at once
 
 
 class WordTable:
@@ -111,7 +112,8 @@ class WordTable:
         return np.array(encoded.ids, np.int32), counts.astype(np.int64)
 
     def encode_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids = [e.ids for e in self.encoder.encode_batch_fast(words, add_special_tokens=False)]
+        parts = (words[at : at + EACH] for at in range(0, len(words), EACH))
+        ids = [e.ids for part in parts for e in self.encoder.encode_batch_fast(part, add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
 
@@ -145,7 +147,9 @@ class WordTable:
 def _listed(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The pieces of ``flat`` one after the other, and where each begins (with the end at last)."""
     ends = np.concatenate([[0], np.cumsum(lengths)])
-    return flat[np.repeat(starts - ends[:-1], lengths) + np.arange(ends[-1])], ends
+    places = np.repeat(starts - ends[:-1], lengths)
+    places += np.arange(ends[-1])
+    return flat[places], ends
 
 
 @contextmanager

@@ -28,9 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from vitrine.llm.bpe import word_table
-from vitrine.llm.common import shuffle_width, slices, stored
+from vitrine.llm.common import arrow_rows, give_back, shuffle_width, slices, stored
 
 CAPACITY = 2048
+ROWS = 1000  # texts that reach a worker at once
 ITEMS = "size int, length int, per int, first bigint, count bigint"
 GAPS = "gap int, sequence bigint, count bigint"
 # Documents first .. first + count - 1 of a length, ``per`` to a sequence, from ``sequence`` and ``offset`` on.
@@ -284,6 +285,8 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CA
                                 column.append(value)
                     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
                     columns = [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)]
+                    del ids, numbers, own, taken
+                    give_back()  # two workers share an executor with a heap that stays as large as it was
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
@@ -291,5 +294,6 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CA
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
     """The pieces of all documents with ``sequence_id`` and ``offset``."""
-    pieces = stored(token_pieces(docs, path, end_id, capacity), "packing-pieces")
+    with arrow_rows(docs.sparkSession, ROWS):
+        pieces = stored(token_pieces(docs, path, end_id, capacity), "packing-pieces")
     return pack(pieces, ["doc_id", "piece", "start", "ids_crc32"], capacity)
