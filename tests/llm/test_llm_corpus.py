@@ -405,6 +405,40 @@ def test_walk_is_widened_until_recall(spark):
     assert neighbours.recall(neighbours.walked(graph, nodes, starts, 5, 8), truth) >= neighbours.RECALL
 
 
+def joined_rows(df):
+    """The rows that the joins of ``df`` made when it was collected."""
+    rows, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        else:
+            plans += [plan.children().apply(i) for i in range(plan.children().size())]
+        if kind.endswith("JoinExec"):
+            rows += plan.metrics().get("numOutputRows").get().value()
+    return rows
+
+
+def test_introductions_join_as_many_rows_in_any_number_of_parts(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, row.tolist()) for i, row in enumerate(rng.standard_normal((400, 16)))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    nodes, _ = neighbours.nodes_of(neighbours.valid_vectors(frame), 6)
+    edges = neighbours.stored(neighbours.first_graph(nodes, 400, 6), "test-graph")
+    met, found = {}, {}
+    for parts in (1, 10):
+        new = neighbours.introduce(edges, nodes, 6, parts)
+        pairs = {(r.node, r.neighbour): r.near for r in new.collect()}
+        met[parts], found[parts] = joined_rows(new), pairs
+    assert 400 < met[1] == met[10] <= 400 * (2 * 6 + 1)
+    # Ten parts list the best of each part: those of all are among them.
+    assert found[1] and found[1].keys() <= found[10].keys()
+    assert all(abs(near - found[10][pair]) < 1e-5 for pair, near in found[1].items())
+
+
 def test_few_vectors(spark):
     kind = "vec_id bigint, embedding array<float>"
     three = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0])], kind)

@@ -167,27 +167,20 @@ def introduce(edges: DataFrame, nodes: DataFrame, k: int, parts: int) -> DataFra
     back = edges.select(F.col("neighbour").alias("node"), F.col("node").alias("neighbour"), "fresh")
     chosen = Window.partitionBy("node").orderBy(F.desc("fresh"), F.xxhash64("node", "neighbour"))
     back = back.withColumn("nth", F.row_number().over(chosen)).where(F.col("nth") <= k).drop("nth")
-    hosts = edges.select("node", "neighbour", "fresh").unionByName(back)
-    hosts = hosts.select(_part("node", parts).alias("part"), "node", "neighbour", "fresh")
+    # One row per host and guest, however the hosts are dealt: at most 2 k vectors a node travel, at any number of nodes.
+    hosts = edges.select("node", "neighbour", "fresh").unionByName(back).repartition("node")
+    hosts = hosts.groupBy("node", "neighbour").agg(F.max("fresh").alias("fresh"))
     floors = edges.groupBy("node").agg(
         F.when(F.count(F.lit(1)) >= k, F.min("near")).otherwise(F.lit(-3.0)).cast("float").alias("floor")
     )
-    guests = (
-        hosts.select("part", "neighbour")
-        .distinct()
-        .join(nodes.select(F.col("node").alias("neighbour"), "unit"), "neighbour")
-        .join(floors.withColumnRenamed("node", "neighbour"), "neighbour")
-        .select(F.col("part").alias("g_part"), F.col("neighbour").alias("guest"), "unit", "floor")
-    )
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        ids = right["guest"].to_numpy()
-        order = np.argsort(ids)
-        ids = ids[order]
-        x = _matrix(right["unit"].combine_chunks())[order]
-        floor = right["floor"].to_numpy()[order]
-        host, fresh = left["node"].to_numpy(), left["fresh"].to_numpy()
-        guest = np.searchsorted(ids, left["neighbour"].to_numpy())
+    guests = nodes.select("node", "unit").join(floors, "node").withColumnRenamed("node", "neighbour")
+    invited = hosts.join(guests, "neighbour").withColumn("part", _part("node", parts))
+
+    def meet(rows: pa.Table) -> pa.Table:
+        ids, first, guest = np.unique(rows["neighbour"].to_numpy(), return_index=True, return_inverse=True)
+        x = _matrix(rows["unit"].take(pa.array(first)).combine_chunks())
+        floor = rows["floor"].to_numpy()[first]
+        host, fresh = rows["node"].to_numpy(), rows["fresh"].to_numpy()
         by_host = np.lexsort((guest, host))
         host, guest, fresh = host[by_host], guest[by_host], fresh[by_host]
         cuts = np.flatnonzero(np.diff(host)) + 1
@@ -211,9 +204,7 @@ def introduce(edges: DataFrame, nodes: DataFrame, k: int, parts: int) -> DataFra
         node, other, near = best
         return pa.table({"node": ids[node], "neighbour": ids[other], "near": pa.array(near, pa.float32())})
 
-    met = hosts.groupBy("part").cogroup(guests.groupBy("g_part")).applyInArrow(
-        meet, "node bigint, neighbour bigint, near float"
-    )
+    met = invited.groupBy("part").applyInArrow(meet, "node bigint, neighbour bigint, near float")
     return met.withColumn("fresh", F.lit(True))
 
 
