@@ -439,6 +439,32 @@ def test_introductions_join_as_many_rows_in_any_number_of_parts(spark):
     assert all(abs(near - found[10][pair]) < 1e-5 for pair, near in found[1].items())
 
 
+def test_introductions_bring_few_entries(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, row.tolist()) for i, row in enumerate(rng.standard_normal((2000, 16)))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    nodes, _ = neighbours.nodes_of(neighbours.valid_vectors(frame), 6)
+    edges = neighbours.stored(neighbours.first_graph(nodes, 2000, 8), "test-graph")
+    # Nodes compared with their whole groups have lists that few of those who meet get into, in any number of parts.
+    assert 0 < neighbours.introduce(edges, nodes, 8, 40).count() <= 20 * 2000
+
+
+def test_wider_walk_goes_on(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, row.tolist()) for i, row in enumerate(rng.standard_normal((900, 24)))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    nodes, _ = neighbours.nodes_of(neighbours.valid_vectors(frame), 6)
+    ways = neighbours.graph_ways(neighbours.stored(neighbours.build_graph(nodes, 8), "test-graph"), nodes)
+    starts = nodes.where("node % 50 = 0").select(F.col("node").alias("query"), "node")
+    beam = neighbours.walk_on(None, ways, nodes, starts, 6, 24)
+    wide = neighbours.walk_on(beam, ways, nodes, starts, 24, 24)
+    fresh = neighbours.walk_on(None, ways, nodes, starts, 24, 24)
+    found, whole = ({(r.query, r.node) for r in neighbours.beam_rows(b, 24).collect()} for b in (wide, fresh))
+    assert len(found & whole) >= 0.9 * len(whole) and len(found) == len(whole) == 18 * 24
+    x = {r[0]: np.array(r[1]) / np.linalg.norm(r[1]) for r in rows}
+    assert all(abs(x[r.query] @ x[r.node] - 1 - r.near) < 1e-5 for r in neighbours.beam_rows(wide, 24).collect())
+
+
 def test_few_vectors(spark):
     kind = "vec_id bigint, embedding array<float>"
     three = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0])], kind)
